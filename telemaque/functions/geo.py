@@ -12,11 +12,11 @@ ARRIVAL_THRESHOLD_KM = 0.0005
 
 def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Haversine distance between two points in degrees; NULL if any coordinate is NULL."""
-    half_lat = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
-    half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
-    chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    # Rounding can push the chord a hair above 1 at antipodes; sqrt(1 - chord) would turn NaN.
-    chord = F.when(chord > 1.0, F.lit(1.0)).otherwise(chord)
+    half_lat = (F.radians(lat2) - F.radians(lat1)) / 2
+    half_lon = (F.radians(lon2) - F.radians(lon1)) / 2
+    chord = F.pow(F.sin(half_lat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(half_lon), 2)
+    # Rounding can lift the chord a hair above 1 at antipodes, where sqrt(1 - chord) would be NaN.
+    chord = F.least(chord, F.lit(1.0))
     return F.lit(2.0 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(chord), F.sqrt(1.0 - chord))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from telemaque.functions.text import bool_text, epoch_seconds, float_text, or_none
+from telemaque.functions.text import bool_text, epoch_seconds, float_text, or_none, short_exponents
 
 # Fixed values of the line format.
 MEASUREMENT = "trajets"
@@ -18,13 +18,13 @@ TIME = "heure_depart"
 def parity_line() -> Column:
     """Line as the running service writes it: nothing escaped, unknown values print ``None``."""
     tags = [F.concat(F.lit(f"{tag}="), or_none(F.col(c))) for tag, c in TAGS.items()]
-    fields = [F.concat(F.lit(f"{c}="), or_none(float_text(F.col(c)))) for c in COORDINATES]
-    fields.append(F.concat(F.lit(f"{FLAG}="), bool_text(F.col(FLAG))))
+    numbers = F.concat_ws(",", *[F.concat(F.lit(f"{c}="), or_none(float_text(F.col(c)))) for c in COORDINATES])
     return F.concat(
-        F.lit(f"{MEASUREMENT},"),
-        F.concat_ws(",", *tags),
+        F.concat_ws(",", F.lit(MEASUREMENT), *tags),
         F.lit(" "),
-        F.concat_ws(",", *fields),
+        short_exponents(numbers),
+        F.lit(f",{FLAG}="),
+        bool_text(F.col(FLAG)),
         F.lit(" "),
         epoch_seconds(F.col(TIME)).cast("string"),
     )
@@ -35,26 +35,30 @@ def _escaped(tag: Column) -> Column:
     return F.regexp_replace(one_line, r"([,= \\])", r"\\$1")
 
 
-def strict_line() -> Column:
-    """Valid line protocol: tag values escaped, unknown tags and fields left out.
+def _finite(coordinate: str) -> Column:
+    """The database knows neither NaN nor infinity."""
+    return F.abs(F.col(coordinate)) < float("inf")
+
+
+def renderable() -> Column:
+    """Whether a valid line can be written: key and time known, and at least one field."""
+    some_field = F.col(FLAG).isNotNull()
+    for c in COORDINATES:
+        some_field = some_field | F.coalesce(_finite(c), F.lit(False))
+    return (F.col("tripId") != "") & F.col(TIME).isNotNull() & some_field
+
 
-    NULL (no line) when the key or the time is missing, or when no field is left.
-    """
+def strict_line() -> Column:
+    """Valid line protocol for a :func:`renderable` row: tag values escaped, unknown tags and fields left out."""
     tags = [
         F.when(F.col(c) != "", F.concat(F.lit(f"{tag}="), _escaped(F.col(c)))) for tag, c in TAGS.items()
     ]
-    # The database knows neither NaN nor infinity.
-    fields = [
-        F.when(F.abs(F.col(c)) < float("inf"), F.concat(F.lit(f"{c}="), float_text(F.col(c)))) for c in COORDINATES
-    ]
+    fields = [F.when(_finite(c), F.concat(F.lit(f"{c}="), float_text(F.col(c)))) for c in COORDINATES]
     fields.append(F.concat(F.lit(f"{FLAG}="), F.col(FLAG).cast("string")))
-    body = F.concat_ws(",", *fields)
-    line = F.concat(
-        F.lit(f"{MEASUREMENT},"),
-        F.concat_ws(",", *tags),
+    return F.concat(
+        F.concat_ws(",", F.lit(MEASUREMENT), *tags),
         F.lit(" "),
-        body,
+        short_exponents(F.concat_ws(",", *fields)),
         F.lit(" "),
         epoch_seconds(F.col(TIME)).cast("string"),
     )
-    return F.when((F.col("tripId") != "") & (body != ""), line)

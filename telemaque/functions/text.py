@@ -10,30 +10,35 @@ JSON_TIMES = {"timestampFormat": ISO_MICROS, "timestampNTZFormat": ISO_MICROS}
 
 
 def float_text(value: Column) -> Column:
-    """A double the way Python prints it: plain digits from 1e-4 up to 1e16, else ``5e-05``.
+    """A double as text, with plain digits from 1e-4 up to 1e16 (Spark's own text: from 1e-3 up to 1e7).
 
-    Spark prints plain digits only from 1e-3 up to 1e7, so the ranges in between go through a
-    decimal, whose digits are those of the double's own text.
+    The digits in between go through a decimal, whose digits are those of the double's own text. The
+    rest stays in Spark's notation until :func:`short_exponents` goes over the finished text: done
+    per number, several numbers would make a compiled method larger than the JVM optimizes.
     """
     size = F.abs(value)
-    shown = value.cast("string")
-    digits = F.rtrim(value.try_cast("decimal(38,20)").cast("string"), F.lit("0"))
-    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    mantissa = F.regexp_replace(F.substring_index(shown, "E", 1), r"\.0$", "")
-    exponent = F.substring_index(shown, "E", -1)
-    power = F.ltrim(exponent, F.lit("-"))
-    scientific = F.concat(
-        mantissa,
-        F.when(exponent.startswith("-"), F.lit("e-")).otherwise(F.lit("e+")),
-        F.when(F.length(power) < 2, F.concat(F.lit("0"), power)).otherwise(power),
-    )
-    return (
-        F.when((size >= 1e-3) & (size < 1e7) | (size == 0), shown)
-        .when(F.isnan(value), F.lit("nan"))
-        .when(size == float("inf"), F.when(value > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(scientific)
-    )
+    plain = F.regexp_replace(value.try_cast("decimal(38,20)").cast("string"), r"(\.\d+?)0*$", "$1")
+    wide = size.between(1e-4, 1e-3) | size.between(1e7, 1e16 - 2)
+    return F.when(wide, plain).otherwise(value.cast("string"))
+
+
+def short_exponents(text: Column) -> Column:
+    """Numbers inside a text in the short notation: ``5.0E-5`` as ``5e-05``, ``NaN`` as ``nan``.
+
+    The text must have no other upper-case E.
+    """
+    short = text
+    for pattern, replacement in (
+        (r"(\.0)?E", "e"),
+        (r"e(\d)", "e+$1"),
+        (r"(e[+-])(\d)(?!\d)", "$10$2"),
+        (r"NaN", "nan"),
+        (r"Infinity", "inf"),
+    ):
+        short = F.regexp_replace(short, pattern, replacement)
+    # Plain searches decide: a pattern match on every text would cost more than all the rest.
+    wordy = text.contains("E") | text.contains("NaN") | text.contains("Inf")
+    return F.when(wordy, short).otherwise(text)
 
 
 def bool_text(flag: Column) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemaque.functions.text import JSON_TIMES
+from telemaque.operators.once import expand_once
 from telemaque.schemas import ENVELOPE
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -40,8 +41,8 @@ def decode_topic(schema: T.StructType, keep: Sequence[str] = (), strict: bool =
     """
 
     def apply(messages: DataFrame) -> DataFrame:
-        parsed = F.from_json(F.col(TEXT), schema).alias("data")
-        return messages.transform(decode_text(keep, strict)).select(*keep, parsed).select(*keep, "data.*")
+        parsed = F.from_json(F.col(TEXT), schema)
+        return messages.transform(decode_text(keep, strict)).transform(expand_once(parsed, keep))
 
     return apply
 
@@ -80,8 +81,7 @@ def inspect_topic(schema: T.StructType, keep: Sequence[str] = ()) -> Transform:
         )
         return (
             messages.select(*keep, text.alias(PAYLOAD))
-            .select(*keep, PAYLOAD, parsed.alias("data"))
-            .select(*keep, PAYLOAD, "data.*")
+            .transform(expand_once(parsed, (*keep, PAYLOAD)))
             .withColumn(REASON, reason)
             .drop(_CORRUPT)
         )

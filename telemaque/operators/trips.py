@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemaque.functions import geo
-from telemaque.functions.lineprotocol import COORDINATES, parity_line, strict_line
+from telemaque.functions.lineprotocol import COORDINATES, parity_line, renderable, strict_line
 from telemaque.operators.codec import Transform, decode_topic
+from telemaque.operators.once import expand_once
 from telemaque.schemas import TRIP
 
 ENDS = ("departure", "arrival")
@@ -35,11 +36,12 @@ def typed_trips(keep: tuple[str, ...] = ()) -> Transform:
 def line_protocol(keep: tuple[str, ...] = (), strict: bool = False) -> Transform:
     """One line per typed trip row; rows that cannot be rendered are dropped.
 
-    The plain mode drops rows without a time; ``strict`` writes valid line protocol only.
+    The plain mode drops rows without a time; ``strict`` writes valid line protocol only, and drops
+    rows without a key or without any field as well.
     """
-    line = strict_line() if strict else parity_line()
-    time_known = F.col("heure_depart").isNotNull()
-    return lambda flat: flat.where(time_known).select(*keep, line.alias("line")).where(F.col("line").isNotNull())
+    if not strict:
+        return lambda flat: flat.where(F.col("heure_depart").isNotNull()).select(*keep, parity_line().alias("line"))
+    return lambda flat: flat.where(renderable()).select(*keep, strict_line().alias("line"))
 
 
 def geo_points(rows: DataFrame) -> DataFrame:
@@ -84,22 +86,28 @@ def next_position(speed_kmh: Column, seconds: float = 1.0, clamp: bool = False)
     """Add ``next_latitude`` and ``next_longitude``: where the vehicle is after ``seconds``."""
 
     def apply(flat: DataFrame) -> DataFrame:
-        # The ratio gets its own projection: both coordinates use it.
-        ratio = geo.step_ratio(speed_kmh, F.lit(float(seconds)), _remaining_km(), clamp)
-        stepped = flat.withColumn("_ratio", ratio)
-        return stepped.withColumns(
+        # Steps get their own projections, as each result is used several times in the next.
+        moved = flat.withColumn("_km", _remaining_km()).withColumn(
+            "_ratio", geo.step_ratio(speed_kmh, F.lit(float(seconds)), F.col("_km"), clamp)
+        )
+        return moved.withColumns(
             {
                 f"next_{axis}": geo.advance(F.col(f"departure_{axis}"), F.col(f"arrival_{axis}"), F.col("_ratio"))
                 for axis in ("latitude", "longitude")
             }
-        ).drop("_ratio")
+        ).drop("_km", "_ratio")
 
     return apply
 
 
 def arrived_trips(threshold_km: float = geo.ARRIVAL_THRESHOLD_KM) -> Transform:
     """The rows whose position lies within the threshold of the target, with their distance."""
-    return lambda flat: flat.transform(trip_distance).where(F.col("distance_km") <= threshold_km)
+
+    def apply(flat: DataFrame) -> DataFrame:
+        measured = flat.transform(expand_once(F.struct(_remaining_km().alias("distance_km")), flat.columns))
+        return measured.where(F.col("distance_km") <= threshold_km)
+
+    return apply
 
 
 def normalize_emergency(emergencies: DataFrame) -> DataFrame:
