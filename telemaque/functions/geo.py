@@ -16,8 +16,8 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     half_lon = (F.radians(lon2) - F.radians(lon1)) / 2
     chord = F.pow(F.sin(half_lat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(half_lon), 2)
     # Rounding can lift the chord a hair above 1 at antipodes, where sqrt(1 - chord) would be NaN.
-    chord = F.least(chord, F.lit(1.0))
-    return F.lit(2.0 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(chord), F.sqrt(1.0 - chord))
+    rest = F.greatest(1.0 - chord, F.lit(0.0))
+    return F.lit(2.0 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(chord), F.sqrt(rest))
 
 
 def step_ratio(speed_kmh: Column, seconds: Column, remaining_km: Column, clamp: bool) -> Column:
@@ -28,7 +28,7 @@ def step_ratio(speed_kmh: Column, seconds: Column, remaining_km: Column, clamp:
     """
     ratio = speed_kmh / 3600.0 * seconds / F.when(remaining_km > 0, remaining_km)
     if clamp:
-        ratio = F.least(ratio, F.lit(1.0))
+        ratio = F.when(ratio > 1.0, F.lit(1.0)).otherwise(ratio)
     return F.when(remaining_km == 0, F.lit(0.0)).otherwise(ratio)
 
 

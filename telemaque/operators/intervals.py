@@ -65,7 +65,7 @@ def interval_totals(
     """
     (left_key, right_key), (left_time, right_time) = keys, times
     names = list(measures)
-    slot = F.floor(F.col("at") / F.lit(slot_s * 1_000_000))
+    slot = F.floor(F.col("at") / F.lit(slot_s * 1_000_000))  # never decreases as "at" grows
     bound = within_s * 1_000_000
 
     entries = marks.where(F.col(right_key).isNotNull() & F.col(right_time).isNotNull()).select(
@@ -81,11 +81,7 @@ def interval_totals(
         # side orders equal times: the lower reading before the marks, the upper one after them.
         lower = F.struct((at - bound).alias("at"), F.lit(0).alias("side"))
         upper = F.struct((at + bound).alias("at"), F.lit(2).alias("side"))
-        readings = left.select(
-            F.col(left_key).alias("key"),
-            F.struct(*row_id).alias("id"),
-            F.inline(F.array(lower, upper)),
-        )
+        readings = left.select(*row_id, F.col(left_key).alias("key"), F.inline(F.array(lower, upper)))
         line = readings.unionByName(entries, allowMissingColumns=True).withColumn("slot", slot)
 
         totals = line.groupBy("key", "slot").agg(*[F.sum(n).alias(n) for n in names])
@@ -99,18 +95,18 @@ def interval_totals(
         )
         sign = F.when(F.col("side") == 2, 1).otherwise(-1)
         read = (
-            line.select("key", "slot", "id", "side", *[F.sum(n).over(so_far).alias(n) for n in names])
+            line.select(*row_id, "key", "slot", "side", *[F.sum(n).over(so_far).alias(n) for n in names])
             .where(F.col("side") != 1)
             .join(carried, ["key", "slot"])
             .select(
-                "id",
+                *row_id,
                 *[
                     (sign * (F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"before_{n}"), F.lit(0)))).alias(n)
                     for n in names
                 ],
             )
         )
-        sums = read.groupBy("id").agg(*[F.sum(n).alias(n) for n in names]).select("id.*", *names)
+        sums = read.groupBy(*row_id).agg(*[F.sum(n).alias(n) for n in names])
         return (
             left.join(sums, list(row_id), "left")
             .select(*row_id, *payload, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
