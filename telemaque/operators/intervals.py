@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,8 @@ from pyspark.sql import Window
 from telemaque.operators.codec import Transform
 
 HOUR_S = 3600
+BUSY_ROWS = 100_000
+MAX_BUSY_KEYS = 4096
 
 
 def _micros(time: str) -> Column:
@@ -51,24 +53,31 @@ def interval_totals(
     times: tuple[str, str],
     within_s: int,
     measures: Mapping[str, Column],
-    row_id: Sequence[str],
     slot_s: int = HOUR_S,
+    busy_rows: int = BUSY_ROWS,
 ) -> Transform:
     """Batch. Add to each left row the sums of ``measures`` over the marks within the bound.
 
     The same sums as grouping :func:`interval_join` by left row (0 where it has none), at a cost
     that grows with the rows and not with the pairs. A running sum over the marks of a key is read
-    at both ends of the bound and the two readings subtracted. The running sum is taken slot by
-    slot, and the totals of earlier slots added, so that a busy key is spread over its slots.
+    at both ends of the bound and the two readings subtracted.
 
-    ``row_id`` must identify a left row; rows without key or time have no marks and are kept.
+    The running sum of a busy key is taken slot by slot, each slot starting from the total of the
+    earlier ones, so that it spreads over as many tasks as it has slots. A key is busy if it has more
+    than ``busy_rows`` rows and more than one in ``MAX_BUSY_KEYS`` of all rows. So there are never
+    more than that many busy keys, however large the tables: this is the one thing broadcast.
+
+    Left rows must differ from each other in some column; rows without key or time have no marks and
+    are kept.
     """
     (left_key, right_key), (left_time, right_time) = keys, times
     names = list(measures)
-    slot = F.floor(F.col("at") / F.lit(slot_s * 1_000_000))  # never decreases as "at" grows
-    bound = within_s * 1_000_000
+    slot_micros, bound = slot_s * 1_000_000, within_s * 1_000_000
+
+    def placed(key: str, time: str) -> Column:
+        return F.col(key).isNotNull() & F.col(time).isNotNull()
 
-    entries = marks.where(F.col(right_key).isNotNull() & F.col(right_time).isNotNull()).select(
+    entries = marks.where(placed(right_key, right_time)).select(
         F.col(right_key).alias("key"),
         _micros(right_time).alias("at"),
         F.lit(1).alias("side"),
@@ -76,17 +85,32 @@ def interval_totals(
     )
 
     def apply(left: DataFrame) -> DataFrame:
-        payload = [c for c in left.columns if c not in row_id]
-        at = _micros(left_time)
-        # side orders equal times: the lower reading before the marks, the upper one after them.
-        lower = F.struct((at - bound).alias("at"), F.lit(0).alias("side"))
-        upper = F.struct((at + bound).alias("at"), F.lit(2).alias("side"))
-        readings = left.select(*row_id, F.col(left_key).alias("key"), F.inline(F.array(lower, upper)))
-        line = readings.unionByName(entries, allowMissingColumns=True).withColumn("slot", slot)
-
-        totals = line.groupBy("key", "slot").agg(*[F.sum(n).alias(n) for n in names])
+        columns = left.columns
+        # side orders equal times: what is carried over, the lower reading, the marks, the upper reading.
+        lower = F.struct((_micros(left_time) - bound).alias("at"), F.lit(0).alias("side"))
+        upper = F.struct((_micros(left_time) + bound).alias("at"), F.lit(2).alias("side"))
+        # The left columns travel along, which is cheaper than joining the sums back to them.
+        readings = left.where(placed(left_key, left_time)).select(
+            *columns, F.col(left_key).alias("key"), F.inline(F.array(lower, upper))
+        )
+        line = readings.unionByName(entries, allowMissingColumns=True)
+
+        all_rows = line.agg(F.count("*")).scalar()
+        busy = (
+            line.groupBy("key")
+            .agg(F.count("*").alias("n"))
+            .where((F.col("n") > busy_rows) & (F.col("n") * MAX_BUSY_KEYS > all_rows))
+            .select("key", F.lit(True).alias("busy"))
+        )
+        # A slot is named by its first microsecond; a key that is not busy has the one slot NULL.
+        slot = F.when(F.col("busy"), F.col("at") - F.pmod(F.col("at"), F.lit(slot_micros).cast("bigint")))
+        line = line.join(F.broadcast(busy), "key", "left").withColumn("slot", slot).drop("busy")
+
+        totals = line.where(F.col("slot").isNotNull()).groupBy("key", "slot").agg(*[F.sum(n).alias(n) for n in names])
         earlier = Window.partitionBy("key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-        carried = totals.select("key", "slot", *[F.sum(n).over(earlier).alias(f"before_{n}") for n in names])
+        carried = totals.select(
+            "key", "slot", F.col("slot").alias("at"), F.lit(-1).alias("side"), *[F.sum(n).over(earlier).alias(n) for n in names]
+        )
 
         so_far = (
             Window.partitionBy("key", "slot")
@@ -94,22 +118,14 @@ def interval_totals(
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         sign = F.when(F.col("side") == 2, 1).otherwise(-1)
-        read = (
-            line.select(*row_id, "key", "slot", "side", *[F.sum(n).over(so_far).alias(n) for n in names])
-            .where(F.col("side") != 1)
-            .join(carried, ["key", "slot"])
-            .select(
-                *row_id,
-                *[
-                    (sign * (F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"before_{n}"), F.lit(0)))).alias(n)
-                    for n in names
-                ],
-            )
-        )
-        sums = read.groupBy(*row_id).agg(*[F.sum(n).alias(n) for n in names])
-        return (
-            left.join(sums, list(row_id), "left")
-            .select(*row_id, *payload, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
+        sums = (
+            line.unionByName(carried, allowMissingColumns=True)
+            .select(*columns, "side", *[F.sum(n).over(so_far).alias(n) for n in names])
+            .where(F.col("side").isin(0, 2))
+            .groupBy(*columns)
+            .agg(*[F.coalesce(F.sum(sign * F.col(n)), F.lit(0)).alias(n) for n in names])
         )
+        nowhere = left.where(~placed(left_key, left_time)).withColumns({n: F.lit(0).cast("bigint") for n in names})
+        return sums.unionByName(nowhere)
 
     return apply

@@ -128,12 +128,13 @@ def trip_summary(vehicles: DataFrame, emergencies: DataFrame, weathers: DataFram
 
 
 def trip_view_near(
-    vehicles: DataFrame, emergencies: DataFrame, weathers: DataFrame, within_s: int, row_id: Sequence[str]
+    vehicles: DataFrame, emergencies: DataFrame, weathers: DataFrame, within_s: int
 ) -> Transform:
     """Batch. The four-way join with reports within ``within_s`` of the ping, summed up per ping.
 
     ``view_rows`` is the exact number of rows the ping has in that join; pings without any are left
-    out. ``sum_temperature`` is over the ping's weather reports.
+    out. ``sum_temperature`` is over the ping's weather reports. Pings must differ from each other, as
+    they do with their place in the topic.
     """
     alarm, sky = F.lit(1).alias("alarm"), F.lit(0).alias("alarm")
     marks = emergencies.select(
@@ -149,7 +150,6 @@ def trip_view_near(
         ("heure_depart", "time"),
         within_s,
         {"n_emergencies": F.col("alarm"), "n_weathers": 1 - F.col("alarm"), "sum_temperature": F.col("temperature")},
-        row_id,
     )
     cars = vehicles.groupBy(F.col("IDTrajet").alias("tripId")).agg(F.count("*").alias("n_vehicles"))
 

@@ -234,7 +234,7 @@ def trip_360(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trip_360_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     pings = _pings(spark, sf_dir).select(*PLACE, "tripId", "heure_depart")
-    near = views.trip_view_near(*topic_rows(spark, sf_dir), within_s=6 * HOUR_S, row_id=PLACE)
+    near = views.trip_view_near(*topic_rows(spark, sf_dir), within_s=6 * HOUR_S)
     return zoneless(pings.transform(near))
 
 

@@ -96,7 +96,7 @@ def test_interval_join_finds_every_pair_once(spark):
 
 
 def test_interval_totals_equal_sums_over_pairs(spark):
-    for seed, slot_s in ((0, 3600), (1, 900), (2, 86400)):
+    for seed, slot_s, busy_rows in ((0, 3600, 0), (1, 900, 30), (2, 86400, 0), (3, 3600, 10**6)):
         trips, _, _, sky = fleet(spark, seed)
         unknown = flat_trips(spark, [
             (0, 900, None, "A", 1.0, 1.0, "B", 1.0, 1.0, T0, True), (0, 901, "T0", "A", 1.0, 1.0, "B", 1.0, 1.0, None, True),
@@ -106,10 +106,10 @@ def test_interval_totals_equal_sums_over_pairs(spark):
         totals = trips.transform(
             interval_totals(
                 sky, ("tripId", "weatherTrip"), ("heure_depart", "WeatherTime"), 7200,
-                {"n": F.lit(1), "warmth": F.col("temperature")}, ("partition", "offset"), slot_s,
+                {"n": F.lit(1), "warmth": F.col("temperature")}, slot_s, busy_rows,
             )
         )
-        assert totals.columns[:2] == ["partition", "offset"] and totals.columns[-2:] == ["n", "warmth"]
+        assert totals.columns == [*trips.columns, "n", "warmth"]
         marks = sky.collect()
         expected = Counter()
         for p in trips.collect():
@@ -123,7 +123,7 @@ def test_near_view_sizes_equal_the_bounded_join(spark):
     cars = cars.drop("partition", "offset")
     bound = 6 * 3600
     rows = trips.transform(trip_view_stream(cars, alarms, sky, bound, 400 * 3600, "1 hour"))
-    sizes = trips.transform(views.trip_view_near(cars, alarms, sky, bound, ("partition", "offset")))
+    sizes = trips.transform(views.trip_view_near(cars, alarms, sky, bound))
     assert rows_of(sizes.select("offset", "view_rows")) == rows_of(rows.groupBy("offset").count())
 
 
