@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from telemaque.operators.codec import encode_text, encode_topic
 from telemaque.schemas import TOPICS
+from telemaque.sources.topics import FILES_PER_BATCH
 
 # The value domains of the producer.
 MAKES = (
@@ -40,7 +41,8 @@ def events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = events_table(spark, sf_dir).schema
     # A pattern, as a stream takes a folder or a pattern but not one single file.
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    return reader.parquet(f"{sf_dir}/events.parque[t]")
 
 
 def _div(value: Column, by: int) -> Column:

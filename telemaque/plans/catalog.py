@@ -24,6 +24,7 @@ from telemaque.sinks.tables import append_sink, publish
 from telemaque.sources.files import read_json
 from telemaque.sources.topics import read_topic
 from telemaque.streaming.runner import Sink, fan_out, run_stream
+from telemaque.streaming.service import service_streams
 from telemaque.workspace import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,10 +71,10 @@ def topic_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per topic. Decoding keeps every message, so the counts need no parse."""
     events = events_table(spark, sf_dir)
     counts = [
         messages(events, name)
-        .transform(codec.decode_topic(spec.schema))
         .agg(F.count("*").alias("n_rows"))
         .select(F.lit(spec.kafka_topic).alias("topic"), "n_rows")
         for name, spec in TOPICS.items()
@@ -312,16 +313,9 @@ def fan_out_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     cars = TOPICS["cars"]
     # Vehicles are an aggregate of the table, so their topic is sent first and replayed.
     publish(messages(events_table(spark, sf_dir), "cars"), cars.kafka_topic, replay=f"{root}/topics")
-    typed = messages(events, "trajet").transform(trips.typed_trips())
-    registered = read_topic(spark, cars.kafka_topic, replay=f"{root}/topics")
-    streams = [
-        (Sink("points", "text"), typed.transform(trips.line_protocol())),
-        (Sink("trajet"), typed),
-        (Sink("cars"), registered.transform(codec.decode_topic(cars.schema))),
-    ]
-    for name in ("emergency", "weather"):
-        streams.append((Sink(name), messages(events, name).transform(codec.decode_topic(TOPICS[name].schema))))
-    paths = fan_out(streams, root)
+    sent = {name: messages(events, name) for name in ("trajet", "emergency", "weather")}
+    sent["cars"] = read_topic(spark, cars.kafka_topic, replay=f"{root}/topics")
+    paths = fan_out(service_streams(sent), root)
     written = {name: spark.read.parquet(path) for name, path in paths.items() if name != "points"}
     written["points"] = spark.read.text(paths["points"]).select(
         F.regexp_extract("value", "tripId=([^,]*)", 1).alias("tripId")

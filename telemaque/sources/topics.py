@@ -12,6 +12,8 @@ log = logging.getLogger(__name__)
 
 # Fixed value: how long a broker may take to answer.
 TIMEOUT_MS = 3000
+# A replay makes progress, and a checkpoint, every so many files.
+FILES_PER_BATCH = 1000
 
 
 def kafka_options(topic: str, servers: str, starting: str = "earliest") -> dict[str, str]:
@@ -30,7 +32,7 @@ def read_topic(
     topic: str,
     servers: str | None = None,
     replay: str | None = None,
-    files_per_batch: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
     **options: str,
 ) -> DataFrame:
     """Stream of a topic's messages, from ``servers`` or replayed from the folder ``replay``.
@@ -42,9 +44,7 @@ def read_topic(
     try:
         if servers is not None:
             return spark.readStream.format("kafka").options(**kafka_options(topic, servers), **options).load()
-        reader = spark.readStream.schema(ENVELOPE).options(**options)
-        if files_per_batch is not None:
-            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        reader = spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", files_per_batch).options(**options)
         return reader.parquet(f"{replay}/{topic}")
     except Exception:
         log.exception("cannot read topic %s", topic)

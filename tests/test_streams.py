@@ -14,7 +14,8 @@ from telemaque.sinks.tables import append_sink, publish
 from telemaque.sources.topics import TIMEOUT_MS, kafka_options, read_topic, read_topics
 from telemaque.streaming.joins import trip_view_stream
 from telemaque.streaming.runner import Sink, StreamsFailed, fan_out, run_stream
-from tests.samples import T0, TRIP_TEXT, envelope, trip_text
+from telemaque.streaming.service import serve
+from tests.samples import EMERGENCY_TEXT, T0, TRIP_TEXT, VEHICLE_TEXT, WEATHER_TEXT, envelope, trip_text
 from tests.test_joins import fleet
 
 TOPIC = TOPICS["trajet"].kafka_topic
@@ -101,6 +102,23 @@ def test_one_stream_into_two_sinks(spark, tmp_path):
     assert spark.read.parquet(paths["rows"]).count() == spark.read.text(paths["points"]).count() == 20
 
 
+@pytest.mark.parametrize("rejects", [False, True])
+def test_the_whole_service_on_replayed_topics(spark, tmp_path, rejects):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    texts = {"trajet": TRIP_TEXT, "cars": VEHICLE_TEXT, "emergency": EMERGENCY_TEXT, "weather": WEATHER_TEXT}
+    for name, text in texts.items():
+        publish(envelope(spark, [text, "{broken"], TOPICS[name].kafka_topic), TOPICS[name].kafka_topic, replay=source)
+    paths = serve(spark, root, replay=source, rejects=rejects)
+    for name in texts:
+        stored = spark.read.parquet(paths[name])
+        assert stored.count() == (1 if rejects else 2)
+        assert stored.where(F.col(TOPICS[name].trip_key) == "TripABC123").count() == 1
+        if rejects:
+            assert [r["reason"] for r in spark.read.parquet(paths[f"{name}_rejected"]).collect()] == ["malformed"]
+    lines = [r[0] for r in spark.read.text(paths["points"]).collect()]
+    assert len(lines) == 1 and lines[0].startswith("trajets,tripId=TripABC123,departure=Domicile,arrival=Bureau ")
+
+
 def test_query_a_stream_as_a_table(spark, tmp_path):
     publish(envelope(spark, [TRIP_TEXT]), TOPIC, replay=str(tmp_path / "in"))
     stream = read_topic(spark, TOPIC, replay=str(tmp_path / "in")).transform(codec.decode_topic(TRIP))
