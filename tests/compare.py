@@ -37,9 +37,8 @@ def bag(columns: list[str], rows: list[tuple]) -> Counter:
     return Counter(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
-def compare(spark, con, sf_dir: str, query, sql: str) -> str:
+def compare(df, con, sql: str) -> str:
     """Empty when columns and the bag of rows are equal, else what differs."""
-    df = query(spark, sf_dir)
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     if sorted(names) != sorted(df.columns):
@@ -73,7 +72,7 @@ def main() -> int:
             continue
         started = time.time()
         try:
-            diff = compare(spark, con, sf_dir, query, sql[name]) if name in sql else "no SQL"
+            diff = compare(query(spark, sf_dir), con, sql[name]) if name in sql else "no SQL"
         except Exception as error:  # noqa: BLE001 - report and go on with the next query
             diff = f"{type(error).__name__}: {str(error)[:600]}"
         bad += bool(diff)

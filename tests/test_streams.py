@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from telemaque.operators import codec, trips, upserts
 from telemaque.operators.dedupe import dedupe_events
+from telemaque.operators.payloads import payload_chunks
 from telemaque.schemas import ENVELOPE, TOPICS, TRIP
 from telemaque.sinks.tables import append_sink, publish
 from telemaque.sources.topics import TIMEOUT_MS, kafka_options, read_topic, read_topics
+from telemaque.streaming.batches import batch_writer
 from telemaque.streaming.joins import trip_view_stream
 from telemaque.streaming.runner import Sink, StreamsFailed, fan_out, run_stream
 from telemaque.streaming.service import serve
@@ -206,6 +208,21 @@ def test_four_way_stream_join_equals_batch_and_forgets(spark, tmp_path):
     assert max(state) > 0 and state[-1] < max(state) / 2
 
 
+def test_a_repeated_batch_replaces_its_first_attempt(spark, tmp_path):
+    """The callback by itself: running it under a stream would open a callback port."""
+    target = str(tmp_path / "bodies")
+    lines = messages(spark, 25).transform(trips.typed_trips(("partition", "offset"))).transform(
+        trips.line_protocol(("partition", "offset"))
+    )
+    write = batch_writer(target, "parquet", payload_chunks(10))
+    write(lines, 0)
+    write(lines.where("offset < 5"), 1)
+    write(lines, 0)
+    write(lines.limit(0), 2)
+    bodies = spark.read.parquet(target)
+    assert bag(bodies.groupBy("batch_id").agg(F.sum("n_lines"))) == Counter([(0, 25), (1, 5)])
+
+
 def test_append_sink(spark, tmp_path):
     rows = messages(spark, 10).transform(trips.typed_trips())
     for fmt in ("parquet", "orc", "json", "csv"):
