@@ -30,9 +30,15 @@ def parity_line() -> Column:
     )
 
 
+def _clean(tag: Column) -> Column:
+    """Without what a tag value cannot hold: line breaks (now blanks) and backslashes at its end."""
+    return F.rtrim(F.translate(tag, "\r\n", "  "), F.lit("\\"))
+
+
 def _escaped(tag: Column) -> Column:
-    one_line = F.regexp_replace(tag, r"[\r\n]+", " ")
-    return F.regexp_replace(one_line, r"([,= \\])", r"\\$1")
+    for special in (",", "=", " "):
+        tag = F.replace(tag, F.lit(special), F.lit(f"\\{special}"))
+    return tag
 
 
 def _finite(coordinate: str) -> Column:
@@ -45,13 +51,13 @@ def renderable() -> Column:
     some_field = F.col(FLAG).isNotNull()
     for c in COORDINATES:
         some_field = some_field | F.coalesce(_finite(c), F.lit(False))
-    return (F.col("tripId") != "") & F.col(TIME).isNotNull() & some_field
+    return (_clean(F.col("tripId")) != "") & F.col(TIME).isNotNull() & some_field
 
 
 def strict_line() -> Column:
     """Valid line protocol for a :func:`renderable` row: tag values escaped, unknown tags and fields left out."""
     tags = [
-        F.when(F.col(c) != "", F.concat(F.lit(f"{tag}="), _escaped(F.col(c)))) for tag, c in TAGS.items()
+        F.when(_clean(F.col(c)) != "", F.concat(F.lit(f"{tag}="), _escaped(_clean(F.col(c))))) for tag, c in TAGS.items()
     ]
     fields = [F.when(_finite(c), F.concat(F.lit(f"{c}="), float_text(F.col(c)))) for c in COORDINATES]
     fields.append(F.concat(F.lit(f"{FLAG}="), F.col(FLAG).cast("string")))

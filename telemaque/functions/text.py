@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_TIMES = {"timestampFormat": ISO_MICROS, "timestampNTZFormat": ISO_MICROS}
+JSON_MESSAGE = {**JSON_TIMES, "ignoreNullFields": "false"}
 
 
 def float_text(value: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telemaque.functions.text import JSON_TIMES
+from telemaque.functions.text import JSON_MESSAGE
 from telemaque.operators.once import expand_once
 from telemaque.schemas import ENVELOPE
 
@@ -99,8 +99,8 @@ def rejected(schema: T.StructType) -> Transform:
 
 
 def encode_text(schema: T.StructType) -> Column:
-    """A typed row as the JSON text its producer sends: declared field order, ISO microsecond times."""
-    return F.to_json(F.struct(*[F.col(f"`{name}`") for name in schema.fieldNames()]), JSON_TIMES)
+    """A typed row as JSON text: fields in declared order, NULL as ``null``, ISO microsecond times."""
+    return F.to_json(F.struct(*[F.col(f"`{name}`") for name in schema.fieldNames()]), JSON_MESSAGE)
 
 
 def encode_topic(schema: T.StructType, topic: str, event_time: str, text: Column | None = None) -> Transform:

@@ -17,9 +17,7 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="telemaque-")
-    spark.conf.set(SETTING, root)
-    return root
+    return tempfile.mkdtemp(prefix="telemaque-")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:

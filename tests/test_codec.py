@@ -111,6 +111,7 @@ def test_encoded_text_is_the_producers(spark):
     assert sent.schema.simpleString() == ENVELOPE.simpleString()
     assert json.loads(bytes(sent.collect()[0]["value"])) == {
         "EmergencyTime": "2025-01-01T10:00:05.000000", "evehicleID": "V", "emergencyTrip": "T", "emergencyType": "NONE",
+        "emergencyStatus": None,
     }
 
 

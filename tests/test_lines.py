@@ -68,11 +68,14 @@ def test_strict_lines(spark):
         (0, 2, "", "A", 1.0, 2.0, "B", 3.0, 4.0, T0, True),
         (0, 3, "T", "A", None, None, "B", None, float("inf"), T0, None),
         (0, 4, "T\nx\\", None, None, None, None, None, None, T0, False),
+        (0, 5, "a\\b", "\\", None, None, None, None, None, T0, False),
+        (0, 6, "\\\\", None, None, None, None, None, None, T0, False),
     ]
     lines = flat_trips(spark, rows).transform(trips.line_protocol(("offset",), strict=True)).collect()
     assert {r["offset"]: r["line"] for r in lines} == {
         0: "trajets,tripId=T\\ 1\\,a\\=b,departure=Saint\\ Jean departure_latitude=5e-05,arrival_latitude=3.0 1735725605",
-        4: "trajets,tripId=T\\ x\\\\ flag_arrivee=false 1735725605",
+        4: "trajets,tripId=T\\ x flag_arrivee=false 1735725605",
+        5: "trajets,tripId=a\\b flag_arrivee=false 1735725605",
     }
 
 
