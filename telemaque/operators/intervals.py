@@ -12,7 +12,7 @@ from telemaque.operators.codec import Transform
 
 HOUR_S = 3600
 BUSY_ROWS = 100_000
-MAX_BUSY_KEYS = 4096
+MAX_BUSY = 4096
 
 
 def _micros(time: str) -> Column:
@@ -53,63 +53,54 @@ def interval_totals(
     times: tuple[str, str],
     within_s: int,
     measures: Mapping[str, Column],
-    slot_s: int = HOUR_S,
     busy_rows: int = BUSY_ROWS,
 ) -> Transform:
     """Batch. Add to each left row the sums of ``measures`` over the marks within the bound.
 
-    The same sums as grouping :func:`interval_join` by left row (0 where it has none), at a cost
-    that grows with the rows and not with the pairs. A running sum over the marks of a key is read
-    at both ends of the bound and the two readings subtracted.
+    The same sums as grouping :func:`interval_join` by left row (0 where it has none, or no key or
+    time), at a cost that grows with the rows and not with the pairs. A running sum over the marks of
+    a key is read at both ends of the bound and the two readings subtracted.
 
-    The running sum of a busy key is taken slot by slot, each slot starting from the total of the
-    earlier ones, so that it spreads over as many tasks as it has slots. A key is busy if it has more
-    than ``busy_rows`` rows and more than one in ``MAX_BUSY_KEYS`` of all rows. So there are never
-    more than that many busy keys, however large the tables: this is the one thing broadcast.
-
-    Left rows must differ from each other in some column; rows without key or time have no marks and
-    are kept.
+    No running sum gets too long for a task. Copies, that is marks or left rows of one key and
+    instant, are first made one. The running sum of a busy key is taken hour by hour, and in busy
+    hours second by second, each slot starting from the total of the earlier ones. "Busy" is what has
+    more than ``busy_rows`` rows and more than one in ``MAX_BUSY`` of all rows. So there are never
+    more than that many busy keys or hours, however large the tables: they are all that is broadcast.
     """
     (left_key, right_key), (left_time, right_time) = keys, times
     names = list(measures)
-    slot_micros, bound = slot_s * 1_000_000, within_s * 1_000_000
+    bound = within_s * 1_000_000
 
-    def placed(key: str, time: str) -> Column:
-        return F.col(key).isNotNull() & F.col(time).isNotNull()
+    def instants(df: DataFrame, key: str, time: str, *more: Column) -> DataFrame:
+        placed = df.where(F.col(key).isNotNull() & F.col(time).isNotNull())
+        return placed.select(F.col(key).alias("key"), _micros(time).alias("at"), *more)
 
-    entries = marks.where(placed(right_key, right_time)).select(
-        F.col(right_key).alias("key"),
-        _micros(right_time).alias("at"),
-        F.lit(1).alias("side"),
-        *[F.coalesce(value, F.lit(0)).cast("bigint").alias(name) for name, value in measures.items()],
-    )
+    def summed(df: DataFrame, *group: str) -> DataFrame:
+        return df.groupBy(*group).agg(*[F.sum(n).alias(n) for n in names])
+
+    values = [F.coalesce(value, F.lit(0)).cast("bigint").alias(name) for name, value in measures.items()]
+    entries = summed(instants(marks, right_key, right_time, *values), "key", "at").withColumn("side", F.lit(1))
 
     def apply(left: DataFrame) -> DataFrame:
-        columns = left.columns
         # side orders equal times: what is carried over, the lower reading, the marks, the upper reading.
-        lower = F.struct((_micros(left_time) - bound).alias("at"), F.lit(0).alias("side"))
-        upper = F.struct((_micros(left_time) + bound).alias("at"), F.lit(2).alias("side"))
-        # The left columns travel along, which is cheaper than joining the sums back to them.
-        readings = left.where(placed(left_key, left_time)).select(
-            *columns, F.col(left_key).alias("key"), F.inline(F.array(lower, upper))
+        lower = F.struct((F.col("read_at") - bound).alias("at"), F.lit(0).alias("side"))
+        upper = F.struct((F.col("read_at") + bound).alias("at"), F.lit(2).alias("side"))
+        readings = (
+            instants(left, left_key, left_time)
+            .distinct()
+            .withColumnRenamed("at", "read_at")
+            .select("key", "read_at", F.inline(F.array(lower, upper)))
         )
-        line = readings.unionByName(entries, allowMissingColumns=True)
-
-        all_rows = line.agg(F.count("*")).scalar()
-        busy = (
-            line.groupBy("key")
-            .agg(F.count("*").alias("n"))
-            .where((F.col("n") > busy_rows) & (F.col("n") * MAX_BUSY_KEYS > all_rows))
-            .select("key", F.lit(True).alias("busy"))
-        )
-        # A slot is named by its first microsecond; a key that is not busy has the one slot NULL.
-        slot = F.when(F.col("busy"), F.col("at") - F.pmod(F.col("at"), F.lit(slot_micros).cast("bigint")))
-        line = line.join(F.broadcast(busy), "key", "left").withColumn("slot", slot).drop("busy")
+        line = _slotted(readings.unionByName(entries, allowMissingColumns=True), busy_rows)
 
-        totals = line.where(F.col("slot").isNotNull()).groupBy("key", "slot").agg(*[F.sum(n).alias(n) for n in names])
+        totals = summed(line.where(F.col("slot").isNotNull()), "key", "slot")
         earlier = Window.partitionBy("key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
         carried = totals.select(
-            "key", "slot", F.col("slot").alias("at"), F.lit(-1).alias("side"), *[F.sum(n).over(earlier).alias(n) for n in names]
+            "key",
+            "slot",
+            F.col("slot").alias("at"),
+            F.lit(-1).alias("side"),
+            *[F.sum(n).over(earlier).alias(n) for n in names],
         )
 
         so_far = (
@@ -118,14 +109,36 @@ def interval_totals(
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         sign = F.when(F.col("side") == 2, 1).otherwise(-1)
-        sums = (
+        read = (
             line.unionByName(carried, allowMissingColumns=True)
-            .select(*columns, "side", *[F.sum(n).over(so_far).alias(n) for n in names])
+            .select("key", "read_at", "side", *[F.sum(n).over(so_far).alias(n) for n in names])
             .where(F.col("side").isin(0, 2))
-            .groupBy(*columns)
-            .agg(*[F.coalesce(F.sum(sign * F.col(n)), F.lit(0)).alias(n) for n in names])
+            .select("key", "read_at", *[(sign * F.col(n)).alias(n) for n in names])
+        )
+        sums = summed(read, "key", "read_at")
+        same = (F.col(left_key) == F.col("key")) & (_micros(left_time) == F.col("read_at"))
+        return left.join(sums, same, "left").select(
+            *left.columns, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names]
         )
-        nowhere = left.where(~placed(left_key, left_time)).withColumns({n: F.lit(0).cast("bigint") for n in names})
-        return sums.unionByName(nowhere)
 
     return apply
+
+
+def _slotted(line: DataFrame, busy_rows: int) -> DataFrame:
+    """Add ``slot``, named by its first microsecond: an hour of a busy key, a second of a busy hour, else NULL."""
+    all_rows = line.agg(F.count("*")).scalar()
+
+    def mark_busy(df: DataFrame, flag: str, *group: str) -> DataFrame:
+        known = df.where(F.col(group[-1]).isNotNull())
+        busy = known.groupBy(*group).agg(F.count("*").alias("n"))
+        busy = busy.where((F.col("n") > busy_rows) & (F.col("n") * MAX_BUSY > all_rows))
+        return df.join(F.broadcast(busy.select(*group, F.lit(True).alias(flag))), list(group), "left")
+
+    def slot(seconds: int) -> Column:
+        return F.col("at") - F.pmod(F.col("at"), F.lit(seconds * 1_000_000).cast("bigint"))
+
+    by_hour = mark_busy(line, "busy_key", "key").withColumn("hour", F.when(F.col("busy_key"), slot(HOUR_S)))
+    by_second = mark_busy(by_hour, "busy_hour", "key", "hour")
+    return by_second.withColumn("slot", F.when(F.col("busy_hour"), slot(1)).otherwise(F.col("hour"))).drop(
+        "busy_key", "busy_hour", "hour"
+    )
