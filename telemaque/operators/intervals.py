@@ -79,19 +79,22 @@ def interval_totals(
         return df.groupBy(*group).agg(*[F.sum(n).alias(n) for n in names])
 
     values = [F.coalesce(value, F.lit(0)).cast("bigint").alias(name) for name, value in measures.items()]
-    entries = summed(instants(marks, right_key, right_time, *values), "key", "at").withColumn("side", F.lit(1))
+    entries = instants(marks, right_key, right_time, *values)
 
-    def apply(left: DataFrame) -> DataFrame:
+    def readings(at: DataFrame) -> DataFrame:
         # side orders equal times: what is carried over, the lower reading, the marks, the upper reading.
         lower = F.struct((F.col("read_at") - bound).alias("at"), F.lit(0).alias("side"))
         upper = F.struct((F.col("read_at") + bound).alias("at"), F.lit(2).alias("side"))
-        readings = (
-            instants(left, left_key, left_time)
-            .distinct()
-            .withColumnRenamed("at", "read_at")
-            .select("key", "read_at", F.inline(F.array(lower, upper)))
+        return at.withColumnRenamed("at", "read_at").select("key", "read_at", F.inline(F.array(lower, upper)))
+
+    def apply(left: DataFrame) -> DataFrame:
+        wanted = instants(left, left_key, left_time)
+        line = readings(wanted.distinct()).unionByName(
+            summed(entries, "key", "at").withColumn("side", F.lit(1)), allowMissingColumns=True
         )
-        line = _slotted(readings.unionByName(entries, allowMissingColumns=True), busy_rows)
+        # Rows are counted before copies are made one, which needs no shuffle of them.
+        with_copies = readings(wanted).select("key", "at").unionByName(entries.select("key", "at"))
+        line = line.transform(_slotted(with_copies, busy_rows))
 
         totals = summed(line.where(F.col("slot").isNotNull()), "key", "slot")
         earlier = Window.partitionBy("key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
@@ -124,21 +127,27 @@ def interval_totals(
     return apply
 
 
-def _slotted(line: DataFrame, busy_rows: int) -> DataFrame:
-    """Add ``slot``, named by its first microsecond: an hour of a busy key, a second of a busy hour, else NULL."""
-    all_rows = line.agg(F.count("*")).scalar()
+def _slotted(counted: DataFrame, busy_rows: int) -> Transform:
+    """Add ``slot``, named by its first microsecond: an hour of a busy key, a second of a busy hour, else NULL.
+
+    ``counted`` has the ``key`` and ``at`` of the rows that decide what is busy.
+    """
+    all_rows = counted.agg(F.count("*")).scalar()
 
-    def mark_busy(df: DataFrame, flag: str, *group: str) -> DataFrame:
-        known = df.where(F.col(group[-1]).isNotNull())
-        busy = known.groupBy(*group).agg(F.count("*").alias("n"))
-        busy = busy.where((F.col("n") > busy_rows) & (F.col("n") * MAX_BUSY > all_rows))
-        return df.join(F.broadcast(busy.select(*group, F.lit(True).alias(flag))), list(group), "left")
+    def busy(rows: DataFrame, *group: str) -> DataFrame:
+        sizes = rows.groupBy(*group).agg(F.count("*").alias("n"))
+        big = sizes.where((F.col("n") > busy_rows) & (F.col("n") * MAX_BUSY > all_rows))
+        return F.broadcast(big.select(*group, F.lit(True).alias(f"busy_{group[-1]}")))
 
-    def slot(seconds: int) -> Column:
+    def start(seconds: int) -> Column:
         return F.col("at") - F.pmod(F.col("at"), F.lit(seconds * 1_000_000).cast("bigint"))
 
-    by_hour = mark_busy(line, "busy_key", "key").withColumn("hour", F.when(F.col("busy_key"), slot(HOUR_S)))
-    by_second = mark_busy(by_hour, "busy_hour", "key", "hour")
-    return by_second.withColumn("slot", F.when(F.col("busy_hour"), slot(1)).otherwise(F.col("hour"))).drop(
-        "busy_key", "busy_hour", "hour"
-    )
+    keys = busy(counted, "key")
+    hours = busy(counted.join(keys, "key").select("key", start(HOUR_S).alias("hour")), "key", "hour")
+
+    def apply(line: DataFrame) -> DataFrame:
+        hourly = line.join(keys, "key", "left").withColumn("hour", F.when(F.col("busy_key"), start(HOUR_S)))
+        slot = F.when(F.col("busy_hour"), start(1)).otherwise(F.col("hour"))
+        return hourly.join(hours, ["key", "hour"], "left").withColumn("slot", slot).drop("busy_key", "busy_hour", "hour")
+
+    return apply
