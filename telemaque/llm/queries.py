@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemaque.llm import quality
+from telemaque.llm import packing, quality
+
+BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,5 +28,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op6_quality_rules": op6_quality_rules}
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY))
+
+
+QUERIES: dict[str, Query] = {"op6_quality_rules": op6_quality_rules, "op7_best_fit_packing": op7_best_fit_packing}
 ORACLE_SQL: dict[str, str] = {}
