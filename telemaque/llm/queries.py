@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemaque.llm import packing, quality
+from telemaque.llm import packing, quality, tokencount
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+    return counted.withColumn("over_limit", F.col("n_tokens") > tokencount.MAX_TOKENS)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     rules = quality.judged(docs).select("doc_id", f"{quality.RULES}.*")
@@ -32,5 +37,9 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_VOCABULARY))
 
 
-QUERIES: dict[str, Query] = {"op6_quality_rules": op6_quality_rules, "op7_best_fit_packing": op7_best_fit_packing}
+QUERIES: dict[str, Query] = {
+    "op4_token_counts": op4_token_counts,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_best_fit_packing": op7_best_fit_packing,
+}
 ORACLE_SQL: dict[str, str] = {}
