@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemaque.llm import minhash, packing, quality, tokencount
+from telemaque.llm import decontam, minhash, packing, quality, tokencount
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -41,10 +41,15 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
     "op6_quality_rules": op6_quality_rules,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}
