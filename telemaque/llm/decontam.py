@@ -154,13 +154,14 @@ def _hits(keyed: DataFrame, suspects: DataFrame, known: DataFrame, windows: Data
     for n in sizes:
         part = min(k, n)
         full = words.select("doc_id", "key", _grams(F.col("words"), part).alias("marks"), _grams(F.col("words"), n).alias("grams"))
-        around = full.select("doc_id", "key", "grams", F.posexplode("marks").alias("place", "mark")).select(
-            "doc_id",
-            "key",
-            "mark",
-            F.greatest(F.col("place") - (n - part), F.lit(0)).alias("from"),
-            F.slice("grams", F.greatest(F.col("place") - (n - part), F.lit(0)) + 1, F.lit(n - part + 1)).alias("near"),
+        # Each place brings its own few windows, so that no whole array is copied per place.
+        about = lambda i, n=n, part=part: F.struct(
+            F.get("marks", i).alias("mark"),
+            F.greatest(i - (n - part), F.lit(0)).alias("from"),
+            F.slice("grams", F.greatest(i - (n - part), F.lit(0)) + 1, F.lit(n - part + 1)).alias("near"),
         )
+        places = F.when(F.size("marks") > 0, F.sequence(F.lit(0), F.size("marks") - 1)).otherwise(F.array().cast("array<int>"))
+        around = full.select("doc_id", "key", F.inline(F.transform(places, about)))
         marks = known.where(F.col("size") == n).select("mark")
         near = around.join(marks, "mark", "left_semi").select("doc_id", "key", "from", F.posexplode("near").alias("i", "gram"))
         near = near.select("doc_id", "key", (F.col("from") + F.col("i")).alias("start"), F.lit(n).alias("size"), "gram").distinct()
