@@ -143,6 +143,19 @@ def suspected(keyed: DataFrame, known: DataFrame, sizes: list[int], k: int) -> D
     return matched.groupBy("doc_id", "key", "n_words", F.lit(0).alias("copy")).agg(F.coalesce(F.max("hit"), F.lit(False)).alias("suspect")).drop("copy")
 
 
+def _around(reach: int):
+    """For a place: its mark, and the windows from ``reach`` places before it to itself.
+
+    Each place brings its own few windows, so that no whole array is copied per place.
+    """
+
+    def about(i: Column) -> Column:
+        first = F.greatest(i - reach, F.lit(0))
+        return F.struct(F.get("marks", i).alias("mark"), first.alias("from"), F.slice("grams", first + 1, F.lit(reach + 1)).alias("near"))
+
+    return about
+
+
 def _hits(keyed: DataFrame, suspects: DataFrame, known: DataFrame, windows: DataFrame, sizes: list[int], k: int) -> DataFrame:
     """(doc_id, key, start, size, gram): the windows of suspected texts that the benchmark has.
 
@@ -154,14 +167,8 @@ def _hits(keyed: DataFrame, suspects: DataFrame, known: DataFrame, windows: Data
     for n in sizes:
         part = min(k, n)
         full = words.select("doc_id", "key", _grams(F.col("words"), part).alias("marks"), _grams(F.col("words"), n).alias("grams"))
-        # Each place brings its own few windows, so that no whole array is copied per place.
-        about = lambda i, n=n, part=part: F.struct(
-            F.get("marks", i).alias("mark"),
-            F.greatest(i - (n - part), F.lit(0)).alias("from"),
-            F.slice("grams", F.greatest(i - (n - part), F.lit(0)) + 1, F.lit(n - part + 1)).alias("near"),
-        )
         places = F.when(F.size("marks") > 0, F.sequence(F.lit(0), F.size("marks") - 1)).otherwise(F.array().cast("array<int>"))
-        around = full.select("doc_id", "key", F.inline(F.transform(places, about)))
+        around = full.select("doc_id", "key", F.inline(F.transform(places, _around(n - part))))
         marks = known.where(F.col("size") == n).select("mark")
         near = around.join(marks, "mark", "left_semi").select("doc_id", "key", "from", F.posexplode("near").alias("i", "gram"))
         near = near.select("doc_id", "key", (F.col("from") + F.col("i")).alias("start"), F.lit(n).alias("size"), "gram").distinct()
