@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemaque.llm import chat, decontam, minhash, packing, quality, tokencount
+from telemaque.llm import chat, decontam, minhash, packing, quality, tokencount, warc
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
+FIRST_CAPTURE = 1_704_067_200  # 2024-01-01
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +25,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > tokencount.MAX_TOKENS)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    # The table has no time of capture: pages are taken as captured a second apart.
+    at = F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.coalesce(F.col("page_id"), F.lit(0)))
+    captures = warc.archive(pages, captured_at=at)
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     rules = quality.judged(docs).select("doc_id", f"{quality.RULES}.*")
@@ -54,6 +63,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Query] = {
     "op4_token_counts": op4_token_counts,
+    "op5_warc": op5_warc,
     "op6_quality_rules": op6_quality_rules,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
