@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemaque.llm import chat, decontam, minhash, packing, quality, tokencount, warc
+from telemaque.llm import chat, decontam, linededup, minhash, packing, quality, tokencount, warc
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 FIRST_CAPTURE = 1_704_067_200  # 2024-01-01
@@ -20,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_classes(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokencount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
     return counted.withColumn("over_limit", F.col("n_tokens") > tokencount.MAX_TOKENS)
@@ -62,6 +66,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Query] = {
+    "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_warc": op5_warc,
     "op6_quality_rules": op6_quality_rules,

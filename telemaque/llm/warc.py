@@ -10,7 +10,7 @@ Archives go to the session's shared folder, under names no other attempt uses; t
 names those of the attempts that count. Pyarrow has to know the folder's file system.
 
 Defined results: a null payload is empty, a null URL has the key ``""``; pages of one id and payload that
-holds it are all responses; other columns are ignored; an empty table gives no archives and no rows.
+holds it are all responses; a null id is smaller than any; other columns are ignored; an empty table gives no archives and no rows.
 """
 
 from __future__ import annotations
@@ -59,7 +59,7 @@ def url_key(url: str) -> str:
     return ",".join(reversed(host.split("."))) + shown + ")" + (parts.path or "/") + (f"?{query}" if query else "")
 
 
-def _record_id(page: int) -> str:
+def _record_id(page: int | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page}')}>"
 
 
@@ -67,7 +67,7 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page: int, url: str, when: datetime, payload: bytes, refers: dict | None) -> bytes:
+def record(page: int | None, url: str, when: datetime, payload: bytes, refers: dict | None) -> bytes:
     """One WARC record as a gzip member; ``refers``: page_id and url of the response, for a revisit."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     head = [
@@ -78,9 +78,10 @@ def record(page: int, url: str, when: datetime, payload: bytes, refers: dict | N
         f"WARC-Target-URI: {quote(url, safe='%/:=&?~#+!$,;@()*[]' + chr(39))}",
         f"WARC-Payload-Digest: sha1:{digest(payload)}",
         "Content-Type: application/http; msgtype=response",
-        f"X-Page-Id: {page}",
     ]
-    if refers:
+    if page is not None:
+        head.append(f"X-Page-Id: {page}")
+    if refers:  # only of a page with an id, since the holder has the largest
         head += [
             f"WARC-Profile: {PROFILE}",
             f"WARC-Refers-To: {_record_id(refers['page_id'])}",
@@ -153,6 +154,10 @@ def members(stream) -> Iterator[tuple[int, int, bytes]]:
         offset += used
 
 
+def _number(text: str | None) -> int | None:
+    return None if text is None else int(text)
+
+
 def capture(name: str, offset: int, length: int, content: bytes) -> tuple:
     """The row of ``CAPTURES`` for one record."""
     head, _, block = content.partition(b"\r\n\r\n")
@@ -168,7 +173,7 @@ def capture(name: str, offset: int, length: int, content: bytes) -> tuple:
     when = datetime.strptime(fields["WARC-Date"], "%Y-%m-%dT%H:%M:%SZ")
     url = fields["WARC-Target-URI"]
     key = url_key(url) if url else ""
-    return key, f"{when:%Y%m%d%H%M%S}", int(fields["X-Page-Id"]), url, size, sha, kind, refers and int(refers), name, offset, length
+    return key, f"{when:%Y%m%d%H%M%S}", _number(fields.get("X-Page-Id")), url, size, sha, kind, _number(refers), name, offset, length
 
 
 def _table(rows: list[tuple]) -> pa.RecordBatch:
@@ -177,6 +182,10 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=list(names))
 
 
+def _order(row: tuple) -> tuple:
+    return row[0], row[1], row[2] is not None, row[2] or 0
+
+
 def runs(manifest: DataFrame, folder: str) -> DataFrame:
     """The captures of all archives, read back; those of one file are a sorted run."""
 
@@ -185,7 +194,7 @@ def runs(manifest: DataFrame, folder: str) -> DataFrame:
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 with store.open_input_stream(f"{root}/{name}") as stream:
-                    found = sorted(capture(name, *m) for m in members(stream))
+                    found = sorted((capture(name, *m) for m in members(stream)), key=_order)
                 for i in range(0, len(found), 10_000):
                     yield _table(found[i : i + 10_000])
 
@@ -242,7 +251,7 @@ def merged(captures: DataFrame) -> DataFrame:
         file = slices.column("file").combine_chunks()
         names = file.to_pylist()
         cuts = [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]] + [len(names)]
-        keys = list(zip(*[slices.column(k).to_pylist() for k in KEY], strict=True))
+        keys = [_order(k) for k in zip(*[slices.column(k).to_pylist() for k in KEY], strict=True)]
         sources = [iter(range(a, b)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         order = pa.array(loser_tree(sources, keys.__getitem__), pa.int64())
         yield from slices.take(order).combine_chunks().to_batches(max_chunksize=10_000)
