@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemaque.llm import chat, decontam, linededup, minhash, packing, quality, tokencount, warc
+from telemaque.llm import chat, decontam, linededup, lm, minhash, packing, quality, tokencount, warc
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 FIRST_CAPTURE = 1_704_067_200  # 2024-01-01
@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    return lm.scored(docs, lm.trained(docs.where(~held_out)), held_out)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_classes(table(spark, sf_dir, "documents"))
 
@@ -66,6 +72,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_warc": op5_warc,
