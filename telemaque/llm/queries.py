@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemaque.llm import chat, decontam, linededup, lm, minhash, packing, quality, tokencount, warc
+from telemaque.llm import chat, decontam, linededup, lm, minhash, packing, pii, quality, tokencount, warc
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 FIRST_CAPTURE = 1_704_067_200  # 2024-01-01
+#: The key of the registered query. A real one is given by the caller and kept out of the code.
+PSEUDONYM_KEY = "an example, not a secret"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +28,13 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(docs, lm.trained(docs.where(~held_out)), held_out)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.pseudonymized(docs, PSEUDONYM_KEY)
+    counts = [F.col(f"{pii.FOUND}.{k}").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, pii.total(F.col(pii.FOUND)).alias("n_replaced"), "text")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.line_classes(table(spark, sf_dir, "documents"))
 
@@ -73,6 +82,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_pii": op2_pii,
     "op3_line_dedup": op3_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_warc": op5_warc,
