@@ -23,13 +23,13 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
 def step_ratio(speed_kmh: Column, seconds: Column, remaining_km: Column, clamp: bool) -> Column:
     """Share of the remaining way covered in ``seconds``.
 
-    At the target itself the ratio is 0. Unclamped, a fast vehicle overshoots near its target;
+    Within the arrival threshold the vehicle has arrived and moves no more. Unclamped, a fast vehicle overshoots near its target;
     with ``clamp`` it stops there.
     """
     ratio = speed_kmh / 3600.0 * seconds / F.when(remaining_km > 0, remaining_km)
     if clamp:
         ratio = F.when(ratio > 1.0, F.lit(1.0)).otherwise(ratio)
-    return F.when(remaining_km == 0, F.lit(0.0)).otherwise(ratio)
+    return F.when(remaining_km <= ARRIVAL_THRESHOLD_KM, F.lit(0.0)).otherwise(ratio)
 
 
 def advance(start: Column, target: Column, ratio: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +11,7 @@ from pyspark.sql import Window
 from telemaque.operators.codec import Transform
 
 HOUR_S = 3600
-BUSY_ROWS = 100_000
-MAX_BUSY = 4096
+SALTS = 16
 
 
 def _micros(time: str) -> Column:
@@ -24,7 +23,7 @@ def interval_join(
 ) -> Transform:
     """Rows of equal key whose times lie at most ``within_s`` seconds apart.
 
-    Time is cut into slots as wide as the bound; each right row is put into its own slot and both
+    Time is cut into slots as wide as the bound (a second at least); each right row is put into its own slot and both
     neighbours, so the equality join runs on key and slot and a busy key is spread over its slots.
     Every pair meets in exactly one slot, the left row's. On streams, set watermarks on both sides:
     the bound lets Spark drop state.
@@ -32,7 +31,7 @@ def interval_join(
     (left_key, right_key), (left_time, right_time) = keys, times
 
     def slot(time: str) -> Column:
-        return F.call_function("floor", F.unix_seconds(F.col(time).cast("timestamp")) / F.lit(within_s))
+        return F.call_function("floor", F.unix_seconds(F.col(time).cast("timestamp")) / F.lit(max(within_s, 1)))
 
     spread = right.withColumn("_slot_r", slot(right_time)).withColumn(
         "_slot_r", F.explode(F.array(*[F.col("_slot_r") + d for d in (-1, 0, 1)]))
@@ -47,13 +46,32 @@ def interval_join(
     return apply
 
 
+def salted_join(
+    left: DataFrame, right: DataFrame, on: Sequence[tuple[Column, str]], how: str = "inner", salts: int = SALTS
+) -> DataFrame:
+    """Batch. ``left`` joined with at most one row of ``right`` per key, whose key columns are dropped.
+
+    ``on`` gives the left expression of each key column of ``right``. A key with very many left rows is
+    spread over ``salts`` tasks, to which its right row is copied. Runtime splitting of skewed joins can't
+    do that where the right side is an aggregate by the same key, as it then has no exchange of its own.
+    """
+    copies = right.withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # Names of their own, so that no column of the left side clashes.
+    names = {name: f"_{i}_r" for i, (_, name) in enumerate(on)}
+    copies = copies.withColumnsRenamed(names)
+    salted = left.withColumn("_salt_l", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    same = F.col("_salt_l") == F.col("_salt_r")
+    for expression, name in on:
+        same = same & (expression == F.col(names[name]))
+    return salted.join(copies, same, how).drop("_salt_l", "_salt_r", *names.values())
+
+
 def interval_totals(
     marks: DataFrame,
     keys: tuple[str, str],
     times: tuple[str, str],
     within_s: int,
     measures: Mapping[str, Column],
-    busy_rows: int = BUSY_ROWS,
 ) -> Transform:
     """Batch. Add to each left row the sums of ``measures`` over the marks within the bound.
 
@@ -61,11 +79,10 @@ def interval_totals(
     time), at a cost that grows with the rows and not with the pairs. A running sum over the marks of
     a key is read at both ends of the bound and the two readings subtracted.
 
-    No running sum gets too long for a task. Copies, that is marks or left rows of one key and
-    instant, are first made one. The running sum of a busy key is taken hour by hour, and in busy
-    hours second by second, each slot starting from the total of the earlier ones. "Busy" is what has
-    more than ``busy_rows`` rows and more than one in ``MAX_BUSY`` of all rows. So there are never
-    more than that many busy keys or hours, however large the tables: they are all that is broadcast.
+    The running sum has three levels: instants within a second, seconds within an hour, hours within
+    a key, each starting from the total of what came before. Copies, that is marks or left rows of one
+    key and instant, are first made one. So no task sorts more than the instants of one second, 3600
+    seconds, or the hours of a key's history, whatever the tables.
     """
     (left_key, right_key), (left_time, right_time) = keys, times
     names = list(measures)
@@ -76,7 +93,14 @@ def interval_totals(
         return placed.select(F.col(key).alias("key"), _micros(time).alias("at"), *more)
 
     def summed(df: DataFrame, *group: str) -> DataFrame:
-        return df.groupBy(*group).agg(*[F.sum(n).alias(n) for n in names])
+        return df.groupBy(*group).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+
+    def start(seconds: int) -> Column:
+        return F.col("at") - F.pmod(F.col("at"), F.lit(seconds * 1_000_000).cast("bigint"))
+
+    def before(group: Sequence[str], order: str) -> list[Column]:
+        earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return [F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_{n}") for n in names]
 
     values = [F.coalesce(value, F.lit(0)).cast("bigint").alias(name) for name, value in measures.items()]
     entries = instants(marks, right_key, right_time, *values)
@@ -92,22 +116,21 @@ def interval_totals(
         line = readings(wanted.distinct()).unionByName(
             summed(entries, "key", "at").withColumn("side", F.lit(1)), allowMissingColumns=True
         )
-        # Rows are counted before copies are made one, which needs no shuffle of them.
-        with_copies = readings(wanted).select("key", "at").unionByName(entries.select("key", "at"))
-        line = line.transform(_slotted(with_copies, busy_rows))
-
-        totals = summed(line.where(F.col("slot").isNotNull()), "key", "slot")
-        earlier = Window.partitionBy("key").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-        carried = totals.select(
+        line = line.withColumns({"hour": start(HOUR_S), "second": start(1)})
+        seconds = summed(line, "key", "hour", "second")
+        hours = summed(seconds, "key", "hour")
+        of_hours = hours.select("key", "hour", *before(["key"], "hour"))
+        of_seconds = seconds.select("key", "hour", "second", *before(["key", "hour"], "second"))
+        carried = of_seconds.join(of_hours.withColumnsRenamed({f"_{n}": f"_{n}_h" for n in names}), ["key", "hour"]).select(
             "key",
-            "slot",
-            F.col("slot").alias("at"),
+            "hour",
+            "second",
+            F.col("second").alias("at"),
             F.lit(-1).alias("side"),
-            *[F.sum(n).over(earlier).alias(n) for n in names],
+            *[(F.col(f"_{n}") + F.col(f"_{n}_h")).alias(n) for n in names],
         )
-
         so_far = (
-            Window.partitionBy("key", "slot")
+            Window.partitionBy("key", "second")
             .orderBy("at", "side")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
@@ -119,35 +142,7 @@ def interval_totals(
             .select("key", "read_at", *[(sign * F.col(n)).alias(n) for n in names])
         )
         sums = summed(read, "key", "read_at")
-        same = (F.col(left_key) == F.col("key")) & (_micros(left_time) == F.col("read_at"))
-        return left.join(sums, same, "left").select(
-            *left.columns, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names]
-        )
-
-    return apply
-
-
-def _slotted(counted: DataFrame, busy_rows: int) -> Transform:
-    """Add ``slot``, named by its first microsecond: an hour of a busy key, a second of a busy hour, else NULL.
-
-    ``counted`` has the ``key`` and ``at`` of the rows that decide what is busy.
-    """
-    all_rows = counted.agg(F.count("*")).scalar()
-
-    def busy(rows: DataFrame, *group: str) -> DataFrame:
-        sizes = rows.groupBy(*group).agg(F.count("*").alias("n"))
-        big = sizes.where((F.col("n") > busy_rows) & (F.col("n") * MAX_BUSY > all_rows))
-        return F.broadcast(big.select(*group, F.lit(True).alias(f"busy_{group[-1]}")))
-
-    def start(seconds: int) -> Column:
-        return F.col("at") - F.pmod(F.col("at"), F.lit(seconds * 1_000_000).cast("bigint"))
-
-    keys = busy(counted, "key")
-    hours = busy(counted.join(keys, "key").select("key", start(HOUR_S).alias("hour")), "key", "hour")
-
-    def apply(line: DataFrame) -> DataFrame:
-        hourly = line.join(keys, "key", "left").withColumn("hour", F.when(F.col("busy_key"), start(HOUR_S)))
-        slot = F.when(F.col("busy_hour"), start(1)).otherwise(F.col("hour"))
-        return hourly.join(hours, ["key", "hour"], "left").withColumn("slot", slot).drop("busy_key", "busy_hour", "hour")
+        joined = salted_join(left, sums, [(F.col(left_key), "key"), (_micros(left_time), "read_at")], "left")
+        return joined.select(*left.columns, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
 
     return apply

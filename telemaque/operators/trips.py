@@ -59,16 +59,20 @@ def geo_points(rows: DataFrame) -> DataFrame:
 
 
 def dedupe_columns(df: DataFrame) -> DataFrame:
-    """Keep the first column of each name, by position, so that ambiguous names cannot get in the way."""
+    """Keep the first column of each name, by position, so that ambiguous names cannot get in the way.
+
+    Names that the session takes as one name (by default, whatever their case) are one.
+    """
+    by_case = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
     seen: set[str] = set()
     spare = f"_{len(df.columns)}_"
     renamed, extra = [], []
     for i, name in enumerate(df.columns):
-        if name in seen:
+        if (name if by_case else name.lower()) in seen:
             extra.append(f"{spare}{i}")
             renamed.append(extra[-1])
         else:
-            seen.add(name)
+            seen.add(name if by_case else name.lower())
             renamed.append(name)
     return df.toDF(*renamed).drop(*extra)
 

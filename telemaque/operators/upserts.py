@@ -11,7 +11,8 @@ from telemaque.functions.text import epoch_seconds
 from telemaque.operators.codec import Transform
 from telemaque.schemas import ARRIVAL_ORDER
 
-PING_ORDER = ("heure_depart", *ARRIVAL_ORDER)
+# An arrival ping repeats the time of the ping before it, and arrival is final: at one time it comes last.
+PING_ORDER = ("heure_depart", "flag_arrivee", *ARRIVAL_ORDER)
 
 
 def last_write(keys: Sequence[str], order: Sequence[str] = PING_ORDER) -> Transform:

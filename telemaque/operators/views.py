@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemaque.operators.codec import Transform
-from telemaque.operators.intervals import interval_totals
+from telemaque.operators.intervals import interval_totals, salted_join
 from telemaque.operators.trips import geo_points
 from telemaque.operators.upserts import PING_ORDER, last_write, trip_status
 
 JOIN_KEYS = ("IDTrajet", "emergencyTrip", "weatherTrip")
+VEHICLE_ORDER = ("partition", "offset")
 
 
 # -- plain joins -------------------------------------------------------------------------------
@@ -150,13 +151,13 @@ def trip_view_near(
         within_s,
         {"n_emergencies": F.col("alarm"), "n_weathers": 1 - F.col("alarm"), "sum_temperature": F.col("temperature")},
     )
-    cars = vehicles.groupBy(F.col("IDTrajet").alias("tripId")).agg(F.count("*").alias("n_vehicles"))
+    cars = vehicles.groupBy(F.col("IDTrajet").alias("carTrip")).agg(F.count("*").alias("n_vehicles"))
 
     def apply(trips: DataFrame) -> DataFrame:
         return (
             trips.transform(sums)
             .where((F.col("n_emergencies") > 0) & (F.col("n_weathers") > 0))
-            .join(cars, "tripId")
+            .transform(lambda near: salted_join(near, cars, [(F.col("tripId"), "carTrip")]))
             .withColumn("view_rows", F.col("n_vehicles") * F.col("n_emergencies") * F.col("n_weathers"))
         )
 
@@ -174,12 +175,16 @@ def released_vehicles(trips: DataFrame) -> Transform:
 
 
 def available_vehicles(trips: DataFrame, order: Sequence[str] = PING_ORDER) -> Transform:
-    """Batch. The vehicles on no open trip, one row each: its latest registration."""
-    open_trips = trips.transform(trip_status(order)).where("open").select(F.col("tripId").alias("IDTrajet"))
+    """Batch. The vehicles on no open trip, one row each: its latest registration.
+
+    A vehicle is taken when it is registered for a trip, before the first ping, until the trip arrives.
+    """
+    arrived = trips.transform(trip_status(order)).where("arrived").select(F.col("tripId").alias("IDTrajet"))
 
     def apply(vehicles: DataFrame) -> DataFrame:
-        busy = vehicles.join(open_trips, "IDTrajet", "left_semi").select("immatriculation").distinct()
-        latest = vehicles.transform(last_write(("immatriculation",), ("DateDebutTrajet", "offset", "partition")))
+        on_trips = vehicles.where(F.col("IDTrajet").isNotNull())
+        busy = on_trips.join(arrived, "IDTrajet", "left_anti").select("immatriculation").distinct()
+        latest = vehicles.transform(last_write(("immatriculation",), ("DateDebutTrajet", *VEHICLE_ORDER)))
         return latest.join(busy, "immatriculation", "left_anti")
 
     return apply

@@ -16,12 +16,6 @@ from telemaque.schemas import TOPICS
 from telemaque.sources.topics import FILES_PER_BATCH
 
 # The value domains of the producer.
-MAKES = (
-    "BMW", "TOYOTA", "HONDA", "HYUNDAI", "CHEVROLET", "FORD", "MERCEDES", "CHRYSLER", "AUDI", "MINI-COOPER",
-    "RANGE-ROVER", "MITSUBISHU", "FORD-ESCAPE", "POINTIAC",
-)
-COLORS = ("BLANCHE", "NOIRE", "GRISE", "VERTE", "BLEU", "ROUGE", "JAUNE")
-FUELS = ("Essence", "Gasoil", "Electric", "Hybrid")
 CONDITIONS = ("RAIN", "SNOW", "CLOUDY")
 WIND_DIRS = ("W", "S", "O", "E")
 EMERGENCY_TYPES = ("ACCIDENT", "FIRE", "POLICE", "MEDICAL", "NONE")
@@ -67,7 +61,7 @@ def _gps(name: Column, latitude: Column, longitude: Column) -> Column:
     )
 
 
-def trip_rows(events: DataFrame, *keep: str) -> DataFrame:
+def trip_rows(events: DataFrame, *keep: str | Column) -> DataFrame:
     user = F.col("user_id")
     return events.select(
         *keep,
@@ -87,10 +81,10 @@ def vehicle_rows(events: DataFrame) -> DataFrame:
         *_place(user),
         _tagged("V", user).alias("immatriculation"),
         _tagged("VIN", user).alias("vin"),
-        _pick(MAKES, user).alias("marque"),
+        _tagged("Make ", user % 14).alias("marque"),
         (2010 + user % 15).cast("int").alias("année"),
-        _pick(COLORS, user).alias("color"),
-        _pick(FUELS, user).alias("fuelType"),
+        _tagged("Color ", user % 7).alias("color"),
+        _tagged("Fuel ", user % 4).alias("fuelType"),
         _tagged("TR", user).alias("IDTrajet"),
         _tagged("C", user).alias("IDChauffeur"),
         F.lit(0.0).cast("float").alias("speed"),
@@ -164,6 +158,8 @@ def redelivered_messages(events: DataFrame) -> DataFrame:
     return shifted.transform(encode_topic(spec.schema, spec.kafka_topic, spec.event_time))
 
 
-def speed_kmh() -> Column:
-    """The speed a trip row moves at: 20 to 90 km/h, by message."""
-    return (20 + (F.col("offset") * PARTITIONS + F.col("partition")) % 71).cast("double")
+def note() -> Column:
+    """A text that is hard to store: line breaks, quotes, outer blanks, backslashes, empty, NULL."""
+    texts = ("a\nb", "", " x ", 'say "yes", no', "c:\\new\\\r\n")
+    place = ((F.col("offset") * PARTITIONS + F.col("partition")) % (len(texts) + 1)).cast("int")
+    return F.get(F.array(*map(F.lit, texts)), place)

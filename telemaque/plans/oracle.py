@@ -36,11 +36,10 @@ vehicle AS (
   SELECT CAST(user_id % 4 AS INTEGER) AS "partition", user_id // 4 AS "offset",
          'V' || user_id AS immatriculation,
          'VIN' || user_id AS vin,
-         ['BMW','TOYOTA','HONDA','HYUNDAI','CHEVROLET','FORD','MERCEDES','CHRYSLER','AUDI','MINI-COOPER',
-          'RANGE-ROVER','MITSUBISHU','FORD-ESCAPE','POINTIAC'][user_id % 14 + 1] AS marque,
+         'Make ' || (user_id % 14) AS marque,
          CAST(2010 + user_id % 15 AS INTEGER) AS "année",
-         ['BLANCHE','NOIRE','GRISE','VERTE','BLEU','ROUGE','JAUNE'][user_id % 7 + 1] AS color,
-         ['Essence','Gasoil','Electric','Hybrid'][user_id % 4 + 1] AS "fuelType",
+         'Color ' || (user_id % 7) AS color,
+         'Fuel ' || (user_id % 4) AS "fuelType",
          'TR' || user_id AS "IDTrajet",
          'C' || user_id AS "IDChauffeur",
          CAST(0.0 AS FLOAT) AS speed,
@@ -143,7 +142,6 @@ def _haversine(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
 
 
 _DISTANCE = _haversine("departure_latitude", "departure_longitude", "arrival_latitude", "arrival_longitude")
-_SPEED = "(20 + event_id % 71)::DOUBLE"
 
 
 def _sql(body: str, *ctes: str) -> str:
@@ -152,22 +150,15 @@ def _sql(body: str, *ctes: str) -> str:
     return f"WITH {bound}\n{body}"
 
 
-_STATUS = """status AS (
-  SELECT "tripId", max(heure_depart) AS last_ping,
-         arg_max(flag_arrivee, (heure_depart, event_id)) AS arrived
-  FROM flat GROUP BY "tripId"
+# Pings dated to the day, with the broker's time; of one time, an arrival is the last.
+_STORED = """stored AS (
+  SELECT * REPLACE (date_trunc('day', heure_depart)::TIMESTAMP AS heure_depart), heure_depart AS "timestamp" FROM flat
 )"""
-
-
-def _moved(seconds: int, clamp: bool) -> str:
-    ratio = f"{_SPEED} / 3600 * {seconds} / d"
-    if clamp:
-        ratio = f"least({ratio}, 1.0::DOUBLE)"
-    return f"""moved AS (
-  SELECT *,
-         departure_latitude + (arrival_latitude - departure_latitude) * ratio AS next_latitude,
-         departure_longitude + (arrival_longitude - departure_longitude) * ratio AS next_longitude
-  FROM (SELECT *, {ratio} AS ratio FROM (SELECT *, {_DISTANCE} AS d FROM flat))
+_LAST = 'heure_depart DESC, flag_arrivee DESC, "timestamp" DESC, "partition" DESC, "offset" DESC'
+_STATUS = f"""{_STORED},
+status AS (
+  SELECT "tripId", heure_depart AS last_ping, flag_arrivee AS arrived
+  FROM (SELECT *, row_number() OVER (PARTITION BY "tripId" ORDER BY {_LAST}) AS rn FROM stored) WHERE rn = 1
 )"""
 
 
@@ -220,19 +211,10 @@ FROM flat_text WHERE event_type IN ('error', 'signup', 'view')"""
         'FROM flat f JOIN vehicle v ON f."tripId" = v."IDTrajet"'
     ),
     "trip_distance": _sql(f'SELECT {_PLACE}, "tripId", round({_DISTANCE}, 6) AS distance_km FROM flat'),
-    "next_position": _sql(
-        f'SELECT {_PLACE}, "tripId", round(next_latitude, 6) AS next_latitude, '
-        "round(next_longitude, 6) AS next_longitude FROM moved",
-        _moved(1, clamp=False),
-    ),
     "arrived_trips": _sql(
         f"""SELECT * FROM (
-  SELECT {_PLACE}, "tripId", arrival_name,
-         round({_haversine("next_latitude", "next_longitude", "arrival_latitude", "arrival_longitude")}, 6)
-           AS distance_km
-  FROM moved)
-WHERE distance_km <= 0.0005""",
-        _moved(3 * 3600, clamp=True),
+  SELECT {_PLACE}, "tripId", arrival_name, round({_DISTANCE}, 6) AS distance_km FROM flat)
+WHERE distance_km <= 210"""
     ),
     "emergency_normalize": _sql("SELECT * FROM emergency"),
     "trip_vehicle": _sql(
@@ -289,23 +271,24 @@ WHERE EXISTS (SELECT 1 FROM flat f WHERE f."tripId" = v."IDTrajet" AND f.flag_ar
     ),
     "available_vehicles": _sql(
         """SELECT * EXCLUDE ("partition", "offset") FROM vehicle v
-WHERE NOT EXISTS (
-  SELECT 1 FROM status s WHERE s."tripId" = v."IDTrajet" AND NOT s.arrived)""",
+WHERE EXISTS (
+  SELECT 1 FROM status s WHERE s."tripId" = v."IDTrajet" AND s.arrived)""",
         _STATUS,
     ),
     "point_upsert": _sql(
         f"""SELECT "tripId", departure_name, arrival_name, epoch_s, {_PLACE}, departure_latitude, departure_longitude,
-       arrival_latitude, arrival_longitude, heure_depart, flag_arrivee
+       arrival_latitude, arrival_longitude, heure_depart, flag_arrivee, "timestamp"
 FROM (
-  SELECT *, row_number() OVER (
-    PARTITION BY "tripId", departure_name, arrival_name, epoch_s ORDER BY heure_depart DESC, event_id DESC) AS rn
-  FROM (SELECT *, CAST(floor(epoch(heure_depart)) AS BIGINT) // 3600 * 3600 AS epoch_s FROM flat))
-WHERE rn = 1"""
+  SELECT *, row_number() OVER (PARTITION BY "tripId", departure_name, arrival_name, epoch_s ORDER BY {_LAST}) AS rn
+  FROM (SELECT *, CAST(floor(epoch(heure_depart)) AS BIGINT) // 3600 * 3600 AS epoch_s FROM stored))
+WHERE rn = 1""",
+        _STORED,
     ),
     "trip_latest": _sql(
-        f"""SELECT {_PLACE}, {_FLAT_NAMES} FROM (
-  SELECT *, row_number() OVER (PARTITION BY "tripId" ORDER BY heure_depart DESC, event_id DESC) AS rn FROM flat)
-WHERE rn = 1"""
+        f"""SELECT {_PLACE}, {_FLAT_NAMES}, "timestamp" FROM (
+  SELECT *, row_number() OVER (PARTITION BY "tripId" ORDER BY {_LAST}) AS rn FROM stored)
+WHERE rn = 1""",
+        _STORED,
     ),
     "trip_status": _sql('SELECT "tripId", last_ping, arrived, NOT arrived AS open FROM status', _STATUS),
     "payload_chunks": _sql(
@@ -314,7 +297,12 @@ WHERE rn = 1"""
 FROM (SELECT {_PLACE}, {_LINE} AS line FROM flat) GROUP BY 1, 2"""
     ),
     "parquet_roundtrip": _sql(f"SELECT {_PLACE}, {_FLAT_NAMES}, CAST(heure_depart AS DATE) AS event_date FROM flat"),
-    "csv_roundtrip": _sql(f"SELECT {_PLACE}, {_FLAT_NAMES} FROM flat"),
+    "csv_roundtrip": _sql(
+        f"""SELECT {_PLACE}, {_FLAT_NAMES},
+       CASE event_id % 6 WHEN 0 THEN 'a' || chr(10) || 'b' WHEN 1 THEN '' WHEN 2 THEN ' x ' WHEN 3 THEN 'say "yes", no'
+         WHEN 4 THEN 'c:' || chr(92) || 'new' || chr(92) || chr(13) || chr(10) END AS note
+FROM flat"""
+    ),
     "stream_to_parquet": _sql(f"SELECT {_PLACE}, {_FLAT_NAMES}, CAST(heure_depart AS DATE) AS event_date FROM flat"),
     "stream_line_protocol": _sql(f"SELECT {_LINE} AS line FROM flat"),
     "fan_out": _sql(

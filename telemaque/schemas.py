@@ -97,5 +97,6 @@ TOPICS: dict[str, Topic] = {
     )
 }
 
-# Arrival order inside a topic: the tie-breaker of every "last write wins" rule.
-ARRIVAL_ORDER = ("offset", "partition")
+# The order of messages of one event time: the broker's time, then the place. Offsets of different partitions
+# do not compare, so they come last.
+ARRIVAL_ORDER = ("timestamp", "partition", "offset")

@@ -16,15 +16,22 @@ TIMEOUT_MS = 3000
 FILES_PER_BATCH = 1000
 
 
-def kafka_options(topic: str, servers: str, starting: str = "earliest") -> dict[str, str]:
-    """Options of Spark's Kafka source. Client settings carry the ``kafka.`` prefix, Spark's own do not."""
-    return {
+def kafka_options(
+    topic: str, servers: str, starting: str = "earliest", offsets_per_batch: int | None = None, **options: str
+) -> dict[str, str]:
+    """Options of Spark's Kafka source. Client settings carry the ``kafka.`` prefix, Spark's own do not.
+
+    ``offsets_per_batch`` paces a batch over what a topic retains; ``options`` win over all others.
+    """
+    pace = {} if offsets_per_batch is None else {"maxOffsetsPerTrigger": str(offsets_per_batch)}
+    defaults = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "kafka.request.timeout.ms": str(TIMEOUT_MS),
         "kafka.metadata.fetch.timeout.ms": str(TIMEOUT_MS),
     }
+    return defaults | pace | options
 
 
 def read_topic(
@@ -33,17 +40,22 @@ def read_topic(
     servers: str | None = None,
     replay: str | None = None,
     files_per_batch: int = FILES_PER_BATCH,
+    starting: str = "earliest",
+    offsets_per_batch: int | None = None,
     **options: str,
 ) -> DataFrame:
     """Stream of a topic's messages, from ``servers`` or replayed from the folder ``replay``.
 
-    Give exactly one of the two. Errors are logged and raised.
+    Give exactly one of the two. ``starting`` and ``offsets_per_batch`` are for servers,
+    ``files_per_batch`` for a replay; ``options`` of the source win. Errors are logged and raised.
     """
     if (servers is None) == (replay is None):
         raise ValueError("give either servers or replay")
     try:
         if servers is not None:
-            return spark.readStream.format("kafka").options(**kafka_options(topic, servers), **options).load()
+            return spark.readStream.format("kafka").options(
+                **kafka_options(topic, servers, starting, offsets_per_batch, **options)
+            ).load()
         reader = spark.readStream.schema(ENVELOPE).option("maxFilesPerTrigger", files_per_batch).options(**options)
         return reader.parquet(f"{replay}/{topic}")
     except Exception:

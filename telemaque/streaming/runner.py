@@ -7,6 +7,7 @@ that fails is retried and never lost or doubled. No Python callback per batch.
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -16,13 +17,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 log = logging.getLogger(__name__)
 
+SHOWN = ("memory", "console")
 AVAILABLE_NOW: Mapping[str, object] = {"availableNow": True}
 POLL_S = 1
+PAUSE_S = 0.5
 
 
 @dataclass(frozen=True)
 class Sink:
-    """A named file sink: rows under ``<root>/<name>``, checkpoint under ``<root>/_checkpoints/<name>``."""
+    """A named sink: rows under ``<root>/<name>``, checkpoint under ``<root>/_checkpoints/<name>``.
+
+    Formats ``memory`` (a table called ``name``) and ``console`` keep neither: they are for looking at a
+    stream, and begin anew with each start.
+    """
 
     name: str
     fmt: str = "parquet"
@@ -37,22 +44,22 @@ class Sink:
 
 
 class StreamsFailed(RuntimeError):
-    """Some streams ended in an error; ``errors`` holds it by stream name."""
+    """A stream has failed for good; ``errors`` holds the error by stream name.
+
+    ``running`` holds the other streams' queries, which go on unless they were to be stopped.
+    """
 
-    def __init__(self, errors: Mapping[str, Exception]):
+    def __init__(self, errors: Mapping[str, Exception], running: Mapping[str, StreamingQuery] | None = None):
         super().__init__("; ".join(f"{name}: {error}" for name, error in errors.items()))
         self.errors = dict(errors)
+        self.running = dict(running or {})
 
 
 def start_stream(df: DataFrame, sink: Sink, root: str, trigger: Mapping[str, object] = AVAILABLE_NOW) -> StreamingQuery:
-    writer = (
-        df.writeStream.queryName(f"{sink.name}@{root}")
-        .outputMode("append")
-        .format(sink.fmt)
-        .options(**sink.options)
-        .option("checkpointLocation", sink.checkpoint(root))
-        .trigger(**trigger)
-    )
+    writer = df.writeStream.outputMode("append").format(sink.fmt).options(**sink.options).trigger(**trigger)
+    if sink.fmt in SHOWN:
+        return writer.queryName(sink.name).start()
+    writer = writer.queryName(f"{sink.name}@{root}").option("checkpointLocation", sink.checkpoint(root))
     if sink.partition_by:
         writer = writer.partitionBy(*sink.partition_by)
     return writer.start(sink.path(root))
@@ -64,30 +71,71 @@ def run_stream(df: DataFrame, sink: Sink, root: str) -> str:
     return sink.path(root)
 
 
-def supervise(starters: Mapping[str, Callable[[], StreamingQuery]], restarts: int = 3) -> None:
+def supervise(
+    starters: Mapping[str, Callable[[], StreamingQuery]],
+    restarts: int = 3,
+    pause_s: float = PAUSE_S,
+    stop_others: bool = False,
+) -> None:
     """Run the streams side by side until all have ended.
 
-    A stream that fails is started again from its checkpoint up to ``restarts`` times; the others
-    go on meanwhile. What still fails is raised once the rest has ended.
+    A stream that fails, or can't be started again, is started from its checkpoint up to ``restarts``
+    times in a row, after a pause that doubles each time; a batch that it commits in between starts the
+    count anew. The others go on meanwhile. What still fails is raised at once, as :class:`StreamsFailed`,
+    while the others run on, or are stopped with ``stop_others``. If the first start of one fails, those
+    started before are stopped.
     """
-    running = {name: start() for name, start in starters.items()}
-    left = dict.fromkeys(starters, restarts)
-    errors: dict[str, Exception] = {}
-    while running:
+    running: dict[str, StreamingQuery] = {}
+    try:
+        for name, start in starters.items():
+            running[name] = start()
+    except Exception:
+        _stop(running)
+        raise
+    failed = dict.fromkeys(starters, 0)
+    waiting: dict[str, float] = {}
+
+    def count(name: str, error: Exception) -> None:
+        log.error("stream %s failed: %s", name, error)
+        failed[name] += 1
+        if failed[name] > restarts:
+            if stop_others:
+                _stop(running)
+                running.clear()
+            raise StreamsFailed({name: error}, running) from error
+        waiting[name] = time.monotonic() + pause_s * 2 ** (failed[name] - 1)
+
+    while running or waiting:
+        for name in [name for name, at in waiting.items() if at <= time.monotonic()]:
+            del waiting[name]
+            try:
+                running[name] = starters[name]()
+            except Exception as error:  # noqa: BLE001 - whatever keeps it from starting counts as a failure
+                count(name, error)
+        if not running:
+            time.sleep(POLL_S / 10)
         for name, query in list(running.items()):
             try:
                 if query.awaitTermination(POLL_S):
                     del running[name]
             except StreamingQueryException as error:
-                log.error("stream %s failed: %s", name, error)
-                if left[name]:
-                    left[name] -= 1
-                    running[name] = starters[name]()
-                else:
-                    errors[name] = error
-                    del running[name]
-    if errors:
-        raise StreamsFailed(errors)
+                del running[name]
+                if _committed(query):
+                    failed[name] = 0
+                count(name, error)
+
+
+def _committed(query: StreamingQuery) -> bool:
+    """Whether the query has finished a batch since it was started."""
+    return any(p["numInputRows"] for p in query.recentProgress)
+
+
+def _stop(queries: Mapping[str, StreamingQuery]) -> None:
+    for name, query in queries.items():
+        try:
+            query.stop()
+        except Exception:  # noqa: BLE001 - the others have to be stopped all the same
+            log.exception("cannot stop stream %s", name)
 
 
 def fan_out(
@@ -95,6 +143,7 @@ def fan_out(
     root: str,
     trigger: Mapping[str, object] = AVAILABLE_NOW,
     restarts: int = 3,
+    stop_others: bool = False,
 ) -> dict[str, str]:
     """Write each stream to its own sink, all at once. One stream may feed several sinks.
 
@@ -104,5 +153,5 @@ def fan_out(
     def starter(sink: Sink, df: DataFrame) -> Callable[[], StreamingQuery]:
         return lambda: start_stream(df, sink, root, trigger)
 
-    supervise({sink.name: starter(sink, df) for sink, df in streams}, restarts)
+    supervise({sink.name: starter(sink, df) for sink, df in streams}, restarts, stop_others=stop_others)
     return {sink.name: sink.path(root) for sink, _ in streams}

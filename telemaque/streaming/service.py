@@ -9,13 +9,15 @@ import argparse
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from telemaque.operators import codec, trips
 from telemaque.schemas import TOPICS, TRIP
 from telemaque.sources.topics import read_topic
 from telemaque.streaming.runner import AVAILABLE_NOW, Sink, fan_out
 
-PLACE = ("partition", "offset")
+# What orders messages of one time: kept in stored rows, as the upserts need it.
+PLACE = ("partition", "offset", "timestamp")
 
 
 def service_streams(messages: Mapping[str, DataFrame], rejects: bool = False) -> list[tuple[Sink, DataFrame]]:
@@ -30,13 +32,14 @@ def service_streams(messages: Mapping[str, DataFrame], rejects: bool = False) ->
         if rejects:
             inspected = sent.transform(codec.inspect_topic(schema, PLACE))
             streams.append((Sink(f"{name}_rejected"), inspected.transform(codec.rejected(schema))))
-            rows = inspected.transform(codec.accepted).drop(*PLACE)
+            rows = inspected.transform(codec.accepted)
         else:
-            rows = sent.transform(codec.decode_topic(schema))
+            rows = sent.transform(codec.decode_topic(schema, PLACE))
         if schema is TRIP:
-            rows = rows.transform(trips.flatten_trip()).transform(trips.cast_positions)
+            rows = rows.transform(trips.flatten_trip(PLACE)).transform(trips.cast_positions)
             streams.append((Sink("points", "text"), rows.transform(trips.line_protocol(strict=rejects))))
-        streams.append((Sink(name), rows))
+        day = F.to_date(F.coalesce(F.col(TOPICS[name].event_time), F.col("timestamp")))
+        streams.append((Sink(name, partition_by=("event_date",)), rows.withColumn("event_date", day)))
     return streams
 
 
@@ -47,10 +50,20 @@ def serve(
     replay: str | None = None,
     trigger: Mapping[str, object] = AVAILABLE_NOW,
     rejects: bool = False,
+    zone: str = "UTC",
+    starting: str = "earliest",
+    offsets_per_batch: int | None = None,
 ) -> dict[str, str]:
-    """Run the service on live topics or on replayed ones. Returns the path by sink name."""
+    """Run the service on live topics or on replayed ones. Returns the path by sink name.
+
+    ``zone``: the time zone in which the messages' times, which name none, are meant; set on the session.
+    """
+    spark.conf.set("spark.sql.session.timeZone", zone)
     messages = {
-        name: read_topic(spark, topic.kafka_topic, servers=servers, replay=replay) for name, topic in TOPICS.items()
+        name: read_topic(
+            spark, topic.kafka_topic, servers=servers, replay=replay, starting=starting, offsets_per_batch=offsets_per_batch
+        )
+        for name, topic in TOPICS.items()
     }
     return fan_out(service_streams(messages, rejects), root, trigger)
 
@@ -62,11 +75,16 @@ def main(argv: Sequence[str] | None = None) -> None:
     source.add_argument("--replay", help="folder with one sub-folder of envelope files per topic")
     parser.add_argument("--root", required=True, help="folder for rows and checkpoints, shared by all executors")
     parser.add_argument("--every", help="processing-time trigger such as '10 seconds'; without it, catch up and stop")
+    parser.add_argument("--zone", default="UTC", help="time zone of the messages' times")
+    parser.add_argument("--starting", default="earliest", help="where a first start begins: earliest, latest or offsets in JSON")
+    parser.add_argument("--offsets-per-batch", type=int, help="most messages of a topic in one batch")
     parser.add_argument("--rejects", action="store_true", help="keep unusable messages apart")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("fleet telemetry").getOrCreate()
     trigger = {"processingTime": args.every} if args.every else AVAILABLE_NOW
-    serve(spark, args.root, args.servers, args.replay, trigger, args.rejects)
+    serve(
+        spark, args.root, args.servers, args.replay, trigger, args.rejects, args.zone, args.starting, args.offsets_per_batch
+    )
 
 
 if __name__ == "__main__":

@@ -52,8 +52,8 @@ def test_the_four_samples_make_one_row(spark):
     rows = view.collect()
     assert len(rows) == 1
     assert not set(views.JOIN_KEYS) & set(view.columns)
-    assert rows[0]["departure_location"].asDict() == {"lat": "46.851863", "lon": "-71.207157"}
-    assert (rows[0]["immatriculation"], rows[0]["weatherCondition"], rows[0]["emergencyType"]) == ("AKN10N", "SNOW", "POLICE")
+    assert rows[0]["departure_location"].asDict() == {"lat": "45.125", "lon": "-72.5"}
+    assert (rows[0]["immatriculation"], rows[0]["weatherCondition"], rows[0]["emergencyType"]) == ("ZZ-77", "CLOUDY", "FIRE")
 
 
 def test_profiles_and_summary_agree_with_the_plain_joins(spark):
@@ -96,8 +96,7 @@ def test_interval_join_finds_every_pair_once(spark):
 
 
 def test_interval_totals_equal_sums_over_pairs(spark):
-    # From every key and hour busy to none.
-    for seed, busy_rows in ((0, 0), (1, 3), (2, 30), (3, 10**6)):
+    for seed in range(3):
         trips, _, _, sky = fleet(spark, seed)
         unknown = flat_trips(spark, [
             (0, 900, None, "A", 1.0, 1.0, "B", 1.0, 1.0, T0, True), (0, 901, "T0", "A", 1.0, 1.0, "B", 1.0, 1.0, None, True),
@@ -107,7 +106,7 @@ def test_interval_totals_equal_sums_over_pairs(spark):
         totals = trips.transform(
             interval_totals(
                 sky, ("tripId", "weatherTrip"), ("heure_depart", "WeatherTime"), 7200,
-                {"n": F.lit(1), "warmth": F.col("temperature")}, busy_rows,
+                {"n": F.lit(1), "warmth": F.col("temperature")},
             )
         )
         assert totals.columns == [*trips.columns, "n", "warmth"]
@@ -150,4 +149,4 @@ def test_released_and_available_vehicles(spark):
         ("again", "T3"), ("again", "T4"), ("done", "T1"), ("twice", "T1"), ("twice", "T4"),
     ]
     free = cars.transform(views.available_vehicles(trips)).collect()
-    assert sorted((r["immatriculation"], r["IDTrajet"]) for r in free) == [("done", "T1"), ("parked", "T9"), ("twice", "T4")]
+    assert sorted((r["immatriculation"], r["IDTrajet"]) for r in free) == [("done", "T1"), ("twice", "T4")]

@@ -31,7 +31,7 @@ def test_lines_are_those_of_string_formatting(spark):
         number = [None if rnd.random() < 0.1 else n for n in number]
         time = T0 + timedelta(microseconds=rnd.randrange(10**13))
         rows.append(
-            (0, i, rnd.choice(["T1", None, "T 2"]), rnd.choice(["Domicile", None]), number[0], number[1], "B, C",
+            (0, i, rnd.choice(["T1", None, "T 2"]), rnd.choice(["Depot", None]), number[0], number[1], "B, C",
              number[2], number[3], time, rnd.choice([True, False, None]))
         )
     lines = flat_trips(spark, rows).transform(trips.line_protocol(("offset",))).collect()

@@ -11,11 +11,11 @@ from telemaque.operators import codec, trips, upserts
 from telemaque.operators.dedupe import dedupe_events
 from telemaque.operators.payloads import payload_chunks
 from telemaque.schemas import ENVELOPE, TOPICS, TRIP
-from telemaque.sinks.tables import append_sink, publish
+from telemaque.sinks.tables import append_csv, append_sink, publish, read_csv
 from telemaque.sources.topics import TIMEOUT_MS, kafka_options, read_topic, read_topics
 from telemaque.streaming.batches import batch_writer
 from telemaque.streaming.joins import trip_view_stream
-from telemaque.streaming.runner import Sink, StreamsFailed, fan_out, run_stream
+from telemaque.streaming.runner import Sink, StreamsFailed, fan_out, run_stream, start_stream
 from telemaque.streaming.service import serve
 from tests.samples import EMERGENCY_TEXT, T0, TRIP_TEXT, VEHICLE_TEXT, WEATHER_TEXT, envelope, trip_text
 from tests.test_joins import fleet
@@ -91,6 +91,8 @@ def test_one_failing_stream_leaves_the_others_alone(spark, tmp_path):
     with pytest.raises(StreamsFailed) as failure:
         fan_out([(Sink("bad"), poison), (Sink("good"), good)], root, restarts=1)
     assert list(failure.value.errors) == ["bad"] and "poison" in str(failure.value)
+    for query in failure.value.running.values():
+        query.awaitTermination()
     assert spark.read.parquet(f"{root}/good").count() == 20
     # The failed batch was not committed: once repaired, the stream delivers it whole.
     fan_out([(Sink("bad"), streams[TOPIC].transform(codec.decode_text()))], root)
@@ -114,11 +116,11 @@ def test_the_whole_service_on_replayed_topics(spark, tmp_path, rejects):
     for name in texts:
         stored = spark.read.parquet(paths[name])
         assert stored.count() == (1 if rejects else 2)
-        assert stored.where(F.col(TOPICS[name].trip_key) == "TripABC123").count() == 1
+        assert stored.where(F.col(TOPICS[name].trip_key) == "T-0042").count() == 1
         if rejects:
             assert [r["reason"] for r in spark.read.parquet(paths[f"{name}_rejected"]).collect()] == ["malformed"]
     lines = [r[0] for r in spark.read.text(paths["points"]).collect()]
-    assert len(lines) == 1 and lines[0].startswith("trajets,tripId=TripABC123,departure=Domicile,arrival=Bureau ")
+    assert len(lines) == 1 and lines[0].startswith("trajets,tripId=T-0042,departure=Depot,arrival=Harbour ")
 
 
 def test_query_a_stream_as_a_table(spark, tmp_path):
@@ -126,7 +128,7 @@ def test_query_a_stream_as_a_table(spark, tmp_path):
     stream = read_topic(spark, TOPIC, replay=str(tmp_path / "in")).transform(codec.decode_topic(TRIP))
     query = stream.writeStream.format("memory").queryName("seen_trips").trigger(availableNow=True).start()
     query.awaitTermination()
-    assert spark.sql("SELECT tripId FROM seen_trips").collect()[0][0] == "TripABC123"
+    assert spark.sql("SELECT tripId FROM seen_trips").collect()[0][0] == "T-0042"
 
 
 def test_console_sink(spark, tmp_path):
@@ -147,7 +149,7 @@ def test_an_empty_topic_writes_nothing(spark, tmp_path):
 def test_latest_document_on_a_stream(spark, tmp_path):
     sent = messages(spark, 40)
     publish(sent.repartition(4), TOPIC, replay=str(tmp_path / "in"))
-    keep = ("partition", "offset")
+    keep = ("partition", "offset", "timestamp")
     stream = read_topic(spark, TOPIC, replay=str(tmp_path / "in"), files_per_batch=1).transform(trips.typed_trips(keep))
     query = (
         stream.transform(upserts.trip_latest()).writeStream.outputMode("complete").format("memory")
@@ -230,3 +232,48 @@ def test_append_sink(spark, tmp_path):
             append_sink(rows, str(tmp_path / fmt), fmt)
         reader = spark.read.schema(rows.schema).format(fmt)
         assert bag(reader.load(str(tmp_path / fmt))) == bag(rows.unionAll(rows))
+
+
+def test_a_dead_stream_is_reported_while_another_runs(spark, tmp_path):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    publish(messages(spark, 20), TOPIC, replay=source)
+    stream = read_topic(spark, TOPIC, replay=source)
+    poison = stream.select(F.raise_error(F.lit("poison")).cast("string").alias("value"))
+    served = {"processingTime": "1 second"}
+    with pytest.raises(StreamsFailed) as failure:
+        fan_out([(Sink("bad"), poison), (Sink("good"), stream.transform(codec.decode_topic(TRIP)))], root, served, restarts=0)
+    (good,) = failure.value.running.values()
+    assert good.isActive
+    good.stop()
+    with pytest.raises(StreamsFailed) as failure:
+        fan_out([(Sink("bad2"), poison), (Sink("good2"), stream)], root, served, restarts=0, stop_others=True)
+    assert not failure.value.running and not spark.streams.active
+
+
+def test_looking_at_a_stream(spark, tmp_path):
+    publish(messages(spark, 5), TOPIC, replay=str(tmp_path / "in"))
+    stream = read_topic(spark, TOPIC, replay=str(tmp_path / "in")).transform(trips.typed_trips())
+    for fmt in ("memory", "console"):
+        start_stream(stream, Sink("looked_at", fmt), "").awaitTermination()
+    assert spark.table("looked_at").count() == 5
+
+
+def test_csv_comes_back_as_it_was(spark, tmp_path):
+    texts = ["a\nb", "", None, " x ", "~", 'q"q', "back\\slash\\n", "\r\n", "\\", "é,;"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    append_csv(rows, str(tmp_path / "csv"))
+    assert bag(read_csv(spark, str(tmp_path / "csv"), rows.schema)) == bag(rows)
+
+
+def test_partition_values_are_written_by_few_tasks(spark, tmp_path):
+    rows = spark.range(0, 10000, numPartitions=16).selectExpr("id", "id % 5 as part")
+    append_sink(rows, str(tmp_path / "out"), partition_by=("part",))
+    files = list((tmp_path / "out").glob("part=*/*.parquet"))
+    assert len(files) < 16 and spark.read.parquet(str(tmp_path / "out")).count() == 10000
+
+
+def test_options_of_a_live_topic():
+    options = kafka_options("t", "host:1", "latest", 500, **{"kafka.request.timeout.ms": "7"})
+    assert (options["startingOffsets"], options["maxOffsetsPerTrigger"], options["kafka.request.timeout.ms"]) == ("latest", "500", "7")
+    assert kafka_options("t", "host:1", startingOffsets="{}")["startingOffsets"] == "{}"
+    assert "maxOffsetsPerTrigger" not in kafka_options("t", "host:1")

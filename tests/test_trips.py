@@ -10,7 +10,7 @@ from telemaque.functions import geo
 from telemaque.operators import codec, trips
 from telemaque.schemas import TRIP
 from telemaque.sources.files import read_json
-from tests.samples import T0, TRIP_TEXT, envelope, flat_trips, trip_text
+from tests.samples import SAMPLE_TIME, T0, TRIP_TEXT, envelope, flat_trips, trip_text
 
 FLAT = [
     "tripId", "departure_name", "departure_latitude", "departure_longitude", "arrival_name", "arrival_latitude",
@@ -36,7 +36,7 @@ def test_the_trip_chain(spark):
         "string", "string", "double", "double", "string", "double", "double", "timestamp", "boolean",
     ]
     assert tuple(typed.collect()[0]) == (
-        "TripABC123", "Domicile", 46.851863, -71.207157, "Bureau", 46.797777, -71.263931, T0, None,
+        "T-0042", "Depot", 45.125, -72.5, "Harbour", 45.875, -73.25, SAMPLE_TIME, None,
     )
 
 
@@ -112,8 +112,8 @@ def test_arrival_threshold(spark):
 def test_geo_points_from_nested_and_flat_rows(spark):
     nested = envelope(spark, [TRIP_TEXT]).transform(codec.decode_topic(TRIP)).transform(trips.geo_points)
     flat = envelope(spark, [TRIP_TEXT]).transform(trips.typed_trips()).transform(trips.geo_points)
-    assert nested.collect()[0]["departure_location"].asDict() == {"lat": "46.851863", "lon": "-71.207157"}
-    assert flat.collect()[0]["arrival_location"].asDict() == {"lat": 46.797777, "lon": -71.263931}
+    assert nested.collect()[0]["departure_location"].asDict() == {"lat": "45.125", "lon": "-72.5"}
+    assert flat.collect()[0]["arrival_location"].asDict() == {"lat": 45.875, "lon": -73.25}
 
 
 def test_duplicate_columns(spark):

@@ -22,8 +22,14 @@ def test_pings_of_one_second_collapse_to_the_last(spark):
     ]
 
 
-def test_equal_times_are_settled_by_arrival(spark):
-    rows = [ping(5, lat=5.0), ping(7, lat=7.0), ping(6, lat=6.0), ping(7, lat=8.0, partition=1)]
+def test_an_arrival_at_the_time_of_another_ping_is_the_last(spark):
+    rows = [ping(10), (*ping(3, flag=True, partition=1), T0), (*ping(11), T0 + timedelta(seconds=1))]
+    status = flat_trips(spark, rows).transform(upserts.trip_status()).collect()
+    assert [(r["arrived"], r["open"]) for r in status] == [(True, False)]
+
+
+def test_equal_times_and_flags_are_settled_by_the_brokers_time_then_the_place(spark):
+    rows = [(*ping(2, lat=1.0), T0 - timedelta(seconds=1)), ping(9, lat=5.0), ping(6, lat=6.0), ping(7, lat=8.0, partition=1)]
     for _ in range(3):
         random.shuffle(rows)
         flat = flat_trips(spark, rows).repartition(3)
@@ -51,7 +57,7 @@ def test_status(spark):
 
 def test_a_busy_key_is_reduced_before_the_shuffle(spark):
     flat = spark.range(0, 20000, numPartitions=8).selectExpr(
-        "0 as partition", "id as offset", "'T' as tripId", "timestamp_micros(id) as heure_depart", "true as flag_arrivee"
+        "0 as partition", "id as offset", "'T' as tripId", "timestamp_micros(id) as heure_depart", "true as flag_arrivee", "timestamp_micros(id) as timestamp"
     )
     status = flat.transform(upserts.trip_status())
     status.collect()
@@ -79,5 +85,5 @@ def _find(plan, name):
 
 def test_copies_are_dropped(spark):
     rows = [ping(0), ping(1), ping(2, seconds=1), ping(3, lat=47.0)]
-    flat = flat_trips(spark, rows).drop("partition", "offset")
+    flat = flat_trips(spark, rows).drop("partition", "offset", "timestamp")
     assert flat.transform(dedupe_events(flat.columns)).count() == 3
