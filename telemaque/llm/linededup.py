@@ -229,7 +229,7 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     if not members.isEmpty():
         wanted = members.select("id").distinct()
         texts = stored(_texts(plain, edits).join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
-        labels, _ = classes(members, _verifier(texts, edits))
+        labels = classes(members, _verifier(texts, edits))
     classed = found.withColumn("class_id", F.col("line_id"))
     if labels is not None:
         classed = found.join(labels.toDF("line_id", "__class"), "line_id", "left").withColumn("class_id", F.coalesce("__class", "line_id")).drop("__class")

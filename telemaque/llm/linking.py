@@ -1,23 +1,24 @@
 """From shared buckets to classes: verified links and connected components, all distributed.
 
 Candidates are pairs of members of one bucket. Emitting all of them would be quadratic in a bucket of
-near copies, so buckets are worked through by pivots: first each bucket's smallest member against all
-others, then, only in buckets whose members are still of several classes, the next few smallest as
-pivots, and so on until every bucket is one class or all its members have been pivots. Members that
-are already in one class need no link between them, so the classes are those of all pairs.
+near copies, so first each bucket's smallest member is held against all others, then the few next
+smallest, and what is linked becomes one class. Buckets of one class are done. In the others, pairs of
+different classes are left, and all of them are tried. Members of one class need no link between them,
+so the classes are those of all pairs. A caller's cheap necessary condition keeps hopeless pairs from
+becoming rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telemaque.workspace import fresh_dir
 
-#: Pivots of a bucket in each round; the last number goes on doubling.
-PIVOTS = (1, 16, 64)
+#: Members of a bucket that are held against the others in the rounds before the last.
+PIVOTS = (1, 8)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -52,35 +53,42 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def classes(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame | None, DataFrame | None]:
-    """(labels, links) of the ``members`` of buckets; both are None where no bucket has two members.
+def classes(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], close: Callable[[str, str], Column] | None = None
+) -> DataFrame | None:
+    """(id, class_id) of the ``members`` of buckets that have a link; None where there is none.
 
-    ``members``: bucket, id, pivot (boolean; whether it may be one), each (bucket, id) once. ``verify``
-    takes pairs (a, b) with a the pivot and returns those that are links.
+    ``members``: bucket, id, pivot (boolean: one end of a pair at least must be one), each (bucket, id)
+    once, and columns for ``close``, which gives for two prefixes of column names a condition that every
+    linked pair meets. ``verify`` takes pairs (a, b) and returns those that are links.
     """
+    extra = [c for c in members.columns if c not in ("bucket", "id", "pivot")]
     by_bucket = Window.partitionBy("bucket").orderBy("id")
-    links, labels, done, at = None, None, 0, 0
-    while True:
-        take = PIVOTS[at] if at < len(PIVOTS) else PIVOTS[-1] << (at - len(PIVOTS) + 1)
-        # A limit by rank is applied in each task before the shuffle, so a large bucket sends few rows.
-        ranked = members.where("pivot").select("bucket", F.col("id").alias("a"), F.row_number().over(by_bucket).alias("__rank"))
-        pivots = ranked.where(F.col("__rank") <= done + take)
-        pairs = members.join(pivots, "bucket").where(f"__rank > {done} and a <> id")
+    labels, links = None, None
+    for take in (*PIVOTS, None):
         if labels is not None:
-            earlier = pairs.join(labels.toDF("id", "id_class"), "id", "left").join(labels.toDF("a", "a_class"), "a", "left")
-            pairs = earlier.where(F.coalesce("id_class", "id") != F.coalesce("a_class", "a"))
-        pairs = stored(pairs.select("a", F.col("id").alias("b")).distinct(), "pairs")
-        if not pairs.isEmpty():
-            found = stored(verify(pairs), "found")
-            links = found if links is None else links.union(found)
-            if not found.isEmpty():
-                labels = components(links)
-        done, at = done + take, at + 1
-        # Buckets with pivots left and more than one class go on.
-        classed = members if labels is None else members.join(labels, "id", "left")
-        kind = F.col("id") if labels is None else F.coalesce("class_id", "id")
-        rest = classed.groupBy("bucket").agg(F.min(kind).alias("lo"), F.max(kind).alias("hi"), F.sum(F.col("pivot").cast("long")).alias("n"))
-        open_ = rest.where(f"lo < hi and n > {done}").select("bucket")
-        members = stored(members.join(open_, "bucket", "left_semi"), "members")
-        if members.isEmpty():
-            return labels, links
+            members = members.drop("class_id").join(labels, "id", "left")
+            members = members.withColumn("class_id", F.coalesce("class_id", "id"))
+            # Buckets of one class are done.
+            kinds = members.groupBy("bucket").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"))
+            members = members.join(kinds.where("lo < hi").select("bucket"), "bucket", "left_semi")
+        else:
+            members = members.withColumn("class_id", F.col("id"))
+        members = stored(members.select("bucket", "id", "pivot", "class_id", *extra), "members")
+        left = members.where("pivot")
+        if take is not None:  # a limit by rank is applied in each task before the shuffle: a large bucket sends few rows
+            left = left.withColumn("__rank", F.row_number().over(by_bucket)).where(F.col("__rank") <= take).drop("__rank")
+        left = left.select("bucket", *[F.col(c).alias(f"a_{c}") for c in ("id", "pivot", "class_id", *extra)])
+        right = members.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("id", "pivot", "class_id", *extra)])
+        # Of two pivots the smaller one is the left end, unless the left side holds but a few.
+        once = F.lit(True) if take is not None else (F.col("a_id") < F.col("b_id")) | ~F.col("b_pivot")
+        apart = (F.col("a_class_id") != F.col("b_class_id")) & once
+        pairs = left.join(right, (left["bucket"] == right["bucket"]) & (apart if close is None else apart & close("a_", "b_")))
+        pairs = stored(pairs.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct(), "pairs")
+        if pairs.isEmpty():
+            continue
+        found = stored(verify(pairs), "found")
+        links = found if links is None else links.union(found)
+        if not found.isEmpty():
+            labels = components(links)
+    return labels

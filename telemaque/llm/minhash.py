@@ -8,7 +8,8 @@ Coordinates of two sketches agree with the sets' similarity as probability, as c
 independent hashes. Bands of coordinates make buckets, and links are confirmed on the full sets.
 
 Texts of one shingle set are one class from the start, so copies cost a row each. At a similarity of
-0.8, 32 bands of 4 miss a link with probability (1 - 0.8 ** 4) ** 32 = 5e-8.
+0.8, 73 bands of 7 miss a link with probability (1 - 0.8 ** 7) ** 73 = 3e-8. Fewer rows per band would
+find as much with fewer bands, but put many texts that share just a passage into one bucket.
 
 Defined results: a null text counts as empty; texts without words have no shingles and are linked with
 nothing; a text of fewer words than a shingle is one shingle; ids are whole numbers, repeated ids with
@@ -28,11 +29,15 @@ from telemaque.llm import buffers as B
 from telemaque.llm.linking import classes, stored
 
 SHINGLE, SIMILARITY = 5, 80  # words; hundredths
-BANDS, ROWS = 32, 4
-SPLIT = 16
+SKETCH, BANDS, ROWS = 512, 73, 7
 _VALUE = np.uint64((1 << 54) - 1)
 
-SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+#: Lowest bits of as many coordinates, in words: a similarity s makes (1 + s) / 2 of them agree.
+BITS = 256
+#: Standard deviations below what a linked pair has on average that a candidate may have.
+SLACK = 6
+
+SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bits array<long>"
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -55,7 +60,7 @@ def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray, np
 def sketches(hashes: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
     """A sketch of ``size`` coordinates for each set; all are filled but those of empty sets.
 
-    ``size``: a power of two, 256 at most. A coordinate holds its round in the top bits, then the value.
+    ``size``: a power of two, 512 at most. A coordinate holds its round in the top bits, then the value.
     """
     n, unfilled = len(offsets) - 1, np.uint64(2**64 - 1)
     out = np.full((n, size), unfilled, dtype=np.uint64)
@@ -82,7 +87,7 @@ def sketches(hashes: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
 
 def banded(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """A bucket key for each sketch and band."""
-    parts = sketch.reshape(len(sketch), bands, rows)
+    parts = sketch[:, : bands * rows].reshape(len(sketch), bands, rows)
     key = np.broadcast_to(B.seeded(bands, 9), parts.shape[:2]).copy()
     for i in range(rows):
         key = B.mix(key * B.GOLDEN + parts[:, :, i])
@@ -96,7 +101,9 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
         for batch in batches:
             for row, hashes, offsets in shingle_sets(batch.column(1), shingle):
                 size = np.diff(offsets)
-                keys = banded(sketches(hashes, offsets, bands * rows), bands, rows)
+                sketch = sketches(hashes, offsets, SKETCH)
+                keys = banded(sketch, bands, rows)
+                low = np.packbits((sketch[:, :BITS] & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
                 filled = size > 0
                 sums = [np.zeros(len(size), dtype=np.uint64) for _ in range(2)]
                 if len(hashes):
@@ -105,69 +112,59 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.append(0, np.cumsum(np.where(filled, bands, 0))).astype(np.int32)), pa.array(keys[filled].reshape(-1).view(np.int64))
                 )
+                words = BITS // 64
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(0, len(size) * words + 1, words, dtype=np.int32)), pa.array(low.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, len(size)), pa.array(size), *[pa.array(s.view(np.int64)) for s in sums], lists],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                    [batch.column(0).slice(row, len(size)), pa.array(size), *[pa.array(s.view(np.int64)) for s in sums], lists, bits],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "bits"],
                 )
 
     return docs.mapInArrow(sign, SIGNED)
 
 
-def _sets_for_pairs(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(pivot, id, set) for each (id, pivot) of ``wanted``: the sorted shingles as bytes."""
+def close_enough(similarity: int):
+    """The condition on the ``bits`` of two sketches that a linked pair meets but once in a thousand million."""
+    share = (1 + similarity / 100) / 2
+    least = BITS * share - SLACK * (BITS * share * (1 - share)) ** 0.5
+
+    def close(a: str, b: str) -> Column:
+        agree = F.lit(BITS)
+        for i in range(BITS // 64):
+            agree = agree - F.bit_count(F.get(f"{a}bits", F.lit(i)).bitwiseXOR(F.get(f"{b}bits", F.lit(i))))
+        return agree >= least
+
+    return close
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(id, set) of the documents in ``wanted`` (doc_id): the sorted shingles as bytes; stored."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, pivots = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for row, hashes, offsets in shingle_sets(batch.column(1), shingle):
-                held, size = [], 0
-                for i in range(len(offsets) - 1):
-                    mine = hashes[offsets[i] : offsets[i + 1]].tobytes()
-                    for pivot in pivots[row + i]:
-                        held.append((pivot, ids[row + i], mine))
-                        size += len(mine)
-                        if size > B.CHUNK_BYTES:
-                            yield packed(held)
-                            held, size = [], 0
-                if held:
-                    yield packed(held)
-
-    def packed(held: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*held, strict=True)
-        kinds = (("pivot", pa.int64()), ("id", pa.int64()), ("set", pa.binary()))
-        return pa.RecordBatch.from_pydict({name: pa.array(c, kind) for (name, kind), c in zip(kinds, columns, strict=True)})
-
-    rows = docs.join(wanted, "doc_id").select("doc_id", "text", "pivots")
-    return rows.mapInArrow(emit, "pivot long, id long, set binary")
-
-
-def verifier(docs: DataFrame, shingle: int, similarity: int):
-    """The check of candidate pairs on full sets. ``docs``: doc_id, text, each id once."""
+                sets = [hashes[lo:hi].tobytes() for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sets)), pa.array(sets, pa.binary())], names=["id", "set"])
+
+    some = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(emit, "id long, set binary")
+    return stored(some.where(F.length("set") > 0), "sets")
+
+
+def verifier(sets: DataFrame, similarity: int):
+    """The check of candidate pairs on full sets."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
-            held, pivot_set = None, None
-            for i, (key, a, b) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True)):
-                if key != held:
-                    held, pivot_set = key, np.frombuffer(a.as_buffer(), dtype=np.uint64)
-                other = np.frombuffer(b.as_buffer(), dtype=np.uint64)
-                both = len(np.intersect1d(pivot_set, other, assume_unique=True))
-                kept.append(100 * both >= similarity * (len(pivot_set) + len(other) - both))
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                one, other = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+                both = len(np.intersect1d(one, other, assume_unique=True))
+                kept.append(100 * both >= similarity * (len(one) + len(other) - both))
             mask = pa.array(kept, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
     def verify(pairs: DataFrame) -> DataFrame:
-        # Each text is read once, for all pairs it is in; a pivot meets its others salted over SPLIT tasks.
-        salt = F.pmod(F.xxhash64("b"), F.lit(SPLIT)).cast("int")
-        own = pairs.select(F.col("b").alias("doc_id"), F.col("a").alias("pivot"))
-        pivots = pairs.select(F.col("a").alias("doc_id"), F.col("a").alias("pivot")).distinct()
-        wanted = own.union(pivots).distinct().groupBy("doc_id").agg(F.collect_list("pivot").alias("pivots"))
-        sets = stored(_sets_for_pairs(docs, wanted, shingle), "sets")
-        salts = pairs.select(F.col("a").alias("pivot"), salt.alias("salt")).distinct()
-        first = sets.where("pivot = id").select("pivot", F.col("set").alias("mine")).join(salts, "pivot")
-        others = sets.where("pivot <> id").select("pivot", "id", "set", F.pmod(F.xxhash64("id"), F.lit(SPLIT)).cast("int").alias("salt"))
-        return others.join(first, ["pivot", "salt"]).select("pivot", "id", "mine", "set").mapInArrow(check, "a long, b long")
+        both = pairs.join(sets.toDF("b", "set_b"), "b").join(sets.toDF("a", "set_a"), "a")
+        return both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long").distinct()
 
     return verify
 
@@ -182,13 +179,18 @@ def near_duplicates(
     filled = signed.where("n_shingles > 0")
     by_set = ["set_a", "set_b", "n_shingles"]
     # One document for each different set goes on.
-    heads = stored(filled.groupBy(*by_set).agg(F.min("doc_id").alias("head"), F.min("bands").alias("bands")), "heads")
+    heads = stored(filled.groupBy(*by_set).agg(F.min("doc_id").alias("head"), F.min("bands").alias("bands"), F.min("bits").alias("bits")), "heads")
     rows_ = heads.select(F.explode("bands").alias("bucket"), F.col("head").alias("id"))
     shared = rows_.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    members = stored(rows_.join(stored(shared, "buckets"), "bucket").distinct().withColumn("pivot", F.lit(True)), "members")
+    members = rows_.join(stored(shared, "buckets"), "bucket").distinct().withColumn("pivot", F.lit(True))
+    members = stored(members, "shared")
     labels = None
     if not members.isEmpty():
-        labels, _ = classes(members, verifier(plain, shingle, similarity))
+        wanted = stored(members.select("id").distinct(), "wanted")
+        bits = heads.select(F.col("head").alias("id"), "bits").join(wanted, "id", "left_semi").dropDuplicates(["id"])
+        members = members.join(bits, "id")
+        sets = full_sets(plain, wanted.withColumnRenamed("id", "doc_id"), shingle)
+        labels = classes(members, verifier(sets, similarity), close_enough(similarity))
     of_head = heads.select(*by_set, "head")
     if labels is not None:
         of_head = of_head.join(labels, F.col("head") == F.col("id"), "left").select(*by_set, F.coalesce("class_id", "head").alias("head"))
