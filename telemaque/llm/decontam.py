@@ -33,7 +33,7 @@ RESULT = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated
 def word_hashes(text: Column) -> Column:
     """The hashes of a text's words, lower-cased in A-Z, in order."""
     plain = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.transform(F.filter(F.split(plain, BETWEEN), lambda w: w != ""), lambda w: F.xxhash64(w))
+    return F.transform(F.array_remove(F.split(plain, BETWEEN), ""), lambda w: F.xxhash64(w))
 
 
 def _gram(words: Column, at: Column, n: int) -> Column:
@@ -50,7 +50,12 @@ def _places(words: Column, n: int) -> Column:
 def fingerprints(words: Column, window: int, k: int) -> Column:
     """The distinct fingerprints: minima of each ``window - k + 1`` consecutive hashes of ``k`` words."""
     k = min(k, window)
-    return _minima(F.transform(_places(words, k), lambda i: _gram(words, i, k)), window - k + 1)
+    return _once(F.transform(_places(words, k), lambda i: _gram(words, i, k)), lambda grams: _minima(grams, window - k + 1))
+
+
+def _once(array: Column, made) -> Column:
+    """``made`` of an array that is computed once, and not again for each of its elements."""
+    return F.get(F.transform(F.array(array), made), F.lit(0))
 
 
 def _minima(grams: Column, run: int) -> Column:
@@ -105,7 +110,7 @@ def contamination(
 
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     keyed = texts.withColumn("key", F.xxhash64("text"))  # rows of one id and text have one result
-    rows = suspected(keyed, known, sizes, k)
+    rows = suspected(keyed, stored(loose_marks(items, window, k), "loose"), sizes, k)
     rows = stored(rows, "suspects")
     suspects = rows.where("suspect").select("doc_id", "key")
     found = _hits(keyed, suspects.distinct(), known, windows, sizes, k)
@@ -116,6 +121,7 @@ def contamination(
     result = rows.join(hit, ["doc_id", "key"], "left").join(named, ["doc_id", "key"], "left")
     none = F.array().cast("array<string>")
     n_hit = F.coalesce(_overlapped(F.col("spans")), F.lit(0)).cast("long")
+    result = result.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))  # repeated rows stay
     return result.select(
         "doc_id",
         F.col("n_words").cast("long").alias("n_words"),
@@ -126,21 +132,55 @@ def contamination(
     )
 
 
+def _loose_words(text: Column) -> Column:
+    """The words in lower case of every alphabet: texts that share words share these too."""
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
+
+
 def suspected(keyed: DataFrame, known: DataFrame, sizes: list[int], k: int) -> DataFrame:
-    """(doc_id, key, n_words, suspect): whether a text shares a fingerprint. ``keyed``: doc_id, text, key."""
-    words = keyed.select("doc_id", "key", word_hashes(F.col("text")).alias("words"))
-    grams = words.select("doc_id", "key", "words", _grams(F.col("words"), k).alias("grams"))
-    per_size = [
-        F.struct(F.lit(n).alias("size"), (_minima(F.col("grams"), n - k + 1) if n >= k else fingerprints(F.col("words"), n, k)).alias("marks"))
-        for n in sizes
-    ]
-    of_size = grams.select("doc_id", "key", F.size("words").alias("n_words"), F.explode_outer(F.array(*per_size)).alias("s")) if sizes else None
-    if of_size is None:
-        return words.select("doc_id", "key", F.size("words").alias("n_words"), F.lit(False).alias("suspect"))
-    marks = of_size.select("doc_id", "key", "n_words", F.col("s.size").alias("size"), F.explode_outer("s.marks").alias("mark"))
+    """(doc_id, key, n_words, suspect, rows): whether a text shares a fingerprint, and how many rows have it.
+
+    ``keyed``: doc_id, text, key.
+
+    ``known``: size, mark, of loose words. A row per word, with the hashes of the words around it: its
+    grams and their minimum, which goes on where it is new, are compiled code.
+    """
+    words = keyed.select("doc_id", "key", F.transform(_loose_words(F.col("text")), lambda w: F.xxhash64(w)).alias("words"))
+    none = F.array(F.lit(None).cast("long"))
+    marks = None
+    for n in sizes or [WINDOW]:
+        part = min(k, n)
+        run = n - part + 1
+        # A row per word: the one before it, itself and those after it; and one for the end.
+        shifted = [F.concat(none, "words"), *[F.slice("words", j + 1, F.size("words")) for j in range(n)]]
+        around = [f"h{j}" for j in range(-1, n)]
+        near = words.select("doc_id", "key", F.size("words").alias("n_words"), F.inline(F.arrays_zip(*shifted)).alias(*around))
+        gram = [F.xxhash64(*[F.col(f"h{i + j}") for j in range(part)]) for i in range(-1, run)]
+        before, mark = (F.least(*gram[i : i + run]) if run > 1 else gram[i] for i in (0, 1))
+        whole, first = F.col(f"h{n - 1}").isNotNull(), F.col("h-1").isNull()
+        # The first word stays in any case, so that every text keeps a row.
+        new = first | (whole & (mark != before))
+        row = F.lit(marks is None) & first
+        own = near.where(new).select(
+            "doc_id", "key", "n_words", row.cast("int").alias("row"), F.lit(n).alias("size"), F.when(whole, mark).alias("mark")
+        )
+        marks = own if marks is None else marks.union(own)
     matched = marks.join(known.withColumn("hit", F.lit(True)), ["size", "mark"], "left")
     # All marks of a text come from one task, which reduces them to a row before anything is shuffled.
-    return matched.groupBy("doc_id", "key", "n_words", F.lit(0).alias("copy")).agg(F.coalesce(F.max("hit"), F.lit(False)).alias("suspect")).drop("copy")
+    return matched.groupBy("doc_id", "key", "n_words").agg(F.coalesce(F.max("hit"), F.lit(False)).alias("suspect"), F.sum("row").alias("rows"))
+
+
+def loose_marks(items: DataFrame, window: int, k: int) -> DataFrame:
+    """(size, mark) of the items' loose words, as ``suspected`` has them."""
+    words = items.select(_loose_words(F.col("text")).alias("loose")).where(F.size("loose") > 0)
+    words = words.select(F.transform("loose", lambda w: F.xxhash64(w)).alias("words"), F.least(F.size("loose"), F.lit(window)).alias("size"))
+
+    def made(n: int) -> Column:
+        part = min(k, n)
+        grams = F.transform(_places(F.col("words"), part), lambda i: F.xxhash64(*[F.get("words", i + j) for j in range(part)]))
+        return _once(grams, lambda g: _minima(g, n - part + 1))
+
+    return _by_size(words, range(1, window + 1), made).select("size", F.explode("found").alias("mark")).distinct()
 
 
 def _around(reach: int):

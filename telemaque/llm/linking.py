@@ -1,8 +1,7 @@
 """From shared buckets to classes: verified links and connected components, all distributed.
 
 Candidates are pairs of members of one bucket. Emitting all of them would be quadratic in a bucket of
-near copies, so first each bucket's smallest member is held against all others, then the few next
-smallest, and what is linked becomes one class. Buckets of one class are done. In the others, pairs of
+near copies, so first one member of each bucket is held against all others, then a few more, and what is linked becomes one class. Buckets of one class are done. In the others, pairs of
 different classes are left, and all of them are tried. Members of one class need no link between them,
 so the classes are those of all pairs. A caller's cheap necessary condition keeps hopeless pairs from
 becoming rows.
@@ -59,11 +58,12 @@ def classes(
     """(id, class_id) of the ``members`` of buckets that have a link; None where there is none.
 
     ``members``: bucket, id, pivot (boolean: one end of a pair at least must be one), each (bucket, id)
-    once, and columns for ``close``, which gives for two prefixes of column names a condition that every
+    once; ``degree``, if there: those with the greatest are held against the others first; and columns for ``close``, which gives for two prefixes of column names a condition that every
     linked pair meets. ``verify`` takes pairs (a, b) and returns those that are links.
     """
     extra = [c for c in members.columns if c not in ("bucket", "id", "pivot")]
-    by_bucket = Window.partitionBy("bucket").orderBy("id")
+    first = [F.desc("degree")] if "degree" in extra else []
+    by_bucket = Window.partitionBy("bucket").orderBy(*first, "id")
     labels, links = None, None
     for take in (*PIVOTS, None):
         if labels is not None:

@@ -181,15 +181,16 @@ def near_duplicates(
     # One document for each different set goes on.
     heads = stored(filled.groupBy(*by_set).agg(F.min("doc_id").alias("head"), F.min("bands").alias("bands"), F.min("bits").alias("bits")), "heads")
     rows_ = heads.select(F.explode("bands").alias("bucket"), F.col("head").alias("id"))
-    shared = rows_.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    shared = rows_.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = rows_.join(stored(shared, "buckets"), "bucket").distinct().withColumn("pivot", F.lit(True))
     members = stored(members, "shared")
     labels = None
     if not members.isEmpty():
-        wanted = stored(members.select("id").distinct(), "wanted")
-        bits = heads.select(F.col("head").alias("id"), "bits").join(wanted, "id", "left_semi").dropDuplicates(["id"])
-        members = members.join(bits, "id")
-        sets = full_sets(plain, wanted.withColumnRenamed("id", "doc_id"), shingle)
+        # Who shares most buckets is in the middle of its group: near copies are linked through it.
+        wanted = stored(members.groupBy("id").agg(F.sum("n").alias("degree")), "wanted")
+        bits = heads.select(F.col("head").alias("id"), "bits").join(wanted, "id").dropDuplicates(["id"])
+        members = members.drop("n").join(bits, "id")
+        sets = full_sets(plain, wanted.select(F.col("id").alias("doc_id")), shingle)
         labels = classes(members, verifier(sets, similarity), close_enough(similarity))
     of_head = heads.select(*by_set, "head")
     if labels is not None:
