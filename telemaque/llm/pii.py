@@ -33,7 +33,10 @@ PATTERNS = {
     "date": r"(?<![0-9A-Za-z/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z/-])",
     "ssn": r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "phone": r"(?<![0-9A-Za-z+])(?:\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{2,4}\)?){2,4}|\(?[2-9][0-9]{2}\)?[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9A-Za-z])",
+    "phone": (
+        r"(?<![0-9A-Za-z+])(?:(?:\+1[ .-]?)?\([2-9][0-9]{2}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+1[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
+        r"|[2-9][0-9]{2}[ .-][0-9]{3}[ .-][0-9]{4}|\+[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5})(?![0-9A-Za-z]|[./-][0-9])"
+    ),
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])",
 }
 KINDS = tuple(PATTERNS)
