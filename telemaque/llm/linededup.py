@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemaque.llm import buffers as B
@@ -31,6 +31,9 @@ from telemaque.llm.linking import classes, stored
 #: (code points from which it holds, edits); lines below the first are left alone.
 EDITS = ((20, 1), (60, 2))
 
+#: Characters of a gram, and bits of a line's gram parities.
+GRAM, BITS = 2, 256
+
 OCCURRENCES = "doc_id long, line_no long, line_id long"
 
 
@@ -197,6 +200,35 @@ def _texts(plain: DataFrame, edits: tuple) -> DataFrame:
     return plain.select("text").mapInArrow(find, "id long, line string")
 
 
+def parities(line: str) -> np.ndarray:
+    """One bit for each class of grams: whether the line has an odd number of them."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    grams = B.sequences(codes, GRAM) >> np.uint64(64 - (BITS.bit_length() - 1))
+    return np.packbits((np.bincount(grams.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
+def _with_parities(texts: DataFrame) -> DataFrame:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [parities(line) for line in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.list_(pa.int64()))], names=["id", "bits"])
+
+    return texts.mapInArrow(add, "id long, bits array<long>")
+
+
+def close_enough(edits: tuple):
+    """A condition that every linked pair meets: an edit changes at most ``GRAM`` grams into others."""
+    most = 2 * GRAM * max(n for _, n in edits)
+
+    def close(a: str, b: str) -> Column:
+        differ = F.lit(0)
+        for i in range(BITS // 64):
+            differ = differ + F.bit_count(F.get(f"{a}bits", F.lit(i)).bitwiseXOR(F.get(f"{b}bits", F.lit(i))))
+        return differ <= most
+
+    return close
+
+
 def _verifier(texts: DataFrame, edits: tuple):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,7 +261,9 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     if not members.isEmpty():
         wanted = members.select("id").distinct()
         texts = stored(_texts(plain, edits).join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
-        labels = classes(members, _verifier(texts, edits))
+        degrees = members.groupBy("id").agg(F.count("*").alias("degree"))
+        members = members.join(stored(_with_parities(texts).join(degrees, "id"), "parities"), "id")
+        labels = classes(members, _verifier(texts, edits), close_enough(edits))
     classed = found.withColumn("class_id", F.col("line_id"))
     if labels is not None:
         classed = found.join(labels.toDF("line_id", "__class"), "line_id", "left").withColumn("class_id", F.coalesce("__class", "line_id")).drop("__class")
