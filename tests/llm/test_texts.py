@@ -99,6 +99,19 @@ def test_pseudonyms(spark):
     assert pii.pseudonymized(docs.where("false"), "key").count() == 0
 
 
+def test_the_shortest_value_of_each_kind_is_found_alone_in_a_text(spark):
+    shortest = {
+        "email": "a@b.c", "ip": "8.8.8.8", "date": "1999-02-28", "ssn": "078-05-1120", "iban": "NO9386011117947",
+        "phone": "+2 34 56 78 9", "card": "4222222222222",
+    }
+    docs = spark.createDataFrame([(k, f"see {v}") for k, v in shortest.items()], "kind string, text string")
+    rows = pii.pseudonymized(docs, "key").collect()
+    assert {r["kind"]: {k: n for k, n in r[pii.FOUND].asDict().items() if n} for r in rows} == {k: {k: 1} for k in shortest}
+    assert all(shortest[r["kind"]] not in r["text"] for r in rows)
+    twice = spark.createDataFrame([("resolver 8.8.8.8",), ("since 2020 8.8.8.8",)], "text string")
+    assert len({r["text"].split(" ")[-1] for r in pii.pseudonymized(twice, "key").collect()}) == 1
+
+
 def test_permutations_are_permutations(spark):
     numbers = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("s"), "id")
     there = numbers.select("s", pii.permuted_text(F.col("s"), "k", "x").alias("t"))
