@@ -25,6 +25,21 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 FOUND = "__found"
 
+#: The countries of each length of account numbers, spaces not counted.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL FK SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(size: int, countries: str) -> str:
+    fours, rest = divmod(size - 4, 4)
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+#: As long as its country has it, so that a word after it is no part of it; then by the general form.
+_IBAN = "|".join([*(_iban_of(n, c) for n, c in _IBAN_LENGTHS.items()), "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"])
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 #: The kinds in the order in which they are tried at a place.
 PATTERNS = {
@@ -32,12 +47,16 @@ PATTERNS = {
     "ip": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
     "date": r"(?<![0-9A-Za-z/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z/-])",
     "ssn": r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBAN})(?![A-Za-z0-9])",
     "phone": (
         r"(?<![0-9A-Za-z+])(?:(?:\+1[ .-]?)?\([2-9][0-9]{2}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\+1[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{3}[ .-]?[0-9]{4}"
         r"|[2-9][0-9]{2}[ .-][0-9]{3}[ .-][0-9]{4}|\+[2-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5})(?![0-9A-Za-z]|[./-][0-9])"
     ),
-    "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])",
+    # In fours, or 4-6-5 and 4-6-4; of the latter, no digits that begin a date or a card in fours.
+    "card": (
+        r"(?<![0-9A-Za-z])(?:[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])"
+        r"|[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{4,5}(?![0-9A-Za-z]|[./-][0-9]|(?:[ -][0-9]{4}){2}))"
+    ),
 }
 KINDS = tuple(PATTERNS)
 ANY = "|".join(PATTERNS.values())

@@ -112,6 +112,16 @@ def test_the_shortest_value_of_each_kind_is_found_alone_in_a_text(spark):
     assert len({r["text"].split(" ")[-1] for r in pii.pseudonymized(twice, "key").collect()}) == 1
 
 
+def test_values_in_common_layouts_are_found(spark):
+    cards = ["3782 822463 10005", "3782-822463-10005", "3056 930902 5904"]
+    ibans = ["BE68 5390 0754 7034", "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "NO93 8601 1117 947"]
+    texts = [(c, f"paid {c} 12/27 AB", "card") for c in cards] + [(i, f"to {i} {w} now", "iban") for i in ibans for w in ("EUR", "2024", "100")]
+    texts += [("2025-01-01", "run 1234 123456 2025-01-01", "date"), ("4111 1111 1111 1111", "run 1234 123456 4111 1111 1111 1111", "card")]
+    docs = spark.createDataFrame(texts, "value string, text string, kind string")
+    for r in pii.pseudonymized(docs, "key").collect():
+        assert r[pii.FOUND][r["kind"]] == 1 and r["value"] not in r["text"], r
+
+
 def test_permutations_are_permutations(spark):
     numbers = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("s"), "id")
     there = numbers.select("s", pii.permuted_text(F.col("s"), "k", "x").alias("t"))
