@@ -1,7 +1,7 @@
 """From raw documents to packed token sequences: rules, line dedup, near dedup, decontamination, packing.
 
 Every stage takes the rows that the one before has kept and returns ``documents``' columns, the last the
-packed pieces. Rows of one ``doc_id`` are taken as one document where stages compare documents.
+packed pieces. Near dedup and decontamination judge rows: those without an id, or with another's, too.
 """
 
 from __future__ import annotations
@@ -25,16 +25,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that of the smallest id."""
-    gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__doc_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__doc_id"), "left_anti")
+    """One row of each group stays: the first of the smallest id; rows without an id come last."""
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")  # read again with the same numbers
+    near = minhash.near_duplicates(rows, doc_id="__row").select(F.col("doc_id").alias("__row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "__row")
+    first = near.join(rows.select("doc_id", "__row"), "__row").groupBy("component_id").agg(F.min(order).alias("first"))
+    first = stored(first.select(F.col("first.__row").alias("__row")), "firsts")
+    return rows.join(first, "__row", "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of the benchmark go."""
+    """Rows with a passage of the benchmark go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = decontam.contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("__doc_id")).distinct()
-    return docs.join(hit, F.col("doc_id") == F.col("__doc_id"), "left_anti")
+    return decontam.without_contaminated(docs, items)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,9 +10,9 @@ the windows found.
 An item of fewer than ``WINDOW`` words is one window; it is found in the same way, with runs as long as
 it allows. There are at most ``WINDOW - 1`` such lengths, each looked for only where the benchmark has it.
 
-Defined results: null or word-less texts have no words and no hits; a null item id is ignored in the
-list of items; repeated documents are judged row by row, items of one id count once; other columns are
-ignored; an empty table on either side gives no hits.
+Defined results: null or word-less texts have no words and no hits; passages of items with a null id are
+hits, but not in the list of items; documents are judged row by row, whether or not they have an id, or
+another's; items of one id count once; other columns are ignored; an empty table on either side gives no hits.
 """
 
 from __future__ import annotations
@@ -96,11 +96,30 @@ def _overlapped(covered: Column) -> Column:
     return F.aggregate(covered, start, add, lambda acc: acc["total"])
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """What tells rows apart: a hash of id and text, each of which may be null."""
+    return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
+
+
 def contamination(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int = K, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """A row per document with the columns ``RESULT``. ``items``: item_id, text."""
-    items = stored(items.select("item_id", "text").where("item_id is not null"), "items")
+    """A row per row of ``docs`` with the columns ``RESULT``. ``items``: item_id, text."""
+    return _judged(docs, items, window, k, doc_id, text).select(*RESULT)
+
+
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int = K, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that hold no passage of the items."""
+    hit = _judged(docs, items, window, k, doc_id, text).where("contaminated").select(F.col("key").alias("__key")).distinct()
+    hit = stored(hit, "contaminated")
+    return docs.join(hit, row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")) == F.col("__key"), "left_anti")
+
+
+def _judged(docs: DataFrame, items: DataFrame, window: int, k: int, doc_id: str, text: str) -> DataFrame:
+    """The columns ``RESULT`` and the ``row_key`` of each row."""
+    items = stored(items.select("item_id", "text"), "items")
     windows = stored(benchmark_windows(items, window), "windows")
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())  # ``window`` numbers at most
     item_words = items.select(word_hashes(F.col("text")).alias("words")).where(F.size("words") > 0)
@@ -109,16 +128,16 @@ def contamination(
     known = stored(known.select("size", F.explode("found").alias("mark")).distinct(), "marks")
 
     texts = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    keyed = texts.withColumn("key", F.xxhash64("text"))  # rows of one id and text have one result
+    keyed = texts.withColumn("key", row_key(F.col("doc_id"), F.col("text")))  # rows of one id and text have one result
     rows = suspected(keyed, stored(loose_marks(items, window, k), "loose"), sizes, k)
     rows = stored(rows, "suspects")
-    suspects = rows.where("suspect").select("doc_id", "key")
+    suspects = rows.where("suspect").select("key")
     found = _hits(keyed, suspects.distinct(), known, windows, sizes, k)
-    by_text = found.groupBy("doc_id", "key")
+    by_text = found.groupBy("key")
     hit = by_text.agg(F.array_sort(F.collect_set(F.struct("start", "size"))).alias("spans"))
-    named = found.join(windows, ["size", "gram"]).select("doc_id", "key", F.col("item_id").cast("string").alias("item")).distinct()
-    named = named.groupBy("doc_id", "key").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    result = rows.join(hit, ["doc_id", "key"], "left").join(named, ["doc_id", "key"], "left")
+    named = found.join(windows, ["size", "gram"]).where("item_id is not null").select("key", F.col("item_id").cast("string").alias("item")).distinct()
+    named = named.groupBy("key").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    result = rows.join(hit, "key", "left").join(named, "key", "left")
     none = F.array().cast("array<string>")
     n_hit = F.coalesce(_overlapped(F.col("spans")), F.lit(0)).cast("long")
     result = result.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))  # repeated rows stay
@@ -129,6 +148,7 @@ def contamination(
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", F.coalesce("items", none)), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
+        "key",
     )
 
 
@@ -197,22 +217,22 @@ def _around(reach: int):
 
 
 def _hits(keyed: DataFrame, suspects: DataFrame, known: DataFrame, windows: DataFrame, sizes: list[int], k: int) -> DataFrame:
-    """(doc_id, key, start, size, gram): the windows of suspected texts that the benchmark has.
+    """(key, start, size, gram): the windows of suspected texts that the benchmark has.
 
     A fingerprint met at word i is extended to the windows that hold it.
     """
-    again = keyed.join(suspects, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
-    words = again.select("doc_id", "key", word_hashes(F.col("text")).alias("words"))
+    again = keyed.join(suspects, "key").dropDuplicates(["key"])
+    words = again.select("key", word_hashes(F.col("text")).alias("words"))
     out = None
     for n in sizes:
         part = min(k, n)
-        full = words.select("doc_id", "key", _grams(F.col("words"), part).alias("marks"), _grams(F.col("words"), n).alias("grams"))
+        full = words.select("key", _grams(F.col("words"), part).alias("marks"), _grams(F.col("words"), n).alias("grams"))
         places = F.when(F.size("marks") > 0, F.sequence(F.lit(0), F.size("marks") - 1)).otherwise(F.array().cast("array<int>"))
-        around = full.select("doc_id", "key", F.inline(F.transform(places, _around(n - part))))
+        around = full.select("key", F.inline(F.transform(places, _around(n - part))))
         marks = known.where(F.col("size") == n).select("mark")
-        near = around.join(marks, "mark", "left_semi").select("doc_id", "key", "from", F.posexplode("near").alias("i", "gram"))
-        near = near.select("doc_id", "key", (F.col("from") + F.col("i")).alias("start"), F.lit(n).alias("size"), "gram").distinct()
+        near = around.join(marks, "mark", "left_semi").select("key", "from", F.posexplode("near").alias("i", "gram"))
+        near = near.select("key", (F.col("from") + F.col("i")).alias("start"), F.lit(n).alias("size"), "gram").distinct()
         out = near if out is None else out.union(near)
     if out is None:
-        return suspects.select("doc_id", "key", F.lit(0).alias("start"), F.lit(0).alias("size"), F.lit(0).cast("long").alias("gram")).where("false")
-    return stored(out.join(windows.select("size", "gram").distinct(), ["size", "gram"], "left_semi").select("doc_id", "key", "start", "size", "gram"), "hits")
+        return suspects.select("key", F.lit(0).alias("start"), F.lit(0).alias("size"), F.lit(0).cast("long").alias("gram")).where("false")
+    return stored(out.join(windows.select("size", "gram").distinct(), ["size", "gram"], "left_semi").select("key", "start", "size", "gram"), "hits")

@@ -51,3 +51,16 @@ def test_registered():
     assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{n}" for n in range(1, 11)} and "pipeline" in names
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "near_dedup", "decontamination", "best_fit_packing"]
     assert decontam.WINDOW == 10 and quality.Limits().min_words == 50
+
+
+def test_stages_drop_rows_without_an_id_and_repeated_rows(spark):
+    text, other = (" ".join(f"{x}{i}" for i in range(60)) for x in "wv")
+    passage = spark.read.parquet(f"{SMALL}/benchmark.parquet").orderBy("item_id").first()["text"]
+    rows = [(None, text), (3, text), (3, text), (None, text + " more"), (None, other), (None, other), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stages = dict(corpus_pipeline.STAGES)
+    left = stages["near_dedup"](spark, docs, SMALL)
+    assert left.columns == docs.columns
+    assert sorted((tuple(r) for r in left.collect()), key=str) == sorted([(3, text), (None, other), (4, "")], key=str)
+    leaked = docs.union(spark.createDataFrame([(None, f"{text} {passage}"), (4, f"x {passage}")], docs.schema))
+    assert sorted(map(str, stages["decontamination"](spark, leaked, SMALL).collect())) == sorted(map(str, docs.collect()))

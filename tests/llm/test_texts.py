@@ -228,3 +228,18 @@ def test_contamination_equals_brute_force(spark):
         known = [tuple(r) for r in some.collect() if r[0] is not None]
         assert got == sorted(brute_contamination([tuple(r) for r in docs.collect()], known), key=str)
     assert decontam.contamination(docs.where("false"), items).count() == 0
+
+
+def test_contamination_of_rows_and_items_without_an_id(spark):
+    leak, other = (" ".join(f"{x}{i}" for i in range(14)) for x in "pq")
+    rows = [(None, f"see {leak}"), (None, f"see {leak}"), (None, f"see {other}"), (None, "clean"), (None, None), (5, f"see {other}"), (5, "clean")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(7, leak), (None, other)], "item_id long, text string")
+    expected = []
+    for doc, n_words, n_hit, _, _, contaminated in brute_contamination(rows, [(7, leak), (8, other)]):
+        expected.append((doc, n_words, n_hit, contaminated))
+    got = decontam.contamination(docs, items).collect()
+    assert sorted((tuple(r[c] for c in ("doc_id", "n_words", "n_hit", "contaminated")) for r in got), key=str) == sorted(expected, key=str)
+    assert sum(r["n_hit"] == 14 for r in got) == 4 and sum(r["n_items"] for r in got) == 2
+    left = decontam.without_contaminated(docs, items)
+    assert sorted((tuple(r) for r in left.collect()), key=str) == [(5, "clean"), (None, "clean"), (None, None)] and left.columns == docs.columns
