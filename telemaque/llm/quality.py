@@ -4,7 +4,8 @@ Each text gets counts of words, symbols, repeated lines and repeated word window
 a document by itself. Soft rules have two limits, and its host says which of them holds: the failures
 of each soft rule are totalled by host, the hosts' rates are shrunk towards the rate of all hosts with
 a beta prior fitted to them (so that hosts of few documents are not judged by these alone), and the
-verdicts on hosts (strict or not) are joined back to the documents.
+verdicts on hosts (strict or not) are joined back to the documents. A host is strict where it fails more
+often than not, or for sure well above the rate of all hosts.
 
 Defined results: a null text counts as empty; an empty one has no words and fails. A null host is a
 host of its own. Repeated rows are judged row by row. An empty table gives an empty table. Columns
@@ -43,8 +44,11 @@ class Limits:
     symbols: tuple[float, float] = (0.1, 0.3)
     dup_lines: tuple[float, float] = (0.3, 0.5)  # of the lines that have a word
     soft_repeat_words: tuple[float, float] = (0.2, 0.4)
-    #: A host is strict in a rule from this shrunk rate of failures (of the strict limit) on.
+    #: A host is strict in a rule from this shrunk rate of failures (of the strict limit) on, whatever the others have,
     host_rate: float = 0.5
+    #: or where its rate is, by this many standard deviations of its posterior, above this multiple of the rate of all hosts.
+    host_sigmas: float = 3.0
+    host_times: float = 2.0
 
 
 def text_counts(column: pa.Array) -> dict[str, np.ndarray]:
@@ -138,7 +142,7 @@ def soft_failures(limits: Limits = Limits(), strict: bool = True) -> dict[str, C
 
 
 def host_rates(counted: DataFrame, host: str = "source", limits: Limits = Limits()) -> DataFrame:
-    """A row per host: its documents, and for each soft rule its failures and shrunk rate.
+    """A row per host: its documents, and for each soft rule its failures, shrunk rate and verdict (strict).
 
     The prior of a rule is a beta distribution with the mean of all documents and the strength that
     the spread of the hosts' rates, less what their sizes explain, gives (moments).
@@ -160,7 +164,11 @@ def host_rates(counted: DataFrame, host: str = "source", limits: Limits = Limits
         spread = F.col(f"{k}_squares") / F.col("all_n") - mean * mean - noise * F.col("n_hosts") / F.col("all_n")
         strength = F.when(spread > 0, F.greatest(noise / spread - 1, F.lit(1.0))).otherwise(F.col("all_n").cast("double"))
         rated = rated.withColumn(f"{k}_rate", (F.col(f"{k}_failed") + strength * mean) / (F.col("n") + strength))
-    return rated.select("host", "n", *[c for k in rules for c in (f"{k}_failed", f"{k}_rate")])
+        rate = F.col(f"{k}_rate")
+        sigma = F.sqrt(F.greatest(rate * (1 - rate), F.lit(0.0)) / (F.col("n") + strength + 1))
+        above = (rate > mean) & (rate - limits.host_sigmas * sigma >= limits.host_times * mean)
+        rated = rated.withColumn(f"{k}_strict", (rate >= limits.host_rate) | above)
+    return rated.select("host", "n", *[c for k in rules for c in (f"{k}_failed", f"{k}_rate", f"{k}_strict")])
 
 
 def judged(docs: DataFrame, text: str = "text", host: str = "source", limits: Limits = Limits()) -> DataFrame:
@@ -172,7 +180,7 @@ def judged(docs: DataFrame, text: str = "text", host: str = "source", limits: Li
     rates = host_rates(with_counts(docs.select(text, host), text), host, limits)
     tight, wide = soft_failures(limits), soft_failures(limits, strict=False)
     verdicts = rates.select(
-        F.col("host").alias("__host"), F.struct(*[(F.col(f"{k}_rate") >= limits.host_rate).alias(k) for k in tight]).alias("__strict")
+        F.col("host").alias("__host"), F.struct(*[F.col(f"{k}_strict").alias(k) for k in tight]).alias("__strict")
     )
     joined = counted.join(verdicts, F.col(f"`{host}`").eqNullSafe(F.col("__host")), "left")
     held = [F.when(F.when(F.col(f"__strict.{k}"), tight[k]).otherwise(wide[k]), F.lit(k)) for k in tight]

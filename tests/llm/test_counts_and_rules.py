@@ -78,6 +78,17 @@ def test_hosts_are_judged_by_shrunk_rates(spark):
     assert quality.keep_good(docs).columns == docs.columns
 
 
+def test_a_host_well_above_the_others_is_strict(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    some = good + " #" * 10  # between the two limits
+    rows = [(1000 * h + i, some if i < (120 if h == 0 else 8) else good, f"host{h}") for h in range(20) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    strict = {r["host"] for r in quality.host_rates(quality.with_counts(docs)).where("symbols_strict").collect()}
+    assert strict == {"host0"}  # 0.3 of its documents, 0.02 of the others'
+    kept = {r["doc_id"] for r in quality.keep_good(docs).select("doc_id").collect()}
+    assert {i for i, *_ in rows} - kept == set(range(120))
+
+
 def test_rules_on_hostile_and_empty_tables(spark):
     docs = hostile(spark)
     judged = quality.judged(docs).collect()
