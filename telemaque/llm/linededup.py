@@ -6,13 +6,15 @@ line within t edits holds at least one unchanged, displaced by no more than the
 So each line is entered in an index by (length, segment number, segment), and looked up with those of
 its own substrings that could be a segment of a line as long or up to t shorter, where segments before
 and after a match leave room for the rest of the edits. Candidates are verified by a banded bit-parallel
-edit distance. The allowed edits follow from the shorter line's length (``EDITS``).
+edit distance. The allowed edits follow from the shorter line's length (``EDITS``; from ``LONG`` code points
+on a share of them, for which segments would need too many probes: pairs of long lines meet in the
+fingerprints of winnowed pieces instead, of which they share one for sure).
 
 Equal lines are one entry throughout; a line's identity is a 64-bit hash. Lines are split at line feeds;
 lengths and edits count code points.
 
-Defined results: lines of fewer than ``EDITS[0][0]`` code points carry too little to be judged: they
-are no rows of the result and stay in their texts. A null text has no lines. Rows of one id are one
+Defined results: lines of fewer than ``EDITS[0][0]`` code points are linked with exact copies only; lines of
+nothing but white space are no rows of the result and stay in their texts. A null text has no lines. Rows of one id are one
 document; other columns are ignored; an empty table gives an empty table.
 """
 
@@ -28,8 +30,12 @@ from pyspark.sql import functions as F
 from telemaque.llm import buffers as B
 from telemaque.llm.linking import classes, stored
 
-#: (code points from which it holds, edits); lines below the first are left alone.
+#: (code points from which it holds, edits); of lines below the first only exact copies are linked.
 EDITS = ((20, 1), (60, 2))
+#: From LONG code points on, PER_CENT of them are the allowed edits. Two lines within these have RUN code points
+#: in a row in common, so the least of the hashes of RUN - PIECE + 1 consecutive pieces in it is the same in both.
+LONG, PER_CENT = 100, 3
+RUN, PIECE = 25, 12
 
 #: Characters of a gram, and bits of a line's gram parities.
 GRAM, BITS = 2, 256
@@ -49,9 +55,11 @@ class Lines:
         self.row = np.repeat(np.arange(len(at) - 1), np.diff(first))
         self.number = np.arange(len(start)) - first[self.row]
         self.start, self.end = before[start], before[end]
-        long = self.end - self.start >= edits[0][0]
+        inked = np.zeros(len(self.codes) + 1, dtype=np.int64)
+        np.cumsum((self.codes != 32) & ((self.codes < 9) | (self.codes > 13)), out=inked[1:])
+        judged = inked[self.end] > inked[self.start]
         for name in ("row", "number", "start", "end"):
-            setattr(self, name, getattr(self, name)[long])
+            setattr(self, name, getattr(self, name)[judged])
         self.size = self.end - self.start
         self.sums = np.zeros(len(self.codes) + 1, dtype=np.uint64)
         np.cumsum(B.mix(self.codes + B.GOLDEN) * B._power(B.BASE, len(self.codes)), out=self.sums[1:])
@@ -65,7 +73,32 @@ def allowed(size: np.ndarray, edits: tuple = EDITS) -> np.ndarray:
     out = np.zeros(len(size), dtype=np.int64)
     for least, n in edits:
         out[size >= least] = n
-    return out
+    return np.where(size >= LONG, np.asarray(size) * PER_CENT // 100, out)
+
+
+def allowed_column(size: Column, edits: tuple = EDITS) -> Column:
+    out = F.lit(0)
+    for least, n in edits:
+        out = F.when(size >= least, F.lit(n)).otherwise(out)
+    return F.when(size >= LONG, F.floor(size * PER_CENT / 100)).otherwise(out)
+
+
+def winnowed(lines: Lines, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, place among the lines) for the fingerprints of the lines ``which``, all of RUN code points at least."""
+    count = lines.end[which] - lines.start[which] - PIECE + 1
+    owner = np.repeat(np.arange(len(which)), count)
+    at = lines.start[which][owner] + np.arange(len(owner)) - (np.cumsum(count) - count)[owner]
+    least, width, span = B.mix(B.spans(lines.sums, at, at + PIECE) ^ B.mix(np.full(1, PIECE, dtype=np.uint64))), 1, RUN - PIECE + 1
+    while width < span:
+        step = min(width, span - width)
+        least = np.minimum(least[: len(least) - step], least[step:])
+        width += step
+    first = np.arange(len(least))
+    whole = owner[: len(least)] == owner[first + span - 1]
+    least, owner = least[whole], owner[: len(whole)][whole]
+    new = np.ones(len(least), dtype=bool)
+    new[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
+    return least[new], which[owner[new]]
 
 
 def segment(size: np.ndarray, parts: int, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,6 +138,10 @@ def entries(lines: Lines, edits: tuple = EDITS, index_only: bool = False) -> tup
                 for shift in range(lo, hi + 1):
                     if shorter or shift:
                         add(probes, other[probes], parts, i, shift, length, at, False)
+    long = one[size >= LONG]
+    if len(long):
+        bucket, place = winnowed(lines, long)
+        found.append((bucket, place, np.ones(len(place), dtype=bool)))
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -210,21 +247,23 @@ def parities(line: str) -> np.ndarray:
 def _with_parities(texts: DataFrame) -> DataFrame:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = [parities(line) for line in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.list_(pa.int64()))], names=["id", "bits"])
+            lines = batch.column(1).to_pylist()
+            bits = [parities(line) for line in lines]
+            columns = [batch.column(0), pa.array([len(line) for line in lines], pa.int64()), pa.array(bits, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "size", "bits"])
 
-    return texts.mapInArrow(add, "id long, bits array<long>")
+    return texts.mapInArrow(add, "id long, size long, bits array<long>")
 
 
 def close_enough(edits: tuple):
-    """A condition that every linked pair meets: an edit changes at most ``GRAM`` grams into others."""
-    most = 2 * GRAM * max(n for _, n in edits)
+    """A condition that every linked pair meets: an edit changes the length by one and ``GRAM`` grams into others at most."""
 
     def close(a: str, b: str) -> Column:
         differ = F.lit(0)
         for i in range(BITS // 64):
             differ = differ + F.bit_count(F.get(f"{a}bits", F.lit(i)).bitwiseXOR(F.get(f"{b}bits", F.lit(i))))
-        return differ <= most
+        limit = allowed_column(F.least(f"{a}size", f"{b}size"), edits)
+        return (F.abs(F.col(f"{a}size") - F.col(f"{b}size")) <= limit) & (differ <= 2 * GRAM * limit)
 
     return close
 

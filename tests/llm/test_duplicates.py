@@ -95,6 +95,27 @@ def test_line_classes_equal_brute_force(spark):
         assert left.get(i, "") == "\n".join(kept)
 
 
+def test_near_copies_of_long_lines_and_copies_of_short_ones(spark):
+    rnd = random.Random(8)
+    assert all(-(-(n - t) // (t + 1)) >= linededup.RUN for n in range(linededup.LONG, 5000) for t in [n * linededup.PER_CENT // 100])
+    lines = ["Menu", "}"]
+    for size in (99, 101, 140, 300, 1000):
+        base = "".join(rnd.choice("abcdefgh ") for _ in range(size))
+        most = int(linededup.allowed(np.array([size]))[0])
+        lines += [base] + [changed(rnd, base, n) for n in (1, most // 2, most, most + 1, 2 * most + 2)]
+    docs = spark.createDataFrame([(i, f"{line}\n\nMenu\n}}") for i, line in enumerate(lines)], "doc_id long, text string")
+    every = [(i, n, x) for i, line in enumerate(lines) for n, x in ((0, line), (2, "Menu"), (3, "}"))]
+    pairs = []
+    for k, a in enumerate(every):
+        for b in every[:k]:
+            limit = linededup.allowed(np.array([min(len(a[2]), len(b[2]))]))[0]
+            if a[2] == b[2] or (abs(len(a[2]) - len(b[2])) <= limit and edits(a[2], b[2]) <= limit):
+                pairs.append((a[:2], b[:2]))
+    got = linededup.line_classes(docs).collect()
+    assert {(r["doc_id"], r["line_no"]): (r["class_doc_id"], r["class_line_no"]) for r in got} == groups([x[:2] for x in every], pairs)
+    assert len({(r["class_doc_id"], r["class_line_no"]) for r in got}) < len(lines) - 5
+
+
 def test_line_dedup_on_hostile_and_empty_tables(spark):
     docs = hostile(spark)
     out = linededup.without_repeats(docs)
