@@ -35,7 +35,7 @@ _VALUE = np.uint64((1 << 54) - 1)
 #: Lowest bits of as many coordinates, in words: a similarity s makes (1 + s) / 2 of them agree.
 BITS = 256
 #: Standard deviations below what a linked pair has on average that a candidate may have.
-SLACK = 6
+SLACK = 8
 
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bits array<long>"
 
@@ -123,7 +123,10 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
 
 
 def close_enough(similarity: int):
-    """The condition on the ``bits`` of two sketches that a linked pair meets but once in a thousand million."""
+    """The condition on the ``bits`` of two sketches that a linked pair meets but with probability 1.5e-12.
+
+    That is the binomial tail below the limit at the default similarity of 0.8: 191 of 256 bits or fewer agree.
+    """
     share = (1 + similarity / 100) / 2
     least = BITS * share - SLACK * (BITS * share * (1 - share)) ** 0.5
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from collections import defaultdict
 
@@ -145,6 +146,13 @@ def test_sketches_fill_and_agree_like_the_sets():
     assert abs((sketch[4] == sketch[5]).mean() - 600 / 1200) < 0.1
 
 
+def test_the_condition_on_sketch_bits_loses_less_than_the_bands():
+    share = (1 + minhash.SIMILARITY / 100) / 2
+    least = math.ceil(minhash.BITS * share - minhash.SLACK * (minhash.BITS * share * (1 - share)) ** 0.5)
+    lost = sum(math.comb(minhash.BITS, k) * share**k * (1 - share) ** (minhash.BITS - k) for k in range(least))
+    assert lost < 1.6e-12
+
+
 def brute_groups(docs, n, similarity=80):
     sets = {}
     for doc, text in docs:
