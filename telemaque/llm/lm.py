@@ -38,7 +38,7 @@ from telemaque.llm import buffers as B
 from telemaque.llm.linking import stored
 from telemaque.workspace import fresh_dir
 
-ORDER = 2
+ORDER = 3
 #: Words that a task sums up at a time.
 COUNTED = 1 << 22
 END, BEGIN = B.seeded(2, 21)

@@ -77,6 +77,13 @@ def test_the_model_beats_the_base_on_held_out_text(spark):
     assert all(r["score"] < 0 for r in rows)
 
 
+def test_the_registered_model_has_two_words_of_history(spark):
+    rows = [(i, "a b c" if i % 2 else "x b d") for i in range(10)] + [(10, "x b c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm.scored(docs, lm.trained(docs.where("doc_id < 10")), F.col("doc_id") == 10).collect()}
+    assert got[1] > got[10] + 0.1  # alike by pairs of words
+
+
 def test_pseudonyms(spark):
     texts = [
         "a.b@c.example.com 4041894974608795 4041-8949-7460-8795 4041894974608796 55.63.178.142.",
