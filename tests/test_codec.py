@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from telemaque.operators import codec
 from telemaque.schemas import EMERGENCY, ENVELOPE, TOPICS, TRIP, VEHICLE, WEATHER
 from telemaque.sources.files import read_json
-from tests.samples import EMERGENCY_TEXT, T0, TRIP_TEXT, VEHICLE_TEXT, WEATHER_TEXT, envelope, trip_text
+from tests.samples import EMERGENCY_TEXT, SAMPLE_TIME, T0, TRIP_TEXT, VEHICLE_TEXT, WEATHER_TEXT, envelope, trip_text
 
 
 def decode_one(spark, text, schema):
@@ -32,9 +32,9 @@ def test_unknown_fields_are_ignored_and_missing_ones_null(spark):
 
 def test_wrong_types_null_only_their_field(spark):
     trip = decode_one(spark, TRIP_TEXT, TRIP)
-    assert trip["flag_arrivee"] is None and trip["heure_depart"] == T0
+    assert trip["flag_arrivee"] is None and trip["heure_depart"] == SAMPLE_TIME
     car = decode_one(spark, VEHICLE_TEXT, VEHICLE)
-    assert car["année"] is None and car["marque"] == "BMW" and car["speed"] == 0.0
+    assert car["année"] is None and car["marque"] == "Make 7" and car["speed"] == 12.5
     assert decode_one(spark, '{"vin": "V", "speed": "45"}', VEHICLE)["speed"] is None
     assert decode_one(spark, '{"vin": "V", "année": 99999999999}', VEHICLE)["année"] is None
     bad_time = decode_one(spark, trip_text(time="yesterday"), TRIP)
@@ -54,9 +54,9 @@ def test_declared_required_fields_come_back_nullable(spark):
 
 
 def test_the_other_topics(spark):
-    assert decode_one(spark, EMERGENCY_TEXT, EMERGENCY)["emergencyStatus"] == "ON GOING"
+    assert decode_one(spark, EMERGENCY_TEXT, EMERGENCY)["emergencyStatus"] == "RESOLVED"
     weather = decode_one(spark, WEATHER_TEXT, WEATHER)
-    assert (weather["temperature"], weather["wind_dir"], weather["WeatherTime"]) == (-2, "W", T0)
+    assert (weather["temperature"], weather["wind_dir"], weather["WeatherTime"]) == (11, "S", datetime(2031, 5, 6, 7, 11))
 
 
 def test_invalid_utf8_stays_readable_or_becomes_null(spark):
