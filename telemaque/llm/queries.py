@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemaque.llm import chat, decontam, linededup, lm, minhash, packing, pii, quality, tokencount, warc
+from telemaque.llm import audit, chat, codes, decontam, linededup, lm, minhash, packing, pii, quality, secrets, tokencount, warc
+from telemaque.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 FIRST_CAPTURE = 1_704_067_200  # 2024-01-01
@@ -80,6 +81,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compressed(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_pii": op2_pii,
@@ -91,5 +104,7 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_filter_interaction_audit": op11_filter_interaction_audit,
+    "op12_vector_code_compression": op12_vector_code_compression,
+    "op13_secret_scans": op13_secret_scans,
 }
-ORACLE_SQL: dict[str, str] = {}
