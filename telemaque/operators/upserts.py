@@ -30,19 +30,17 @@ def last_write(keys: Sequence[str], order: Sequence[str] = PING_ORDER) -> Transf
     return apply
 
 
-def point_upsert(precision_s: int = 1, order: Sequence[str] = PING_ORDER) -> Transform:
-    """The points a time-series store keeps: one per trip, both places and time slot.
-
-    A point without a time cannot be stored and is dropped.
-    """
+def timed_points(precision_s: int = 1) -> Transform:
+    """Points with ``epoch_s``, the second their time slot begins. A point without a time cannot be stored and is dropped."""
     second = epoch_seconds(F.col("heure_depart"))
     slot = second if precision_s == 1 else (F.floor(second / F.lit(precision_s)) * precision_s)
+    return lambda flat: flat.where(F.col("heure_depart").isNotNull()).withColumn("epoch_s", slot.cast("bigint"))
 
-    def apply(flat: DataFrame) -> DataFrame:
-        dated = flat.where(F.col("heure_depart").isNotNull()).withColumn("epoch_s", slot.cast("bigint"))
-        return dated.transform(last_write(("tripId", "departure_name", "arrival_name", "epoch_s"), order))
 
-    return apply
+def point_upsert(precision_s: int = 1, order: Sequence[str] = PING_ORDER) -> Transform:
+    """The points a time-series store keeps: one per trip, both places and time slot."""
+    latest = last_write(("tripId", "departure_name", "arrival_name", "epoch_s"), order)
+    return lambda flat: flat.transform(timed_points(precision_s)).transform(latest)
 
 
 def trip_latest(order: Sequence[str] = PING_ORDER) -> Transform:

@@ -74,6 +74,24 @@ def trip_rows(events: DataFrame, *keep: str | Column) -> DataFrame:
     )
 
 
+def arrival_rows(events: DataFrame, *keep: str | Column) -> DataFrame:
+    """The arrival ping of each trip that has ended (those of users with an even number).
+
+    It repeats the time and the position of the trip's last ping, with the flag set, and has come in by another
+    partition, at a lower offset: only the flag shows that it is the later one.
+    """
+    place = _place(F.col("event_id"))
+    last = F.max_by(F.struct("event_id", "ts", "event_type", "value"), F.struct("ts", *place)).alias("last")
+    ended = events.where(F.col("user_id") % 2 == 0).groupBy("user_id").agg(last).select("user_id", "last.*")
+    elsewhere = {"partition": (F.col("partition") + 1) % PARTITIONS, "offset": F.col("offset") - 1, "flag_arrivee": F.lit(True)}
+    return trip_rows(ended, *keep).withColumns(elsewhere)
+
+
+def stored_rows(events: DataFrame, *keep: str | Column) -> DataFrame:
+    """All pings of the trips, arrivals included."""
+    return trip_rows(events, *keep).unionByName(arrival_rows(events, *keep))
+
+
 def vehicle_rows(events: DataFrame) -> DataFrame:
     user = F.col("user_id")
     first = events.where(F.col("event_type") == "signup").groupBy("user_id").agg(F.min("ts").alias("ts"))

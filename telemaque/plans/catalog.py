@@ -11,13 +11,13 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from telemaque.operators import codec, trips, upserts, views
 from telemaque.operators.dedupe import dedupe_events
 from telemaque.operators.payloads import payload_chunks
-from telemaque.plans import binding
+from telemaque.plans import binding, streams
 from telemaque.plans.binding import events_stream, events_table, messages
+from telemaque.plans.streams import zoneless
 from telemaque.schemas import TOPICS, TRIP
 from telemaque.sinks.tables import append_csv, append_sink, publish, read_csv
 from telemaque.sources.files import read_json
@@ -35,12 +35,6 @@ LINES_PER_BODY = 1000
 NEAR_KM = 210.0
 
 
-def zoneless(df: DataFrame) -> DataFrame:
-    """Instants as plain UTC wall-clock times."""
-    times = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
-    return df.withColumns({name: F.col(f"`{name}`").cast("timestamp_ntz") for name in times})
-
-
 def flat_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed flat trip rows with their place in the topic, straight from the table."""
     rows = binding.trip_rows(events_table(spark, sf_dir))
@@ -244,11 +238,9 @@ def available_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stored_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat rows with the broker's time, as stored rows have it. Pings are dated to the day, so that equal
-    event times, which the arrival flag and the broker's time settle, are the rule."""
-    rows = binding.trip_rows(events_table(spark, sf_dir), F.col("ts").cast("timestamp").alias("timestamp"))
-    dated = rows.withColumn("heure_depart", F.date_trunc("day", "heure_depart"))
-    return dated.transform(trips.flatten_trip((*PLACE, "timestamp"))).transform(trips.cast_positions)
+    """Flat rows with the broker's time, as stored rows have it, arrival pings included."""
+    rows = binding.stored_rows(events_table(spark, sf_dir), F.col("ts").cast("timestamp").alias("timestamp"))
+    return rows.transform(trips.flatten_trip((*PLACE, "timestamp"))).transform(trips.cast_positions)
 
 
 def point_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -369,4 +361,5 @@ QUERIES: dict[str, Query] = {
     "stream_to_parquet": stream_to_parquet,
     "stream_line_protocol": stream_line_protocol,
     "fan_out": fan_out_streams,
+    **streams.QUERIES,
 }

@@ -150,9 +150,14 @@ def _sql(body: str, *ctes: str) -> str:
     return f"WITH {bound}\n{body}"
 
 
-# Pings dated to the day, with the broker's time; of one time, an arrival is the last.
+# All pings with the broker's time; each trip of an even user ends with one that repeats the last time, with the flag.
 _STORED = """stored AS (
-  SELECT * REPLACE (date_trunc('day', heure_depart)::TIMESTAMP AS heure_depart), heure_depart AS "timestamp" FROM flat
+  SELECT *, heure_depart AS "timestamp" FROM flat
+  UNION ALL
+  SELECT * REPLACE (CAST(("partition" + 1) % 4 AS INTEGER) AS "partition", "offset" - 1 AS "offset", true AS flag_arrivee),
+         heure_depart AS "timestamp"
+  FROM (SELECT * FROM flat WHERE CAST(substr("tripId", 3) AS BIGINT) % 2 = 0
+        QUALIFY row_number() OVER (PARTITION BY "tripId" ORDER BY heure_depart DESC, "partition" DESC, "offset" DESC) = 1)
 )"""
 _LAST = 'heure_depart DESC, flag_arrivee DESC, "timestamp" DESC, "partition" DESC, "offset" DESC'
 _STATUS = f"""{_STORED},
@@ -161,6 +166,40 @@ status AS (
   FROM (SELECT *, row_number() OVER (PARTITION BY "tripId" ORDER BY {_LAST}) AS rn FROM stored) WHERE rn = 1
 )"""
 
+# Slices of time in which messages are sent, and the watermark that the last of them leads to.
+def _sliced(count: int) -> str:
+    return f"""span AS (
+  SELECT CAST(floor(epoch(min(heure_depart))) AS BIGINT) AS low, CAST(floor(epoch(max(heure_depart))) AS BIGINT) AS high,
+         max(heure_depart) AS last FROM flat
+),
+sliced AS (
+  SELECT f.*, ({count} * (CAST(floor(epoch(heure_depart)) AS BIGINT) - low)) // (high - low + 1) AS own
+  FROM flat f, span
+),
+sent AS (
+  SELECT *, CASE WHEN event_id % 7 = 0 THEN least(own + 1, {count - 1}) ELSE own END AS slice FROM sliced
+),
+taken AS (SELECT * FROM sliced WHERE NOT (own = 0 AND event_id % 11 = 0)),
+mark AS (
+  SELECT date_trunc('milliseconds', last) - to_seconds((high - low + 1 + {count - 1}) // {count} + 3600) AS watermark FROM span
+)"""
+
+
+_MEASURES = """count(*) AS n_pings, count(*) FILTER (flag_arrivee) AS n_arrivals, min(heure_depart) AS first_ping,
+       max(heure_depart) AS last_ping, min(departure_latitude) AS min_latitude, max(departure_latitude) AS max_latitude"""
+
+
+def _windows(size_h: int, slide_h: int) -> str:
+    starts = ", ".join(str(i) for i in range(size_h // slide_h))
+    return _sql(
+        f"""SELECT departure_name, window_start, window_start + INTERVAL '{size_h}' HOUR AS window_end, {_MEASURES}
+FROM (SELECT *, time_bucket(INTERVAL '{slide_h}' HOUR, heure_depart, TIMESTAMP '1970-01-01') - to_hours({slide_h} * i) AS window_start
+      FROM taken, (SELECT unnest([{starts}]) AS i)), mark
+GROUP BY departure_name, window_start, watermark
+HAVING window_start + INTERVAL '{size_h}' HOUR <= watermark""",
+        _sliced(4),
+    )
+
 
 _MESSAGE_TEXT = "\nUNION ALL\n".join(
     f"SELECT '{topic}' AS topic, {_PLACE}, {text} AS decoded_value FROM {table}"
@@ -317,4 +356,39 @@ FROM flat"""
             )
         )
     ),
+    "trip_sessions": _sql(
+        f"""SELECT "tripId", min(heure_depart) AS session_start, max(heure_depart) + INTERVAL '6' HOUR AS session_end, {_MEASURES}
+FROM (
+  SELECT *, sum(starts) OVER (PARTITION BY "tripId" ORDER BY heure_depart, event_id) AS session FROM (
+    SELECT *, CASE WHEN heure_depart <= lag(heure_depart) OVER (PARTITION BY "tripId" ORDER BY heure_depart, event_id)
+      + INTERVAL '6' HOUR THEN 0 ELSE 1 END AS starts FROM taken)), mark
+GROUP BY "tripId", session, watermark
+HAVING max(heure_depart) + INTERVAL '6' HOUR <= watermark""",
+        _sliced(4),
+    ),
+    "departure_days": _windows(24, 24),
+    "departure_windows": _windows(24, 12),
+    "trip_360_stream": _sql(
+        """SELECT f."partition", f."offset", f."tripId", f.heure_depart, v.immatriculation, v."DateDebutTrajet",
+       e."EmergencyTime", e."emergencyType", e."emergencyStatus", w."WeatherTime", w."weatherCondition", w.temperature
+FROM flat f
+JOIN vehicle v ON f."tripId" = v."IDTrajet"
+ AND v."DateDebutTrajet" BETWEEN f.heure_depart - INTERVAL '10' DAY AND f.heure_depart + INTERVAL '10' DAY
+JOIN emergency e ON f."tripId" = e."emergencyTrip"
+ AND e."EmergencyTime" BETWEEN f.heure_depart - INTERVAL '6' HOUR AND f.heure_depart + INTERVAL '6' HOUR
+JOIN weather w ON f."tripId" = w."weatherTrip"
+ AND w."WeatherTime" BETWEEN f.heure_depart - INTERVAL '6' HOUR AND f.heure_depart + INTERVAL '6' HOUR"""
+    ),
+    "dedupe_stream": _sql(f"SELECT DISTINCT {_FLAT_NAMES} FROM flat"),
+    "one_read_two_sinks": _sql(
+        "\nUNION ALL\n".join(
+            f"""SELECT '{sink}' AS sink, CAST(slice AS INTEGER) AS batch_id, count(*) AS n_rows, count(DISTINCT "tripId") AS n_trips
+FROM sent GROUP BY slice"""
+            for sink in ("rows", "points")
+        ),
+        _sliced(3),
+    ),
+    "recovered_sink": _sql(f"SELECT {_LINE} AS line FROM flat"),
 }
+# What a table kept up to date batch by batch holds in the end is what one pass over all rows gives.
+ORACLE_SQL |= {"trip_latest_stream": ORACLE_SQL["trip_latest"], "point_upsert_stream": ORACLE_SQL["point_upsert"]}

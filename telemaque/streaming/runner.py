@@ -19,7 +19,7 @@ log = logging.getLogger(__name__)
 
 SHOWN = ("memory", "console")
 AVAILABLE_NOW: Mapping[str, object] = {"availableNow": True}
-POLL_S = 1
+POLL_S = 0.05
 PAUSE_S = 0.5
 
 
@@ -112,12 +112,13 @@ def supervise(
                 running[name] = starters[name]()
             except Exception as error:  # noqa: BLE001 - whatever keeps it from starting counts as a failure
                 count(name, error)
-        if not running:
-            time.sleep(POLL_S / 10)
+        time.sleep(POLL_S)
         for name, query in list(running.items()):
+            if query.isActive:
+                continue
             try:
-                if query.awaitTermination(POLL_S):
-                    del running[name]
+                query.awaitTermination()  # has ended: returns, or raises, at once
+                del running[name]
             except StreamingQueryException as error:
                 del running[name]
                 if _committed(query):

@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from telemaque.operators import codec, trips
 from telemaque.schemas import TOPICS, TRIP
+from telemaque.sinks.keyed import KeyedTable
 from telemaque.sources.topics import read_topic
-from telemaque.streaming.runner import AVAILABLE_NOW, Sink, fan_out
+from telemaque.streaming.batches import batch_writer
+from telemaque.streaming.ledger import Ledger
+from telemaque.streaming.runner import AVAILABLE_NOW, Sink, StreamsFailed, fan_out
 
 # What orders messages of one time: kept in stored rows, as the upserts need it.
 PLACE = ("partition", "offset", "timestamp")
@@ -68,6 +71,40 @@ def serve(
     return fan_out(service_streams(messages, rejects), root, trigger)
 
 
+def serve_runs(
+    spark: SparkSession, root: str, servers: str | None = None, replay: str | None = None, zone: str = "UTC", starting: str = "earliest",
+    offsets_per_batch: int | None = None,
+) -> dict[str, str]:
+    """Take in what the topics hold now, each read and parsed once, and serve all sinks from that.
+
+    The sinks of :func:`serve`, one folder per batch, and ``latest``: a document per trip. Call it again and
+    again; every call goes on where each sink is. Returns the path by sink name.
+    """
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    paths = {name: f"{root}/{name}" for name in (*TOPICS, "points", "latest")}
+    failed: dict[str, Exception] = {}
+    for name, topic in TOPICS.items():
+        sent = read_topic(spark, topic.kafka_topic, servers=servers, replay=replay, starting=starting, offsets_per_batch=offsets_per_batch)
+        rows = sent.transform(codec.decode_topic(topic.schema, PLACE))
+        sinks = {name: batch_writer(paths[name])}
+        if topic.schema is TRIP:
+            rows = rows.transform(trips.flatten_trip(PLACE)).transform(trips.cast_positions)
+            latest = KeyedTable(paths["latest"], ("tripId",))
+            sinks["points"] = batch_writer(paths["points"], "text", trips.line_protocol())
+            sinks["latest"] = lambda batch, number, table=latest: table.merge(batch.where("tripId is not null"), number)
+        try:
+            ledger = Ledger(f"{root}/_ledgers/{name}")
+            ledger.pull(rows)
+            ledger.deliver(spark, sinks)
+        except StreamsFailed as failure:
+            failed |= failure.errors
+        except Exception as error:  # noqa: BLE001 - the other topics are served all the same
+            failed[name] = error
+    if failed:
+        raise StreamsFailed(failed)
+    return paths
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     source = parser.add_mutually_exclusive_group(required=True)
@@ -79,8 +116,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--starting", default="earliest", help="where a first start begins: earliest, latest or offsets in JSON")
     parser.add_argument("--offsets-per-batch", type=int, help="most messages of a topic in one batch")
     parser.add_argument("--rejects", action="store_true", help="keep unusable messages apart")
+    parser.add_argument("--one-read", action="store_true", help="catch up, read each topic once for all its sinks, and stop")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("fleet telemetry").getOrCreate()
+    if args.one_read:
+        serve_runs(spark, args.root, args.servers, args.replay, args.zone, args.starting, args.offsets_per_batch)
+        return
     trigger = {"processingTime": args.every} if args.every else AVAILABLE_NOW
     serve(
         spark, args.root, args.servers, args.replay, trigger, args.rejects, args.zone, args.starting, args.offsets_per_batch
