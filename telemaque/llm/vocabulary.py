@@ -50,8 +50,20 @@ def byte_encoder(path: str) -> Callable[[str], list[int]]:
         letter = {c: b for b, c in byte_letters().items()}
         ranks = {bytes(letter[c] for c in token): i for token, i in vocab.items()}
         encoding = tiktoken.Encoding("from_json", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens=special)
-        return lambda text: encoding.encode(text, allowed_special="all")
+
+        def encode(text: str) -> list[int]:
+            try:
+                return encoding.encode(text, allowed_special="all")
+            except ValueError:  # its split has a limit, which very long runs of blanks meet
+                return tokenizer(path).encode(text, add_special_tokens=False).ids
+
+        return encode
+    return lambda text: tokenizer(path).encode(text, add_special_tokens=False).ids
+
+
+@cache
+def tokenizer(path: str):
+    """The vocabulary as its own library loads it."""
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    return Tokenizer.from_file(path)
