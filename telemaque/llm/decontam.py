@@ -153,8 +153,11 @@ def _judged(docs: DataFrame, items: DataFrame, window: int, k: int, doc_id: str,
 
 
 def _loose_words(text: Column) -> Column:
-    """The words in lower case of every alphabet: texts that share words share these too."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BETWEEN), "")
+    """The words in lower case of every alphabet: texts that share words share these too.
+
+    A capital sigma is the one letter whose small form depends on what stands beside it; it is made small beforehand.
+    """
+    return F.array_remove(F.split(F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("Σ"), F.lit("σ"))), BETWEEN), "")
 
 
 def suspected(keyed: DataFrame, known: DataFrame, sizes: list[int], k: int) -> DataFrame:
