@@ -24,13 +24,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemaque.llm import buffers as B
-from telemaque.llm.vocabulary import byte_letters, load
+from telemaque.llm.vocabulary import byte_letters, load, tokenizer
 
 MAX_TOKENS = 2048
 #: Pre-tokens that a task remembers; a bound on memory only.
 REMEMBERED = 400_000
-#: Letters newer than some Unicode tables: a text with one of them is split by the library itself.
-UNSETTLED = regex.compile("[ᲀ-᲏Ꟁ-ꟿ\U00010000-\U0010ffff]")
+#: Code points on which Unicode tables of different age may differ: those that have no character yet by either table
+#: here, blocks that were filled late, and all beyond the first plane. A text with one of them is split by the library itself.
+LATE_BLOCKS = ((0x1C80, 0x1C8F), (0xA7C0, 0xA7FF))
+
+
+@cache
+def unsettled() -> np.ndarray:
+    """Whether each code point of the first plane is unsettled."""
+    out = np.array([unicodedata.category(chr(c)) == "Cn" for c in range(1 << 16)])
+    out |= np.array([regex.match(r"\p{Cn}", chr(c)) is not None for c in range(1 << 16)])
+    for first, last in LATE_BLOCKS:
+        out[first : last + 1] = True
+    return out
+
+
+def is_settled(text: str) -> bool:
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return bool(codes.max() < 1 << 16) and not unsettled()[codes].any()
 
 COUNTED = "doc_id long, n_bytes long, n_tokens long"
 
@@ -66,17 +82,17 @@ class Counter:
         self.known: dict[str, int] = {}
 
     def pre_tokens(self, text: str) -> list[str]:
-        if UNSETTLED.search(text):
-            return self._by_library(text)
         if not text.isascii():
+            if not is_settled(text):
+                return self._by_library(text)
             text = unicodedata.normalize("NFC", text)
         lower = text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
         return self.pattern.findall(lower)
 
     def _by_library(self, text: str) -> list[str]:
-        tokenizer = _library(self.path)
+        library = tokenizer(self.path)
         value = {c: b for b, c in byte_letters().items()}
-        shown = tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(text))
+        shown = library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text))
         return [bytes(value[c] for c in piece).decode("utf-8", "surrogateescape") for piece, _ in shown]
 
     def count(self, texts: list[str]) -> list[int]:
@@ -125,13 +141,6 @@ class Counter:
         return out
 
 
-@cache
-def _library(path: str):
-    from tokenizers import Tokenizer
-
-    return Tokenizer.from_file(path)
-
-
 @cache
 def counter(path: str) -> Counter:
     return Counter(path)
