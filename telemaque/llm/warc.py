@@ -198,8 +198,9 @@ def runs(manifest: DataFrame, folder: str) -> DataFrame:
                 for i in range(0, len(found), 10_000):
                     yield _table(found[i : i + 10_000])
 
+    # A task for each archive, which has a bounded size: the number is given, so that they are not put together again.
     files = manifest.select("file")
-    return stored(files.repartition("file").mapInArrow(read, CAPTURES), "runs")
+    return stored(files.repartition(max(1, files.count())).mapInArrow(read, CAPTURES), "runs")
 
 
 def loser_tree(sources: list[Iterator], key: Callable = lambda x: x) -> Iterator:
