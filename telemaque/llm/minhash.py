@@ -13,7 +13,9 @@ find as much with fewer bands, but put many texts that share just a passage into
 
 Defined results: a null text counts as empty; texts without words have no shingles and are linked with
 nothing; a text of fewer words than a shingle is one shingle; ids are whole numbers, repeated ids with
-equal text are one class, and a row comes back for each row; other columns are ignored here.
+equal text are one class, and a row comes back for each row; other columns are ignored here. A row without an id is
+linked with rows of its own shingle set only: its component is the smallest id that these lead to, and where
+none of them has an id, null, and it is kept.
 """
 
 from __future__ import annotations
@@ -204,4 +206,4 @@ def near_duplicates(
 def _labelled(signed: DataFrame, of_head: DataFrame, by_set: list[str]) -> DataFrame:
     out = signed.select("doc_id", *by_set).join(of_head, by_set, "left")
     component: Column = F.coalesce("head", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
