@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemaque.llm import buffers as B
+from telemaque.llm.linking import stored
 
 RULES = "__rules"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -171,13 +172,18 @@ def host_rates(counted: DataFrame, host: str = "source", limits: Limits = Limits
     return rated.select("host", "n", *[c for k in rules for c in (f"{k}_failed", f"{k}_rate", f"{k}_strict")])
 
 
-def judged(docs: DataFrame, text: str = "text", host: str = "source", limits: Limits = Limits()) -> DataFrame:
+def judged(docs: DataFrame, text: str = "text", host: str = "source", limits: Limits = Limits(), keep_text: bool = True) -> DataFrame:
     """``docs`` with struct ``RULES``: the counts, ``base_failed``, ``soft_failed`` and ``kept``.
 
-    ``soft_failed`` names the soft rules that the document fails at the limits of its host.
+    ``soft_failed`` names the soft rules that the document fails at the limits of its host. Texts are counted
+    once: the rows are stored with their counts, without the texts unless ``keep_text``.
     """
+    docs = docs.drop(RULES)
     counted = with_counts(docs, text)
-    rates = host_rates(with_counts(docs.select(text, host), text), host, limits)
+    if not keep_text:
+        docs, counted = docs.drop(text), counted.drop(text)
+    counted = stored(counted, "counted")
+    rates = stored(host_rates(counted, host, limits), "hosts")
     tight, wide = soft_failures(limits), soft_failures(limits, strict=False)
     verdicts = rates.select(
         F.col("host").alias("__host"), F.struct(*[F.col(f"{k}_strict").alias(k) for k in tight]).alias("__strict")
@@ -185,7 +191,7 @@ def judged(docs: DataFrame, text: str = "text", host: str = "source", limits: Li
     joined = counted.join(verdicts, F.col(f"`{host}`").eqNullSafe(F.col("__host")), "left")
     held = [F.when(F.when(F.col(f"__strict.{k}"), tight[k]).otherwise(wide[k]), F.lit(k)) for k in tight]
     return joined.select(
-        *[F.col(f"`{c}`") for c in docs.drop(RULES).columns],
+        *[F.col(f"`{c}`") for c in docs.columns],
         F.struct(f"{RULES}.*", base_failed(limits).alias("base_failed"), F.array_compact(F.array(*held)).alias("soft_failed")).alias(RULES),
     ).withColumn(RULES, F.col(RULES).withField("kept", ~F.col(f"{RULES}.base_failed") & (F.size(f"{RULES}.soft_failed") == 0)))
 

@@ -13,6 +13,7 @@ from telemaque.llm.oracle import ORACLE_SQL as ORACLE_SQL
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 FIRST_CAPTURE = 1_704_067_200  # 2024-01-01
+CAPTURE_SPAN_S = 10 * 365 * 86_400
 #: The key of the registered query. A real one is given by the caller and kept out of the code.
 PSEUDONYM_KEY = "an example, not a secret"
 
@@ -47,15 +48,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    # The table has no time of capture: pages are taken as captured a second apart.
-    at = F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.coalesce(F.col("page_id"), F.lit(0)))
+    # The table has no time of capture: pages are taken as captured a second apart, over and over for a span of time.
+    at = F.timestamp_seconds(F.lit(FIRST_CAPTURE) + F.coalesce(F.pmod("page_id", F.lit(CAPTURE_SPAN_S)), F.lit(0)))
     captures = warc.archive(pages, captured_at=at)
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    rules = quality.judged(docs).select("doc_id", f"{quality.RULES}.*")
+    rules = quality.judged(docs, keep_text=False).select("doc_id", f"{quality.RULES}.*")
     return rules.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.array_join("soft_failed", ",").alias("soft_failed"),
