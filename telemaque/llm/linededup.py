@@ -1,26 +1,38 @@
 """Line dedup by a segment-partition edit join (operator 3).
 
 Lines within a few edits of each other are one class, of which the corpus keeps the first in the order
-of documents and lines. A line that may differ by t edits is cut into t + 1 segments, of which every
-line within t edits holds at least one unchanged, displaced by no more than the edits around it allow.
-So each line is entered in an index by (length, segment number, segment), and looked up with those of
-its own substrings that could be a segment of a line as long or up to t shorter, where segments before
-and after a match leave room for the rest of the edits. Candidates are verified by a banded bit-parallel
-edit distance. The allowed edits follow from the shorter line's length (``EDITS``; from ``LONG`` code points
-on a share of them, for which segments would need too many probes: pairs of long lines meet in the
-fingerprints of winnowed pieces instead, of which they share one for sure).
+of documents and lines. How many edits follows from the shorter line's length (``EDITS``; from ``LONG`` code points on
+``PER_CENT`` of them).
+
+A pair with t edits has t // 2 of them at most in one of its halves. So from either end a line is cut into
+t // 2 + 1 segments: one of the two ends has, as its i-th segment, one that the other line has unchanged,
+displaced by i places at most. Lines are therefore entered in an index by (length class, end, i, segment), and
+looked up with those of their own substrings that could be such a segment of a line as long or a little
+shorter. An index of every segment at every place of the longer line would need t * t / 2 look-ups; instead
+the last ``step - 1`` code points of a segment are spent on ``step`` entries for it, and only every
+``step``-th place is looked up. Very long lines (``LOOSE``) have t + 1 segments that may stand anywhere.
+Candidates are verified by a banded bit-parallel edit distance.
+
+Keys leave a task as packed blocks: sorted, truncated and delta-coded, with 32 bits of the line's identity. The
+blocks of a range of keys meet in one task, and only keys that different lines share become rows.
 
 Equal lines are one entry throughout; a line's identity is a 64-bit hash. Lines are split at line feeds;
 lengths and edits count code points.
 
 Defined results: lines of fewer than ``EDITS[0][0]`` code points are linked with exact copies only; lines of
-nothing but white space are no rows of the result and stay in their texts. A null text has no lines. Rows of one id are one
-document; other columns are ignored; an empty table gives an empty table.
+nothing but white space are no rows of the result and stay in their texts. A null text has no lines. Rows are
+told apart by id and text: rows of one id and different texts are documents each, in the order of a hash of
+theirs, rows without an id come after all ids, and rows alike in both are one document. Other columns are
+ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import hashlib
+import struct
+import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +44,25 @@ from telemaque.llm.linking import classes, stored
 
 #: (code points from which it holds, edits); of lines below the first only exact copies are linked.
 EDITS = ((20, 1), (60, 2))
-#: From LONG code points on, PER_CENT of them are the allowed edits. Two lines within these have RUN code points
-#: in a row in common, so the least of the hashes of RUN - PIECE + 1 consecutive pieces in it is the same in both.
-LONG, PER_CENT = 100, 3
-RUN, PIECE = 25, 12
+#: From LONG code points on, PER_CENT of them are the allowed edits; from LOOSE on, segments may stand anywhere.
+LONG, PER_CENT, LOOSE = 100, 3, 2222
+#: A length class ends this much above its shortest line.
+CLASS_PER_CENT = 10
+LONGEST = 1 << 31
 
 #: Characters of a gram, and bits of a line's gram parities.
 GRAM, BITS = 2, 256
 
-OCCURRENCES = "doc_id long, line_no long, line_id long"
+#: Keys that a task holds before it sends them, look-ups computed at a time, bytes of the blocks of a range of keys.
+HELD_KEYS, AT_ONCE, RANGE_BYTES = 1 << 22, 1 << 20, 32 << 20
+#: Keys have this many bits more than it takes to count them.
+SPARE_BITS = 9
+#: Ids that may be sent to every task; more are joined by a shuffle of both sides.
+SENT_IDS = 2_000_000
+
+OCCURRENCES = "doc_id long, row long, line_no long, line_id long, size long"
+BLOCKS = "shard int, chunk long, kind string, block binary"
+SHARED = "bucket long, chunk long, print long, pivot boolean, id long"
 
 
 class Lines:
@@ -65,6 +87,16 @@ class Lines:
         np.cumsum(B.mix(self.codes + B.GOLDEN) * B._power(B.BASE, len(self.codes)), out=self.sums[1:])
         self.id = B.spans(self.sums, self.start, self.end).view(np.int64)
 
+    def about(self, which: np.ndarray) -> np.ndarray:
+        """Size and gram parities of some lines: one bit for each class of grams, whether the line has an odd number of them."""
+        size = self.size[which]
+        n = np.maximum(size - GRAM + 1, 0)
+        owner = np.repeat(np.arange(len(which)), n)
+        at = self.start[which][owner] + np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
+        kind = (B.sequences(self.codes.astype(np.uint64), GRAM) >> np.uint64(64 - (BITS.bit_length() - 1))).astype(np.int64)[at]
+        odd = np.bincount(owner * BITS + kind, minlength=len(which) * BITS).reshape(-1, BITS) & 1
+        return np.column_stack([size, np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)])
+
     def text(self, i: int) -> str:
         return self.codes[self.start[i] : self.end[i]].tobytes().decode("utf-32-le", "surrogatepass")
 
@@ -83,65 +115,84 @@ def allowed_column(size: Column, edits: tuple = EDITS) -> Column:
     return F.when(size >= LONG, F.floor(size * PER_CENT / 100)).otherwise(out)
 
 
-def winnowed(lines: Lines, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, place among the lines) for the fingerprints of the lines ``which``, all of RUN code points at least."""
-    count = lines.end[which] - lines.start[which] - PIECE + 1
-    owner = np.repeat(np.arange(len(which)), count)
-    at = lines.start[which][owner] + np.arange(len(owner)) - (np.cumsum(count) - count)[owner]
-    least, width, span = B.mix(B.spans(lines.sums, at, at + PIECE) ^ B.mix(np.full(1, PIECE, dtype=np.uint64))), 1, RUN - PIECE + 1
-    while width < span:
-        step = min(width, span - width)
-        least = np.minimum(least[: len(least) - step], least[step:])
-        width += step
-    first = np.arange(len(least))
-    whole = owner[: len(least)] == owner[first + span - 1]
-    least, owner = least[whole], owner[: len(whole)][whole]
-    new = np.ones(len(least), dtype=bool)
-    new[1:] = (least[1:] != least[:-1]) | (owner[1:] != owner[:-1])
-    return least[new], which[owner[new]]
-
-
-def segment(size: np.ndarray, parts: int, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, length) of segment ``i`` of ``parts``; the later ones take what is left over."""
-    short, longer = size // parts, size % parts
-    extra = np.maximum(0, i - (parts - longer))
-    return short * i + extra, short + (i >= parts - longer)
-
-
-def entries(lines: Lines, edits: tuple = EDITS, index_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, place among the lines, in the index) for the different lines of a run."""
+@cache
+def bounds(edits: tuple = EDITS) -> np.ndarray:
+    """The shortest size of each length class; a class has one number of edits below ``LONG``."""
+    starts, size = [], edits[0][0]
+    marks = sorted({least for least, _ in edits} | {LONG, LOOSE})
+    while size < LONGEST:
+        starts.append(size)
+        after = max(size + 1, size + size * CLASS_PER_CENT // 100)
+        size = min([after, *[m for m in marks if size < m < after]])
+    return np.array(starts)
+
+
+@cache
+def segments(number: int, edits: tuple = EDITS) -> tuple[int, int, int, int]:
+    """(segments of an end, or of the whole line, their length, entries for each, length of a key) of a length class."""
+    low, high = (int(x) for x in bounds(edits)[[number, min(number + 1, len(bounds(edits)) - 1)]])
+    t = int(allowed(np.array([max(low, high - 1)]), edits)[0])
+    parts, room = (t // 2 + 1, low // 2) if low < LOOSE else (t + 1, low)
+    length = max(1, room // parts)
+    step = round((parts if low < LOOSE else low / parts) ** 0.5)
+    step = max(1, min(step, length // 2))
+    return parts, length, step, length - step + 1
+
+
+@cache
+def places(number: int, indexed: bool, edits: tuple = EDITS) -> tuple[np.ndarray, np.ndarray]:
+    """(distance from the end, segment) of the keys that a line has for a class at either of its ends."""
+    parts, length, step, _ = segments(number, edits)
+    at, of = [], []
+    for i in range(parts):
+        first, last = (i * length, i * length + step) if indexed else (max(0, i * length - i), i * length + i + step)
+        found = [p for p in range(first, last) if indexed or p % step == 0]
+        at += found
+        of += [i] * len(found)
+    return np.array(at, dtype=np.int64), np.array(of, dtype=np.int64)
+
+
+def entries(lines: Lines, edits: tuple = EDITS, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, place among the lines, in the index) for the different lines of a run but those whose ids are ``known``."""
     one = np.unique(lines.id, return_index=True)[1]
-    start, size = lines.start[one], lines.size[one]
+    one = one[lines.size[one] >= edits[0][0]]
+    if known is not None:
+        one = one[~np.isin(lines.id[one], known)]
     found: list[tuple] = []
 
-    def add(which: np.ndarray, of_size: np.ndarray, parts: int, i: int, shift: int, length: np.ndarray, at: np.ndarray, indexed: bool) -> None:
-        fits = (at + shift >= 0) & (at + shift + length <= size[which])
-        which, lo, length = which[fits], (start[which] + at + shift)[fits], length[fits]
-        tag = (of_size[fits] * 16 + parts * 4 + i).astype(np.uint64)
-        found.append((B.mix(B.spans(lines.sums, lo, lo + length) ^ B.mix(tag * B.GOLDEN)), one[which], np.full(len(which), indexed)))
-
-    for t in sorted({n for _, n in edits}):
-        parts = t + 1
-        mine = np.flatnonzero(allowed(size, edits) == t)
-        for i in range(parts):
-            at, length = segment(size[mine], parts, i)
-            add(mine, size[mine], parts, i, 0, length, at, True)
-        if index_only:
-            continue
-        for shorter in range(t + 1):
-            other = size - shorter  # the size of the indexed line
-            probes = np.flatnonzero((other >= edits[0][0]) & (allowed(other, edits) == t))
-            for i in range(parts):
-                at, length = segment(other[probes], parts, i)
-                # Segments before leave i edits, those after leave the rest.
-                lo, hi = max(-i, shorter - (t - i)), min(i, shorter + (t - i))
-                for shift in range(lo, hi + 1):
-                    if shorter or shift:
-                        add(probes, other[probes], parts, i, shift, length, at, False)
-    long = one[size >= LONG]
-    if len(long):
-        bucket, place = winnowed(lines, long)
-        found.append((bucket, place, np.ones(len(place), dtype=bool)))
+    def add(number: int, which: np.ndarray, lo: np.ndarray, tag: np.ndarray, indexed: bool) -> None:
+        width = segments(number, edits)[3]
+        fits = (lo >= lines.start[which]) & (lo + width <= lines.end[which])
+        which, lo, tag = which[fits], lo[fits], tag[fits]
+        key = B.mix(B.spans(lines.sums, lo, lo + width) ^ B.mix((tag * 512 + number + 1).astype(np.uint64) * B.GOLDEN))
+        found.append((key, which, np.full(len(which), indexed)))
+
+    def anchored(number: int, which: np.ndarray, indexed: bool) -> None:
+        at, of = places(number, indexed, edits)
+        width = segments(number, edits)[3]
+        some = max(1, AT_ONCE // max(1, len(at)))
+        for i in range(0, len(which), some):
+            rows = np.repeat(which[i : i + some], len(at))
+            away, tag = (np.tile(x, len(rows) // len(at)) for x in (at, of))
+            add(number, rows, lines.start[rows] + away, tag * 2, indexed)
+            add(number, rows, lines.end[rows] - away - width, tag * 2 + 1, indexed)
+
+    def anywhere(number: int, which: np.ndarray, indexed: bool) -> None:
+        parts, length, step, width = segments(number, edits)
+        for line in which.tolist():
+            size = int(lines.size[line])
+            at = places(number, True, edits)[0] if indexed else np.arange(0, size - width + 1, step)
+            rows = np.full(len(at), line)
+            add(number, rows, lines.start[line] + at, np.zeros(len(at), dtype=np.int64), indexed)
+
+    size = lines.size[one]
+    own = np.searchsorted(bounds(edits), size, "right") - 1
+    least = np.maximum(size - allowed(size, edits), edits[0][0])
+    lowest = np.searchsorted(bounds(edits), least, "right") - 1
+    for number in np.unique(np.concatenate([own, lowest])).tolist():
+        keys = anchored if bounds(edits)[number] < LOOSE else anywhere
+        keys(number, one[own == number], True)
+        keys(number, one[(lowest <= number) & (number <= own)], False)
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
@@ -198,32 +249,154 @@ def within(a: str, b: str, limit: int) -> bool:
     return value <= limit
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """What tells rows apart: a hash of id and text, each of which may be null."""
+    return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
+
+
 def _plain(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    one, other = F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")
+    return docs.select(one.alias("doc_id"), row_key(one, other).alias("row"), other.alias("text"))
 
 
 def occurrences(plain: DataFrame, edits: tuple = EDITS) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, _, data, at in B.text_chunks(batch.column(1)):
+            for row, _, data, at in B.text_chunks(batch.column(2)):
                 lines = Lines(data, at, edits)
-                ids = batch.column(0).take(pa.array(lines.row + row))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(lines.number), pa.array(lines.id)], names=["doc_id", "line_no", "line_id"])
+                ids, rows = (batch.column(i).take(pa.array(lines.row + row)) for i in (0, 1))
+                arrays = [ids, rows, pa.array(lines.number), pa.array(lines.id), pa.array(lines.size)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "row", "line_no", "line_id", "size"])
 
     return plain.mapInArrow(find, OCCURRENCES)
 
 
-def _entries(plain: DataFrame, edits: tuple, index_only: bool) -> DataFrame:
+# -- packed blocks of keys -------------------------------------------------------------------------
+
+
+def pack(key: np.ndarray, line: np.ndarray, indexed: np.ndarray) -> bytes:
+    """Sorted keys with the prints of their lines, as deltas whose low bytes are kept as they are."""
+    step = np.diff(key, prepend=np.uint64(0))
+    mean = int(key[-1] // np.uint64(len(key))) if len(key) else 0
+    low = 1 if mean < 1 << 13 else 2 if mean < 1 << 21 else 4
+    rest = zlib.compress(_smallest(step >> np.uint64(8 * low)), 1)
+    raw = (step & np.uint64((1 << 8 * low) - 1)).astype(f"<u{low}")
+    head = struct.pack("<qBBq", len(key), low, int(_width(step >> np.uint64(8 * low))), len(rest))
+    return b"".join([head, rest, raw.tobytes(), line.astype("<u4").tobytes(), np.packbits(indexed).tobytes()])
+
+
+def _width(x: np.ndarray) -> int:
+    return np.min_scalar_type(int(x.max(initial=0))).itemsize
+
+
+def _smallest(x: np.ndarray) -> bytes:
+    return x.astype(f"<u{_width(x)}").tobytes()
+
+
+def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n, low, high, size = struct.unpack_from("<qBBq", block)
+    at = struct.calcsize("<qBBq")
+    step = np.frombuffer(zlib.decompress(block[at : at + size]), dtype=f"<u{high}").astype(np.uint64) << np.uint64(8 * low)
+    at += size
+    step |= np.frombuffer(block, dtype=f"<u{low}", count=n, offset=at)
+    line = np.frombuffer(block, dtype="<u4", count=n, offset=at + n * low)
+    indexed = np.unpackbits(np.frombuffer(block, dtype=np.uint8, offset=at + n * (low + 4)), count=n).astype(bool)
+    return np.cumsum(step, dtype=np.uint64), line, indexed
+
+
+def _prints(ids: np.ndarray) -> np.ndarray:
+    return (ids.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
+
+
+def key_blocks(plain: DataFrame, edits: tuple, bits: int, shard_bits: int) -> DataFrame:
+    """``BLOCKS``: keys by range of their top bits ("keys"), and what each run of lines has: ids, sizes, parities ("lines")."""
+
+    def send(held: list[tuple], known: list[np.ndarray], about: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        ids = np.concatenate(known)
+        chunk = int.from_bytes(hashlib.sha256(ids.tobytes()).digest()[:8], "little", signed=True)
+        rows = [(chunk & (1 << shard_bits) - 1, chunk, "lines", np.column_stack([ids, np.concatenate(about)]).tobytes())]
+        key, line, indexed = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(key)
+        key, line, indexed = key[order], line[order], indexed[order]
+        cut = np.searchsorted(key, np.arange(1, 1 << shard_bits).astype(np.uint64) << np.uint64(bits - shard_bits))
+        for shard, (lo, hi) in enumerate(zip([0, *cut.tolist()], [*cut.tolist(), len(key)], strict=True)):
+            if hi > lo:
+                base = np.uint64(shard) << np.uint64(bits - shard_bits)
+                rows.append((shard, chunk, "keys", pack(key[lo:hi] - base, line[lo:hi], indexed[lo:hi])))
+        for row in rows:
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.int32(), pa.int64(), pa.string(), pa.binary()), strict=True)], names=["shard", "chunk", "kind", "block"])
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, known, about, n = [], [], [], 0
         for batch in batches:
             for _, _, data, at in B.text_chunks(batch.column(0)):
                 lines = Lines(data, at, edits)
-                bucket, place, indexed = entries(lines, edits, index_only)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket.view(np.int64)), pa.array(lines.id[place]), pa.array(indexed)], names=["bucket", "id", "pivot"]
-                )
-
-    return plain.select("text").mapInArrow(find, "bucket long, id long, pivot boolean")
+                ids = np.concatenate(known) if known else None
+                key, place, indexed = entries(lines, edits, ids)
+                held.append((key >> np.uint64(64 - bits), _prints(lines.id[place]), indexed))
+                new = np.unique(place)
+                known.append(lines.id[new])
+                about.append(lines.about(new))
+                n += len(key)
+                if n >= HELD_KEYS:
+                    yield from send(held, known, about)
+                    held, known, about, n = [], [], [], 0
+        if n:
+            yield from send(held, known, about)
+
+    return plain.select("text").mapInArrow(find, BLOCKS)
+
+
+def shared_keys(blocks: DataFrame, bits: int, shard_bits: int) -> DataFrame:
+    """``SHARED`` and the lines' parities: rows of the keys that different lines share, one of them in the index; and each run's lines."""
+    schema = f"{SHARED}, size long, bits array<long>"
+    names = [f.split()[0] for f in schema.split(", ")]
+    words = BITS // 64
+
+    def meet(shard: int, held: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        parts = [unpack(block) for _, block in held]
+        key = np.concatenate([p[0] for p in parts])
+        line, indexed = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
+        chunk = np.repeat(np.array([c for c, _ in held]), [len(p[0]) for p in parts])
+        order = np.lexsort((~indexed, line, key))
+        key, line, indexed, chunk = key[order], line[order], indexed[order], chunk[order]
+        one = np.ones(len(key), dtype=bool)  # of copies of a line, and of its own keys that are alike, the first
+        one[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
+        key, line, indexed, chunk = key[one], line[one], indexed[one], chunk[one]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(np.append(first, len(key)))
+        wanted = np.repeat((size > 1) & np.logical_or.reduceat(indexed, first), size)
+        bucket = (key[wanted] + (np.uint64(shard) << np.uint64(bits - shard_bits))).view(np.int64)
+        n = int(wanted.sum())
+        if n:
+            empty = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(chunk[wanted]), pa.array(line[wanted].astype(np.int64)), pa.array(indexed[wanted]), *empty], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            for shard, chunk, kind, block in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if kind == "lines":
+                    table = np.frombuffer(block, dtype=np.int64).reshape(-1, 2 + words)
+                    n = len(table)
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, n * words + 1, words, dtype=np.int32)), pa.array(np.ascontiguousarray(table[:, 2:]).reshape(-1)))
+                    arrays = [pa.nulls(n, pa.int64()), pa.array(np.full(n, chunk)), pa.array(_prints(np.ascontiguousarray(table[:, 0])).astype(np.int64)), pa.nulls(n, pa.bool_()), pa.array(table[:, 0]), pa.array(table[:, 1]), lists]
+                    yield pa.RecordBatch.from_arrays(arrays, names=names)
+                    continue
+                if shard != at and held:
+                    yield from meet(at, held)
+                    held = []
+                at = shard
+                held.append((chunk, block))
+        if held:
+            yield from meet(at, held)
+
+    return blocks.repartition(1 << shard_bits, "shard").sortWithinPartitions("shard").mapInArrow(run, schema)
+
+
+def _sent(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` to be joined to ``df``: sent to every task where it is small enough."""
+    return F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted
 
 
 def _texts(plain: DataFrame, edits: tuple) -> DataFrame:
@@ -232,29 +405,12 @@ def _texts(plain: DataFrame, edits: tuple) -> DataFrame:
             for _, _, data, at in B.text_chunks(batch.column(0)):
                 lines = Lines(data, at, edits)
                 one = np.unique(lines.id, return_index=True)[1]
+                one = one[lines.size[one] >= edits[0][0]]
                 yield pa.RecordBatch.from_arrays([pa.array(lines.id[one]), pa.array([lines.text(i) for i in one], pa.string())], names=["id", "line"])
 
     return plain.select("text").mapInArrow(find, "id long, line string")
 
 
-def parities(line: str) -> np.ndarray:
-    """One bit for each class of grams: whether the line has an odd number of them."""
-    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-    grams = B.sequences(codes, GRAM) >> np.uint64(64 - (BITS.bit_length() - 1))
-    return np.packbits((np.bincount(grams.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
-
-
-def _with_parities(texts: DataFrame) -> DataFrame:
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines = batch.column(1).to_pylist()
-            bits = [parities(line) for line in lines]
-            columns = [batch.column(0), pa.array([len(line) for line in lines], pa.int64()), pa.array(bits, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "size", "bits"])
-
-    return texts.mapInArrow(add, "id long, size long, bits array<long>")
-
-
 def close_enough(edits: tuple):
     """A condition that every linked pair meets: an edit changes the length by one and ``GRAM`` grams into others at most."""
 
@@ -286,33 +442,37 @@ def _verifier(texts: DataFrame, edits: tuple):
 
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: tuple = EDITS) -> DataFrame:
-    """A row per judged line: doc_id, line_no (from 0), line_id, and the first line of its class:
-    class_doc_id, class_line_no; ``kept`` where it is the first itself."""
-    plain = _plain(docs, doc_id, text)
+    """A row per judged line: doc_id, row (``row_key``), line_no (from 0), line_id, and the first line of its class:
+    class_doc_id, class_row, class_line_no; ``kept`` where it is the first itself."""
+    spark, plain = docs.sparkSession, _plain(docs, doc_id, text)
     found = stored(occurrences(plain, edits), "lines")
-    # Buckets of one line only are dropped in the first join with the smallest indexed line of each.
-    heads = _entries(plain, edits, True).groupBy("bucket").agg(F.min("id").alias("head"))
-    shared = _entries(plain, edits, False).join(heads, "bucket").where("id <> head")
-    shared = stored(shared.groupBy("bucket", "id", "head").agg(F.max("pivot").alias("pivot")), "shared")
-    members = shared.select("bucket", "id", "pivot").union(shared.select("bucket", F.col("head").alias("id"), F.lit(True)).distinct())
+    judged = found.where(F.col("size") >= edits[0][0]).agg(F.sum("size")).first()[0] or 0
+    keys = judged // 3 + 1  # about as many as there are
+    bits = min(62, max(30, keys.bit_length() + SPARE_BITS))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), keys * 6 // RANGE_BYTES)
+    shard_bits = max(1, (ranges - 1).bit_length())
+    shared = stored(shared_keys(key_blocks(plain, edits, bits, shard_bits), bits, shard_bits), "shared")
+    rows = shared.where("bucket is not null").select("bucket", "chunk", "print", "pivot")
+    about = shared.where("bucket is null").select("chunk", "print", "id", "size", "bits")
+    members = rows.join(about.select("chunk", "print", "id"), ["chunk", "print"]).groupBy("bucket", "id").agg(F.max("pivot").alias("pivot"))
     members = stored(members, "members")
     labels = None
     if not members.isEmpty():
-        wanted = members.select("id").distinct()
-        texts = stored(_texts(plain, edits).join(wanted, "id", "left_semi").dropDuplicates(["id"]), "texts")
-        degrees = members.groupBy("id").agg(F.count("*").alias("degree"))
-        members = members.join(stored(_with_parities(texts).join(degrees, "id"), "parities"), "id")
-        labels = classes(members, _verifier(texts, edits), close_enough(edits))
+        degrees = stored(members.groupBy("id").agg(F.count("*").alias("degree")), "degrees")
+        texts = _texts(plain, edits)
+        texts = stored(texts.join(_sent(texts, degrees.select("id")), "id", "left_semi").dropDuplicates(["id"]), "texts")
+        known = about.dropDuplicates(["id"]).select("id", "size", "bits").join(degrees, "id")
+        labels = classes(members.join(stored(known, "parities"), "id"), _verifier(texts, edits), close_enough(edits))
     classed = found.withColumn("class_id", F.col("line_id"))
     if labels is not None:
         classed = found.join(labels.toDF("line_id", "__class"), "line_id", "left").withColumn("class_id", F.coalesce("__class", "line_id")).drop("__class")
     classed = stored(classed, "classed")
-    first = stored(classed.groupBy("class_id").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "first")
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row", "line_no")
+    first = stored(classed.groupBy("class_id").agg(F.min(order).alias("first")), "first")
     out = classed.join(first, "class_id").select(
-        "doc_id", "line_no", "line_id", F.col("first.doc_id").alias("class_doc_id"), F.col("first.line_no").alias("class_line_no")
+        "doc_id", "row", "line_no", "line_id", *[F.col(f"first.{c}").alias(f"class_{c}") for c in ("doc_id", "row", "line_no")]
     )
-    kept = F.col("doc_id").eqNullSafe(F.col("class_doc_id")) & (F.col("line_no") == F.col("class_line_no"))
-    return out.withColumn("kept", kept)
+    return out.withColumn("kept", (F.col("row") == F.col("class_row")) & (F.col("line_no") == F.col("class_line_no")))
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: tuple = EDITS) -> DataFrame:
@@ -321,8 +481,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A document of which nothing but white space is left is a copy of others, and goes; one that had
     nothing else before stays.
     """
-    gone = line_classes(docs, doc_id, text, edits).where("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone"))
-    joined = docs.join(gone.withColumnRenamed("doc_id", "__doc_id"), F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("__doc_id")), "left")
+    gone = line_classes(docs, doc_id, text, edits).where("not kept").groupBy(F.col("row").alias("__row")).agg(F.collect_set("line_no").alias("__gone"))
+    joined = docs.join(gone, row_key(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")) == F.col("__row"), "left")
     lines = F.split(F.col(f"`{text}`"), "\n", -1)
     numbered = F.transform(lines, lambda line, i: F.when(~F.array_contains("__gone", i.cast("long")), line))
     left = F.when(F.col("__gone").isNull(), F.col(f"`{text}`")).otherwise(F.array_join(F.array_compact(numbered), "\n"))
