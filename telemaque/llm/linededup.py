@@ -13,7 +13,7 @@ the last ``step - 1`` code points of a segment are spent on ``step`` entries for
 ``step``-th place is looked up. Very long lines (``LOOSE``) have t + 1 segments that may stand anywhere.
 Candidates are verified by a banded bit-parallel edit distance.
 
-Keys leave a task as packed blocks: sorted, truncated and delta-coded, with 32 bits of the line's identity. The
+Keys leave a task as packed blocks: sorted, truncated and delta-coded, with ``PRINT`` bits of the line's identity. The
 blocks of a range of keys meet in one task, and only keys that different lines share become rows.
 
 Equal lines are one entry throughout; a line's identity is a 64-bit hash. Lines are split at line feeds;
@@ -52,9 +52,17 @@ LONGEST = 1 << 31
 
 #: Characters of a gram, and bits of a line's gram parities.
 GRAM, BITS = 2, 256
+#: Odd multipliers that spread a gram's code points.
+GRAM_A, GRAM_B = 0x9E3779B1, 0x85EBCA77
 
 #: Keys that a task holds before it sends them, look-ups computed at a time, bytes of the blocks of a range of keys.
-HELD_KEYS, AT_ONCE, RANGE_BYTES = 1 << 22, 1 << 20, 32 << 20
+HELD_KEYS, AT_ONCE, RANGE_BYTES = 1 << 22, 1 << 16, 32 << 20
+#: Ranges of keys, at most: a task sends a block for each.
+RANGES = 1 << 12
+#: Bits of a line's identity beside a key. Two close lines with the same are taken for one line: a link is lost with probability 6e-8.
+PRINT = 24
+#: Pairs that are compared at a time, and the most edits for which their band is a machine word.
+PAIRS, WORD_EDITS = 4096, 31
 #: Keys have this many bits more than it takes to count them.
 SPARE_BITS = 9
 #: Ids that may be sent to every task; more are joined by a shuffle of both sides.
@@ -65,26 +73,35 @@ BLOCKS = "shard int, chunk long, kind string, block binary"
 SHARED = "bucket long, chunk long, print long, pivot boolean, id long"
 
 
+@cache
+def _first_plane() -> np.ndarray:
+    return B.mix(np.arange(1 << 16, dtype=np.uint64) + B.GOLDEN)
+
+
+def _letters(codes: np.ndarray) -> np.ndarray:
+    """A random word for each code point."""
+    if len(codes) and codes.max() >= 1 << 16:
+        return B.mix(codes + B.GOLDEN)
+    return _first_plane()[codes]
+
+
 class Lines:
     """The judged lines of a run of texts, as code points."""
 
     def __init__(self, data: np.ndarray, at: np.ndarray, edits: tuple = EDITS):
         text = data.tobytes().decode("utf-8", "replace")
         self.codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        before = np.zeros(len(data) + 1, dtype=np.int64)
-        np.cumsum((data & 0xC0) != 0x80, out=before[1:])
         start, end, first = B.lines(data, at)
+        inner, blank = np.flatnonzero((data & 0xC0) == 0x80), np.flatnonzero(B.SPACE[data])
+        judged = np.searchsorted(blank, end) - np.searchsorted(blank, start) < end - start
         self.row = np.repeat(np.arange(len(at) - 1), np.diff(first))
         self.number = np.arange(len(start)) - first[self.row]
-        self.start, self.end = before[start], before[end]
-        inked = np.zeros(len(self.codes) + 1, dtype=np.int64)
-        np.cumsum((self.codes != 32) & ((self.codes < 9) | (self.codes > 13)), out=inked[1:])
-        judged = inked[self.end] > inked[self.start]
+        self.start, self.end = (x - np.searchsorted(inner, x) for x in (start, end))
         for name in ("row", "number", "start", "end"):
             setattr(self, name, getattr(self, name)[judged])
         self.size = self.end - self.start
         self.sums = np.zeros(len(self.codes) + 1, dtype=np.uint64)
-        np.cumsum(B.mix(self.codes + B.GOLDEN) * B._power(B.BASE, len(self.codes)), out=self.sums[1:])
+        np.cumsum(_letters(self.codes) * B._power(B.BASE, len(self.codes)), out=self.sums[1:])
         self.id = B.spans(self.sums, self.start, self.end).view(np.int64)
 
     def about(self, which: np.ndarray) -> np.ndarray:
@@ -93,7 +110,10 @@ class Lines:
         n = np.maximum(size - GRAM + 1, 0)
         owner = np.repeat(np.arange(len(which)), n)
         at = self.start[which][owner] + np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
-        kind = (B.sequences(self.codes.astype(np.uint64), GRAM) >> np.uint64(64 - (BITS.bit_length() - 1))).astype(np.int64)[at]
+        grams = self.codes[: len(self.codes) - GRAM + 1] * np.uint32(GRAM_A)
+        for i in range(1, GRAM):
+            grams = (grams ^ self.codes[i : len(self.codes) - GRAM + 1 + i]) * np.uint32(GRAM_B)
+        kind = (grams >> np.uint32(32 - (BITS.bit_length() - 1))).astype(np.int64)[at]
         odd = np.bincount(owner * BITS + kind, minlength=len(which) * BITS).reshape(-1, BITS) & 1
         return np.column_stack([size, np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)])
 
@@ -159,31 +179,35 @@ def entries(lines: Lines, edits: tuple = EDITS, known: np.ndarray | None = None)
     if known is not None:
         one = one[~np.isin(lines.id[one], known)]
     found: list[tuple] = []
+    back = B._power(B._BASE_INVERSE, len(lines.sums))
 
-    def add(number: int, which: np.ndarray, lo: np.ndarray, tag: np.ndarray, indexed: bool) -> None:
-        width = segments(number, edits)[3]
-        fits = (lo >= lines.start[which]) & (lo + width <= lines.end[which])
-        which, lo, tag = which[fits], lo[fits], tag[fits]
-        key = B.mix(B.spans(lines.sums, lo, lo + width) ^ B.mix((tag * 512 + number + 1).astype(np.uint64) * B.GOLDEN))
-        found.append((key, which, np.full(len(which), indexed)))
+    def add(which: np.ndarray, lo: np.ndarray, width: int, tag: np.ndarray, indexed: bool) -> None:
+        inner = (lines.sums[lo + width] - lines.sums[lo]) * back[lo]
+        found.append((B.mix(inner + tag), which, np.full(len(which), indexed)))
 
     def anchored(number: int, which: np.ndarray, indexed: bool) -> None:
         at, of = places(number, indexed, edits)
         width = segments(number, edits)[3]
-        some = max(1, AT_ONCE // max(1, len(at)))
+        tags = B.seeded(2 * (int(of.max()) + 1), number + 100)
+        some = max(1, AT_ONCE // len(at))
         for i in range(0, len(which), some):
-            rows = np.repeat(which[i : i + some], len(at))
-            away, tag = (np.tile(x, len(rows) // len(at)) for x in (at, of))
-            add(number, rows, lines.start[rows] + away, tag * 2, indexed)
-            add(number, rows, lines.end[rows] - away - width, tag * 2 + 1, indexed)
+            rows = which[i : i + some]
+            start, end = lines.start[rows][:, None], lines.end[rows][:, None]
+            fits = None if indexed else at <= end - start - width
+            for lo, side in ((start + at, 0), (end - at - width, 1)):
+                shape = lo.shape
+                line, tag = (np.broadcast_to(x, shape) for x in (rows[:, None], tags[2 * of + side]))
+                if fits is None or fits.all():
+                    add(line.reshape(-1), lo.reshape(-1), width, tag.reshape(-1), indexed)
+                else:
+                    add(line[fits], lo[fits], width, tag[fits], indexed)
 
     def anywhere(number: int, which: np.ndarray, indexed: bool) -> None:
-        parts, length, step, width = segments(number, edits)
+        step, width = segments(number, edits)[2:]
+        tag = B.seeded(1, number + 100)
         for line in which.tolist():
-            size = int(lines.size[line])
-            at = places(number, True, edits)[0] if indexed else np.arange(0, size - width + 1, step)
-            rows = np.full(len(at), line)
-            add(number, rows, lines.start[line] + at, np.zeros(len(at), dtype=np.int64), indexed)
+            at = places(number, True, edits)[0] if indexed else np.arange(0, int(lines.size[line]) - width + 1, step)
+            add(np.full(len(at), line), lines.start[line] + at, width, tag, indexed)
 
     size = lines.size[one]
     own = np.searchsorted(bounds(edits), size, "right") - 1
@@ -249,6 +273,70 @@ def within(a: str, b: str, limit: int) -> bool:
     return value <= limit
 
 
+def all_within(pairs: list[tuple[str, str]], limits: np.ndarray) -> np.ndarray:
+    """``within`` of many pairs at once, column by column, a word for each pair."""
+    out = np.zeros(len(pairs), dtype=bool)
+    size = np.array([(max(len(a), len(b)), min(len(a), len(b))) for a, b in pairs], dtype=np.int64).reshape(-1, 2)
+    possible = size[:, 0] - size[:, 1] <= limits
+    for i in np.flatnonzero(possible & (limits > WORD_EDITS)).tolist():
+        out[i] = within(*pairs[i], int(limits[i]))
+    rest = np.flatnonzero(possible & (limits <= WORD_EDITS))
+    rest = rest[np.lexsort((size[rest, 1], limits[rest]))]
+    for i in range(0, len(rest), PAIRS):
+        some = rest[i : i + PAIRS]
+        out[some] = _banded([max(pairs[k], key=len) for k in some], [min(pairs[k][::-1], key=len) for k in some], limits[some])
+    return out
+
+
+def _codes(texts: list[str], before: int, after: int, fill: int) -> np.ndarray:
+    """A row of code points for each text, with ``fill`` around them."""
+    size = np.array(list(map(len, texts)))
+    out = np.full((len(texts), before + int(size.max(initial=0)) + after), fill, dtype=np.uint32)
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    row = np.repeat(np.arange(len(texts)), size)
+    out[row, before + np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
+    return out
+
+
+def _banded(long: list[str], short: list[str], limits: np.ndarray) -> np.ndarray:
+    """Whether the distance of each pair is within its limit; the band is as wide as the widest needs."""
+    band = int(limits.max(initial=0))
+    width = 2 * band + 1
+    one, full, lowest = np.uint64(1), np.uint64((1 << width) - 1), np.uint64(1 << (width - 1))
+    m, n = (np.array(list(map(len, x)), dtype=np.int64) for x in (long, short))
+    rows, cols = _codes(long, band, width, 0xFFFFFFFF), _codes(short, 0, 1, 0xFFFFFFFE)
+    result = np.where(n == 0, m <= limits, False)
+    live = np.flatnonzero(n > 0)
+    up = np.full(len(live), full & ~np.uint64((1 << band) - 1), dtype=np.uint64)
+    down, value = np.zeros(len(live), dtype=np.uint64), np.minimum(band, m[live])
+    rows, cols, m, n, limit = rows[live], cols[live], m[live], n[live], limits[live]
+    for j in range(int(n.max(initial=0))):
+        bits = np.zeros((len(live), 8), dtype=np.uint8)
+        found = np.packbits(rows[:, j : j + width] == cols[:, j, None], axis=1, bitorder="little")
+        bits[:, : found.shape[1]] = found
+        match = bits.view("<u8").reshape(-1)
+        diagonal = ((((match & up) + up) ^ up) | match | down) & full
+        right_up = (down | ~(diagonal | up)) & full
+        right_down = diagonal & up
+        # Along the lowest diagonal, then along the last row.
+        last = j + band - m
+        bit = one << np.clip(width - 2 - last, 0, 63).astype(np.uint64)
+        along = ((right_up & bit) != 0).astype(np.int64) - ((right_down & bit) != 0)
+        value += np.where(last < 0, (diagonal & lowest) == 0, along)
+        shifted = diagonal >> one
+        up, down = (right_down | ~(shifted | right_up)) & full, shifted & right_up
+        done = n == j + 1
+        if done.any():
+            result[live[done]] = value[done] <= limit[done]
+        if done.any() or j % 16 == 15:
+            keep = ~done & (value <= limit + band + 1)
+            if not keep.all():
+                live, rows, cols, m, n, limit, up, down, value = (x[keep] for x in (live, rows, cols, m, n, limit, up, down, value))
+                if not len(live):
+                    break
+    return result
+
+
 def row_key(doc_id: Column, text: Column) -> Column:
     """What tells rows apart: a hash of id and text, each of which may be null."""
     return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
@@ -282,7 +370,8 @@ def pack(key: np.ndarray, line: np.ndarray, indexed: np.ndarray) -> bytes:
     rest = zlib.compress(_smallest(step >> np.uint64(8 * low)), 1)
     raw = (step & np.uint64((1 << 8 * low) - 1)).astype(f"<u{low}")
     head = struct.pack("<qBBq", len(key), low, int(_width(step >> np.uint64(8 * low))), len(rest))
-    return b"".join([head, rest, raw.tobytes(), line.astype("<u4").tobytes(), np.packbits(indexed).tobytes()])
+    prints = line.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : PRINT // 8]
+    return b"".join([head, rest, raw.tobytes(), prints.tobytes(), np.packbits(indexed).tobytes()])
 
 
 def _width(x: np.ndarray) -> int:
@@ -299,13 +388,27 @@ def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     step = np.frombuffer(zlib.decompress(block[at : at + size]), dtype=f"<u{high}").astype(np.uint64) << np.uint64(8 * low)
     at += size
     step |= np.frombuffer(block, dtype=f"<u{low}", count=n, offset=at)
-    line = np.frombuffer(block, dtype="<u4", count=n, offset=at + n * low)
-    indexed = np.unpackbits(np.frombuffer(block, dtype=np.uint8, offset=at + n * (low + 4)), count=n).astype(bool)
-    return np.cumsum(step, dtype=np.uint64), line, indexed
+    width = PRINT // 8
+    line = np.zeros((n, 4), dtype=np.uint8)
+    line[:, :width] = np.frombuffer(block, dtype=np.uint8, count=n * width, offset=at + n * low).reshape(n, width)
+    indexed = np.unpackbits(np.frombuffer(block, dtype=np.uint8, offset=at + n * (low + width)), count=n).astype(bool)
+    return np.cumsum(step, dtype=np.uint64), line.view("<u4").reshape(-1), indexed
 
 
 def _prints(ids: np.ndarray) -> np.ndarray:
-    return (ids.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
+    return (ids.view(np.uint64) >> np.uint64(64 - PRINT)).astype(np.uint32)
+
+
+def _in_order(key: np.ndarray, line: np.ndarray, indexed: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """By key, line, and the index first; as one word each where ``bits`` of key leave room for the others."""
+    if bits + PRINT + 1 <= 64:
+        word = key << np.uint64(PRINT + 1)
+        word |= line.astype(np.uint64) << np.uint64(1)
+        word |= (~indexed).astype(np.uint64)
+        word.sort()
+        return word >> np.uint64(PRINT + 1), (word >> np.uint64(1)).astype(np.uint32) & np.uint32((1 << PRINT) - 1), (word & np.uint64(1)) == 0
+    order = np.lexsort((~indexed, line, key))
+    return key[order], line[order], indexed[order]
 
 
 def key_blocks(plain: DataFrame, edits: tuple, bits: int, shard_bits: int) -> DataFrame:
@@ -316,8 +419,7 @@ def key_blocks(plain: DataFrame, edits: tuple, bits: int, shard_bits: int) -> Da
         chunk = int.from_bytes(hashlib.sha256(ids.tobytes()).digest()[:8], "little", signed=True)
         rows = [(chunk & (1 << shard_bits) - 1, chunk, "lines", np.column_stack([ids, np.concatenate(about)]).tobytes())]
         key, line, indexed = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.argsort(key)
-        key, line, indexed = key[order], line[order], indexed[order]
+        key, line, indexed = _in_order(key, line, indexed, bits)
         cut = np.searchsorted(key, np.arange(1, 1 << shard_bits).astype(np.uint64) << np.uint64(bits - shard_bits))
         for shard, (lo, hi) in enumerate(zip([0, *cut.tolist()], [*cut.tolist(), len(key)], strict=True)):
             if hi > lo:
@@ -355,22 +457,26 @@ def shared_keys(blocks: DataFrame, bits: int, shard_bits: int) -> DataFrame:
 
     def meet(shard: int, held: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
         parts = [unpack(block) for _, block in held]
-        key = np.concatenate([p[0] for p in parts])
-        line, indexed = (np.concatenate([p[i] for p in parts]) for i in (1, 2))
-        chunk = np.repeat(np.array([c for c, _ in held]), [len(p[0]) for p in parts])
-        order = np.lexsort((~indexed, line, key))
-        key, line, indexed, chunk = key[order], line[order], indexed[order], chunk[order]
+        key, line, indexed = _in_order(*(np.concatenate([p[i] for p in parts]) for i in range(3)), bits - shard_bits)
         one = np.ones(len(key), dtype=bool)  # of copies of a line, and of its own keys that are alike, the first
         one[1:] = (key[1:] != key[:-1]) | (line[1:] != line[:-1])
-        key, line, indexed, chunk = key[one], line[one], indexed[one], chunk[one]
+        key, indexed = key[one], indexed[one]
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         size = np.diff(np.append(first, len(key)))
-        wanted = np.repeat((size > 1) & np.logical_or.reduceat(indexed, first), size)
-        bucket = (key[wanted] + (np.uint64(shard) << np.uint64(bits - shard_bits))).view(np.int64)
-        n = int(wanted.sum())
+        wanted = key[first[(size > 1) & np.logical_or.reduceat(indexed, first)]]
+        for (chunk, _), (key, line, indexed) in zip(held, parts, strict=True):
+            yield from rows_of(shard, chunk, wanted, key, line, indexed)
+
+    def rows_of(shard: int, chunk: int, wanted: np.ndarray, key: np.ndarray, line: np.ndarray, indexed: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The rows of a block whose keys are ``wanted``; both are sorted."""
+        first, last = np.searchsorted(key, wanted, "left"), np.searchsorted(key, wanted, "right")
+        count = last - first
+        at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        bucket = (key[at] + (np.uint64(shard) << np.uint64(bits - shard_bits))).view(np.int64)
+        n = len(at)
         if n:
             empty = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(chunk[wanted]), pa.array(line[wanted].astype(np.int64)), pa.array(indexed[wanted]), *empty], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.full(n, chunk)), pa.array(line[at].astype(np.int64)), pa.array(indexed[at]), *empty], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
@@ -427,11 +533,9 @@ def close_enough(edits: tuple):
 def _verifier(texts: DataFrame, edits: tuple):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                limit = int(allowed(np.array([min(len(x), len(y))]), edits)[0])
-                kept.append(within(x, y, limit))
-            mask = pa.array(kept, pa.bool_())
+            texts = list(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True))
+            limits = allowed(np.array([min(len(x), len(y)) for x, y in texts], dtype=np.int64), edits)
+            mask = pa.array(all_within(texts, limits), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -449,7 +553,7 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     judged = found.where(F.col("size") >= edits[0][0]).agg(F.sum("size")).first()[0] or 0
     keys = judged // 3 + 1  # about as many as there are
     bits = min(62, max(30, keys.bit_length() + SPARE_BITS))
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), keys * 6 // RANGE_BYTES)
+    ranges = min(RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), keys * 6 // RANGE_BYTES))
     shard_bits = max(1, (ranges - 1).bit_length())
     shared = stored(shared_keys(key_blocks(plain, edits, bits, shard_bits), bits, shard_bits), "shared")
     rows = shared.where("bucket is not null").select("bucket", "chunk", "print", "pivot")
