@@ -57,6 +57,20 @@ def test_edit_distance_in_a_band():
             assert linededup.within(a, b, limit) == (edits(a, b) <= limit), (a, b, limit)
 
 
+def test_many_edit_distances_at_once():
+    rnd = random.Random(6)
+    pairs, limits = [], []
+    for _ in range(4000):
+        a = "".join(rnd.choice("abé\U0001f600") for _ in range(rnd.choice([0, 1, 5, 14, 40, 90])))
+        pairs.append((a, changed(rnd, a, rnd.randint(0, 9))))
+        limits.append(rnd.choice([0, 1, 2, 3, 5, 8, 31, 40]))
+    pairs += [(x * 300, y * 290) for x in "ab" for y in "ab"]
+    limits += [10] * 4
+    got = linededup.all_within(pairs, np.array(limits)).tolist()
+    assert got == [edits(a, b) <= n for (a, b), n in zip(pairs, limits, strict=True)]
+    assert linededup.all_within([], np.array([], dtype=np.int64)).tolist() == []
+
+
 def test_every_close_pair_shares_an_indexed_bucket():
     rnd, steps = random.Random(2), ((4, 1), (8, 2))
     for _ in range(60):
@@ -102,7 +116,7 @@ def test_blocks_of_keys_come_back():
     rnd = np.random.default_rng(1)
     for n, top in ((1, 5), (5, 1 << 40), (5000, 1 << 20), (5000, 1 << 34), (300, 1 << 50), (4, 1 << 61)):
         key = np.sort(rnd.integers(0, top, n, dtype=np.uint64))
-        line, indexed = rnd.integers(0, 1 << 32, n, dtype=np.uint32), rnd.random(n) < 0.5
+        line, indexed = rnd.integers(0, 1 << linededup.PRINT, n, dtype=np.uint32), rnd.random(n) < 0.5
         for was, now in zip((key, line, indexed), linededup.unpack(linededup.pack(key, line, indexed)), strict=True):
             assert (was == now).all()
 
