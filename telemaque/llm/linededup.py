@@ -566,7 +566,7 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
         texts = _texts(plain, edits)
         texts = stored(texts.join(_sent(texts, degrees.select("id")), "id", "left_semi").dropDuplicates(["id"]), "texts")
         known = about.dropDuplicates(["id"]).select("id", "size", "bits").join(degrees, "id")
-        labels = classes(members.join(stored(known, "parities"), "id"), _verifier(texts, edits), close_enough(edits))
+        labels = classes(members, stored(known, "parities"), _verifier(texts, edits), close_enough(edits))
     classed = found.withColumn("class_id", F.col("line_id"))
     if labels is not None:
         classed = found.join(labels.toDF("line_id", "__class"), "line_id", "left").withColumn("class_id", F.coalesce("__class", "line_id")).drop("__class")

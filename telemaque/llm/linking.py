@@ -1,9 +1,11 @@
 """From shared buckets to classes: verified links and connected components, all distributed.
 
 Candidates are pairs of members of one bucket. Emitting all of them would be quadratic in a bucket of
-near copies, so first one member of each bucket is held against all others, then a few more, and what is linked becomes one class. Buckets of one class are done. In the others, pairs of
-different classes are left, and all of them are tried. Members of one class need no link between them,
-so the classes are those of all pairs. A caller's cheap necessary condition keeps hopeless pairs from
+near copies, so first one member of each bucket is held against all others, then a few more, and what is
+linked becomes one class. Buckets of one class are done. In the others, pairs of different classes are
+left. Small buckets have few of them, and all are tried. In large ones a caller can say which pairs can
+still be links (``rest``); without that, all are tried there too. Members of one class need no link between
+them, so the classes are those of all pairs. A caller's cheap necessary condition keeps hopeless pairs from
 becoming rows.
 """
 
@@ -18,6 +20,8 @@ from telemaque.workspace import fresh_dir
 
 #: Members of a bucket that are held against the others in the rounds before the last.
 PIVOTS = (1, 8)
+#: A bucket of at most so many members is small: a member has fewer pairs there than that.
+FEW = 32
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -53,18 +57,30 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], close: Callable[[str, str], Column] | None = None
+    members: DataFrame,
+    about: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    close: Callable[[str, str], Column],
+    rest: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame | None:
     """(id, class_id) of the ``members`` of buckets that have a link; None where there is none.
 
-    ``members``: bucket, id, pivot (boolean: one end of a pair at least must be one), each (bucket, id)
-    once; ``degree``, if there: those with the greatest are held against the others first; and columns for ``close``, which gives for two prefixes of column names a condition that every
-    linked pair meets. ``verify`` takes pairs (a, b) and returns those that are links.
+    ``members``: bucket, id, pivot (boolean: one end of a pair at least must be one), each (bucket, id) once.
+    ``about``: a row per id, with ``degree`` (those with the greatest are held against the others first) and columns for
+    ``close``, which gives for two prefixes of column names a condition that every linked pair meets.
+    ``verify`` takes pairs (a, b) and returns those that are links. ``rest`` takes the different members of large
+    buckets (id, class_id and the columns of ``about``) and returns pairs (a, b), among them all links of
+    different classes that share such a bucket. No pair is verified twice.
     """
-    extra = [c for c in members.columns if c not in ("bucket", "id", "pivot")]
-    first = [F.desc("degree")] if "degree" in extra else []
-    by_bucket = Window.partitionBy("bucket").orderBy(*first, "id")
-    labels, links = None, None
+    extra = [c for c in about.columns if c != "id"]
+    ranked = members.join(about.select("id", "degree"), "id")
+    members = stored(ranked.select("bucket", "id", "pivot", "degree", F.col("id").alias("class_id")), "members")
+    by_bucket = Window.partitionBy("bucket").orderBy(F.desc("degree"), "id")
+    labels, links, tried = None, None, None
+
+    def seen(side: str) -> DataFrame:
+        return about.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in extra])
+
     for take in (*PIVOTS, None):
         if labels is not None:
             members = members.drop("class_id").join(labels, "id", "left")
@@ -72,23 +88,43 @@ def classes(
             # Buckets of one class are done.
             kinds = members.groupBy("bucket").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"))
             members = members.join(kinds.where("lo < hi").select("bucket"), "bucket", "left_semi")
+            members = stored(members.select("bucket", "id", "pivot", "degree", "class_id"), "members")
+        if take is not None:
+            # A limit by rank is applied in each task before the shuffle: a large bucket sends few rows.
+            left = members.where("pivot").withColumn("__rank", F.row_number().over(by_bucket)).where(F.col("__rank") <= take)
+            left = left.select("bucket", F.col("id").alias("a"), F.col("class_id").alias("a_class"))
+            both = left.join(members.select("bucket", F.col("id").alias("b"), F.col("class_id").alias("b_class")), "bucket")
+            both = both.where("a_class <> b_class").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            pairs = both.join(seen("a"), "a").join(seen("b"), "b").where(close("a_", "b_")).select("a", "b")
         else:
-            members = members.withColumn("class_id", F.col("id"))
-        members = stored(members.select("bucket", "id", "pivot", "class_id", *extra), "members")
-        left = members.where("pivot")
-        if take is not None:  # a limit by rank is applied in each task before the shuffle: a large bucket sends few rows
-            left = left.withColumn("__rank", F.row_number().over(by_bucket)).where(F.col("__rank") <= take).drop("__rank")
-        left = left.select("bucket", *[F.col(c).alias(f"a_{c}") for c in ("id", "pivot", "class_id", *extra)])
-        right = members.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("id", "pivot", "class_id", *extra)])
-        # Of two pivots the smaller one is the left end, unless the left side holds but a few.
-        once = F.lit(True) if take is not None else (F.col("a_id") < F.col("b_id")) | ~F.col("b_pivot")
-        apart = (F.col("a_class_id") != F.col("b_class_id")) & once
-        pairs = left.join(right, (left["bucket"] == right["bucket"]) & (apart if close is None else apart & close("a_", "b_")))
-        pairs = stored(pairs.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b")).distinct(), "pairs")
+            pairs = _remaining(members, about, extra, close, rest)
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
             continue
+        tried = pairs if tried is None else tried.union(pairs)
         found = stored(verify(pairs), "found")
         links = found if links is None else links.union(found)
         if not found.isEmpty():
             labels = components(links)
     return labels
+
+
+def _remaining(members: DataFrame, about: DataFrame, extra: list[str], close, rest) -> DataFrame:
+    """The pairs of different classes in buckets that still have several."""
+    more = None
+    if rest is not None:
+        large = stored(members.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > FEW).select("bucket"), "large")
+        if not large.isEmpty():
+            unresolved = members.join(large, "bucket", "left_semi").select("id", "class_id").dropDuplicates(["id"]).join(about, "id")
+            more = rest(stored(unresolved, "unresolved"))
+            members = members.join(large, "bucket", "left_anti")
+    known = stored(members.drop("degree").join(about, "id"), "known")
+    left = known.where("pivot").select("bucket", *[F.col(c).alias(f"a_{c}") for c in ("id", "class_id", *extra)])
+    right = known.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("id", "pivot", "class_id", *extra)])
+    # Of two pivots the smaller one is the left end.
+    apart = (F.col("a_class_id") != F.col("b_class_id")) & ((F.col("a_id") < F.col("b_id")) | ~F.col("b_pivot"))
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & apart & close("a_", "b_"))
+    pairs = pairs.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"))
+    return (pairs if more is None else pairs.union(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))).distinct()

@@ -7,6 +7,11 @@ are coordinates, round i puts all shingles into coordinate i, so every coordinat
 Coordinates of two sketches agree with the sets' similarity as probability, as concentrated as with
 independent hashes. Bands of coordinates make buckets, and links are confirmed on the full sets.
 
+A large bucket may hold many sets that are alike but not linked, and pairs of them grow with the square of their
+number. There the sets themselves say which pairs are left: with the shingles in one order, the rarest first,
+two linked sets have one in common among the first of both, ``prefix`` in number, since all others are too few.
+What tells near copies apart is rare, so hardly a pair that isn't linked is left.
+
 Texts of one shingle set are one class from the start, so copies cost a row each. At a similarity of
 0.8, 73 bands of 7 miss a link with probability (1 - 0.8 ** 7) ** 73 = 3e-8. Fewer rows per band would
 find as much with fewer bands, but put many texts that share just a passage into one bucket.
@@ -125,9 +130,10 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
 
 
 def close_enough(similarity: int):
-    """The condition on the ``bits`` of two sketches that a linked pair meets but with probability 1.5e-12.
+    """A condition on sizes and on the ``bits`` of two sketches that a linked pair meets but with probability 1.5e-12.
 
-    That is the binomial tail below the limit at the default similarity of 0.8: 191 of 256 bits or fewer agree.
+    That is the binomial tail below the limit at the default similarity of 0.8: 191 of 256 bits or fewer agree. The
+    condition on the sizes is exact.
     """
     share = (1 + similarity / 100) / 2
     least = BITS * share - SLACK * (BITS * share * (1 - share)) ** 0.5
@@ -136,11 +142,52 @@ def close_enough(similarity: int):
         agree = F.lit(BITS)
         for i in range(BITS // 64):
             agree = agree - F.bit_count(F.get(f"{a}bits", F.lit(i)).bitwiseXOR(F.get(f"{b}bits", F.lit(i))))
-        return agree >= least
+        one, other = F.col(f"{a}size"), F.col(f"{b}size")
+        return (100 * F.least(one, other) >= similarity * F.greatest(one, other)) & (agree >= least)
 
     return close
 
 
+def prefix(size: Column, share: int, whole: int) -> Column:
+    """Of ``size`` shingles, how many may come before the first that is shared, and one, if ``share`` of ``whole`` are."""
+    return size - F.floor((size * share + whole - 1) / whole).cast("long") + 1
+
+
+def prefix_pairs(sets: DataFrame, similarity: int, close):
+    """The pairs of sets that can still be links, by their rarest shingles; for ``linking.classes``.
+
+    Of a linked pair the smaller set has at least 2s / (1 + s) of its shingles in common with the other, and the
+    larger one at least s of its own.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                one = np.frombuffer(x.as_buffer(), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(one), i)), pa.array(one)], names=["id", "shingle"])
+
+    def rest(left: DataFrame) -> DataFrame:
+        shingles = sets.join(left.select("id"), "id", "left_semi").select("id", "set").mapInArrow(spread, "id long, shingle long")
+        times = stored(shingles.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1"), "times")
+        held = shingles.join(times, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("held"))
+        held = held.join(left, "id")
+        # The shingles that no other set has come first of all, and meet nothing.
+        alone = F.col("size") - F.size("held")
+        probed = F.greatest(prefix(F.col("size"), similarity, 100) - alone, F.lit(0)).cast("int")
+        indexed = prefix(F.col("size"), 2 * similarity, 100 + similarity) - alone
+        some = held.where(probed > 0).withColumns({"first": F.slice("held", F.lit(1), probed), "indexed": indexed}).drop("held")
+        rows = some.select("*", F.posexplode("first").alias("place", "found")).withColumn("shingle", F.col("found.shingle"))
+        rows = stored(rows.select("shingle", *left.columns, (F.col("place") < F.col("indexed")).alias("indexed")), "prefixes")
+        small = rows.where("indexed").drop("indexed")
+        small, large = (df.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in left.columns]) for df, side in ((small, "a"), (rows.drop("indexed"), "b")))
+        order = (F.col("a_size") < F.col("b_size")) | ((F.col("a_size") == F.col("b_size")) & (F.col("a_id") < F.col("b_id")))
+        apart = order & (F.col("a_class_id") != F.col("b_class_id")) & close("a_", "b_")
+        pairs = small.join(large, (small["shingle"] == large["shingle"]) & apart)
+        return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
+
+    return rest
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(id, set) of the documents in ``wanted`` (doc_id): the sorted shingles as bytes; stored."""
 
@@ -193,10 +240,11 @@ def near_duplicates(
     if not members.isEmpty():
         # Who shares most buckets is in the middle of its group: near copies are linked through it.
         wanted = stored(members.groupBy("id").agg(F.sum("n").alias("degree")), "wanted")
-        bits = heads.select(F.col("head").alias("id"), "bits").join(wanted, "id").dropDuplicates(["id"])
-        members = members.drop("n").join(bits, "id")
+        bits = heads.select(F.col("head").alias("id"), "bits", F.col("n_shingles").alias("size")).join(wanted, "id").dropDuplicates(["id"])
+        bits = stored(bits, "about")
         sets = full_sets(plain, wanted.select(F.col("id").alias("doc_id")), shingle)
-        labels = classes(members, verifier(sets, similarity), close_enough(similarity))
+        close = close_enough(similarity)
+        labels = classes(members.drop("n"), bits, verifier(sets, similarity), close, prefix_pairs(sets, similarity, close))
     of_head = heads.select(*by_set, "head")
     if labels is not None:
         of_head = of_head.join(labels, F.col("head") == F.col("id"), "left").select(*by_set, F.coalesce("class_id", "head").alias("head"))
