@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from telemaque.llm import buffers, linededup, linking, minhash, queries
 from tests.llm.helpers import SMALL, fold, hostile, words
@@ -253,3 +254,33 @@ def test_near_duplicates_on_hostile_and_empty_tables(spark):
     assert [g[1:] for g in got if g[0] in "12"] == [(76, "1"), (76, "1"), (77, "1")]
     assert [g[1:] for g in got if g[0] in "345"] == [(0, "3"), (0, "4"), (0, "5")]
     assert minhash.near_duplicates(docs.where("false")).count() == 0
+
+
+def test_many_sets_that_are_alike_but_not_linked(spark, monkeypatch):
+    """Large buckets of near copies below and above the threshold, their pairs found by rare shingles."""
+    rnd = random.Random(12)
+    monkeypatch.setattr(linking, "FEW", 4)
+    rows, base = [], [f"w{i}" for i in range(120)]
+    for i in range(150):
+        text = list(base)
+        for k in rnd.sample(range(120), rnd.choice([2, 5, 8, 11, 14])):
+            text[k] = f"x{rnd.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    rows += [(200 + i, rows[i][1] + " and a few more") for i in range(0, 150, 10)] + [(300, rows[3][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for shingle in (1, 2):
+        _, expected = brute_groups(rows, shingle)
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, shingle=shingle).collect()}
+        assert got == expected and len(set(got.values())) > 5
+
+
+def test_prefixes_hold_a_shared_shingle(spark):
+    for small in (1, 2, 3, 10, 57, 400):
+        for large in {small, small + 1, small * 5 // 4}:
+            need = -(-80 * (small + large) // 180)  # the least overlap of a linked pair
+            if 100 * small < 80 * large:
+                continue
+            row = spark.range(1).select(
+                minhash.prefix(F.lit(small).cast("long"), 160, 180).alias("a"), minhash.prefix(F.lit(large).cast("long"), 80, 100).alias("b")
+            ).first()
+            assert row.a >= small - need + 1 and row.b >= large - need + 1
