@@ -1,4 +1,4 @@
-"""Great-circle distance and dead reckoning as column expressions."""
+"""Great-circle distance as a column expression."""
 
 from __future__ import annotations
 
@@ -18,19 +18,3 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     # Rounding can lift the chord a hair above 1 at antipodes, where sqrt(1 - chord) would be NaN.
     rest = F.greatest(1.0 - chord, F.lit(0.0))
     return F.lit(2.0 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(chord), F.sqrt(rest))
-
-
-def step_ratio(speed_kmh: Column, seconds: Column, remaining_km: Column, clamp: bool) -> Column:
-    """Share of the remaining way covered in ``seconds``.
-
-    Within the arrival threshold the vehicle has arrived and moves no more. Unclamped, a fast vehicle overshoots near its target;
-    with ``clamp`` it stops there.
-    """
-    ratio = speed_kmh / 3600.0 * seconds / F.when(remaining_km > 0, remaining_km)
-    if clamp:
-        ratio = F.when(ratio > 1.0, F.lit(1.0)).otherwise(ratio)
-    return F.when(remaining_km <= ARRIVAL_THRESHOLD_KM, F.lit(0.0)).otherwise(ratio)
-
-
-def advance(start: Column, target: Column, ratio: Column) -> Column:
-    return start + (target - start) * ratio

@@ -86,24 +86,6 @@ def trip_distance(flat: DataFrame) -> DataFrame:
     return flat.withColumn("distance_km", _remaining_km())
 
 
-def next_position(speed_kmh: Column, seconds: float = 1.0, clamp: bool = False) -> Transform:
-    """Add ``next_latitude`` and ``next_longitude``: where the vehicle is after ``seconds``."""
-
-    def apply(flat: DataFrame) -> DataFrame:
-        # Steps get their own projections, as each result is used several times in the next.
-        moved = flat.withColumn("_km", _remaining_km()).withColumn(
-            "_ratio", geo.step_ratio(speed_kmh, F.lit(float(seconds)), F.col("_km"), clamp)
-        )
-        return moved.withColumns(
-            {
-                f"next_{axis}": geo.advance(F.col(f"departure_{axis}"), F.col(f"arrival_{axis}"), F.col("_ratio"))
-                for axis in ("latitude", "longitude")
-            }
-        ).drop("_km", "_ratio")
-
-    return apply
-
-
 def arrived_trips(threshold_km: float = geo.ARRIVAL_THRESHOLD_KM) -> Transform:
     """The rows whose position lies within the threshold of the target, with their distance."""
 

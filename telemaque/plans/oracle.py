@@ -388,6 +388,15 @@ FROM sent GROUP BY slice"""
         ),
         _sliced(3),
     ),
+    "compacted_rows": _sql(f"SELECT {_PLACE}, {_FLAT_NAMES} FROM flat"),
+    "offset_ranges": _sql(
+        f"""SELECT {_PLACE}, {_FLAT_NAMES} FROM flat f
+WHERE ("partition" = 0 AND "offset" >= 10 AND "offset" < 120) OR ("partition" = 1 AND "offset" >= 50)
+   OR ("partition" >= 2 AND "offset" BETWEEN (SELECT min("offset") FROM flat d WHERE d."partition" = f."partition"
+        AND d.heure_depart >= TIMESTAMP '2024-01-10' AND d.heure_depart < TIMESTAMP '2024-01-11')
+      AND (SELECT max("offset") FROM flat d WHERE d."partition" = f."partition"
+        AND d.heure_depart >= TIMESTAMP '2024-01-10' AND d.heure_depart < TIMESTAMP '2024-01-11'))"""
+    ),
     "recovered_sink": _sql(f"SELECT {_LINE} AS line FROM flat"),
 }
 # What a table kept up to date batch by batch holds in the end is what one pass over all rows gives.

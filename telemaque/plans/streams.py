@@ -6,6 +6,7 @@ Each query starts its stream anew from the checkpoint after every slice of messa
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,11 @@ from telemaque.operators.dedupe import dedupe_events
 from telemaque.plans import binding
 from telemaque.plans.binding import events_table
 from telemaque.plans.slices import Slices, send_and_run
-from telemaque.schemas import TOPICS, TRIP
+from telemaque.schemas import ENVELOPE, TOPICS, TRIP
+from telemaque.sinks.compacted import CompactedTable
 from telemaque.sinks.keyed import KeyedTable
+from telemaque.sinks.tables import publish
+from telemaque.sources import ranges
 from telemaque.sources.topics import read_topic
 from telemaque.streaming.batches import batch_writer
 from telemaque.streaming.joins import trip_view_stream
@@ -30,6 +34,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 SLICES, JOIN_SLICES = 4, 3
 GAP_S, WINDOW_S, SLIDE_S = 6 * 3600, 24 * 3600, 12 * 3600
 REPORT_S, TRIP_S = 6 * 3600, 10 * 24 * 3600
+SMALL_BATCHES = 7
+DAY = datetime(2024, 1, 10, tzinfo=UTC)
 ORDER_COLUMNS = ("partition", "offset", "timestamp")
 PING_TOPIC = TOPICS["trajet"].kafka_topic
 
@@ -219,6 +225,30 @@ def recovered_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(f"{root}/points").select(F.col("value").alias("line"))
 
 
+def compacted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed pings that came in as many small batches, compacted in between, and read through the manifest."""
+    root = fresh_dir(spark, "compacted")
+    rows = binding.trip_rows(events_table(spark, sf_dir)).transform(trips.flatten_trip(("partition", "offset"))).transform(trips.cast_positions)
+    table = CompactedTable(root, rows.schema)
+    for number in range(SMALL_BATCHES):
+        table.write(rows.where(F.pmod("offset", F.lit(SMALL_BATCHES)) == number), number)
+        if number % 3 == 2:
+            table.compact(spark)
+            table.expire(spark)
+    return zoneless(table.read(spark))
+
+
+def offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip messages of a range of offsets in each of two partitions, and of a day in the others."""
+    root = fresh_dir(spark, "offset_ranges")
+    publish(_sent(binding.trip_rows(events_table(spark, sf_dir)), "trajet"), PING_TOPIC, replay=root)
+    sent = spark.read.schema(ENVELOPE).parquet(f"{root}/{PING_TOPIC}")
+    day = ranges.offsets_of_times(sent.where("partition >= 2"), DAY, DAY + timedelta(days=1))
+    wanted = [ranges.OffsetRange(0, 10, 120), ranges.OffsetRange(1, 50), *day]
+    found = ranges.read_offsets(spark, PING_TOPIC, wanted, replay=root)
+    return zoneless(found.transform(trips.typed_trips(("partition", "offset"))))
+
+
 QUERIES: dict[str, Query] = {
     "trip_sessions": trip_sessions,
     "departure_days": departure_days,
@@ -229,4 +259,6 @@ QUERIES: dict[str, Query] = {
     "point_upsert_stream": point_upsert_stream,
     "one_read_two_sinks": one_read_two_sinks,
     "recovered_sink": recovered_sink,
+    "compacted_rows": compacted_rows,
+    "offset_ranges": offset_ranges,
 }

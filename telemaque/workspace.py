@@ -68,6 +68,12 @@ def put_text(spark: SparkSession, path: str, text: str) -> None:
         store.delete(draft, False)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a folder and all that is in it."""
+    store, there = _store(spark, path)
+    return store.getContentSummary(there).getLength()
+
+
 def removed(spark: SparkSession, path: str) -> bool:
     """Remove a file or a folder with what is in it; False if it wasn't there."""
     store, there = _store(spark, path)

@@ -14,8 +14,11 @@ from telemaque.plans import binding
 from telemaque.plans.slices import Slices
 from telemaque.schemas import TOPICS, TRIP
 from telemaque.sinks import keyed
+from telemaque.sinks.compacted import CompactedTable
 from telemaque.sinks.keyed import KeyedTable
 from telemaque.sinks.tables import publish
+from telemaque.sources import ranges
+from telemaque.sources.ranges import OffsetRange
 from telemaque.sources.topics import read_topic
 from telemaque.streaming.batches import batch_writer
 from telemaque.streaming.ledger import Ledger
@@ -268,3 +271,58 @@ def test_small_files(spark, tmp_path):
     put_text(spark, path, "second")
     assert get_text(spark, path) == "é\n" and listed(spark, f"{tmp_path}/a") == ["b"]
     assert removed(spark, f"{tmp_path}/a") and listed(spark, f"{tmp_path}/a") == []
+
+
+# -- compaction and ranges ---------------------------------------------------------------------------
+
+
+def test_compaction_keeps_rows_and_bounds_files(spark, tmp_path, monkeypatch):
+    rows = spark.range(4000).selectExpr("id", "cast(id % 10 as int) as batch", "uuid() as note").cache()
+    table = CompactedTable(str(tmp_path / "t"), rows.schema, target_bytes=60_000)
+    assert table.read(spark).collect() == [] and table.compact(spark) == -1
+    files = lambda: len(set(table.read(spark).inputFiles()))
+    for n in range(10):
+        table.write(rows.where(F.col("batch") == n).repartition(8), n)
+        table.write(rows.where(F.col("batch") == n).repartition(8), n)  # comes again
+        if n == 4:
+            before = files()
+            assert table.compact(spark) == 0 and files() < before / 4
+            table.write(rows.limit(1), 2)  # compacted already: passed over
+    assert bag(table.read(spark)) == bag(rows)
+    readers = table.read(spark)  # planned before the switch
+    write = CompactedTable.compact
+    monkeypatch.setattr("telemaque.sinks.compacted.put_text", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        write(table, spark)
+    assert table.generations(spark) == [0] and bag(table.read(spark)) == bag(rows)
+    monkeypatch.undo()
+    assert table.compact(spark) == 1 and bag(table.read(spark)) == bag(readers) == bag(rows)
+    table.expire(spark)
+    assert bag(table.read(spark)) == bag(rows) and table.generations(spark) == [1] and table.batches(spark) == []
+    assert len(listed(spark, f"{table.root}/data")) == len(table.manifest(spark)["folders"])
+    assert all(f["bytes"] < 5 * table.target_bytes for f in table.manifest(spark)["folders"]) and files() <= 12
+
+
+def test_ranges_of_offsets_and_times(spark, tmp_path):
+    for partition in range(3):
+        publish(envelope(spark, [ping("T", i) for i in range(50)], partition=partition), TOPIC, replay=str(tmp_path))
+    wanted = [OffsetRange(0, 5, 8), OffsetRange(2, 48)]
+    found = ranges.read_offsets(spark, TOPIC, wanted, replay=str(tmp_path))
+    assert bag(found.select("partition", "offset")) == Counter([(0, 5), (0, 6), (0, 7), (2, 48), (2, 49)])
+    assert "PushedFilters: [Or(" in found._jdf.queryExecution().toString()
+    assert ranges.read_offsets(spark, TOPIC, [], replay=str(tmp_path)).collect() == []
+    sent = spark.read.parquet(f"{tmp_path}/{TOPIC}")
+    at = lambda s: T0 + timedelta(seconds=s)
+    assert ranges.offsets_of_times(sent, at(10), at(12)) == [OffsetRange(p, 10, 12) for p in range(3)]
+    assert ranges.offsets_of_times(sent, at(500)) == []
+    assert ranges.committed(sent, {0: 47, 1: 49}) == [OffsetRange(0, 48, 50), OffsetRange(2, 0, 50)]
+
+
+def test_options_of_a_range():
+    options = ranges.range_options("t", "h:1", [OffsetRange(0, 5, 8), OffsetRange(1)])
+    assert options["startingOffsets"] == '{"t": {"0": 5, "1": 0}}' and options["endingOffsets"] == '{"t": {"0": 8, "1": -1}}'
+    for wrong in ({"ranges": [OffsetRange(0)], "servers": "h", "replay": "r"}, {"ranges": [OffsetRange(0), OffsetRange(0, 3)], "replay": "r"}):
+        with pytest.raises(ValueError):
+            ranges.read_offsets(None, "t", **wrong)
+    with pytest.raises(ValueError):
+        OffsetRange(0, 5, 4)

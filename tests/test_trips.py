@@ -71,32 +71,6 @@ def test_distance_of_an_unknown_position_is_null(spark):
     assert df.select(geo.distance_km(F.col("a"), F.col("b"), F.col("b"), F.col("b"))).collect()[0][0] is None
 
 
-def move(spark, start, target, speed, seconds, clamp):
-    row = flat_trips(spark, [(0, 0, "T", "A", *start, "B", *target, T0, False)])
-    moved = row.transform(trips.next_position(F.lit(speed), seconds, clamp)).collect()[0]
-    return moved["next_latitude"], moved["next_longitude"]
-
-
-def test_next_position_lies_on_the_straight_way(spark):
-    lat, lon = move(spark, (46.0, -71.0), (46.5, -71.5), 72.0, 10, False)
-    assert great_circle(46.0, -71.0, lat, lon) == pytest.approx(72 / 3600 * 10, rel=5e-3)
-    assert (lat - 46.0) / 0.5 == pytest.approx((lon + 71.0) / -0.5)
-
-
-def test_next_position_overshoots_unless_clamped(spark):
-    near, target = (46.0, -71.0), (46.0001, -71.0)
-    assert move(spark, near, target, 90.0, 60, False)[0] > 46.0001
-    assert move(spark, near, target, 90.0, 60, True) == pytest.approx(target, abs=1e-12)
-    assert move(spark, target, target, 90.0, 60, False) == target
-    assert move(spark, target, target, 90.0, 60, True) == target
-
-
-def test_an_unknown_longitude_or_speed_leads_nowhere(spark):
-    for clamp in (True, False):
-        assert move(spark, (46.0, None), (46.5, -71.5), 72.0, 10, clamp) == (None, None)
-        assert move(spark, (46.0, -71.0), (46.5, -71.5), None, 10, clamp) == (None, None)
-
-
 def test_arrival_threshold(spark):
     a_metre = 1 / 111_194.9
     rows = [
