@@ -175,13 +175,18 @@ def prefix_pairs(sets: DataFrame, similarity: int, close):
         alone = F.col("size") - F.size("held")
         probed = F.greatest(prefix(F.col("size"), similarity, 100) - alone, F.lit(0)).cast("int")
         indexed = prefix(F.col("size"), 2 * similarity, 100 + similarity) - alone
-        some = held.where(probed > 0).withColumns({"first": F.slice("held", F.lit(1), probed), "indexed": indexed}).drop("held")
+        some = held.where(probed > 0).withColumns({"first": F.slice("held", F.lit(1), probed), "indexed": indexed, "alone": alone}).drop("held")
         rows = some.select("*", F.posexplode("first").alias("place", "found")).withColumn("shingle", F.col("found.shingle"))
-        rows = stored(rows.select("shingle", *left.columns, (F.col("place") < F.col("indexed")).alias("indexed")), "prefixes")
+        columns = [*left.columns, "place", "after"]
+        rows = rows.withColumn("after", F.col("size") - F.col("alone") - F.col("place") - 1)
+        rows = stored(rows.select("shingle", *columns, (F.col("place") < F.col("indexed")).alias("indexed")), "prefixes")
         small = rows.where("indexed").drop("indexed")
-        small, large = (df.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in left.columns]) for df, side in ((small, "a"), (rows.drop("indexed"), "b")))
+        small, large = (df.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in columns]) for df, side in ((small, "a"), (rows.drop("indexed"), "b")))
+        # Shared are at most the shingles before this one, itself and those after it.
+        most = F.least("a_place", "b_place") + F.least("a_after", "b_after") + 1
+        enough = (100 + similarity) * most >= similarity * (F.col("a_size") + F.col("b_size"))
         order = (F.col("a_size") < F.col("b_size")) | ((F.col("a_size") == F.col("b_size")) & (F.col("a_id") < F.col("b_id")))
-        apart = order & (F.col("a_class_id") != F.col("b_class_id")) & close("a_", "b_")
+        apart = order & (F.col("a_class_id") != F.col("b_class_id")) & enough & close("a_", "b_")
         pairs = small.join(large, (small["shingle"] == large["shingle"]) & apart)
         return pairs.select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
 
