@@ -266,7 +266,7 @@ def test_many_sets_that_are_alike_but_not_linked(spark, monkeypatch):
         for k in rnd.sample(range(120), rnd.choice([2, 5, 8, 11, 14])):
             text[k] = f"x{rnd.randrange(10**6)}"
         rows.append((i, " ".join(text)))
-    rows += [(200 + i, rows[i][1] + " and a few more") for i in range(0, 150, 10)] + [(300, rows[3][1])]
+    rows += [(200 + i, rows[i][1] + " and a few more") for i in range(0, 150, 10)] + [(400, rows[3][1])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     for shingle in (1, 2):
         _, expected = brute_groups(rows, shingle)
