@@ -26,6 +26,7 @@ none of them has an id, null, and it is kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,9 @@ _VALUE = np.uint64((1 << 54) - 1)
 
 #: Lowest bits of as many coordinates, in words: a similarity s makes (1 + s) / 2 of them agree.
 BITS = 256
+#: Shingles are dealt to as many places by a hash, each of which keeps whether it has an odd number of them. Two sets differ
+#: in at least as many shingles as such places differ.
+PARITIES = 512
 #: Standard deviations below what a linked pair has on average that a candidate may have.
 SLACK = 8
 
@@ -92,6 +96,14 @@ def sketches(hashes: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def parities(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """``PARITIES`` bits for each set, as a row of longs."""
+    n = len(offsets) - 1
+    place = (B.mix(hashes ^ B.seeded(1, 13)[0]) >> np.uint64(64 - (PARITIES.bit_length() - 1))).astype(np.int64)
+    odd = np.bincount(np.repeat(np.arange(n), np.diff(offsets)) * PARITIES + place, minlength=n * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(n, PARITIES), axis=1).view(np.int64)
+
+
 def banded(sketch: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """A bucket key for each sketch and band."""
     parts = sketch[:, : bands * rows].reshape(len(sketch), bands, rows)
@@ -119,7 +131,9 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.append(0, np.cumsum(np.where(filled, bands, 0))).astype(np.int32)), pa.array(keys[filled].reshape(-1).view(np.int64))
                 )
-                words = BITS // 64
+                odd = parities(hashes, offsets)
+                low = np.concatenate([low.reshape(len(size), -1), odd], axis=1)
+                words = low.shape[1]
                 bits = pa.ListArray.from_arrays(pa.array(np.arange(0, len(size) * words + 1, words, dtype=np.int32)), pa.array(low.reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, len(size)), pa.array(size), *[pa.array(s.view(np.int64)) for s in sums], lists, bits],
@@ -130,20 +144,25 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
 
 
 def close_enough(similarity: int):
-    """A condition on sizes and on the ``bits`` of two sketches that a linked pair meets but with probability 1.5e-12.
+    """A condition on sizes and on the ``bits`` of two sets that a linked pair meets but with probability 1.5e-12.
 
-    That is the binomial tail below the limit at the default similarity of 0.8: 191 of 256 bits or fewer agree. The
-    condition on the sizes is exact.
+    That is the binomial tail below the limit on sketch bits at the default similarity of 0.8: 191 of 256 bits or fewer
+    agree. The conditions on sizes and on parities are exact: of all shingles of a linked pair, counted in each set, at
+    most (1 - s) / (1 + s) are in one set only.
     """
     share = (1 + similarity / 100) / 2
     least = BITS * share - SLACK * (BITS * share * (1 - share)) ** 0.5
+    split = BITS // 64
 
     def close(a: str, b: str) -> Column:
-        agree = F.lit(BITS)
-        for i in range(BITS // 64):
-            agree = agree - F.bit_count(F.get(f"{a}bits", F.lit(i)).bitwiseXOR(F.get(f"{b}bits", F.lit(i))))
+        def differ(start: int, stop: int) -> Column:
+            bits = [F.bit_count(F.get(f"{a}bits", F.lit(i)).bitwiseXOR(F.get(f"{b}bits", F.lit(i)))) for i in range(start, stop)]
+            return reduce(Column.__add__, bits)
+
         one, other = F.col(f"{a}size"), F.col(f"{b}size")
-        return (100 * F.least(one, other) >= similarity * F.greatest(one, other)) & (agree >= least)
+        sizes = 100 * F.least(one, other) >= similarity * F.greatest(one, other)
+        odd = (100 + similarity) * differ(split, split + PARITIES // 64) <= (100 - similarity) * (one + other)
+        return sizes & odd & (differ(0, split) <= BITS - least)
 
     return close
 

@@ -284,3 +284,17 @@ def test_prefixes_hold_a_shared_shingle(spark):
                 minhash.prefix(F.lit(small).cast("long"), 160, 180).alias("a"), minhash.prefix(F.lit(large).cast("long"), 80, 100).alias("b")
             ).first()
             assert row.a >= small - need + 1 and row.b >= large - need + 1
+
+
+def test_sets_differ_in_at_least_as_many_shingles_as_their_parities():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, n)) for n in (0, 1, 2, 40, 700, 2500, 2500)]
+    sets += [sets[4][:-3], sets[4][5:], sets[0]]
+    bits = minhash.parities(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    assert bits.shape == (len(sets), minhash.PARITIES // 64)
+    for one, x in zip(sets, bits, strict=True):
+        for other, y in zip(sets, bits, strict=True):
+            odd = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+            apart = len(np.setxor1d(one, other))
+            assert odd <= apart and odd % 2 == apart % 2
