@@ -92,18 +92,42 @@ def _small(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max(initial=0))))
 
 
+def _planes(values: np.ndarray) -> tuple[str, tuple[int, ...], bytes]:
+    """The bytes of whole numbers, all lowest ones first, then all next: high ones are mostly 0."""
+    values = np.ascontiguousarray(_small(values))
+    return values.dtype.str, values.shape, values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _unplaned(dtype: str, shape: tuple[int, ...], data: bytes) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).reshape(shape)
+
+
 def pack(rows: np.ndarray, values: np.ndarray) -> bytes:
-    """N-grams in the order of their words, the first word once for all that share it."""
+    """N-grams in the order of their words, the first word once for all that share it; compressed.
+
+    A word's hash is there once: n-grams hold its rank by frequency in the block.
+    """
+    words, back, times = np.unique(rows, return_inverse=True, return_counts=True)
+    by_times = np.argsort(-times, kind="stable")
+    rank = np.empty(len(words), dtype=np.int64)
+    rank[by_times] = np.arange(len(words))
+    rows = rank[back.reshape(rows.shape)]
     order = np.lexsort(rows.T[::-1])
     rows, values = rows[order], values[order]
     first = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
     length = np.diff(np.append(first, len(rows)))
-    return pickle.dumps((rows[first, 0], _small(length), np.ascontiguousarray(rows[:, 1:]), _small(values)), protocol=5)
+    columns = [rows[first, 0], length, *rows.T[1:], *values.T]
+    raw = pickle.dumps((words[by_times].tobytes(), rows.shape[1], [_planes(c) for c in columns]), protocol=5)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
-    head, length, rest, values = pickle.loads(block)
-    return np.column_stack([np.repeat(head, length), rest]), values.astype(np.int64)
+    raw = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), codec="zstd", asbytes=True)
+    words, width, columns = pickle.loads(raw)
+    words, (head, length, *rest) = np.frombuffer(words, np.uint64), [_unplaned(*c) for c in columns]
+    rows = words[np.column_stack([np.repeat(head, length), *rest[: width - 1]])]
+    return rows, np.column_stack(rest[width - 1 :]).astype(np.int64)
 
 
 def _shards(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -198,18 +222,27 @@ def reduced(blocks: DataFrame, folder: str, bits: int) -> DataFrame:
     return stored(dealt.mapInArrow(run, BLOCKS), "ngrams")
 
 
+#: The numbers most keys have, by how many there are: an n-gram met once, a context met once (see ``reduced``).
+SINGLE = {1: (1,), 4: (1, 1, 0, 0)}
+
+
 def write(store, root: str, kind: str, shard: int, keys: np.ndarray, values: np.ndarray) -> dict:
-    """A sorted hash array with its numbers; keys whose only number is 1 come first, without it."""
+    """Sorted hash arrays with their numbers: keys with those of ``SINGLE`` come first, without any, then keys with
+    numbers of a byte, then the others."""
     name = f"{kind}-{shard}-{uuid.uuid4().hex}"
-    ones = values[:, 0] == 1 if values.shape[1] == 1 else np.zeros(len(keys), dtype=bool)
-    numbers = values[~ones].astype(np.min_scalar_type(int(values.max(initial=0))))
+    single = (values == SINGLE[values.shape[1]]).all(axis=1)
+    byte = ~single & (values < 256).all(axis=1)
+    parts = []
     with store.open_output_stream(f"{root}/{name}") as out:
-        for part in (keys[ones], keys[~ones], numbers):
-            out.write(np.ascontiguousarray(part).tobytes())
+        for some, dtype in ((single, None), (byte, "|u1"), (~single & ~byte, "<i8")):
+            parts.append((int(some.sum()), dtype))
+            out.write(np.ascontiguousarray(keys[some]).tobytes())
+            if dtype:
+                numbers = values[some].astype(dtype).tobytes()
+                out.write(numbers + bytes(-len(numbers) % 8))
     counts = values[:, 0]
     return {
-        "kind": kind, "shard": shard, "name": name, "ones": int(ones.sum()), "rest": int((~ones).sum()),
-        "width": values.shape[1], "dtype": numbers.dtype.str, "n": len(keys), "total": int(counts.sum()),
+        "kind": kind, "shard": shard, "name": name, "parts": parts, "n": len(keys), "total": int(counts.sum()),
         "times": [int((counts == i).sum()) for i in range(1, 5)],
     }
 
@@ -270,15 +303,18 @@ class Model:
             if file is None:
                 continue
             data = mapped(f"{self.folder}/{file['name']}")
-            split, stop = 8 * file["ones"], 8 * (file["ones"] + file["rest"])
-            for part, values in (
-                (data[:split].view(np.uint64), None),
-                (data[split:stop].view(np.uint64), data[stop:].view(file["dtype"]).reshape(-1, width)),
-            ):
-                if len(part):
-                    at = np.minimum(np.searchsorted(part, keys[lo:hi]), len(part) - 1)
+            start = 0
+            for n, dtype in file["parts"]:
+                part = data[start : start + 8 * n].view(np.uint64)
+                start += 8 * n
+                if dtype:
+                    size = n * width * np.dtype(dtype).itemsize
+                    values = data[start : start + size].view(dtype).reshape(-1, width)
+                    start += size + -size % 8
+                if n:
+                    at = np.minimum(np.searchsorted(part, keys[lo:hi]), n - 1)
                     hit = part[at] == keys[lo:hi]
-                    out[lo:hi][hit] = 1 if values is None else values[at[hit]]
+                    out[lo:hi][hit] = values[at[hit]] if dtype else SINGLE[width]
         return out
 
     def looked_up(self, kind: str, keys: np.ndarray, width: int = 1) -> np.ndarray:

@@ -8,6 +8,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from telemaque.llm import chat, decontam, lm, pii, queries, warc
@@ -250,3 +252,22 @@ def test_contamination_of_rows_and_items_without_an_id(spark):
     assert sum(r["n_hit"] == 14 for r in got) == 4 and sum(r["n_items"] for r in got) == 2
     left = decontam.without_contaminated(docs, items)
     assert sorted((tuple(r) for r in left.collect()), key=str) == [(5, "clean"), (None, "clean"), (None, None)] and left.columns == docs.columns
+
+
+def test_blocks_and_files_give_back_their_numbers(tmp_path):
+    rng = np.random.default_rng(3)
+    for n, width in ((3, 1), (2, 1), (1, 4)):
+        rows = np.unique(rng.integers(0, 2**64, 300, dtype=np.uint64)[rng.integers(0, 300, (5000, n)) ** 2 // 300], axis=0)
+        values = rng.choice([1, 1, 1, 2, 255, 256, 10**12], (len(rows), width))
+        values[::3] = lm.SINGLE[width]
+        again, numbers = lm.unpack(lm.pack(rows, values))
+        order = np.lexsort(rows.T[::-1])
+        back = np.lexsort(again.T[::-1])
+        assert (again[back] == rows[order]).all() and (numbers[back] == values[order]).all()
+        keys, sums, _ = lm.summed(lm.key(rows), values)
+        store = fs.LocalFileSystem()
+        files = [lm.write(store, str(tmp_path), "n1", int(s), keys[lm._shards(keys, 2) == s], sums[lm._shards(keys, 2) == s]) for s in range(4)]
+        model = lm.Model(str(tmp_path), files, 1, 2)
+        assert (model.numbers("n1", keys, width) == sums).all()
+        other = np.setdiff1d(np.sort(rng.integers(0, 2**64, 500, dtype=np.uint64)), keys)
+        assert not model.numbers("n1", other, width).any()
