@@ -35,7 +35,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemaque.llm import buffers as B
-from telemaque.llm.linking import stored
 from telemaque.workspace import fresh_dir
 
 ORDER = 3
@@ -181,7 +180,7 @@ def counted(texts: DataFrame, order: int, bits: int) -> DataFrame:
 def reduced(blocks: DataFrame, folder: str, bits: int) -> DataFrame:
     """Sums each hash range, writes it, and passes on blocks of contexts and shorter n-grams.
 
-    Rows of kind "file" (block: the file's description) come beside them; stored.
+    Rows of kind "file" (block: the file's description) come beside them; those of earlier rounds pass through.
     """
 
     def flush(kind: str, shard: int, held: list[bytes], store, root: str) -> Iterator[pa.RecordBatch]:
@@ -210,6 +209,9 @@ def reduced(blocks: DataFrame, folder: str, bits: int) -> DataFrame:
         at, held = None, []
         for batch in batches:
             for kind, shard, block in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if kind == "file":
+                    yield _batch([(kind, shard, block)])
+                    continue
                 if (kind, shard) != at and held:
                     yield from flush(*at, held, store, root)
                     held = []
@@ -219,7 +221,7 @@ def reduced(blocks: DataFrame, folder: str, bits: int) -> DataFrame:
             yield from flush(*at, held, store, root)
 
     dealt = blocks.repartition("kind", "shard").sortWithinPartitions("kind", "shard")
-    return stored(dealt.mapInArrow(run, BLOCKS), "ngrams")
+    return dealt.mapInArrow(run, BLOCKS)
 
 
 #: The numbers most keys have, by how many there are: an n-gram met once, a context met once (see ``reduced``).
@@ -349,11 +351,10 @@ def trained(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
     folder = fresh_dir(spark, "lm")
     bits = max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     blocks = counted(texts.select(F.col(f"`{text}`").alias("text")), order, bits)
-    files: list[dict] = []
-    for n in range(order, 0, -1):
-        out = reduced(blocks, folder, bits)
-        files += [pickle.loads(r.block) for r in out.where("kind = 'file'").select("block").collect()]
-        blocks = out.where("kind <> 'file'")
+    # One job for all rounds: what goes from one to the next is on disk once, as shuffle files.
+    for _ in range(order):
+        blocks = reduced(blocks, folder, bits)
+    files = [pickle.loads(r.block) for r in blocks.select("block").collect()]
     return Model(folder, files, order, bits)
 
 
