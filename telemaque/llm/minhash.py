@@ -10,7 +10,9 @@ independent hashes. Bands of coordinates make buckets, and links are confirmed o
 A large bucket may hold many sets that are alike but not linked, and pairs of them grow with the square of their
 number. There the sets themselves say which pairs are left: with the shingles in one order, the rarest first,
 two linked sets have one in common among the first of both, ``prefix`` in number, since all others are too few.
-What tells near copies apart is rare, so hardly a pair that isn't linked is left.
+Where shingles that tell them apart are rare, hardly a pair that isn't linked is left. Before a pair becomes a
+row there or among the pivots, it must also meet an exact bound: two sets differ in at least as many shingles as the
+parities of their hashed places do.
 
 Texts of one shingle set are one class from the start, so copies cost a row each. At a similarity of
 0.8, 73 bands of 7 miss a link with probability (1 - 0.8 ** 7) ** 73 = 3e-8. Fewer rows per band would
