@@ -1,17 +1,21 @@
 """Interpolated modified Kneser-Ney n-gram scores (operator 1).
 
-Counting: each task turns its texts into word hashes and sums its n-grams in numpy; what leaves a task
-is packed blocks of n-grams, dealt out by the top bits of the n-gram's hash. An n-gram meets its other
-counts in the one task of its hash range, so no frequent word or context makes a task large. That task
-writes the range as a sorted hash array, and passes on partial sums: what each context is followed by,
-and the n-grams one word shorter with their numbers of different words before them, which are dealt
-out in the same way. All of these are sums over different n-grams, so partial sums add up exactly.
+Words are counted first. That gives a dictionary, and each word an id by its place there, dense and mostly small
+for frequent words, so that n-grams of ids pack tightly.
+
+Counting: each task sums its n-grams in numpy; what leaves a task is packed blocks, dealt out by the top bits of
+the n-gram's hash. An n-gram meets its other counts in the one task of its hash range, so no frequent word or
+context makes a task large; how many ranges there are follows from the number of tokens. That task writes the
+range as a sorted hash array, and passes on partial sums for the n-grams one word shorter: what follows
+them as contexts, and how many different words come before them. They are dealt out in the same way. All of these
+are sums over different n-grams, so partial sums add up exactly.
 
 Scoring: workers memory-map the arrays. The n-grams of a batch of texts are looked up in the order of
 their hashes, so a range's file is read from front to back, once per batch.
 
 A model is a set of files in the session's shared folder, named by a manifest that holds the files of the
-attempts that count; its size follows the corpus. Identity of words and n-grams is a 64-bit hash.
+attempts that count; its size follows the corpus. Identity of words and n-grams is a 64-bit hash; of that, arrays keep the
+range, the group and 40 bits more, so one that isn't there is taken for another with probability 3e-11 at most.
 
 Defined results: a null text counts as empty, which has the end token only; words not met in training
 are one unknown word; repeated rows count each time; other columns are ignored; with nothing to learn
@@ -40,7 +44,14 @@ from telemaque.workspace import fresh_dir
 ORDER = 3
 #: Words that a task sums up at a time.
 COUNTED = 1 << 22
-END, BEGIN = B.seeded(2, 21)
+#: N-grams in a hash range, about and at most.
+IN_RANGE = 1 << 22
+#: The token that ends a text.
+END = B.seeded(2, 21)[0]
+#: Ids of what stands before a text and of words not met, and the first id of a word.
+BEGIN, UNKNOWN, FIRST = 0, 1, 2
+#: A hash array has groups of 16 to 32 keys, of which it keeps this many bits beside those that the group has in common.
+GROUP, TAIL = 5, 40
 
 BLOCKS = "kind string, shard int, block binary"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -60,7 +71,7 @@ def tokens(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
 
 
 def ngrams(word: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
-    """A row for each token: the ``n`` words that end with it, with ``BEGIN`` before a text's first."""
+    """A row for each token: the ids of the ``n`` words that end with it, with ``BEGIN`` before a text's first."""
     place = np.arange(len(word)) - np.repeat(offsets[:-1], np.diff(offsets))
     rows = np.empty((len(word), n), dtype=np.uint64)
     for back in range(n):
@@ -86,14 +97,9 @@ def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], sums, order[first]
 
 
-def _small(values: np.ndarray) -> np.ndarray:
-    """The same numbers in as few bytes as hold them."""
-    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
-
-
 def _planes(values: np.ndarray) -> tuple[str, tuple[int, ...], bytes]:
     """The bytes of whole numbers, all lowest ones first, then all next: high ones are mostly 0."""
-    values = np.ascontiguousarray(_small(values))
+    values = np.ascontiguousarray(values.astype(np.min_scalar_type(int(values.max(initial=0)))))
     return values.dtype.str, values.shape, values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
 
 
@@ -103,29 +109,19 @@ def _unplaned(dtype: str, shape: tuple[int, ...], data: bytes) -> np.ndarray:
 
 
 def pack(rows: np.ndarray, values: np.ndarray) -> bytes:
-    """N-grams in the order of their words, the first word once for all that share it; compressed.
-
-    A word's hash is there once: n-grams hold its rank by frequency in the block.
-    """
-    words, back, times = np.unique(rows, return_inverse=True, return_counts=True)
-    by_times = np.argsort(-times, kind="stable")
-    rank = np.empty(len(words), dtype=np.int64)
-    rank[by_times] = np.arange(len(words))
-    rows = rank[back.reshape(rows.shape)]
+    """N-grams in the order of their words with their numbers, the first word as what it is above the one before; compressed."""
     order = np.lexsort(rows.T[::-1])
     rows, values = rows[order], values[order]
-    first = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0]))
-    length = np.diff(np.append(first, len(rows)))
-    columns = [rows[first, 0], length, *rows.T[1:], *values.T]
-    raw = pickle.dumps((words[by_times].tobytes(), rows.shape[1], [_planes(c) for c in columns]), protocol=5)
+    columns = [np.diff(rows[:, 0], prepend=np.uint64(0)), *rows.T[1:], *values.T]
+    raw = pickle.dumps((rows.shape[1], [_planes(c) for c in columns]), protocol=5)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def unpack(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     raw = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), codec="zstd", asbytes=True)
-    words, width, columns = pickle.loads(raw)
-    words, (head, length, *rest) = np.frombuffer(words, np.uint64), [_unplaned(*c) for c in columns]
-    rows = words[np.column_stack([np.repeat(head, length), *rest[: width - 1]])]
+    width, columns = pickle.loads(raw)
+    head, *rest = [_unplaned(*c).astype(np.uint64) for c in columns]
+    rows = np.column_stack([np.cumsum(head, dtype=np.uint64), *rest[: width - 1]])
     return rows, np.column_stack(rest[width - 1 :]).astype(np.int64)
 
 
@@ -150,58 +146,76 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(shards, pa.int32()), pa.array(blocks, pa.binary())], names=["kind", "shard", "block"])
 
 
-def counted(texts: DataFrame, order: int, bits: int) -> DataFrame:
-    """Blocks of the n-grams ("n") and words ("raw") of ``texts`` (text)."""
+def counted_words(texts: DataFrame, bits: int) -> DataFrame:
+    """Blocks of the words ("raw") of ``texts`` (text)."""
+
+    def rows(column: pa.Array) -> Iterator[np.ndarray]:
+        for _, word, _ in tokens(column):
+            yield word[:, None]
+
+    return texts.mapInArrow(_counter("raw", rows, bits, hashes=True), BLOCKS)
+
+
+def counted(texts: DataFrame, words: Table, order: int, bits: int) -> DataFrame:
+    """Blocks of the n-grams of ``texts`` (text), whose words are numbered by ``words``."""
+
+    def rows(column: pa.Array) -> Iterator[np.ndarray]:
+        for _, word, offsets in tokens(column):
+            yield ngrams(words.numbered(word)[0], offsets, order)
+
+    return texts.mapInArrow(_counter(f"n{order}", rows, bits), BLOCKS)
+
+
+def _counter(kind: str, rows_of, bits: int, hashes: bool = False):
+    """A task's part of counting: the n-grams of ``COUNTED`` words or more are summed before they leave it."""
+
+    def out(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate(held)
+        keys, values, one = summed(rows[:, 0] if hashes else key(rows), np.ones((len(rows), 1), dtype=np.int64))
+        for block in _dealt(kind, rows[one], values, keys, bits):
+            yield _batch([block])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
-
-        def out() -> Iterator[pa.RecordBatch]:
-            rows = np.concatenate(held)
-            for kind, part in ((f"n{order}", rows), ("raw", rows[:, -1:])):
-                keys, values, one = summed(key(part), np.ones((len(part), 1), dtype=np.int64))
-                for block in _dealt(kind, part[one], values, keys, bits):
-                    yield _batch([block])
-
         for batch in batches:
-            for _, word, offsets in tokens(batch.column(0)):
-                held.append(ngrams(word, offsets, order))
-                size += len(word)
+            for rows in rows_of(batch.column(0)):
+                held.append(rows)
+                size += len(rows)
                 if size >= COUNTED:
-                    yield from out()
+                    yield from out(held)
                     held, size = [], 0
         if held:
-            yield from out()
+            yield from out(held)
 
-    return texts.mapInArrow(count, BLOCKS)
+    return count
 
 
 def reduced(blocks: DataFrame, folder: str, bits: int) -> DataFrame:
-    """Sums each hash range, writes it, and passes on blocks of contexts and shorter n-grams.
+    """Sums each hash range, writes it, and passes on blocks of n-grams one word shorter.
 
+    These come as contexts, with what follows them, and as ends, with what comes before; one row has both.
     Rows of kind "file" (block: the file's description) come beside them; those of earlier rounds pass through.
     """
 
     def flush(kind: str, shard: int, held: list[bytes], store, root: str) -> Iterator[pa.RecordBatch]:
         parts = [unpack(b) for b in held]
         rows, values = np.concatenate([r for r, _ in parts]), np.concatenate([v for _, v in parts])
-        keys, values, one = summed(rows[:, 0] if kind[0] == "c" else key(rows), values)
-        rows = rows[one]
-        yield _batch([("file", shard, pickle.dumps(write(store, root, kind, shard, keys, values)))])
-        if kind[0] != "n":
-            return
+        del parts
+        keys, values, one = summed(rows[:, 0] if kind == "raw" else key(rows), values)
+        yield _batch([("file", shard, pickle.dumps(write(store, root, kind, shard, keys, values, bits)))])
         n = rows.shape[1]
-        count = values[:, 0]
-        stats = np.column_stack([count, count == 1, count == 2, count >= 3]).astype(np.int64)
-        if n > 1:
-            context = key(rows[:, :-1])
-            keys, stats, _ = summed(context, stats)
-            for block in _dealt(f"c{n}", keys[:, None], stats, keys, bits):
-                yield _batch([block])
-            keys, before, one = summed(key(rows[:, 1:]), np.ones((len(rows), 1), dtype=np.int64))
-            for block in _dealt(f"n{n - 1}", rows[one, 1:], before, keys, bits):
-                yield _batch([block])
+        if kind == "raw" or n == 1:
+            return
+        met = values[:, 0] > 0
+        rows, count = rows[one][met], values[met, 0]
+        after = np.column_stack([np.zeros_like(count), count, count == 1, count == 2, count >= 3]).astype(np.int64)
+        before = np.zeros_like(after)
+        before[:, 0] = 1
+        rows, values = np.concatenate([rows[:, :-1], rows[:, 1:]]), np.concatenate([after, before])
+        keys, values, one = summed(key(rows), values)
+        for block in _dealt(f"n{n - 1}", rows[one], values, keys, bits):
+            yield _batch([block])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
@@ -224,27 +238,38 @@ def reduced(blocks: DataFrame, folder: str, bits: int) -> DataFrame:
     return dealt.mapInArrow(run, BLOCKS)
 
 
-#: The numbers most keys have, by how many there are: an n-gram met once, a context met once (see ``reduced``).
-SINGLE = {1: (1,), 4: (1, 1, 0, 0)}
+#: The numbers most keys have, by how many there are: an n-gram met once; one with a word before it and one after it.
+SINGLE = {1: (1,), 5: (1, 1, 1, 0, 0)}
 
 
-def write(store, root: str, kind: str, shard: int, keys: np.ndarray, values: np.ndarray) -> dict:
+def _split(keys: np.ndarray, bits: int, fanout: int) -> tuple[np.ndarray, np.ndarray]:
+    """(group, tail) of keys of a hash range: ``fanout`` bits that follow the range's, and the ``TAIL`` bits that follow those."""
+    rest = keys << np.uint64(bits)
+    group = (rest >> np.uint64(64 - fanout)).astype(np.int64) if fanout else np.zeros(len(keys), np.int64)
+    return group, (rest << np.uint64(fanout)) >> np.uint64(64 - TAIL)
+
+
+def write(store, root: str, kind: str, shard: int, keys: np.ndarray, values: np.ndarray, bits: int) -> dict:
     """Sorted hash arrays with their numbers: keys with those of ``SINGLE`` come first, without any, then keys with
-    numbers of a byte, then the others."""
+    numbers of a byte, then the others. An array is the places where its groups start, and the tails of its keys."""
     name = f"{kind}-{shard}-{uuid.uuid4().hex}"
     single = (values == SINGLE[values.shape[1]]).all(axis=1)
     byte = ~single & (values < 256).all(axis=1)
     parts = []
     with store.open_output_stream(f"{root}/{name}") as out:
         for some, dtype in ((single, None), (byte, "|u1"), (~single & ~byte, "<i8")):
-            parts.append((int(some.sum()), dtype))
-            out.write(np.ascontiguousarray(keys[some]).tobytes())
-            if dtype:
-                numbers = values[some].astype(dtype).tobytes()
-                out.write(numbers + bytes(-len(numbers) % 8))
+            n = int(some.sum())
+            fanout = max(0, n.bit_length() - GROUP)
+            group, tail = _split(keys[some], bits, fanout)
+            starts = np.searchsorted(group, np.arange((1 << fanout) + 1)).astype("<u4")
+            sections = [starts, (tail >> np.uint64(8)).astype("<u4"), tail.astype("|u1"), *([values[some].astype(dtype)] if dtype else [])]
+            parts.append((n, fanout, dtype))
+            for section in sections:
+                raw = np.ascontiguousarray(section).tobytes()
+                out.write(raw + bytes(-len(raw) % 8))
     counts = values[:, 0]
     return {
-        "kind": kind, "shard": shard, "name": name, "parts": parts, "n": len(keys), "total": int(counts.sum()),
+        "kind": kind, "shard": shard, "name": name, "parts": parts, "n": int((counts > 0).sum()), "total": int(counts.sum()),
         "times": [int((counts == i).sum()) for i in range(1, 5)],
     }
 
@@ -281,62 +306,100 @@ def mapped(uri: str) -> np.ndarray:
         return np.memmap(copy, dtype=np.uint8, mode="r")
 
 
-class Model:
-    """A model's files, as workers use them."""
+class Table:
+    """Files of sorted hash arrays, as workers use them."""
 
-    def __init__(self, folder: str, files: list[dict], order: int, bits: int):
-        self.folder, self.order, self.bits = folder, order, bits
+    def __init__(self, folder: str, files: list[dict], bits: int):
+        self.folder, self.bits = folder, bits
         self.files = {(f["kind"], f["shard"]): f for f in files}
-        self.levels = {}
-        for n in range(1, order + 1):
-            of = [f for f in files if f["kind"] == f"n{n}"]
-            times = tuple(sum(f["times"][i] for f in of) for i in range(4))
-            types = sum(f["n"] for f in of)
-            self.levels[n] = Level(types, sum(f["total"] for f in of), times, types - times[0] - times[1])
-        raw = [f for f in files if f["kind"] == "raw"]
-        self.words, self.tokens = sum(f["n"] for f in raw), sum(f["total"] for f in raw)
-
-    def numbers(self, kind: str, keys: np.ndarray, width: int = 1) -> np.ndarray:
-        """The numbers of sorted different ``keys``; 0 for those that the model doesn't have."""
-        out = np.zeros((len(keys), width), dtype=np.int64)
+
+    def level(self, kind: str) -> Level:
+        of = [f for f in self.files.values() if f["kind"] == kind]
+        times = tuple(sum(f["times"][i] for f in of) for i in range(4))
+        types = sum(f["n"] for f in of)
+        return Level(types, sum(f["total"] for f in of), times, types - times[0] - times[1])
+
+    def found(self, kind: str, keys: np.ndarray, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """Of sorted different ``keys``: their numbers, 0 for those that aren't there, and their ranks in their file, the greatest
+        numbers first, or -1."""
+        out, rank = np.zeros((len(keys), width), dtype=np.int64), np.full(len(keys), -1, dtype=np.int64)
         shard = _shards(keys, self.bits)
         for lo, hi in zip(*_runs(shard), strict=True):
             file = self.files.get((kind, int(shard[lo])))
             if file is None:
                 continue
             data = mapped(f"{self.folder}/{file['name']}")
-            start = 0
-            for n, dtype in file["parts"]:
-                part = data[start : start + 8 * n].view(np.uint64)
-                start += 8 * n
-                if dtype:
-                    size = n * width * np.dtype(dtype).itemsize
-                    values = data[start : start + size].view(dtype).reshape(-1, width)
+            start, after = 0, sum(n for n, _, _ in file["parts"])
+            for n, fanout, dtype in file["parts"]:
+                sections = []
+                for count, kind_of in ((1 << fanout) + 1, "<u4"), (n, "<u4"), (n, "|u1"), (n * width if dtype else 0, dtype or "|u1"):
+                    size = count * np.dtype(kind_of).itemsize
+                    sections.append(data[start : start + size].view(kind_of))
                     start += size + -size % 8
+                after -= n
                 if n:
-                    at = np.minimum(np.searchsorted(part, keys[lo:hi]), n - 1)
-                    hit = part[at] == keys[lo:hi]
-                    out[lo:hi][hit] = values[at[hit]] if dtype else SINGLE[width]
-        return out
+                    at = _at(*sections[:3], *_split(keys[lo:hi], self.bits, fanout))
+                    hit = np.flatnonzero(at >= 0)
+                    out[lo + hit] = sections[3].reshape(-1, width)[at[hit]] if dtype else SINGLE[width]
+                    rank[lo + hit] = after + at[hit]
+        return out, rank
 
     def looked_up(self, kind: str, keys: np.ndarray, width: int = 1) -> np.ndarray:
         different, back = np.unique(keys, return_inverse=True)
-        return self.numbers(kind, different, width)[back]
+        return self.found(kind, different, width)[0][back]
+
+    def numbered(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts) of words. Ids are dense, mostly those of frequent words are small, and other words are ``UNKNOWN``."""
+        different, back = np.unique(words, return_inverse=True)
+        counts, rank = self.found("raw", different)
+        ids = np.where(rank < 0, UNKNOWN, FIRST + (rank << self.bits) + _shards(different, self.bits))
+        return ids.astype(np.uint64)[back], counts[back, 0]
+
+
+def _at(starts: np.ndarray, high: np.ndarray, low: np.ndarray, group: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """Places of keys in a sorted hash array, -1 for those that aren't there: all are searched in their groups at once."""
+    left, end = starts[group].astype(np.int64), starts[group + 1].astype(np.int64)
+    right = end.copy()
+
+    def value(at: np.ndarray) -> np.ndarray:
+        at = np.minimum(at, len(high) - 1)
+        return high[at].astype(np.uint64) << np.uint64(8) | low[at]
+
+    for _ in range(int((end - left).max(initial=0)).bit_length()):
+        middle = (left + right) >> 1
+        less = (left < right) & (value(middle) < tail)
+        right = np.where(less, right, middle)
+        left = np.where(less, middle + 1, left)
+    return np.where((left < end) & (value(left) == tail), left, -1)
+
+
+class Model:
+    """The words of a model, the n-grams of their ids, and what the levels have in all."""
+
+    def __init__(self, words: Table, grams: Table, order: int):
+        self.word_table, self.grams, self.order = words, grams, order
+        self.levels = {n: grams.level(f"n{n}") for n in range(1, order + 1)}
+        raw = words.level("raw")
+        self.words, self.tokens = raw.types, raw.total
+
+    def _numbers(self, rows: np.ndarray) -> np.ndarray:
+        n = rows.shape[1]
+        return self.grams.looked_up(f"n{n}", key(rows), 1 if n == self.order else 5)
 
     def probabilities(self, rows: np.ndarray) -> np.ndarray:
-        """P(last word | words before it) of each row of ``order`` words."""
+        """P(last word | words before it) of each row of ``order`` ids."""
         p = np.full(len(rows), 1.0 / (self.words + 1))
         for n in range(1, self.order + 1):
             level = self.levels[n]
             d = np.array([0.0, *level.discounts])
             tail = rows[:, self.order - n :]
-            count = self.looked_up(f"n{n}", key(tail))[:, 0]
+            count = self._numbers(tail)[:, 0]
             if n == 1:
                 if not level.total:
                     continue
                 total, kinds = float(level.total), np.array([[*level.times[:2], level.three]])
             else:
-                stats = self.looked_up(f"c{n}", key(tail[:, :-1]), 4)
+                stats = self._numbers(tail[:, :-1])[:, 1:]
                 total, kinds = stats[:, 0].astype(float), stats[:, 1:]
             met = total > 0
             own = np.maximum(count - d[np.minimum(count, 3)], 0.0)
@@ -346,16 +409,23 @@ class Model:
 
 
 def trained(texts: DataFrame, text: str = "text", order: int = ORDER) -> Model:
-    """A model of the column ``text``. What comes to the driver is the list of its files."""
+    """A model of the column ``text``. What comes to the driver are the lists of its files."""
     spark = texts.sparkSession
     folder = fresh_dir(spark, "lm")
+    plain = texts.select(F.col(f"`{text}`").alias("text"))
+
+    def files(blocks: DataFrame) -> list[dict]:
+        return [pickle.loads(r.block) for r in blocks.select("block").collect()]
+
     bits = max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    blocks = counted(texts.select(F.col(f"`{text}`").alias("text")), order, bits)
+    words = Table(folder, files(reduced(counted_words(plain, bits), folder, bits)), bits)
+    # There are as many n-grams as tokens at most, and no level has more: so many ranges that one fits into a task.
+    bits = max(bits, (words.level("raw").total // IN_RANGE).bit_length())
+    blocks = counted(plain, words, order, bits)
     # One job for all rounds: what goes from one to the next is on disk once, as shuffle files.
     for _ in range(order):
         blocks = reduced(blocks, folder, bits)
-    files = [pickle.loads(r.block) for r in blocks.select("block").collect()]
-    return Model(folder, files, order, bits)
+    return Model(words, Table(folder, files(blocks), bits), order)
 
 
 def scored(docs: DataFrame, model: Model, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -365,8 +435,8 @@ def scored(docs: DataFrame, model: Model, held_out: Column, doc_id: str = "doc_i
         floor = 0.5 * (model.words + 1)
         for batch in batches:
             for row, word, offsets in tokens(batch.column(2)):
-                rows = ngrams(word, offsets, model.order)
-                c = model.looked_up("raw", key(rows[:, -1:]))[:, 0]
+                ids, c = model.word_table.numbered(word)
+                rows = ngrams(ids, offsets, model.order)
                 first = offsets[:-1]
                 base = np.log10((c + 0.5) / (model.tokens + floor))
                 n = len(offsets) - 1

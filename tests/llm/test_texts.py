@@ -256,7 +256,7 @@ def test_contamination_of_rows_and_items_without_an_id(spark):
 
 def test_blocks_and_files_give_back_their_numbers(tmp_path):
     rng = np.random.default_rng(3)
-    for n, width in ((3, 1), (2, 1), (1, 4)):
+    for n, width in ((3, 1), (2, 1), (1, 5), (1, 1)):
         rows = np.unique(rng.integers(0, 2**64, 300, dtype=np.uint64)[rng.integers(0, 300, (5000, n)) ** 2 // 300], axis=0)
         values = rng.choice([1, 1, 1, 2, 255, 256, 10**12], (len(rows), width))
         values[::3] = lm.SINGLE[width]
@@ -266,8 +266,31 @@ def test_blocks_and_files_give_back_their_numbers(tmp_path):
         assert (again[back] == rows[order]).all() and (numbers[back] == values[order]).all()
         keys, sums, _ = lm.summed(lm.key(rows), values)
         store = fs.LocalFileSystem()
-        files = [lm.write(store, str(tmp_path), "n1", int(s), keys[lm._shards(keys, 2) == s], sums[lm._shards(keys, 2) == s]) for s in range(4)]
-        model = lm.Model(str(tmp_path), files, 1, 2)
-        assert (model.numbers("n1", keys, width) == sums).all()
+        of = [lm._shards(keys, 2) == s for s in range(4)]
+        files = [lm.write(store, str(tmp_path), "raw", s, keys[of[s]], sums[of[s]], 2) for s in range(4)]
+        table = lm.Table(str(tmp_path), files, 2)
+        assert (table.found("raw", keys, width)[0] == sums).all()
         other = np.setdiff1d(np.sort(rng.integers(0, 2**64, 500, dtype=np.uint64)), keys)
-        assert not model.numbers("n1", other, width).any()
+        assert not table.found("raw", other, width)[0].any()
+        assert (table.found("raw", other, width)[1] == -1).all()
+    mixed = rng.permutation(np.concatenate([keys, keys, other]))
+    ids, counts = table.numbered(mixed)
+    met = np.isin(mixed, keys)
+    assert (ids[~met] == lm.UNKNOWN).all() and (counts[~met] == 0).all()
+    assert len(np.unique(ids[met])) == len(keys) and ids[met].min() >= lm.FIRST and ids.max() < lm.FIRST + 4 * max(f["n"] for f in files)
+    often = np.isin(mixed, keys[sums[:, 0] > 255])
+    assert ids[often].mean() < ids[met & ~often].mean()
+
+
+def test_scores_do_not_depend_on_the_number_of_ranges(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").limit(60)
+    held = F.col("doc_id") % 5 == 1
+
+    def scores():
+        return {r["doc_id"]: r["score"] for r in lm.scored(docs, lm.trained(docs.where(~held)), held).collect()}
+
+    one = scores()
+    monkeypatch.setattr(lm, "IN_RANGE", 100)
+    monkeypatch.setattr(lm, "COUNTED", 1000)
+    many = scores()
+    assert one.keys() == many.keys() and all(abs(one[k] - many[k]) < 1e-6 for k in one)
