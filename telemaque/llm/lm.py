@@ -44,6 +44,8 @@ from telemaque.workspace import fresh_dir
 ORDER = 3
 #: Words that a task sums up at a time.
 COUNTED = 1 << 22
+#: Words that are looked up at a time when texts are scored.
+SCORED = 1 << 20
 #: N-grams in a hash range, about and at most.
 IN_RANGE = 1 << 22
 #: The token that ends a text.
@@ -149,44 +151,43 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def counted_words(texts: DataFrame, bits: int) -> DataFrame:
     """Blocks of the words ("raw") of ``texts`` (text)."""
 
-    def rows(column: pa.Array) -> Iterator[np.ndarray]:
-        for _, word, _ in tokens(column):
-            yield word[:, None]
-
-    return texts.mapInArrow(_counter("raw", rows, bits, hashes=True), BLOCKS)
+    return texts.mapInArrow(_counter("raw", lambda word, offsets: word[:, None], bits), BLOCKS)
 
 
 def counted(texts: DataFrame, words: Table, order: int, bits: int) -> DataFrame:
     """Blocks of the n-grams of ``texts`` (text), whose words are numbered by ``words``."""
 
-    def rows(column: pa.Array) -> Iterator[np.ndarray]:
-        for _, word, offsets in tokens(column):
-            yield ngrams(words.numbered(word)[0], offsets, order)
+    return texts.mapInArrow(_counter(f"n{order}", lambda word, offsets: ngrams(words.numbered(word)[0], offsets, order), bits), BLOCKS)
 
-    return texts.mapInArrow(_counter(f"n{order}", rows, bits), BLOCKS)
 
+def gathered(chunks: Iterator[tuple[int, np.ndarray, np.ndarray]], least: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The chunks of ``tokens``, as many together as have ``least`` tokens."""
+    held, size = [], 0
+    for chunk in chunks:
+        held.append(chunk)
+        size += len(chunk[1])
+        if size >= least:
+            yield _joined(held)
+            held, size = [], 0
+    if held:
+        yield _joined(held)
 
-def _counter(kind: str, rows_of, bits: int, hashes: bool = False):
-    """A task's part of counting: the n-grams of ``COUNTED`` words or more are summed before they leave it."""
 
-    def out(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        rows = np.concatenate(held)
-        keys, values, one = summed(rows[:, 0] if hashes else key(rows), np.ones((len(rows), 1), dtype=np.int64))
-        for block in _dealt(kind, rows[one], values, keys, bits):
-            yield _batch([block])
+def _joined(chunks: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray]:
+    lengths = np.concatenate([np.diff(offsets) for _, _, offsets in chunks])
+    return chunks[0][0], np.concatenate([word for _, word, _ in chunks]), np.append(0, np.cumsum(lengths))
+
+
+def _counter(kind: str, rows_of, bits: int):
+    """A task's part of counting: the n-grams of ``COUNTED`` words or more are summed before they leave it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-        for batch in batches:
-            for rows in rows_of(batch.column(0)):
-                held.append(rows)
-                size += len(rows)
-                if size >= COUNTED:
-                    yield from out(held)
-                    held, size = [], 0
-        if held:
-            yield from out(held)
+        chunks = (chunk for batch in batches for chunk in tokens(batch.column(0)))
+        for _, word, offsets in gathered(chunks, COUNTED):
+            rows = rows_of(word, offsets)
+            keys, values, one = summed(rows[:, 0] if kind == "raw" else key(rows), np.ones((len(rows), 1), dtype=np.int64))
+            for block in _dealt(kind, rows[one], values, keys, bits):
+                yield _batch([block])
 
     return count
 
@@ -329,7 +330,7 @@ class Table:
             if file is None:
                 continue
             data = mapped(f"{self.folder}/{file['name']}")
-            start, after = 0, sum(n for n, _, _ in file["parts"])
+            start, after, left = 0, sum(n for n, _, _ in file["parts"]), np.arange(lo, hi)
             for n, fanout, dtype in file["parts"]:
                 sections = []
                 for count, kind_of in ((1 << fanout) + 1, "<u4"), (n, "<u4"), (n, "|u1"), (n * width if dtype else 0, dtype or "|u1"):
@@ -337,11 +338,12 @@ class Table:
                     sections.append(data[start : start + size].view(kind_of))
                     start += size + -size % 8
                 after -= n
-                if n:
-                    at = _at(*sections[:3], *_split(keys[lo:hi], self.bits, fanout))
-                    hit = np.flatnonzero(at >= 0)
-                    out[lo + hit] = sections[3].reshape(-1, width)[at[hit]] if dtype else SINGLE[width]
-                    rank[lo + hit] = after + at[hit]
+                if n and len(left):
+                    at = _at(*sections[:3], *_split(keys[left], self.bits, fanout))
+                    hit, at = left[at >= 0], at[at >= 0]
+                    out[hit] = sections[3].reshape(-1, width)[at] if dtype else SINGLE[width]
+                    rank[hit] = after + at
+                    left = left[rank[left] < 0]
         return out, rank
 
     def looked_up(self, kind: str, keys: np.ndarray, width: int = 1) -> np.ndarray:
@@ -358,19 +360,26 @@ class Table:
 
 def _at(starts: np.ndarray, high: np.ndarray, low: np.ndarray, group: np.ndarray, tail: np.ndarray) -> np.ndarray:
     """Places of keys in a sorted hash array, -1 for those that aren't there: all are searched in their groups at once."""
-    left, end = starts[group].astype(np.int64), starts[group + 1].astype(np.int64)
-    right = end.copy()
-
-    def value(at: np.ndarray) -> np.ndarray:
-        at = np.minimum(at, len(high) - 1)
-        return high[at].astype(np.uint64) << np.uint64(8) | low[at]
-
-    for _ in range(int((end - left).max(initial=0)).bit_length()):
-        middle = (left + right) >> 1
-        less = (left < right) & (value(middle) < tail)
-        right = np.where(less, right, middle)
-        left = np.where(less, middle + 1, left)
-    return np.where((left < end) & (value(left) == tail), left, -1)
+    at, end = starts[group].astype(np.int64), starts[group + 1].astype(np.int64)
+    want, last = (tail >> np.uint64(8)).astype(np.uint32), tail.astype(np.uint8)
+    size = end - at
+    full = np.flatnonzero(size)
+    at, end, want, last, size = at[full], end[full], want[full], last[full], size[full]
+    for _ in range(int(size.max(initial=1) - 1).bit_length()):
+        half = size >> 1
+        at += half * (high[at + half - (half > 0)] < want)
+        size -= half
+    at += high[at] < want
+    out = np.full(len(group), -1, dtype=np.int64)
+    # Keys of a group whose high bits are the same follow each other.
+    while len(at):
+        inside = at < end
+        inside[inside] = high[at[inside]] == want[inside]
+        at, end, want, last, full = at[inside], end[inside], want[inside], last[inside], full[inside]
+        same = low[at] == last
+        out[full[same]] = at[same]
+        at, end, want, last, full = at[~same] + 1, end[~same], want[~same], last[~same], full[~same]
+    return out
 
 
 class Model:
@@ -382,29 +391,31 @@ class Model:
         raw = words.level("raw")
         self.words, self.tokens = raw.types, raw.total
 
-    def _numbers(self, rows: np.ndarray) -> np.ndarray:
-        n = rows.shape[1]
-        return self.grams.looked_up(f"n{n}", key(rows), 1 if n == self.order else 5)
+    def _numbers(self, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray | None]:
+        """Numbers of the last ``n`` words of ``rows``, and of those one place before, as contexts."""
+        tail = key(rows[:, self.order - n :])
+        if n == self.order:
+            return self.grams.looked_up(f"n{n}", tail), None
+        both = self.grams.looked_up(f"n{n}", np.concatenate([tail, key(rows[:, self.order - n - 1 : -1])]), 5)
+        return both[: len(rows)], both[len(rows) :, 1:]
 
     def probabilities(self, rows: np.ndarray) -> np.ndarray:
         """P(last word | words before it) of each row of ``order`` ids."""
         p = np.full(len(rows), 1.0 / (self.words + 1))
+        first = self.levels[1]
+        if not first.total:
+            return p
+        total, kinds = float(first.total), np.array([[*first.times[:2], first.three]])
         for n in range(1, self.order + 1):
-            level = self.levels[n]
-            d = np.array([0.0, *level.discounts])
-            tail = rows[:, self.order - n :]
-            count = self._numbers(tail)[:, 0]
-            if n == 1:
-                if not level.total:
-                    continue
-                total, kinds = float(level.total), np.array([[*level.times[:2], level.three]])
-            else:
-                stats = self._numbers(tail[:, :-1])[:, 1:]
-                total, kinds = stats[:, 0].astype(float), stats[:, 1:]
+            d = np.array([0.0, *self.levels[n].discounts])
+            numbers, contexts = self._numbers(rows, n)
+            count = numbers[:, 0]
             met = total > 0
             own = np.maximum(count - d[np.minimum(count, 3)], 0.0)
             mixed = (own + (kinds @ d[1:]) * p) / np.where(met, total, 1.0)
             p = np.where(met, mixed, p)
+            if contexts is not None:
+                total, kinds = contexts[:, 0].astype(float), contexts[:, 1:]
         return p
 
 
@@ -434,7 +445,7 @@ def scored(docs: DataFrame, model: Model, held_out: Column, doc_id: str = "doc_i
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         floor = 0.5 * (model.words + 1)
         for batch in batches:
-            for row, word, offsets in tokens(batch.column(2)):
+            for row, word, offsets in gathered(tokens(batch.column(2)), SCORED):
                 ids, c = model.word_table.numbered(word)
                 rows = ngrams(ids, offsets, model.order)
                 first = offsets[:-1]
