@@ -92,13 +92,23 @@ def key(rows: np.ndarray) -> np.ndarray:
 
 def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(sorted different keys, sums of the rows of ``values``, a row of each)."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     sums = np.add.reduceat(values[order], first, axis=0) if len(keys) else values
     return keys[first], sums, order[first]
 
 
+def unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted different keys, the place among them of each key)."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+    back = np.empty(len(keys), dtype=np.int64)
+    back[order] = np.cumsum(first) - 1
+    return keys[first], back
+
+
 def _planes(values: np.ndarray) -> tuple[str, tuple[int, ...], bytes]:
     """The bytes of whole numbers, all lowest ones first, then all next: high ones are mostly 0."""
     values = np.ascontiguousarray(values.astype(np.min_scalar_type(int(values.max(initial=0)))))
@@ -347,12 +357,12 @@ class Table:
         return out, rank
 
     def looked_up(self, kind: str, keys: np.ndarray, width: int = 1) -> np.ndarray:
-        different, back = np.unique(keys, return_inverse=True)
+        different, back = unique(keys)
         return self.found(kind, different, width)[0][back]
 
     def numbered(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, counts) of words. Ids are dense, mostly those of frequent words are small, and other words are ``UNKNOWN``."""
-        different, back = np.unique(words, return_inverse=True)
+        different, back = unique(words)
         counts, rank = self.found("raw", different)
         ids = np.where(rank < 0, UNKNOWN, FIRST + (rank << self.bits) + _shards(different, self.bits))
         return ids.astype(np.uint64)[back], counts[back, 0]
@@ -396,8 +406,13 @@ class Model:
         tail = key(rows[:, self.order - n :])
         if n == self.order:
             return self.grams.looked_up(f"n{n}", tail), None
-        both = self.grams.looked_up(f"n{n}", np.concatenate([tail, key(rows[:, self.order - n - 1 : -1])]), 5)
-        return both[: len(rows)], both[len(rows) :, 1:]
+        context = key(rows[:, self.order - n - 1 : -1])
+        # Within a text, the context of a word is the n-gram that ends before it.
+        other = np.flatnonzero(np.append(True, context[1:] != tail[:-1])[: len(rows)])
+        numbers = self.grams.looked_up(f"n{n}", np.concatenate([tail, context[other]]), 5)
+        contexts = np.roll(numbers[: len(rows)], 1, axis=0)
+        contexts[other] = numbers[len(rows) :]
+        return numbers[: len(rows)], contexts[:, 1:]
 
     def probabilities(self, rows: np.ndarray) -> np.ndarray:
         """P(last word | words before it) of each row of ``order`` ids."""
