@@ -12,6 +12,8 @@ from telemaque.operators.codec import Transform
 
 HOUR_S = 3600
 SALTS = 16
+#: Bounds in a slot of time: wide slots make fewer copies of right rows, narrow ones spread a busy key further.
+SLOT_BOUNDS = 4
 
 
 def _micros(time: str) -> Column:
@@ -23,19 +25,19 @@ def interval_join(
 ) -> Transform:
     """Rows of equal key whose times lie at most ``within_s`` seconds apart.
 
-    Time is cut into slots as wide as the bound (a second at least); each right row is put into its own slot and both
-    neighbours, so the equality join runs on key and slot and a busy key is spread over its slots.
-    Every pair meets in exactly one slot, the left row's. On streams, set watermarks on both sides:
+    Time is cut into slots ``SLOT_BOUNDS`` times as wide as the bound (a second at least); each right row is put into
+    the slots that its bound reaches, one or two, so the equality join runs on key and slot and a busy key is spread
+    over its slots. Every pair meets in exactly one slot, the left row's. On streams, set watermarks on both sides:
     the bound lets Spark drop state.
     """
     (left_key, right_key), (left_time, right_time) = keys, times
 
-    def slot(time: str) -> Column:
-        return F.call_function("floor", F.unix_seconds(F.col(time).cast("timestamp")) / F.lit(max(within_s, 1)))
+    def slot(time: str, shift_s: int = 0) -> Column:
+        return F.call_function("floor", (F.unix_seconds(F.col(time).cast("timestamp")) + shift_s) / F.lit(max(within_s, 1) * SLOT_BOUNDS))
 
-    spread = right.withColumn("_slot_r", slot(right_time)).withColumn(
-        "_slot_r", F.explode(F.array(*[F.col("_slot_r") + d for d in (-1, 0, 1)]))
-    )
+    # A second more on either side: times have parts of seconds.
+    reached = F.array_distinct(F.array(slot(right_time, -within_s - 1), slot(right_time, within_s + 1)))
+    spread = right.withColumn("_slot_r", F.explode(reached))
     bound = F.expr(f"interval '{within_s}' second")
     near = F.col(left_time).between(F.col(right_time) - bound, F.col(right_time) + bound)
 

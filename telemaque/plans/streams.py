@@ -24,7 +24,7 @@ from telemaque.sinks.tables import publish
 from telemaque.sources import ranges
 from telemaque.sources.topics import read_topic
 from telemaque.streaming.batches import batch_writer
-from telemaque.streaming.joins import trip_view_stream
+from telemaque.streaming.joins import LARGE_STATE, settings, trip_view_stream
 from telemaque.streaming.ledger import Ledger
 from telemaque.streaming.runner import Sink, StreamsFailed, run_stream
 from telemaque.workspace import fresh_dir
@@ -115,7 +115,8 @@ def trip_360_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             "partition", "offset", "tripId", "heure_depart", "immatriculation", "DateDebutTrajet", "EmergencyTime", "emergencyType",
             "emergencyStatus", "WeatherTime", "weatherCondition", "temperature",
         )
-        run_stream(kept, Sink("view"), root)
+        with settings(spark, LARGE_STATE):
+            run_stream(kept, Sink("view"), root)
 
     send_and_run(JOIN_SLICES, topics, f"{root}/topics", run)
     return zoneless(spark.read.parquet(Sink("view").path(root)))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemaque.operators.codec import Transform
@@ -10,6 +13,29 @@ from telemaque.operators.intervals import interval_join
 from telemaque.operators.trips import geo_points
 from telemaque.operators.views import JOIN_KEYS
 
+#: State on the executors' disks, of which a batch stores its changes; a batch without messages, which could only drop
+#: state, is left to the next one that has some (inner joins give no row late).
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "2000",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """The session with ``values`` set, for streams that start meanwhile."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
 
 def trip_view_stream(
     vehicles: DataFrame,
@@ -23,17 +49,20 @@ def trip_view_stream(
     vehicle registration lies within ``trip_within_s`` of it.
 
     Reports carry the trip's start time, so the bounds have to be as wide as a trip. ``delay`` is how
-    late messages of any topic may come. Works on batch tables too, with the same result.
+    late messages of any topic may come. Works on batch tables too, with the same result. The reports'
+    bounds, which few pings meet, come first, so that later joins keep little state; set ``LARGE_STATE`` where
+    the first one's doesn't fit into memory.
     """
     right_sides = (
         (vehicles, "IDTrajet", "DateDebutTrajet", trip_within_s),
         (emergencies, "emergencyTrip", "EmergencyTime", report_within_s),
         (weathers, "weatherTrip", "WeatherTime", report_within_s),
     )
+    columns = [c for right, *_ in right_sides for c in right.columns if c not in JOIN_KEYS]
 
     def apply(trips: DataFrame) -> DataFrame:
         view = trips.withWatermark("heure_depart", delay)
-        for right, key, time, within_s in right_sides:
+        for right, key, time, within_s in sorted(right_sides, key=lambda side: side[-1]):
             joined = view.transform(
                 interval_join(
                     right.withWatermark(time, delay), ("tripId", key), ("heure_depart", time), within_s
@@ -42,6 +71,6 @@ def trip_view_stream(
             # A further stream join takes only one event time: the ping's. Without a zone, the
             # right-hand time is a plain value.
             view = joined.withColumn(time, F.col(time).cast("timestamp_ntz"))
-        return view.drop(*JOIN_KEYS).transform(geo_points)
+        return view.select(*trips.columns, *columns).transform(geo_points)
 
     return apply

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from telemaque.operators import codec, trips, upserts
 from telemaque.operators.dedupe import dedupe_events
+from telemaque.operators.intervals import interval_join
 from telemaque.operators.payloads import payload_chunks
 from telemaque.schemas import ENVELOPE, TOPICS, TRIP
 from telemaque.sinks.tables import append_csv, append_sink, publish, read_csv
 from telemaque.sources.topics import TIMEOUT_MS, kafka_options, read_topic, read_topics
 from telemaque.streaming.batches import batch_writer
-from telemaque.streaming.joins import trip_view_stream
+from telemaque.streaming.joins import LARGE_STATE, settings, trip_view_stream
 from telemaque.streaming.runner import Sink, StreamsFailed, fan_out, run_stream, start_stream
 from telemaque.streaming.service import serve
 from tests.samples import EMERGENCY_TEXT, T0, TRIP_TEXT, VEHICLE_TEXT, WEATHER_TEXT, envelope, trip_text
@@ -210,6 +211,29 @@ def test_four_way_stream_join_equals_batch_and_forgets(spark, tmp_path):
     assert max(state) > 0 and state[-1] < max(state) / 2
 
 
+def test_time_bounded_joins_keep_few_copies_and_settings_end(spark, tmp_path):
+    trips, _, alarms, _ = fleet(spark, 5, pings=40, reports=60)
+    streams = {}
+    for name, df in (("trips", trips), ("alarms", alarms)):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        streams[name] = spark.readStream.schema(df.schema).parquet(str(tmp_path / name))
+    bound = ("tripId", "emergencyTrip"), ("heure_depart", "EmergencyTime"), 6 * 3600
+    joined = streams["trips"].withWatermark("heure_depart", "30 days").transform(
+        interval_join(streams["alarms"].withWatermark("EmergencyTime", "30 days"), *bound)
+    )
+    before = {name: spark.conf.get(name, None) for name in LARGE_STATE}
+    with settings(spark, LARGE_STATE):
+        query = start_stream(joined, Sink("joined"), str(tmp_path / "out"))
+        query.awaitTermination()
+    assert {name: spark.conf.get(name, None) for name in LARGE_STATE} == before
+    progress = [p for p in query.recentProgress if p.stateOperators]
+    assert len(progress) == 1  # no batch without messages
+    # Each side is in the state once as a row and, by key and slot, once as a number of rows.
+    keys = trips.select("tripId", F.col("heure_depart").cast("date")).distinct().count()
+    assert progress[0].stateOperators[0].numRowsTotal <= 40 + 2 * 60 + keys
+    assert bag(spark.read.parquet(str(tmp_path / "out" / "joined"))) == bag(trips.transform(interval_join(alarms, *bound)))
+
+
 def test_a_repeated_batch_replaces_its_first_attempt(spark, tmp_path):
     """The callback by itself: running it under a stream would open a callback port."""
     target = str(tmp_path / "bodies")
