@@ -18,8 +18,6 @@ from telemaque.operators.views import JOIN_KEYS
 LARGE_STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "2000",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
