@@ -56,7 +56,7 @@ GRAM, BITS = 2, 256
 GRAM_A, GRAM_B = 0x9E3779B1, 0x85EBCA77
 
 #: Keys that a task holds before it sends them, look-ups computed at a time, bytes of the blocks of a range of keys.
-HELD_KEYS, AT_ONCE, RANGE_BYTES = 1 << 22, 1 << 16, 32 << 20
+HELD_KEYS, AT_ONCE, RANGE_BYTES = 1 << 21, 1 << 16, 16 << 20
 #: Ranges of keys, at most: a task sends a block for each.
 RANGES = 1 << 12
 #: Bits of a line's identity beside a key. Two close lines with the same are taken for one line: a link is lost with probability 6e-8.

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -122,6 +123,17 @@ def test_blocks_of_keys_come_back():
             assert (was == now).all()
 
 
+def test_a_run_of_keys_takes_little_memory():
+    rnd = np.random.default_rng(3)
+    tracemalloc.start()
+    n, bits = linededup.HELD_KEYS, 38
+    key, line = rnd.integers(0, 1 << bits, n, dtype=np.uint64), rnd.integers(0, 1 << linededup.PRINT, n, dtype=np.uint32)
+    linededup._in_order(key, line, rnd.random(n) < 0.5, bits)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120 << 20
+
+
 def test_rows_of_one_id_and_without_an_id_lose_only_copies(spark):
     rows = [(9, "first of nine, all alone in the world\nsecond own line of nine"), (9, "copied line of some length\nits own line, of some length"), (1, "copied line of some length"),
             (None, "a line that has no id at all\ncopied line of some length"), (None, "another line without any id"), (None, "a line that has no id at all")]
