@@ -7,16 +7,25 @@ left. Small buckets have few of them, and all are tried. In large ones a caller
 still be links (``rest``); without that, all are tried there too. Members of one class need no link between
 them, so the classes are those of all pairs. A caller's cheap necessary condition keeps hopeless pairs from
 becoming rows.
+
+What is stored on the way goes when the ``passing`` block around it ends, shuffle files with the write that made them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from telemaque.workspace import fresh_dir
+from telemaque.workspace import fresh_dir, removed
+
+#: With this on, Spark removes the shuffle files of a query when it ends, and not only when the driver's heap is collected.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: The folders of the ``passing`` blocks that are open, the innermost last.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
 
 #: Members of a bucket that are held against the others in the rounds before the last.
 PIVOTS = (1, 8)
@@ -24,10 +33,43 @@ PIVOTS = (1, 8)
 FEW = 32
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: lineage ends, lost executors cost nothing."""
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What is ``stored`` inside is removed at the end, but what is to be kept: the block around this one has that, or the caller."""
+    folders: list[str] = []
+    token = _open.set((*_open.get(), folders))
+    try:
+        yield
+    finally:
+        _open.reset(token)
+        for folder in folders:
+            removed(spark, folder)
+
+
+def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back: lineage ends, lost executors cost nothing.
+
+    Inside a ``passing`` block it goes with the block, or with the block around that one if it is to be kept (``keep``).
+    """
     folder = fresh_dir(df.sparkSession, label)
-    df.write.parquet(folder)
+    blocks = _open.get()[:-1] if keep else _open.get()
+    if blocks:
+        blocks[-1].append(folder)
+    with _cleaned(df.sparkSession):
+        df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

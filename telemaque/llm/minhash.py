@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemaque.llm import buffers as B
-from telemaque.llm.linking import classes, stored
+from telemaque.llm.linking import classes, passing, stored
 
 SHINGLE, SIMILARITY = 5, 80  # words; hundredths
 SKETCH, BANDS, ROWS = 512, 73, 7
@@ -254,27 +254,29 @@ def near_duplicates(
     """A row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     plain = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     signed = stored(signatures(plain, shingle, bands, rows), "signatures")
-    filled = signed.where("n_shingles > 0")
     by_set = ["set_a", "set_b", "n_shingles"]
-    # One document for each different set goes on.
-    heads = stored(filled.groupBy(*by_set).agg(F.min("doc_id").alias("head"), F.min("bands").alias("bands"), F.min("bits").alias("bits")), "heads")
-    rows_ = heads.select(F.explode("bands").alias("bucket"), F.col("head").alias("id"))
-    shared = rows_.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = rows_.join(stored(shared, "buckets"), "bucket").distinct().withColumn("pivot", F.lit(True))
-    members = stored(members, "shared")
-    labels = None
-    if not members.isEmpty():
-        # Who shares most buckets is in the middle of its group: near copies are linked through it.
-        wanted = stored(members.groupBy("id").agg(F.sum("n").alias("degree")), "wanted")
-        bits = heads.select(F.col("head").alias("id"), "bits", F.col("n_shingles").alias("size")).join(wanted, "id").dropDuplicates(["id"])
-        bits = stored(bits, "about")
-        sets = full_sets(plain, wanted.select(F.col("id").alias("doc_id")), shingle)
-        close = close_enough(similarity)
-        labels = classes(members.drop("n"), bits, verifier(sets, similarity), close, prefix_pairs(sets, similarity, close))
-    of_head = heads.select(*by_set, "head")
-    if labels is not None:
-        of_head = of_head.join(labels, F.col("head") == F.col("id"), "left").select(*by_set, F.coalesce("class_id", "head").alias("head"))
-    return _labelled(signed, stored(of_head, "classes"), by_set)
+    with passing(docs.sparkSession):
+        filled = signed.where("n_shingles > 0")
+        # One document for each different set goes on.
+        heads = stored(filled.groupBy(*by_set).agg(F.min("doc_id").alias("head"), F.min("bands").alias("bands"), F.min("bits").alias("bits")), "heads")
+        rows_ = heads.select(F.explode("bands").alias("bucket"), F.col("head").alias("id"))
+        shared = rows_.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        members = rows_.join(stored(shared, "buckets"), "bucket").distinct().withColumn("pivot", F.lit(True))
+        members = stored(members, "shared")
+        labels = None
+        if not members.isEmpty():
+            # Who shares most buckets is in the middle of its group: near copies are linked through it.
+            wanted = stored(members.groupBy("id").agg(F.sum("n").alias("degree")), "wanted")
+            bits = heads.select(F.col("head").alias("id"), "bits", F.col("n_shingles").alias("size")).join(wanted, "id").dropDuplicates(["id"])
+            bits = stored(bits, "about")
+            sets = full_sets(plain, wanted.select(F.col("id").alias("doc_id")), shingle)
+            close = close_enough(similarity)
+            labels = classes(members.drop("n"), bits, verifier(sets, similarity), close, prefix_pairs(sets, similarity, close))
+        of_head = heads.select(*by_set, "head")
+        if labels is not None:
+            of_head = of_head.join(labels, F.col("head") == F.col("id"), "left").select(*by_set, F.coalesce("class_id", "head").alias("head"))
+        of_head = stored(of_head, "classes", keep=True)
+    return _labelled(signed, of_head, by_set)
 
 
 def _labelled(signed: DataFrame, of_head: DataFrame, by_set: list[str]) -> DataFrame:

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+import time
+
 import corpus_pipeline
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from telemaque.llm import decontam, linededup, minhash, quality
+from telemaque import workspace
+from telemaque.llm import decontam, linededup, linking, minhash, quality
 from tests.llm.helpers import SMALL, hostile
 from tests.llm.test_counts_and_rules import brute_counts, check_packed
 from tests.llm.test_duplicates import brute_groups
@@ -64,3 +67,32 @@ def test_stages_drop_rows_without_an_id_and_repeated_rows(spark):
     assert sorted((tuple(r) for r in left.collect()), key=str) == sorted([(3, text), (None, other), (4, "")], key=str)
     leaked = docs.union(spark.createDataFrame([(None, f"{text} {passage}"), (4, f"x {passage}")], docs.schema))
     assert sorted(map(str, stages["decontamination"](spark, leaked, SMALL).collect())) == sorted(map(str, docs.collect()))
+
+
+def test_stages_leave_nothing_but_what_their_rows_are_read_from(spark, tmp_path, monkeypatch):
+    """Shuffle files and tables stored on the way once took more disk than the stages' own results."""
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"{text}\n{text[:-i]}\n{i} lines") for i in range(1, 9)], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/docs")
+    docs, before = spark.read.parquet(f"{tmp_path}/docs"), spark.conf.get(linking.CLEANUP, None)
+    try:
+        spark._jvm.System.gc()
+        time.sleep(2)
+        at_first = shuffled()
+        for name, kinds in (("line_dedup", ["classed", "first"]), ("near_dedup", ["firsts", "rows"])):
+            monkeypatch.setattr(workspace, "shared_root", lambda _, name=name: f"{tmp_path}/{name}")
+            docs_after = dict(corpus_pipeline.STAGES)[name](spark, docs, SMALL)
+            docs_after.write.parquet(f"{tmp_path}/{name}-out")
+            assert sorted(x.name.split("-")[0] for x in (tmp_path / name / "telemaque").iterdir()) == kinds
+        for _ in range(20):
+            if shuffled() <= at_first:
+                break
+            time.sleep(0.5)
+        assert shuffled() <= at_first
+    finally:
+        spark.conf.unset(linking.CLEANUP) if before is None else spark.conf.set(linking.CLEANUP, before)
