@@ -90,12 +90,18 @@ def key(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted different keys, sums of the rows of ``values``, a row of each)."""
+def summed(keys: np.ndarray, values: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted different keys, sums of the rows of ``values``, or how often each key is there, a row of each)."""
     order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    sums = np.add.reduceat(values[order], first, axis=0) if len(keys) else values
+    if values is None:
+        sums = np.diff(np.append(first, len(keys)))[:, None]
+    elif len(first) == len(keys):
+        sums = values[order]
+    else:
+        values = values[order]
+        sums = np.column_stack([np.add.reduceat(np.ascontiguousarray(v), first) for v in values.T])
     return keys[first], sums, order[first]
 
 
@@ -120,9 +126,23 @@ def _unplaned(dtype: str, shape: tuple[int, ...], data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(dtype).reshape(shape)
 
 
+def _by_words(rows: np.ndarray) -> np.ndarray:
+    """The order of n-grams by their words: of those ids as many as there is room for are sorted as one word."""
+    words, room = [], 0
+    for column in rows.T:
+        bits = int(column.max(initial=0)).bit_length()
+        if words and bits <= room:
+            words[-1] = words[-1] << np.uint64(bits) | column
+            room -= bits
+        else:
+            words.append(column)
+            room = 64 - bits
+    return np.argsort(words[0]) if len(words) == 1 else np.lexsort(words[::-1])
+
+
 def pack(rows: np.ndarray, values: np.ndarray) -> bytes:
     """N-grams in the order of their words with their numbers, the first word as what it is above the one before; compressed."""
-    order = np.lexsort(rows.T[::-1])
+    order = _by_words(rows)
     rows, values = rows[order], values[order]
     columns = [np.diff(rows[:, 0], prepend=np.uint64(0)), *rows.T[1:], *values.T]
     raw = pickle.dumps((rows.shape[1], [_planes(c) for c in columns]), protocol=5)
@@ -195,7 +215,7 @@ def _counter(kind: str, rows_of, bits: int):
         chunks = (chunk for batch in batches for chunk in tokens(batch.column(0)))
         for _, word, offsets in gathered(chunks, COUNTED):
             rows = rows_of(word, offsets)
-            keys, values, one = summed(rows[:, 0] if kind == "raw" else key(rows), np.ones((len(rows), 1), dtype=np.int64))
+            keys, values, one = summed(rows[:, 0] if kind == "raw" else key(rows))
             for block in _dealt(kind, rows[one], values, keys, bits):
                 yield _batch([block])
 
@@ -304,17 +324,17 @@ class Level:
 
 @lru_cache(maxsize=4096)
 def mapped(uri: str) -> np.ndarray:
-    """The bytes of a file, memory-mapped. One that the worker can't open by itself is copied to a file
+    """The bytes of a file, memory-mapped (as a plain array: slices of ``memmap`` are slow). One that the worker can't open by itself is copied to a file
     that has no name, and goes with the worker."""
     parts = urlparse(uri)
     if parts.scheme in ("", "file"):
-        return np.memmap(unquote(parts.path), dtype=np.uint8, mode="r")
+        return np.asarray(np.memmap(unquote(parts.path), dtype=np.uint8, mode="r"))
     store, path = fs.FileSystem.from_uri(uri)
     with store.open_input_stream(path) as source, tempfile.TemporaryFile() as copy:
         while part := source.read(1 << 24):
             copy.write(part)
         copy.flush()
-        return np.memmap(copy, dtype=np.uint8, mode="r")
+        return np.asarray(np.memmap(copy, dtype=np.uint8, mode="r"))
 
 
 class Table:
@@ -356,16 +376,20 @@ class Table:
                     left = left[rank[left] < 0]
         return out, rank
 
-    def looked_up(self, kind: str, keys: np.ndarray, width: int = 1) -> np.ndarray:
-        different, back = unique(keys)
-        return self.found(kind, different, width)[0][back]
+    def different(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of the different words, their counts, the place among them of each of ``words``).
 
-    def numbered(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, counts) of words. Ids are dense, mostly those of frequent words are small, and other words are ``UNKNOWN``."""
+        Ids are dense, mostly those of frequent words are small, and words that aren't there are ``UNKNOWN``.
+        """
         different, back = unique(words)
         counts, rank = self.found("raw", different)
         ids = np.where(rank < 0, UNKNOWN, FIRST + (rank << self.bits) + _shards(different, self.bits))
-        return ids.astype(np.uint64)[back], counts[back, 0]
+        return ids.astype(np.uint64), counts[:, 0], back
+
+    def numbered(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, counts) of words."""
+        ids, counts, back = self.different(words)
+        return ids[back], counts[back]
 
 
 def _at(starts: np.ndarray, high: np.ndarray, low: np.ndarray, group: np.ndarray, tail: np.ndarray) -> np.ndarray:
@@ -401,36 +425,57 @@ class Model:
         raw = words.level("raw")
         self.words, self.tokens = raw.types, raw.total
 
-    def _numbers(self, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray | None]:
-        """Numbers of the last ``n`` words of ``rows``, and of those one place before, as contexts."""
-        tail = key(rows[:, self.order - n :])
-        if n == self.order:
-            return self.grams.looked_up(f"n{n}", tail), None
-        context = key(rows[:, self.order - n - 1 : -1])
-        # Within a text, the context of a word is the n-gram that ends before it.
-        other = np.flatnonzero(np.append(True, context[1:] != tail[:-1])[: len(rows)])
-        numbers = self.grams.looked_up(f"n{n}", np.concatenate([tail, context[other]]), 5)
-        contexts = np.roll(numbers[: len(rows)], 1, axis=0)
-        contexts[other] = numbers[len(rows) :]
-        return numbers[: len(rows)], contexts[:, 1:]
-
-    def probabilities(self, rows: np.ndarray) -> np.ndarray:
-        """P(last word | words before it) of each row of ``order`` ids."""
+    def _own(self, numbers: np.ndarray, n: int) -> np.ndarray:
+        """What is left of the counts of n-grams."""
+        d = np.array([0.0, *self.levels[n].discounts])
+        return np.maximum(numbers[:, 0] - d[np.minimum(numbers[:, 0], 3)], 0.0)
+
+    def _after(self, numbers: np.ndarray, n: int) -> np.ndarray:
+        """For n-grams as contexts: what follows them in all, and how much of that is taken off. A row of each for all of them."""
+        d = self.levels[n + 1].discounts
+        return np.stack([numbers[:, 1].astype(float), numbers[:, 2] * d[0] + numbers[:, 3] * d[1] + numbers[:, 4] * d[2]])
+
+    def _read(self, keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the different ``keys`` of n-grams, and the place among them of each."""
+        different, back = unique(keys)
+        return self.grams.found(f"n{n}", different, 1 if n == self.order else 5)[0], back
+
+    def _levels(self, rows: np.ndarray, ids: np.ndarray, back: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """For each n: what is left of the counts of the last n words of ``rows``, and what follows those one place before.
+
+        Within a text, the words one place before are the n-gram that ends there, so that only others are read besides.
+        """
+        for n in range(1, self.order + 1):
+            if n == 1:  # of these there are as many as different words
+                numbers, at = self._read(key(np.append(ids, np.uint64(BEGIN))[:, None]), 1)
+                own, before = at[back], at[np.append(len(ids), back)[:-1]] if len(back) else at[back]
+                before = np.where(rows[:, -2] == BEGIN, at[len(ids)], before) if self.order > 1 else before
+            else:
+                tail = key(rows[:, self.order - n :])
+                if n == self.order:
+                    numbers, own = self._read(tail, n)
+                    yield self._own(numbers, n)[own], None
+                    return
+                context = key(rows[:, self.order - n - 1 : -1])
+                other = np.flatnonzero(np.append(True, context[1:] != tail[:-1])[: len(rows)])
+                numbers, at = self._read(np.concatenate([tail, context[other]]), n)
+                own, before = at[: len(rows)], np.roll(at[: len(rows)], 1)
+                before[other] = at[len(rows) :]
+            yield self._own(numbers, n)[own], self._after(numbers, n)[:, before] if n < self.order else None
+
+    def probabilities(self, rows: np.ndarray, ids: np.ndarray, back: np.ndarray) -> np.ndarray:
+        """P(last word | words before it) of each row of ``order`` ids; the last ones are ``ids[back]``."""
         p = np.full(len(rows), 1.0 / (self.words + 1))
         first = self.levels[1]
         if not first.total:
             return p
-        total, kinds = float(first.total), np.array([[*first.times[:2], first.three]])
-        for n in range(1, self.order + 1):
-            d = np.array([0.0, *self.levels[n].discounts])
-            numbers, contexts = self._numbers(rows, n)
-            count = numbers[:, 0]
+        kinds, d = (*first.times[:2], first.three), first.discounts
+        total, taken = np.array([[float(first.total)], [sum(k * x for k, x in zip(kinds, d, strict=True))]])
+        for own, after in self._levels(rows, ids, back):
             met = total > 0
-            own = np.maximum(count - d[np.minimum(count, 3)], 0.0)
-            mixed = (own + (kinds @ d[1:]) * p) / np.where(met, total, 1.0)
-            p = np.where(met, mixed, p)
-            if contexts is not None:
-                total, kinds = contexts[:, 0].astype(float), contexts[:, 1:]
+            p = np.where(met, (own + taken * p) / np.where(met, total, 1.0), p)
+            if after is not None:
+                total, taken = after
         return p
 
 
@@ -461,8 +506,8 @@ def scored(docs: DataFrame, model: Model, held_out: Column, doc_id: str = "doc_i
         floor = 0.5 * (model.words + 1)
         for batch in batches:
             for row, word, offsets in gathered(tokens(batch.column(2)), SCORED):
-                ids, c = model.word_table.numbered(word)
-                rows = ngrams(ids, offsets, model.order)
+                ids, c, back = model.word_table.different(word)
+                rows, c = ngrams(ids[back], offsets, model.order), c[back]
                 first = offsets[:-1]
                 base = np.log10((c + 0.5) / (model.tokens + floor))
                 n = len(offsets) - 1
@@ -474,7 +519,7 @@ def scored(docs: DataFrame, model: Model, held_out: Column, doc_id: str = "doc_i
                         pa.array(np.add.reduceat((c > 0).astype(np.int64), first)),
                         pa.array(np.full(n, model.tokens)),
                         pa.array(np.add.reduceat(base, first)),
-                        pa.array(np.add.reduceat(np.log10(model.probabilities(rows)), first)),
+                        pa.array(np.add.reduceat(np.log10(model.probabilities(rows, ids, back)), first)),
                     ],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )

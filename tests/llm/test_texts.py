@@ -294,3 +294,26 @@ def test_scores_do_not_depend_on_the_number_of_ranges(spark, monkeypatch):
     monkeypatch.setattr(lm, "COUNTED", 1000)
     many = scores()
     assert one.keys() == many.keys() and all(abs(one[k] - many[k]) < 1e-6 for k in one)
+
+
+def test_scoring_sorts_words_and_ngrams_once(tmp_path, monkeypatch):
+    """Unigrams are read once per different word; they were sorted token by token like the longer n-grams."""
+    rng = np.random.default_rng(8)
+    word, offsets = rng.integers(1, 2**64, 20, dtype=np.uint64)[rng.integers(0, 20, 3000)], np.array([0, 1000, 1000, 3000])
+    store = fs.LocalFileSystem()
+
+    def table(kinds):
+        files = [lm.write(store, str(tmp_path), kind, 0, *lm.summed(keys, values)[:2], 0) for kind, keys, values in kinds]
+        return lm.Table(str(tmp_path), files, 0)
+
+    monkeypatch.setattr(lm, "_shards", lambda keys, bits: np.zeros(len(keys), np.int32))
+    words = table([("raw", word[:2500], np.ones((2500, 1), np.int64))])
+    rows = lm.ngrams(words.numbered(word)[0], offsets, 3)
+    levels = [(n, rows[:2500, 3 - n :], 1 if n == 3 else 5) for n in (1, 2, 3)]
+    model = lm.Model(words, table([(f"n{n}", lm.key(some), rng.integers(1, 9, (2500, width))) for n, some, width in levels]), 3)
+    monkeypatch.setattr(lm, "mapped", lambda uri, before=lm.mapped: seen.append(before(uri)) or seen[-1])
+    monkeypatch.setattr(lm, "unique", lambda keys, before=lm.unique: sorted_.append(len(keys)) or before(keys))
+    seen, sorted_ = [], []
+    ids, _, back = model.word_table.different(word)
+    assert len(model.probabilities(lm.ngrams(ids[back], offsets, 3), ids, back)) == 3000
+    assert sum(sorted_) < 3.2 * 3000 and all(type(x) is np.ndarray for x in seen)
