@@ -90,19 +90,33 @@ def key(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def summed(keys: np.ndarray, values: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sorted different keys, sums of the rows of ``values``, or how often each key is there, a row of each)."""
+def _sums(values: np.ndarray | None, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``values``, in ``order``, of each run that starts at ``first``; without values, the runs' lengths."""
+    if values is None:
+        return np.diff(np.append(first, len(order)))[:, None]
+    if len(first) == len(order):
+        return values[order]
+    return np.column_stack([np.add.reduceat(v[order], first) for v in values.T])
+
+
+def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted different keys, sums of the rows of ``values``, a row of each)."""
     order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    if values is None:
-        sums = np.diff(np.append(first, len(keys)))[:, None]
-    elif len(first) == len(keys):
-        sums = values[order]
-    else:
-        values = values[order]
-        sums = np.column_stack([np.add.reduceat(np.ascontiguousarray(v), first) for v in values.T])
-    return keys[first], sums, order[first]
+    return keys[first], _sums(values, order, first), order[first]
+
+
+def merged(rows: np.ndarray, values: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(different n-grams in the order of their words, sums of the rows of ``values`` or how often each is there)."""
+    order = _by_words(rows)
+    rows = rows[order]
+    new = np.ones(len(rows), dtype=bool)
+    new[1:] = rows[1:, 0] != rows[:-1, 0]
+    for column in rows.T[1:]:
+        new[1:] |= column[1:] != column[:-1]
+    first = np.flatnonzero(new)
+    return rows[first], _sums(values, order, first)
 
 
 def unique(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +157,11 @@ def _by_words(rows: np.ndarray) -> np.ndarray:
 def pack(rows: np.ndarray, values: np.ndarray) -> bytes:
     """N-grams in the order of their words with their numbers, the first word as what it is above the one before; compressed."""
     order = _by_words(rows)
-    rows, values = rows[order], values[order]
+    return _packed(rows[order], values[order])
+
+
+def _packed(rows: np.ndarray, values: np.ndarray) -> bytes:
+    """``pack`` of what is in that order."""
     columns = [np.diff(rows[:, 0], prepend=np.uint64(0)), *rows.T[1:], *values.T]
     raw = pickle.dumps((rows.shape[1], [_planes(c) for c in columns]), protocol=5)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
@@ -161,11 +179,14 @@ def _shards(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int32)
 
 
-def _dealt(kind: str, rows: np.ndarray, values: np.ndarray, keys: np.ndarray, bits: int) -> Iterator[tuple]:
-    """Blocks of ``BLOCKS`` by hash range; ``keys`` must be sorted."""
-    shard = _shards(keys, bits)
+def _dealt(kind: str, rows: np.ndarray, values: np.ndarray, bits: int) -> Iterator[tuple]:
+    """Blocks of ``BLOCKS`` by hash range, of n-grams that are ``merged``."""
+    shard = _shards(rows[:, 0] if kind == "raw" else key(rows), bits)
+    # Sorting short numbers keeps equal ones in their order, and is quick.
+    order = np.argsort(shard.astype(np.min_scalar_type((1 << bits) - 1)), kind="stable")
+    shard, rows, values = shard[order], rows[order], values[order]
     for lo, hi in zip(*_runs(shard), strict=True):
-        yield kind, int(shard[lo]), pack(rows[lo:hi], values[lo:hi])
+        yield kind, int(shard[lo]), _packed(rows[lo:hi], values[lo:hi])
 
 
 def _runs(x: np.ndarray) -> tuple[list[int], list[int]]:
@@ -215,8 +236,7 @@ def _counter(kind: str, rows_of, bits: int):
         chunks = (chunk for batch in batches for chunk in tokens(batch.column(0)))
         for _, word, offsets in gathered(chunks, COUNTED):
             rows = rows_of(word, offsets)
-            keys, values, one = summed(rows[:, 0] if kind == "raw" else key(rows))
-            for block in _dealt(kind, rows[one], values, keys, bits):
+            for block in _dealt(kind, *merged(rows), bits):
                 yield _batch([block])
 
     return count
@@ -244,8 +264,7 @@ def reduced(blocks: DataFrame, folder: str, bits: int) -> DataFrame:
         before = np.zeros_like(after)
         before[:, 0] = 1
         rows, values = np.concatenate([rows[:, :-1], rows[:, 1:]]), np.concatenate([after, before])
-        keys, values, one = summed(key(rows), values)
-        for block in _dealt(f"n{n - 1}", rows[one], values, keys, bits):
+        for block in _dealt(f"n{n - 1}", *merged(rows, values), bits):
             yield _batch([block])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
