@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemaque.llm import decontam, linededup, minhash, packing, quality
-from telemaque.llm.linking import CLEANUP, passing, stored
+from telemaque.llm.linking import CLEANUP, passing, sent, stored
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -33,10 +33,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with passing(spark):
         rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "rows", keep=True)  # read again with the same numbers
         near = minhash.near_duplicates(rows, doc_id="__row").select(F.col("doc_id").alias("__row"), "component_id")
+        near = stored(near, "near")
         order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "__row")
-        first = near.join(rows.select("doc_id", "__row"), "__row").groupBy("component_id").agg(F.min(order).alias("first"))
-        first = stored(first.select(F.col("first.__row").alias("__row")), "firsts", keep=True)
-    return rows.join(first, "__row", "left_semi").select(*docs.columns)
+        several = stored(near.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id"), "several")
+        copies = stored(near.join(sent(several), "component_id", "left_semi"), "copies")
+        ids = rows.select("doc_id", "__row")
+        named = stored(ids.join(sent(copies), "__row").select("component_id", order.alias("place")), "named")
+        first = named.groupBy("component_id").agg(F.min("place").alias("first"))
+        gone = named.join(first, "component_id").where("place.__row <> first.__row").select("place.__row")
+        gone = stored(gone, "firsts", keep=True)  # all but the firsts
+    # Who goes is sent to the texts, as long as it is not too much; who stays grows with the corpus.
+    return rows.join(sent(gone), "__row", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

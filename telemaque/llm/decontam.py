@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from telemaque.llm.linking import stored
+from telemaque.llm.linking import sent, stored
 
 WINDOW, K = 10, 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -114,7 +114,7 @@ def without_contaminated(
     """The rows of ``docs`` that hold no passage of the items."""
     hit = _judged(docs, items, window, k, doc_id, text).where("contaminated").select(F.col("key").alias("__key")).distinct()
     hit = stored(hit, "contaminated")
-    return docs.join(hit, row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")) == F.col("__key"), "left_anti")
+    return docs.join(sent(hit), row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")) == F.col("__key"), "left_anti")
 
 
 def _judged(docs: DataFrame, items: DataFrame, window: int, k: int, doc_id: str, text: str) -> DataFrame:
@@ -132,7 +132,7 @@ def _judged(docs: DataFrame, items: DataFrame, window: int, k: int, doc_id: str,
     rows = suspected(keyed, stored(loose_marks(items, window, k), "loose"), sizes, k)
     rows = stored(rows, "suspects")
     suspects = rows.where("suspect").select("key")
-    found = _hits(keyed, suspects.distinct(), known, windows, sizes, k)
+    found = _hits(keyed, stored(suspects.distinct(), "suspected"), known, windows, sizes, k)
     by_text = found.groupBy("key")
     hit = by_text.agg(F.array_sort(F.collect_set(F.struct("start", "size"))).alias("spans"))
     named = found.join(windows, ["size", "gram"]).where("item_id is not null").select("key", F.col("item_id").cast("string").alias("item")).distinct()
@@ -224,7 +224,7 @@ def _hits(keyed: DataFrame, suspects: DataFrame, known: DataFrame, windows: Data
 
     A fingerprint met at word i is extended to the windows that hold it.
     """
-    again = keyed.join(suspects, "key").dropDuplicates(["key"])
+    again = keyed.join(sent(suspects), "key", "left_semi").dropDuplicates(["key"])
     words = again.select("key", word_hashes(F.col("text")).alias("words"))
     out = None
     for n in sizes:

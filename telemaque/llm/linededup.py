@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemaque.llm import buffers as B
-from telemaque.llm.linking import classes, passing, stored
+from telemaque.llm.linking import classes_by_home, homes, passing, sent, sized, stored
 
 #: (code points from which it holds, edits); of lines below the first only exact copies are linked.
 EDITS = ((20, 1), (60, 2))
@@ -65,8 +65,6 @@ PRINT = 24
 PAIRS, WORD_EDITS = 4096, 31
 #: Keys have this many bits more than it takes to count them.
 SPARE_BITS = 9
-#: Ids that may be sent to every task; more are joined by a shuffle of both sides.
-SENT_IDS = 2_000_000
 
 OCCURRENCES = "doc_id long, row long, line_no long, line_id long, size long"
 BLOCKS = "shard int, chunk long, kind string, block binary"
@@ -500,11 +498,6 @@ def shared_keys(blocks: DataFrame, bits: int, shard_bits: int) -> DataFrame:
     return blocks.repartition(1 << shard_bits, "shard").sortWithinPartitions("shard").mapInArrow(run, schema)
 
 
-def _sent(df: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``wanted`` to be joined to ``df``: sent to every task where it is small enough."""
-    return F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted
-
-
 def _texts(plain: DataFrame, edits: tuple) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -530,6 +523,23 @@ def close_enough(edits: tuple):
     return close
 
 
+def holder(edits: tuple):
+    """Which pairs of rows (``size``, ``bits``, ``line``) are links: by ``close_enough``, then by their edits."""
+
+    def hold(table: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        size = table.column("size").to_numpy()
+        bits = table.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, BITS // 64)  # bits of signed words are counted without their sign
+        lines = table.column("line").to_pylist()
+        limits = allowed(np.minimum(size[i], size[j]), edits)
+        some = np.flatnonzero(np.abs(size[i] - size[j]) <= limits)
+        some = some[np.bitwise_count(bits[i[some]] ^ bits[j[some]]).sum(axis=1) <= 2 * GRAM * limits[some]]
+        out = np.zeros(len(i), dtype=bool)
+        out[some] = all_within([(lines[x], lines[y]) for x, y in zip(i[some].tolist(), j[some].tolist(), strict=True)], limits[some])
+        return out
+
+    return hold
+
+
 def _verifier(texts: DataFrame, edits: tuple):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -560,14 +570,14 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
         rows = shared.where("bucket is not null").select("bucket", "chunk", "print", "pivot")
         about = shared.where("bucket is null").select("chunk", "print", "id", "size", "bits")
         members = rows.join(about.select("chunk", "print", "id"), ["chunk", "print"]).groupBy("bucket", "id").agg(F.max("pivot").alias("pivot"))
-        members = stored(members, "members")
+        members = sized(members)
         labels = None
         if not members.isEmpty():
-            degrees = stored(members.groupBy("id").agg(F.count("*").alias("degree")), "degrees")
+            home = homes(members)
             texts = _texts(plain, edits)
-            texts = stored(texts.join(_sent(texts, degrees.select("id")), "id", "left_semi").dropDuplicates(["id"]), "texts")
-            known = about.dropDuplicates(["id"]).select("id", "size", "bits").join(degrees, "id")
-            labels = classes(members, stored(known, "parities"), _verifier(texts, edits), close_enough(edits))
+            texts = stored(texts.join(sent(home.select("id")), "id", "left_semi").dropDuplicates(["id"]), "texts")
+            known = about.dropDuplicates(["id"]).select("id", "size", "bits").join(home.select("id"), "id", "left_semi")
+            labels = classes_by_home(members, home, stored(known, "parities"), _verifier(texts, edits), close_enough(edits), texts, holder(edits))
         classed = found.withColumn("class_id", F.col("line_id"))
         if labels is not None:
             classed = found.join(labels.toDF("line_id", "__class"), "line_id", "left").withColumn("class_id", F.coalesce("__class", "line_id")).drop("__class")

@@ -8,6 +8,8 @@ still be links (``rest``); without that, all are tried there too. Members of one
 them, so the classes are those of all pairs. A caller's cheap necessary condition keeps hopeless pairs from
 becoming rows.
 
+Where members share many buckets, as lines do, ``classes_by_home`` holds a pair against each other in one of them only.
+
 What is stored on the way goes when the ``passing`` block around it ends, shuffle files with the write that made them.
 """
 
@@ -17,6 +19,8 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +35,10 @@ _open: ContextVar[tuple[list[str], ...]] = ContextVar("open", default=())
 PIVOTS = (1, 8)
 #: A bucket of at most so many members is small: a member has fewer pairs there than that.
 FEW = 32
+#: Members of a block, in which the members of a large bucket are held against each other: n of them go out n / BLOCK times each.
+BLOCK = 512
+#: Ids that may be sent to every task; more are joined by a shuffle of both sides.
+SENT_IDS = 2_000_000
 
 
 @contextmanager
@@ -73,6 +81,11 @@ def stored(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def sent(wanted: DataFrame) -> DataFrame:
+    """``wanted``, which is stored, to be joined to a larger table: sent to every task where it is small enough."""
+    return F.broadcast(wanted) if wanted.count() <= SENT_IDS else wanted
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, class_id) for each end of a link: the class is its smallest id. ``links``: a, b (longs).
 
@@ -98,6 +111,10 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _seen(about: DataFrame) -> Callable[[str], DataFrame]:
+    return lambda side: about.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in about.columns if c != "id"])
+
+
 def classes(
     members: DataFrame,
     about: DataFrame,
@@ -115,14 +132,12 @@ def classes(
     different classes that share such a bucket. No pair is verified twice.
     """
     extra = [c for c in about.columns if c != "id"]
+    seen = _seen(about)
     ranked = members.join(about.select("id", "degree"), "id")
     members = stored(ranked.select("bucket", "id", "pivot", "degree", F.col("id").alias("class_id")), "members")
     by_bucket = Window.partitionBy("bucket").orderBy(F.desc("degree"), "id")
     labels, links, tried = None, None, None
 
-    def seen(side: str) -> DataFrame:
-        return about.select(F.col("id").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in extra])
-
     for take in (*PIVOTS, None):
         if labels is not None:
             members = members.drop("class_id").join(labels, "id", "left")
@@ -139,7 +154,7 @@ def classes(
             both = both.where("a_class <> b_class").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             pairs = both.join(seen("a"), "a").join(seen("b"), "b").where(close("a_", "b_")).select("a", "b")
         else:
-            pairs = _remaining(members, about, extra, close, rest)
+            pairs = _remaining(members, about, close, rest)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -153,7 +168,7 @@ def classes(
     return labels
 
 
-def _remaining(members: DataFrame, about: DataFrame, extra: list[str], close, rest) -> DataFrame:
+def _remaining(members: DataFrame, about: DataFrame, close, rest) -> DataFrame:
     """The pairs of different classes in buckets that still have several."""
     more = None
     if rest is not None:
@@ -162,11 +177,147 @@ def _remaining(members: DataFrame, about: DataFrame, extra: list[str], close, re
             unresolved = members.join(large, "bucket", "left_semi").select("id", "class_id").dropDuplicates(["id"]).join(about, "id")
             more = rest(stored(unresolved, "unresolved"))
             members = members.join(large, "bucket", "left_anti")
-    known = stored(members.drop("degree").join(about, "id"), "known")
+    pairs = _pairs(members.drop("degree"), about, close)
+    return (pairs if more is None else pairs.union(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))).distinct()
+
+
+def _pairs(members: DataFrame, about: DataFrame, close, apart: Column | None = None) -> DataFrame:
+    """(a, b): the pairs of different classes in the buckets of ``members`` (bucket, id, pivot, class_id) that are ``close``, and ``apart``."""
+    extra = [c for c in about.columns if c != "id"]
+    known = stored(members.join(about, "id"), "known")
     left = known.where("pivot").select("bucket", *[F.col(c).alias(f"a_{c}") for c in ("id", "class_id", *extra)])
     right = known.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("id", "pivot", "class_id", *extra)])
     # Of two pivots the smaller one is the left end.
-    apart = (F.col("a_class_id") != F.col("b_class_id")) & ((F.col("a_id") < F.col("b_id")) | ~F.col("b_pivot"))
-    pairs = left.join(right, (left["bucket"] == right["bucket"]) & apart & close("a_", "b_"))
-    pairs = pairs.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"))
-    return (pairs if more is None else pairs.union(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))).distinct()
+    wanted = (F.col("a_class_id") != F.col("b_class_id")) & ((F.col("a_id") < F.col("b_id")) | ~F.col("b_pivot")) & close("a_", "b_")
+    pairs = left.join(right, (left["bucket"] == right["bucket"]) & (wanted if apart is None else wanted & apart))
+    return pairs.select(F.least("a_id", "b_id").alias("a"), F.greatest("a_id", "b_id").alias("b"))
+
+
+def sized(members: DataFrame) -> DataFrame:
+    """``members`` (bucket, id, pivot) of buckets of several, and the number ``n`` in each; stored."""
+    counted = members.withColumn("n", F.count("*").over(Window.partitionBy("bucket")))
+    return stored(counted.where("n > 1"), "sized")
+
+
+def homes(members: DataFrame) -> DataFrame:
+    """(id, degree, bucket): in how many buckets of ``sized`` a member is, and the largest of them, its home; stored."""
+    largest = members.groupBy("id").agg(F.count("*").alias("degree"), F.max(F.struct("n", "bucket")).alias("home"))
+    return stored(largest.select("id", "degree", F.col("home.bucket").alias("bucket")), "homes")
+
+
+def classes_by_home(
+    members: DataFrame,
+    home: DataFrame,
+    about: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    close: Callable[[str, str], Column],
+    texts: DataFrame,
+    hold: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray],
+) -> DataFrame | None:
+    """(id, class_id) as from ``classes``, for members that share many buckets with each other.
+
+    The pivots of a bucket are held only against those whose home it is: a row for each member, and not for each of its
+    buckets. In the large buckets that still have several classes, the homes of their members come first: two members of
+    one home are held against each other in the largest they share, block by block inside the tasks, so that only links
+    become rows. The comparisons are still as many as there are such pairs. Pairs that share no home are left to their buckets.
+
+    ``members`` as from ``sized``, ``home`` as from ``homes``; ``about``, ``verify`` and ``close`` as for ``classes``. ``hold`` tells which
+    of the pairs (i, j) of a table's rows are links; its columns are those of ``about`` and of ``texts``, a row per id.
+    """
+    seen = _seen(about)
+    by_bucket = Window.partitionBy("bucket").orderBy(F.desc("degree"), "id")
+    # A limit by rank is applied in each task before the shuffle.
+    ranked = stored(home.withColumn("rank", F.row_number().over(by_bucket)).where(F.col("rank") <= max(PIVOTS)), "ranked")
+    labels, links, tried = None, None, None
+
+    def classed(df: DataFrame) -> DataFrame:
+        if labels is None:
+            return df.withColumn("class_id", F.col("id"))
+        return df.join(sent(labels), "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
+
+    for take in (*PIVOTS, None):
+        if take is not None:
+            rows, left = classed(home), classed(ranked)
+            left = left.where(F.col("rank") <= take).select("bucket", F.col("id").alias("a"), F.col("class_id").alias("a_class"))
+            both = left.join(rows.select("bucket", F.col("id").alias("b"), F.col("class_id").alias("b_class")), "bucket")
+            both = both.where("a_class <> b_class").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            pairs = both.join(seen("a"), "a").join(seen("b"), "b").where(close("a_", "b_")).select("a", "b")
+        else:
+            whole = Window.partitionBy("bucket")
+            left = classed(members).withColumns({"lo": F.min("class_id").over(whole), "hi": F.max("class_id").over(whole)})
+            left = stored(left.where("lo < hi").select("bucket", "id", "pivot", "n", "class_id"), "unresolved")  # buckets of one class are done
+            pairs = _pairs(left.where(F.col("n") <= FEW).drop("n"), about, close).union(_of_large(left.where(F.col("n") > FEW), about, close, texts, hold))
+            pairs = pairs.distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        if pairs.isEmpty():
+            continue
+        tried = pairs if tried is None else tried.union(pairs)
+        found = stored(verify(pairs), "found")
+        links = found if links is None else links.union(found)
+        if not found.isEmpty():
+            labels = components(links)
+    return labels
+
+
+def _blocks(hold: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray]):
+    """Links between the members of two blocks of a home, or of one, that have not met in an earlier home: enough for their classes."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        bucket, lo, hi = (table.column(c)[0].as_py() for c in ("bucket", "lo", "hi"))
+        block, kind, ids = (table.column(c).to_numpy() for c in ("block", "class_id", "id"))
+        lists = table.column("homes").to_pylist()
+        earlier = {h: i for i, h in enumerate({h for x in lists for h in x[: x.index(bucket)]})}
+        met = np.zeros((len(ids), len(earlier)), dtype=np.float32)
+        for row, x in zip(met, lists, strict=True):
+            row[[earlier[h] for h in x[: x.index(bucket)]]] = 1
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        new = (kind[left][:, None] != kind[right][None, :]) & (met[left] @ met[right].T == 0)
+        if lo == hi:
+            new &= ids[left][:, None] < ids[right][None, :]
+        i, j = np.nonzero(new)
+        i, j = left[i], right[j]
+        kind, found = np.unique(kind, return_inverse=True)[1], [np.zeros((2, 0), dtype=np.int64)]
+        mixed = np.random.default_rng(0).permutation(len(i))
+        i, j = i[mixed], j[mixed]
+        for by_class, take in ((False, 4), (False, 8), (True, 1), (True, 8), (True, None)):
+            # So many pairs of each member, then of each two classes, then what is still of two.
+            key = np.minimum(kind[i], kind[j]) * len(kind) + np.maximum(kind[i], kind[j]) if by_class else i
+            order = np.argsort(key, kind="stable")
+            first = np.flatnonzero(np.diff(key[order], prepend=-1))
+            place = np.empty(len(i), dtype=np.int64)
+            place[order] = np.arange(len(i)) - np.repeat(first, np.diff(np.append(first, len(i))))
+            now = np.full(len(i), True) if take is None else place < take
+            linked = np.flatnonzero(now)[hold(table, i[now], j[now])]
+            for n in linked.tolist():
+                x, y = kind[i[n]], kind[j[n]]
+                if x != y:  # the links that join two classes are enough
+                    kind[kind == y] = x
+                    found.append(ids[[[i[n]], [j[n]]]])
+            left_over = ~now & (kind[i] != kind[j])
+            i, j = i[left_over], j[left_over]
+        a, b = np.concatenate(found, axis=1)
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    return meet
+
+
+def _of_large(members: DataFrame, about: DataFrame, close, texts: DataFrame, hold) -> DataFrame:
+    """(a, b): the pairs of different classes in large buckets, one of them a pivot there, that can be links."""
+    largest = members.groupBy("id").agg(F.max(F.struct("n", "bucket")).alias("home"))
+    at_home = stored(largest.select("home.bucket").distinct(), "homes")
+    listed = stored(members.join(sent(at_home), "bucket", "left_semi").select("bucket", "id", "n", "class_id"), "listed")
+    # The homes that a member is in, in one order for all; the first is its own.
+    found = listed.groupBy("id", "class_id").agg(F.sort_array(F.collect_list(F.struct("n", "bucket")), False).alias("found"))
+    found = stored(found.select("id", "class_id", F.col("found.bucket").alias("homes")), "found")
+    known = stored(found.join(about, "id").join(texts, "id"), "texts")
+    extra = [c for c in known.columns if c != "id"]
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = listed.select("bucket", "id", blocks.alias("blocks")).join(known, "id").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    rows = rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
+    pairs = rows.groupBy("bucket", "lo", "hi").applyInArrow(_blocks(hold), "a long, b long")
+    strangers = (F.get("a_homes", F.lit(0)) != F.get("b_homes", F.lit(0))) & ~F.arrays_overlap("a_homes", "b_homes")
+    slim = known.select("id", "homes", *[c for c in about.columns if c != "id"])
+    return pairs.union(_pairs(members.drop("n"), slim, close, strangers))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemaque.llm import buffers as B
-from telemaque.llm.linking import classes, passing, stored
+from telemaque.llm.linking import classes, passing, sent, stored
 
 SHINGLE, SIMILARITY = 5, 80  # words; hundredths
 SKETCH, BANDS, ROWS = 512, 73, 7
@@ -223,7 +223,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 sets = [hashes[lo:hi].tobytes() for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sets)), pa.array(sets, pa.binary())], names=["id", "set"])
 
-    some = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(emit, "id long, set binary")
+    some = docs.join(sent(wanted), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(emit, "id long, set binary")
     return stored(some.where(F.length("set") > 0), "sets")
 
 

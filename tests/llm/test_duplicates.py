@@ -185,6 +185,35 @@ def test_near_copies_of_long_lines_and_copies_of_short_ones(spark):
     assert len({(r["class_doc_id"], r["class_line_no"]) for r in got}) < len(lines) - 5
 
 
+def test_many_lines_that_are_alike_but_not_linked(spark, monkeypatch):
+    """They meet inside the tasks, in blocks: pairs that are no links once became rows."""
+    rnd, verified = random.Random(14), []
+    monkeypatch.setattr(linking, "FEW", 4)
+    monkeypatch.setattr(linking, "BLOCK", 16)
+    made = linededup._verifier
+
+    def counted(*args):
+        verify = made(*args)
+
+        def check(pairs):
+            found = verify(pairs)
+            verified.append((pairs.count(), found.count()))
+            return found
+
+        return check
+
+    monkeypatch.setattr(linededup, "_verifier", counted)
+    base = "".join(rnd.choice("abcdefgh ") for _ in range(200))  # 6 edits are allowed
+    lines = sorted({changed(rnd, base, rnd.choice([0, 2, 4, 7, 9, 11])) for _ in range(70)})
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    near = lambda x, y: edits(x, y) <= linededup.allowed(np.array([min(len(x), len(y))]))[0]
+    pairs = [(i, j) for i, x in enumerate(lines) for j in range(i) if abs(len(x) - len(lines[j])) <= 6 for y in (lines[j],) if near(x, y)]
+    got = {r["doc_id"]: r["class_doc_id"] for r in linededup.line_classes(docs).collect()}
+    assert got == groups(range(len(lines)), pairs)
+    assert 3 < len(set(got.values())) < len(lines) - 20
+    assert sum(n for n, _ in verified) < 8 * len(lines)
+
+
 def test_line_dedup_on_hostile_and_empty_tables(spark):
     docs = hostile(spark)
     out = linededup.without_repeats(docs)

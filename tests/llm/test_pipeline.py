@@ -96,3 +96,17 @@ def test_stages_leave_nothing_but_what_their_rows_are_read_from(spark, tmp_path,
         assert shuffled() <= at_first
     finally:
         spark.conf.unset(linking.CLEANUP) if before is None else spark.conf.set(linking.CLEANUP, before)
+
+
+def test_the_texts_of_near_dedup_and_decontamination_are_not_shuffled(spark):
+    """A few ids go to the texts, whatever Spark takes the size of a table to be."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("near_dedup", "decontamination"):
+            out = dict(corpus_pipeline.STAGES)[name](spark, docs, SMALL)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "LeftAnti" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
