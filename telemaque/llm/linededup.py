@@ -11,7 +11,8 @@ looked up with those of their own substrings that could be such a segment of a l
 shorter. An index of every segment at every place of the longer line would need t * t / 2 look-ups; instead
 the last ``step - 1`` code points of a segment are spent on ``step`` entries for it, and only every
 ``step``-th place is looked up. Very long lines (``LOOSE``) have t + 1 segments that may stand anywhere.
-Candidates are verified by a banded bit-parallel edit distance.
+Candidates are verified by a banded bit-parallel edit distance, after those have been left out that the reach of the
+band's diagonals shows to be too far apart.
 
 Keys leave a task as packed blocks: sorted, truncated and delta-coded, with ``PRINT`` bits of the line's identity. The
 blocks of a range of keys meet in one task, and only keys that different lines share become rows.
@@ -61,8 +62,10 @@ HELD_KEYS, AT_ONCE, RANGE_BYTES = 1 << 21, 1 << 16, 16 << 20
 RANGES = 1 << 12
 #: Bits of a line's identity beside a key. Two close lines with the same are taken for one line: a link is lost with probability 6e-8.
 PRINT = 24
-#: Pairs that are compared at a time, and the most edits for which their band is a machine word.
-PAIRS, WORD_EDITS = 4096, 31
+#: Pairs that are compared at a time, and code points of their longer lines; of fewer pairs a word, each is compared by itself.
+PAIRS, HELD_CODES, FEW_PAIRS = 2048, 1 << 20, 50
+#: The most edits that are counted before a pair is compared in a band of as many.
+REACHED = 300
 #: Keys have this many bits more than it takes to count them.
 SPARE_BITS = 9
 
@@ -272,66 +275,178 @@ def within(a: str, b: str, limit: int) -> bool:
 
 
 def all_within(pairs: list[tuple[str, str]], limits: np.ndarray) -> np.ndarray:
-    """``within`` of many pairs at once, column by column, a word for each pair."""
+    """``within`` of many pairs at once, column by column, a few words for each pair."""
     out = np.zeros(len(pairs), dtype=bool)
     size = np.array([(max(len(a), len(b)), min(len(a), len(b))) for a, b in pairs], dtype=np.int64).reshape(-1, 2)
-    possible = size[:, 0] - size[:, 1] <= limits
-    for i in np.flatnonzero(possible & (limits > WORD_EDITS)).tolist():
-        out[i] = within(*pairs[i], int(limits[i]))
-    rest = np.flatnonzero(possible & (limits <= WORD_EDITS))
+    found = np.zeros(len(pairs), dtype=np.int64) + limits
+    rest = np.flatnonzero(size[:, 0] - size[:, 1] <= limits)
     rest = rest[np.lexsort((size[rest, 1], limits[rest]))]
-    for i in range(0, len(rest), PAIRS):
-        some = rest[i : i + PAIRS]
-        out[some] = _banded([max(pairs[k], key=len) for k in some], [min(pairs[k][::-1], key=len) for k in some], limits[some])
+    i = 0
+    while i < len(rest) and limits[rest[i]] <= REACHED:
+        some = rest[i : i + max(1, HELD_CODES // (int(size[rest[i : i + PAIRS], 0].max()) + 8))][:PAIRS]
+        some = some[limits[some] <= REACHED]
+        found[some] = _reached([max(pairs[k], key=len) for k in some], [min(pairs[k][::-1], key=len) for k in some], limits[some])
+        i += len(some)
+    # What is left is compared within the band that its edits need.
+    rest = rest[found[rest] <= limits[rest]]
+    limits = np.minimum(found, limits)
+    words = 2 * limits // 64 + 1
+    rest = rest[np.lexsort((size[rest, 1], limits[rest]))]
+    while len(rest):
+        n, most = int(words[rest[0]]), max(1, HELD_CODES // (int(size[rest[0], 0]) + 1))
+        some = rest[: min(PAIRS, most)]
+        some, rest = some[words[some] == n], rest[int((words[rest[: min(PAIRS, most)]] == n).sum()) :]
+        if n > 1 and len(some) < FEW_PAIRS * n:
+            out[some] = [within(*pairs[k], int(limits[k])) for k in some.tolist()]
+        else:
+            out[some] = _banded([max(pairs[k], key=len) for k in some], [min(pairs[k][::-1], key=len) for k in some], limits[some])
     return out
 
 
-def _codes(texts: list[str], before: int, after: int, fill: int) -> np.ndarray:
-    """A row of code points for each text, with ``fill`` around them."""
+def _dense(flat: np.ndarray) -> np.ndarray:
+    """Code points numbered from 2 on, in as few bytes as they need."""
+    most = int(flat.max(initial=0))
+    if most > 0xFD:
+        there = np.zeros(most + 1, dtype=bool)
+        there[flat] = True
+        number = np.cumsum(there)
+        flat, most = number[flat], int(number[-1])
+    return (flat + 2).astype(np.min_scalar_type(most + 2))
+
+
+def _codes(texts: list[str], flat: np.ndarray, before: int, after: int, fill: int) -> np.ndarray:
+    """A row of codes for each text, with ``fill`` around them."""
     size = np.array(list(map(len, texts)))
-    out = np.full((len(texts), before + int(size.max(initial=0)) + after), fill, dtype=np.uint32)
-    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    row = np.repeat(np.arange(len(texts)), size)
-    out[row, before + np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
+    out = np.full((len(texts), before + int(size.max(initial=0)) + after), fill, dtype=flat.dtype)
+    at = np.cumsum(size) - size
+    for row, (lo, n) in enumerate(zip(at.tolist(), size.tolist(), strict=True)):
+        out[row, before : before + n] = flat[lo : lo + n]
+    return out
+
+
+def _windows(texts: np.ndarray, size: np.ndarray, fill: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of texts with ``fill`` between them, the eight bytes from each on as a word, and where the texts begin."""
+    per = 8 // texts.itemsize
+    start = np.cumsum(size + per) - size - per
+    codes = np.full(int(size.sum()) + per * (len(size) + 1), fill, dtype=texts.dtype)
+    codes[np.arange(len(texts)) + np.repeat(start - (np.cumsum(size) - size), size)] = texts
+    return codes, np.ndarray(len(codes) - per + 1, "<u8", codes, strides=(texts.itemsize,)).copy(), start
+
+
+def _alike(left: tuple, right: tuple, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many codes are the same from each two places on, a word at a time."""
+    (a, a_words, _), (b, b_words, _) = left, right
+    one, bits = np.uint64(1), a.itemsize.bit_length() + 2
+    out, active, step = np.zeros(len(i), dtype=np.int64), np.arange(len(i)), 0
+    while len(active):
+        if step >= 8 and len(active) <= 32:
+            for k in active.tolist():
+                x, y, n = int(i[k] + out[k]), int(j[k] + out[k]), 256
+                while not (differ := a[x : x + min(n, len(b) - y)] != b[y : y + min(n, len(a) - x)]).any():
+                    x, y, n = x + n, y + n, 4 * n
+                out[k] = x - i[k] + differ.argmax()
+            break
+        word = a_words[i[active] + out[active]] ^ b_words[j[active] + out[active]]
+        out[active] += np.bitwise_count((word & (~word + one)) - one) >> bits
+        active, step = active[word == 0], step + 1
     return out
 
 
+def _reached(long: list[str], short: list[str], limits: np.ndarray) -> np.ndarray:
+    """The edits of each pair, or one more than its limit: how far each diagonal of the band is reached with none, one, two...
+
+    Only diagonals count from which the rest of the edits leads back to the last one.
+    """
+    m, n = (np.array(list(map(len, x)), dtype=np.int64) for x in (long, short))
+    flat, gap = _dense(np.frombuffer("".join([*long, *short]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)), m - n
+    a, b = _windows(flat[: int(m.sum())], m, 0), _windows(flat[int(m.sum()) :], n, 1)
+    wide = int(((limits - gap) // 2).max(initial=0))
+    diagonal = np.arange(-wide, int(gap.max(initial=0)) + wide + 1)
+    most = np.minimum(n[:, None], m[:, None] - diagonal).astype(np.int32)
+    back, least = np.abs(gap[:, None] - diagonal), np.maximum(0, -diagonal)
+    far = np.full((len(m), len(diagonal) + 2), -(1 << 30), dtype=np.int32)  # places of the shorter text
+    far[:, 1 + wide] = 0
+    result, left, each = limits + 1, limits.copy(), np.arange(len(m))
+    for e in range(int(limits.max(initial=-1)) + 1):
+        lo, hi = max(0, wide - e), min(len(diagonal), wide + e + 1)
+        part = far[:, lo + 1 : hi + 1]
+        if e:
+            best = np.maximum(part + 1, far[:, lo:hi])
+            best = np.maximum(best, far[:, lo + 2 : hi + 2] + 1)
+            part[:] = np.minimum(best, most[:, lo:hi])
+        row, at = np.nonzero((back[:, lo:hi] + e <= left[:, None]) & (part >= least[lo:hi]))
+        if not len(row):
+            break
+        place = part[row, at].astype(np.int64)
+        part[row, at] = place + _alike(a, b, a[2][row] + place + diagonal[lo + at], b[2][row] + place)
+        ended = (far[each, 1 + wide + gap] >= n) & (left >= e)
+        result[ended] = e
+        left[ended] = -1
+    return result
+
+
 def _banded(long: list[str], short: list[str], limits: np.ndarray) -> np.ndarray:
-    """Whether the distance of each pair is within its limit; the band is as wide as the widest needs."""
+    """Whether the distance of each pair is within its limit; the band is as wide as the widest needs.
+
+    As in ``within``, with the band's bits in words of 64, the lowest first: carries go from one to the next.
+    """
     band = int(limits.max(initial=0))
     width = 2 * band + 1
-    one, full, lowest = np.uint64(1), np.uint64((1 << width) - 1), np.uint64(1 << (width - 1))
+    words = (width + 63) // 64
+    one, last_bit = np.uint64(1), np.uint64(63)
+    full = np.array([(1 << min(64, width - 64 * w)) - 1 for w in range(words)], dtype=np.uint64)
+    lowest = one << np.uint64((width - 1) % 64)
     m, n = (np.array(list(map(len, x)), dtype=np.int64) for x in (long, short))
-    rows, cols = _codes(long, band, width, 0xFFFFFFFF), _codes(short, 0, 1, 0xFFFFFFFE)
+    flat = _dense(np.frombuffer("".join([*long, *short]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+    rows, cols = _codes(long, flat, band, 64 * words, 0), _codes(short, flat[int(m.sum()) :], 0, 1, 1)
     result = np.where(n == 0, m <= limits, False)
     live = np.flatnonzero(n > 0)
-    up = np.full(len(live), full & ~np.uint64((1 << band) - 1), dtype=np.uint64)
-    down, value = np.zeros(len(live), dtype=np.uint64), np.minimum(band, m[live])
+    start = np.array([~((1 << band) - 1) >> 64 * w & 0xFFFFFFFFFFFFFFFF for w in range(words)], dtype=np.uint64) & full
+    up = np.repeat(start[None, :], len(live), axis=0)
+    down, value = np.zeros_like(up), np.minimum(band, m[live])
     rows, cols, m, n, limit = rows[live], cols[live], m[live], n[live], limits[live]
+    ends, inner = set(n.tolist()), int(m.min(initial=0)) - band
     for j in range(int(n.max(initial=0))):
-        bits = np.zeros((len(live), 8), dtype=np.uint8)
-        found = np.packbits(rows[:, j : j + width] == cols[:, j, None], axis=1, bitorder="little")
-        bits[:, : found.shape[1]] = found
-        match = bits.view("<u8").reshape(-1)
-        diagonal = ((((match & up) + up) ^ up) | match | down) & full
+        found = rows[:, j : j + 64 * words] == cols[:, j, None]
+        match = np.packbits(found.reshape(-1), bitorder="little").view("<u8").reshape(-1, words)
+        total = match & up
+        if words == 1:
+            total += up
+        else:
+            carry = np.zeros(len(total), dtype=np.uint64)
+            for w in range(words):
+                own = total[:, w] + up[:, w]
+                over = own < up[:, w]
+                own += carry
+                carry = (over | (own < carry)).astype(np.uint64)
+                total[:, w] = own
+        diagonal = ((total ^ up) | match | down) & full
         right_up = (down | ~(diagonal | up)) & full
         right_down = diagonal & up
         # Along the lowest diagonal, then along the last row.
-        last = j + band - m
-        bit = one << np.clip(width - 2 - last, 0, 63).astype(np.uint64)
-        along = ((right_up & bit) != 0).astype(np.int64) - ((right_down & bit) != 0)
-        value += np.where(last < 0, (diagonal & lowest) == 0, along)
+        if j < inner:
+            value += (diagonal[:, -1] & lowest) == 0
+        else:
+            last = j + band - m
+            at = np.clip(width - 2 - last, 0, width - 1)
+            bit, own = one << (at % 64).astype(np.uint64), at // 64
+            each = np.arange(len(at))
+            along = ((right_up[each, own] & bit) != 0).astype(np.int64) - ((right_down[each, own] & bit) != 0)
+            value += np.where(last < 0, (diagonal[:, -1] & lowest) == 0, along)
         shifted = diagonal >> one
+        if words > 1:
+            shifted[:, :-1] |= diagonal[:, 1:] << last_bit
         up, down = (right_down | ~(shifted | right_up)) & full, shifted & right_up
-        done = n == j + 1
-        if done.any():
+        if j + 1 in ends:
+            done = n == j + 1
             result[live[done]] = value[done] <= limit[done]
-        if done.any() or j % 16 == 15:
-            keep = ~done & (value <= limit + band + 1)
-            if not keep.all():
+        if j % 16 == 15:
+            keep = (n > j + 1) & (value <= limit + band + 1)
+            if not keep.any():
+                break
+            if keep.sum() < len(keep) * 7 // 8:
                 live, rows, cols, m, n, limit, up, down, value = (x[keep] for x in (live, rows, cols, m, n, limit, up, down, value))
-                if not len(live):
-                    break
+                inner = int(m.min()) - band
     return result
 
 

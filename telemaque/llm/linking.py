@@ -37,6 +37,8 @@ PIVOTS = (1, 8)
 FEW = 32
 #: Members of a block, in which the members of a large bucket are held against each other: n of them go out n / BLOCK times each.
 BLOCK = 512
+#: Tasks in which blocks meet, at most, where there are more than shuffles have.
+MEETING_TASKS = 1 << 12
 #: Ids that may be sent to every task; more are joined by a shuffle of both sides.
 SENT_IDS = 2_000_000
 
@@ -317,6 +319,11 @@ def _of_large(members: DataFrame, about: DataFrame, close, texts: DataFrame, hol
     rows = listed.select("bucket", "id", blocks.alias("blocks")).join(known, "id").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     rows = rows.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other")
+    # Few bytes, but much work: run-time merging of small partitions would leave all to one task.
+    homes_of, by = listed.groupBy("bucket").agg(F.first(blocks).alias("blocks")), F.col("blocks").cast("long")
+    meetings = homes_of.agg(F.sum(by * (by + 1) / 2)).first()[0] or 0
+    wide = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(max(1, min(MEETING_TASKS, max(wide, int(meetings) // 4))), "bucket", "lo", "hi")
     pairs = rows.groupBy("bucket", "lo", "hi").applyInArrow(_blocks(hold), "a long, b long")
     strangers = (F.get("a_homes", F.lit(0)) != F.get("b_homes", F.lit(0))) & ~F.arrays_overlap("a_homes", "b_homes")
     slim = known.select("id", "homes", *[c for c in about.columns if c != "id"])

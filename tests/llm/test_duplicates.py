@@ -50,6 +50,24 @@ def groups(ids, linked):
     return {i: root(i) for i in ids}
 
 
+def test_edits_along_diagonals_and_in_bands_of_several_words():
+    rnd, pairs = random.Random(15), []
+    for letters in ("a", "ab", "abcdefgh", "aé漢😀" + "".join(chr(0x4E00 + i) for i in range(300))):
+        for size in (0, 1, 20, 60, 150):
+            for n in (0, 1, 3, 8, 40, 90):
+                a = "".join(rnd.choice(letters) for _ in range(size))
+                pairs.append((a, changed(rnd, a, n)))
+    pairs.append(("a" * 3000, "b" * 20 + "a" * 2960))
+    apart = np.array([edits(a, b) for a, b in pairs])
+    long, short = [max(p, key=len) for p in pairs], [min(p[::-1], key=len) for p in pairs]
+    gap = np.array([len(a) - len(b) for a, b in zip(long, short, strict=True)])
+    for limit in (0, 1, 7, 31, 32, 100):
+        limits = np.maximum(gap, limit)
+        assert linededup._reached(long, short, limits).tolist() == np.minimum(apart, limits + 1).tolist()
+        assert linededup._banded(long, short, limits).tolist() == (apart <= limits).tolist()
+        assert linededup.all_within(pairs, np.full(len(pairs), limit)).tolist() == (apart <= limit).tolist()
+
+
 def test_edit_distance_in_a_band():
     rnd = random.Random(5)
     for _ in range(3000):
@@ -214,6 +232,18 @@ def test_many_lines_that_are_alike_but_not_linked(spark, monkeypatch):
     assert sum(n for n, _ in verified) < 8 * len(lines)
 
 
+def test_blocks_of_homes_meet_in_several_tasks(spark, monkeypatch):
+    """They are few bytes and much work: run-time merging of small partitions once left all of them to one task."""
+    monkeypatch.setattr(linking, "BLOCK", 4)
+    rows = [(home, 100 * home + i, True, 12, 100 * home + i) for home in range(6) for i in range(12)]
+    members = spark.createDataFrame(rows, "bucket long, id long, pivot boolean, n long, class_id long")
+    about, texts = members.select("id", F.lit(30).cast("long").alias("size")), members.select("id", F.lit("x").alias("line"))
+    pairs = linking._of_large(members, about, lambda a, b: F.lit(True), texts, lambda table, i, j: np.ones(len(i), dtype=bool))
+    found = pairs.select("a", "b", F.spark_partition_id().alias("task")).collect()
+    assert len({r.task for r in found}) > 1
+    assert groups([x[1] for x in rows], [(r.a, r.b) for r in found]) == {x[1]: 100 * x[0] for x in rows}
+
+
 def test_line_dedup_on_hostile_and_empty_tables(spark):
     docs = hostile(spark)
     out = linededup.without_repeats(docs)
