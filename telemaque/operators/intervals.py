@@ -16,7 +16,7 @@ SALTS = 16
 SLOT_BOUNDS = 4
 
 
-def _micros(time: str) -> Column:
+def micros(time: str) -> Column:
     return F.unix_micros(F.col(time).cast("timestamp"))
 
 
@@ -92,7 +92,7 @@ def interval_totals(
 
     def instants(df: DataFrame, key: str, time: str, *more: Column) -> DataFrame:
         placed = df.where(F.col(key).isNotNull() & F.col(time).isNotNull())
-        return placed.select(F.col(key).alias("key"), _micros(time).alias("at"), *more)
+        return placed.select(F.col(key).alias("key"), micros(time).alias("at"), *more)
 
     def summed(df: DataFrame, *group: str) -> DataFrame:
         return df.groupBy(*group).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
@@ -144,7 +144,7 @@ def interval_totals(
             .select("key", "read_at", *[(sign * F.col(n)).alias(n) for n in names])
         )
         sums = summed(read, "key", "read_at")
-        joined = salted_join(left, sums, [(F.col(left_key), "key"), (_micros(left_time), "read_at")], "left")
+        joined = salted_join(left, sums, [(F.col(left_key), "key"), (micros(left_time), "read_at")], "left")
         return joined.select(*left.columns, *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in names])
 
     return apply

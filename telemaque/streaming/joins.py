@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemaque.operators.codec import Transform
-from telemaque.operators.intervals import interval_join
+from telemaque.operators.intervals import interval_join, micros
 from telemaque.operators.trips import geo_points
 from telemaque.operators.views import JOIN_KEYS
 
 #: State on the executors' disks, of which a batch stores its changes; a batch without messages, which could only drop
-#: state, is left to the next one that has some (inner joins give no row late).
+#: state, is left to the next one that has some (inner joins give no row late). Rows are not counted, which would look up
+#: each before it is written, and a join's partition has one store (version 3), not four.
 LARGE_STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.join.stateFormatVersion": "3",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
@@ -47,27 +50,27 @@ def trip_view_stream(
     vehicle registration lies within ``trip_within_s`` of it.
 
     Reports carry the trip's start time, so the bounds have to be as wide as a trip. ``delay`` is how
-    late messages of any topic may come. Works on batch tables too, with the same result. The reports'
-    bounds, which few pings meet, come first, so that later joins keep little state; set ``LARGE_STATE`` where
-    the first one's doesn't fit into memory.
+    late messages of any topic may come. Works on batch tables too, with the same result. The reports, which are
+    fewer than the pings, meet each other first, within twice their bound, and then the pings: so these are kept
+    by one join, and later joins keep little state; set ``LARGE_STATE`` where the state doesn't fit into memory.
     """
-    right_sides = (
-        (vehicles, "IDTrajet", "DateDebutTrajet", trip_within_s),
-        (emergencies, "emergencyTrip", "EmergencyTime", report_within_s),
-        (weathers, "weatherTrip", "WeatherTime", report_within_s),
+    columns = [c for right in (vehicles, emergencies, weathers) for c in right.columns if c not in JOIN_KEYS]
+    alarms, skies = emergencies.withWatermark("EmergencyTime", delay), weathers.withWatermark("WeatherTime", delay)
+    both = alarms.transform(
+        interval_join(skies, ("emergencyTrip", "weatherTrip"), ("EmergencyTime", "WeatherTime"), 2 * report_within_s)
     )
-    columns = [c for right, *_ in right_sides for c in right.columns if c not in JOIN_KEYS]
+    # A further stream join takes only one event time of either side. Without a zone, a time is a plain value.
+    reports = both.withColumns({"_sky_us": micros("WeatherTime"), "WeatherTime": F.col("WeatherTime").cast("timestamp_ntz")})
 
     def apply(trips: DataFrame) -> DataFrame:
         view = trips.withWatermark("heure_depart", delay)
-        for right, key, time, within_s in sorted(right_sides, key=lambda side: side[-1]):
-            joined = view.transform(
-                interval_join(
-                    right.withWatermark(time, delay), ("tripId", key), ("heure_depart", time), within_s
-                )
-            )
-            # A further stream join takes only one event time: the ping's. Without a zone, the
-            # right-hand time is a plain value.
+        for right, key, time, within_s in (
+            (reports, "emergencyTrip", "EmergencyTime", report_within_s),
+            (vehicles.withWatermark("DateDebutTrajet", delay), "IDTrajet", "DateDebutTrajet", trip_within_s),
+        ):
+            joined = view.transform(interval_join(right, ("tripId", key), ("heure_depart", time), within_s))
+            if right is reports:
+                joined = joined.where(F.abs(F.col("_sky_us") - micros("heure_depart")) <= report_within_s * 1_000_000)
             view = joined.withColumn(time, F.col(time).cast("timestamp_ntz"))
         return view.select(*trips.columns, *columns).transform(geo_points)
 

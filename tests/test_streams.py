@@ -18,7 +18,7 @@ from telemaque.streaming.batches import batch_writer
 from telemaque.streaming.joins import LARGE_STATE, settings, trip_view_stream
 from telemaque.streaming.runner import Sink, StreamsFailed, fan_out, run_stream, start_stream
 from telemaque.streaming.service import serve
-from tests.samples import EMERGENCY_TEXT, T0, TRIP_TEXT, VEHICLE_TEXT, WEATHER_TEXT, envelope, trip_text
+from tests.samples import EMERGENCY_TEXT, T0, TRIP_TEXT, VEHICLE_TEXT, WEATHER_TEXT, envelope, flat_trips, trip_text
 from tests.test_joins import fleet
 
 TOPIC = TOPICS["trajet"].kafka_topic
@@ -234,6 +234,42 @@ def test_time_bounded_joins_keep_few_copies_and_settings_end(spark, tmp_path):
     assert bag(spark.read.parquet(str(tmp_path / "out" / "joined"))) == bag(trips.transform(interval_join(alarms, *bound)))
 
 
+def test_pings_with_many_reports_are_in_the_state_once(spark, tmp_path):
+    """Pairs of pings and alarms once were state of their own; reports meet each other first now, in one store for a join's partition."""
+    def at(hours):
+        return T0 + timedelta(hours=hours)
+
+    pings = [(0, i, trip, "A", 45.0, -71.0, "B", 46.5, -71.5, at(i / 100), False) for i, trip in enumerate(["T0"] * 100 + ["T1"] * 4)]
+    tables = {
+        "trips": flat_trips(spark, pings).drop("partition"),
+        "cars": spark.createDataFrame([(f"V{i}", f"T{i}", T0) for i in (0, 1)], "immatriculation string, IDTrajet string, DateDebutTrajet timestamp"),
+        "alarms": spark.createDataFrame([("T0", at(1 + i / 10), "FIRE") for i in range(8)] + [("T1", at(-4.99), "FIRE"), ("T1", at(-4), "FIRE")], "emergencyTrip string, EmergencyTime timestamp, emergencyType string"),
+        # Those of T0 are near no ping; T1's are near its pings, the last one near some of them only, and twelve hours from an alarm.
+        "sky": spark.createDataFrame([("T0", at(90), "SNOW"), ("T1", at(2), "RAIN"), ("T1", at(7.015), "SNOW")], "weatherTrip string, WeatherTime timestamp, weatherCondition string"),
+    }
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+
+    def view(source):
+        return source["trips"].transform(trip_view_stream(source["cars"], source["alarms"], source["sky"], 6 * 3600, 240 * 3600, "30 days"))
+
+    def state(name, more):
+        streams = {n: spark.readStream.schema(df.schema).parquet(str(tmp_path / n)) for n, df in tables.items()}
+        with settings(spark, {**LARGE_STATE, **more}):
+            query = start_stream(view(streams), Sink(name), str(tmp_path / "out"))
+            query.awaitTermination()
+        return next(p.stateOperators for p in query.recentProgress if p.stateOperators)
+
+    counted = state("counted", {"spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "true"})
+    assert sum(op.numRowsTotal for op in counted) < 2 * len(pings) + 100
+    plain = state("plain", {})
+    assert all(op.numStateStoreInstances == op.numShufflePartitions for op in plain)
+    t1 = [(p[9], a, w) for p in pings[100:] for a in (at(-4.99), at(-4)) for w in (at(2), at(7.015)) if all(abs(x - p[9]) <= timedelta(hours=6) for x in (a, w))]
+    for name in ("counted", "plain"):
+        rows = spark.read.parquet(str(tmp_path / "out" / name))
+        assert bag(rows) == bag(view(tables)) and rows.count() == len(t1) > 4
+
+
 def test_a_repeated_batch_replaces_its_first_attempt(spark, tmp_path):
     """The callback by itself: running it under a stream would open a callback port."""
     target = str(tmp_path / "bodies")
